@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["core", "store"]
+MODULES = ["core", "store", "explore"]
 
 
 def _mods():
