@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["core", "store", "explore", "quality"]
+MODULES = ["core", "store", "explore", "quality", "analytics"]
 
 
 def _mods():
