@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.labels import member_key, member_label
-from panelkit.session import sized_broadcast
 
 MEMBER_COLUMNS = ["clave_delegacion", "delegacion", "clave_subdelegacion", "subdelegacion"]
 SLICE_COLUMNS = MEMBER_COLUMNS + ["date", "value"]
@@ -84,7 +83,7 @@ def series_slice(
 
     The selection is a semi join on the parsed codes, NULL matching NULL so
     delegation rows (no subdelegation code) can be selected.  The key side
-    is distinct and size-checked before it is broadcast.
+    is distinct; Spark broadcasts it when its size statistics allow.
     """
     keys = parse_member_keys(member_keys).select(
         F.col("clave_delegacion").alias("k_del"), F.col("clave_subdelegacion").alias("k_sub")
@@ -95,7 +94,7 @@ def series_slice(
         p = p.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         p = p.where(F.col("date") <= F.lit(end).cast("date"))
-    out = p.join(sized_broadcast(keys), cond, "left_semi").select(*SLICE_COLUMNS)
+    out = p.join((keys), cond, "left_semi").select(*SLICE_COLUMNS)
     return out.withColumn("grupo", member_label())
 
 

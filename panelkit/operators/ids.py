@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.session import sized_broadcast
 
 # The label dimension is bounded by the code dictionary (series x sheets x
 # levels), not by the data; the global ordering below runs on that small
@@ -55,4 +54,4 @@ def assign_series_ids(new: DataFrame, ids: DataFrame) -> DataFrame:
         & F.col("level").eqNullSafe(F.col("i_level"))
     )
     base = new.drop("book_id", "sheet_id")
-    return base.join(sized_broadcast(i), cond, "left").drop("i_book", "i_sheet", "i_level")
+    return base.join((i), cond, "left").drop("i_book", "i_sheet", "i_level")

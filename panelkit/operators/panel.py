@@ -7,7 +7,7 @@ one pass over the cube:
 
 1. every cube row is expanded into its (up to five) family rows with
    ``inline(filter(array(struct…)))`` — a narrow, codegen'd projection;
-2. one size-checked broadcast join with the code dictionary (null-safe on the
+2. one join with the small code dictionary, broadcast by the planner (null-safe on the
    code, so a NULL size range can match a NULL dictionary code);
 3. one ``GROUPING SETS`` aggregation produces the three levels at once.
    Wages carry ``Σ wage·weight`` and ``Σ weight`` so each level's mean is
@@ -34,7 +34,6 @@ from panelkit.schema import (
     SERIES_INSURED,
     SERIES_WAGE,
 )
-from panelkit.session import sized_broadcast
 
 FAMILIES = ("insured_modality", "insured_sector", "employers_modality", "employers_size", "wage_modality")
 ADDITIVE_FAMILIES = FAMILIES[:4]
@@ -102,7 +101,7 @@ def family_rows(clean: DataFrame, families: tuple[str, ...] = FAMILIES) -> DataF
 
 
 def _dictionary_side(dic: DataFrame) -> DataFrame:
-    return sized_broadcast(
+    return (
         dic.where(F.col("sheet_name").isNotNull()).select(
             F.col("series").alias("d_series"),
             F.col("disaggregation").alias("d_dis"),
@@ -209,9 +208,9 @@ def with_geo(panel: DataFrame, geo: DataFrame) -> DataFrame:
     ).distinct()
     dl = geo.select(F.col("clave_delegacion").alias("g_del2"), "delegacion").distinct()
     out = panel.join(
-        sized_broadcast(sub),
+        (sub),
         F.col("clave_delegacion").eqNullSafe(F.col("g_del")) & F.col("clave_subdelegacion").eqNullSafe(F.col("g_sub")),
         "left",
     ).drop("g_del", "g_sub")
-    out = out.join(sized_broadcast(dl), F.col("clave_delegacion").eqNullSafe(F.col("g_del2")), "left").drop("g_del2")
+    out = out.join((dl), F.col("clave_delegacion").eqNullSafe(F.col("g_del2")), "left").drop("g_del2")
     return out

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from panelkit.functions.codes import normalize_code
 from panelkit.functions.dates import reference_month
@@ -13,6 +14,7 @@ from panelkit.operators.panel import ADDITIVE_FAMILIES, family_table
 from panelkit.operators.snapshot import latest_snapshot
 from panelkit.registry import oracle_base as O
 from panelkit.registry.common import clean, cube, panel, panel_geo, rounded_value, rv
+from panelkit.session import literal_table
 from panelkit.sources.register import code_dictionary
 from panelkit.sources.tables import read_table
 
@@ -52,7 +54,7 @@ def q_dictionary_code_normalize(spark: SparkSession, sf: str) -> DataFrame:
 
 def as_of_days(spark: SparkSession, sf: str) -> DataFrame:
     od = read_table(spark, sf, "orders", "o_orderdate").select(F.col("o_orderdate").cast("date").alias("as_of"))
-    edges = spark.createDataFrame([(d,) for d in EDGE_AS_OF], "as_of date")
+    edges = literal_table(spark, [(d,) for d in EDGE_AS_OF], StructType([StructField("as_of", DateType())]))
     return od.unionByName(edges).distinct()
 
 
@@ -66,7 +68,7 @@ def snapshot_listing(spark: SparkSession, sf: str) -> DataFrame:
     od = read_table(spark, sf, "orders", "o_orderdate").select(
         F.concat(F.lit("/data/pafinalmes"), period, F.lit(".sas7bdat")).alias("path")
     )
-    return od.distinct().unionByName(spark.createDataFrame([(SUPERSEDED_PATH,)], "path string"))
+    return od.distinct().unionByName(literal_table(spark, [(SUPERSEDED_PATH,)], StructType([StructField("path", StringType())])))
 
 
 def q_latest_period_snapshot(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,10 +8,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-# Sides joined with a broadcast hint must stay under this many rows; the
-# check is a bounded `limit(n + 1).count()`, never a full count.
-BROADCAST_MAX_ROWS = 100_000
+# Inline literal tables up to this many rows carry a broadcast hint.
+BROADCAST_MAX_ROWS = 10_000
 
 
 def get_session(master: str | None = None, app: str = "panelkit", shuffle_partitions: int | None = None) -> SparkSession:
@@ -35,6 +35,8 @@ def get_session(master: str | None = None, app: str = "panelkit", shuffle_partit
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Skip per-call Python call-site capture (driver-side plan build cost).
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -72,12 +74,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a bounded size check.
+def literal_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A small fixed table as an inline ``VALUES`` relation.
 
-    ``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows, so
-    the check itself is cheap at any scale.  Above the bound the frame is
-    returned unhinted and Spark plans a shuffle join instead.
+    Unlike ``createDataFrame`` (a Python-side RDD with unknown size) this is
+    a local relation with exact size statistics, and its row count is known
+    before anything runs.  Tables up to ``BROADCAST_MAX_ROWS`` rows are
+    hinted for broadcast; that bound is the only broadcast hint the engine
+    places itself.  Every other join side is left to Spark's size-checked
+    planning: ``autoBroadcastJoinThreshold`` on plan statistics and AQE's
+    runtime conversion, with a shuffle join beyond the threshold.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    names = [f.name for f in schema.fields]
+    args: dict[str, object] = {}
+    tuples = []
+    for i, row in enumerate(rows):
+        marks = []
+        for j, v in enumerate(row):
+            args[f"p{i}_{j}"] = v
+            marks.append(f":p{i}_{j}")
+        tuples.append("(" + ", ".join(marks) + ")")
+    sql = f"SELECT * FROM VALUES {', '.join(tuples)} AS t({', '.join(names)})"
+    df = spark.sql(sql, args=args).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return F.broadcast(df) if len(rows) <= BROADCAST_MAX_ROWS else df

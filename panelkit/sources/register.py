@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.schema import CODE_DICT, GEO_DICT, NATIONAL_CODE
-from panelkit.session import sized_broadcast
+from panelkit.session import literal_table
 from panelkit.sources.tables import read_table
 
 
@@ -30,12 +30,12 @@ def micro_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     na = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     pa = read_table(spark, sf_dir, "part", "p_partkey", "p_size")
 
-    # lineitem x orders is the only fact-to-fact join; the dimensions are
-    # either size-checked broadcasts (nation) or left to AQE / size stats.
+    # lineitem x orders is the only fact-to-fact join; dimension sides are
+    # broadcast by Spark only when their size statistics allow it.
     j = (
         li.join(od, li.l_orderkey == od.o_orderkey)
         .join(cu, F.col("o_custkey") == cu.c_custkey)
-        .join(sized_broadcast(na), F.col("c_nationkey") == na.n_nationkey)
+        .join(na, F.col("c_nationkey") == na.n_nationkey)
         .join(pa, F.col("l_partkey") == pa.p_partkey)
     )
     size = (
@@ -92,22 +92,28 @@ CODE_DICTIONARY_ROWS = [
 ]
 
 
+_DICTS: dict[int, DataFrame] = {}
+
+
 def code_dictionary(spark: SparkSession) -> DataFrame:
     """Code → (sheet_name, book_name) per series and disaggregation."""
-    return spark.createDataFrame(CODE_DICTIONARY_ROWS, CODE_DICT)
+    key = id(spark._jsparkSession)
+    if key not in _DICTS:
+        _DICTS[key] = literal_table(spark, CODE_DICTIONARY_ROWS, CODE_DICT)
+    return _DICTS[key]
 
 
 def geo_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delegation / subdelegation names plus the two national rows."""
     na = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     rg = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    geo = na.join(sized_broadcast(rg), na.n_regionkey == rg.r_regionkey).select(
+    geo = na.join(rg, na.n_regionkey == rg.r_regionkey).select(
         (F.col("r_regionkey") + 1).cast("int").alias("clave_delegacion"),
         F.col("r_name").alias("delegacion"),
         (F.col("n_nationkey") + 1).cast("int").alias("clave_subdelegacion"),
         F.col("n_name").alias("subdelegacion"),
     )
-    national = spark.createDataFrame(
-        [(NATIONAL_CODE, "Nacional", None, None), (NATIONAL_CODE, "Nacional", NATIONAL_CODE, "Nacional")], GEO_DICT
+    national = literal_table(
+        spark, [(NATIONAL_CODE, "Nacional", None, None), (NATIONAL_CODE, "Nacional", NATIONAL_CODE, "Nacional")], GEO_DICT
     )
     return geo.unionByName(national)

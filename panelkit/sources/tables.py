@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Logical scans of read-only input tables, per session and path.  Only the
+# plan is kept (file listing and footer schema); no data is cached, and the
+# panel store is never memoised because it changes between steps.
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one driver table; selecting columns here keeps ReadSchema narrow."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _SCANS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
     return df.select(*columns) if columns else df
