@@ -107,7 +107,23 @@ def q_panel_reset(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_value(read_panel(spark, path))
 
 
+def q_monthly_stream_update(spark: SparkSession, sf: str) -> DataFrame:
+    """The last month's register lands in a drop folder; the streaming job
+    appends its panel to a store holding the history."""
+    from panelkit.sources.register import code_dictionary, geo_dictionary, micro_register
+    from panelkit.streaming.monthly_drop import run_monthly_drop
+
+    h, _, new, _ = hist_with_ids(spark, sf)
+    last = _max_date(new)
+    store = _fresh_store(spark, h)
+    drop = scratch_path(spark, "register-drop")
+    micro_register(spark, sf).where(F.col("date") == F.lit(last)).write.parquet(drop)
+    run_monthly_drop(spark, drop, store, code_dictionary(spark), geo_dictionary(spark, sf))
+    return rounded_value(read_panel(spark, store))
+
+
 QUERIES = {
+    "monthly_stream_update": q_monthly_stream_update,
     "assign_series_ids": q_assign_series_ids,
     "month_continuity": q_month_continuity,
     "month_gaps": q_month_gaps,
@@ -150,6 +166,8 @@ FROM (SELECT max(date) AS last_stored FROM {stored}) s,
 _GKEY = "level, series, disaggregation, sheet_name, book_name, clave_delegacion, clave_subdelegacion"
 
 ORACLE = {
+    "monthly_stream_update": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM
+        (SELECT {_COLS}, value FROM hist_ids UNION ALL SELECT {_COLS}, value FROM new_ids) u""",
     "assign_series_ids": f"{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM new_ids",
     "month_continuity": f"""{O.PANEL_BASE}{HIST}
         {_report('hist', 'newm', 'next')} UNION ALL

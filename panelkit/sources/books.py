@@ -53,6 +53,21 @@ NATIONAL_TITLE = "TOTAL NACIONAL"
 EXCEL_EPOCH = dt.date(1899, 12, 30)
 
 
+def list_workbooks(spark: SparkSession, root: str) -> DataFrame:
+    """Recursive listing of ``.xlsx`` files under ``root``: the catalogue.
+
+    ``binaryFile`` with a glob filter lists files in parallel; only the path
+    column is selected, so file contents are never read.
+    """
+    return (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.xlsx")
+        .option("recursiveFileLookup", "true")
+        .load(root)
+        .select("path")
+    )
+
+
 def _map(pairs):
     return F.create_map(*[F.lit(x) for kv in pairs for x in kv])
 

@@ -67,3 +67,28 @@ def reset_panel(df: DataFrame, path: str) -> None:
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
     )
+
+
+def backup_store(spark: SparkSession, path: str, dest: str) -> None:
+    """Copy the store to a dated backup folder (read → write, same layout)."""
+    _layout(read_panel(spark, path)).write.mode("errorifexists").partitionBy(*PARTITION_COLUMNS).parquet(dest)
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Persist a small derived table (count cube, catalogue) as Parquet or CSV."""
+    w = df.write.mode("overwrite")
+    if fmt == "csv":
+        w.option("header", True).option("nullValue", "").csv(path)
+    else:
+        w.parquet(path)
+
+
+def display_order(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Presentation order of the reference: ids, date, codes; NULL last."""
+    cols = columns or ["book_id", "sheet_id", *SORT_COLUMNS]
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols if c in df.columns])
+
+
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    """First rows for a quick look (a limit is the feature here)."""
+    return df.limit(n)
