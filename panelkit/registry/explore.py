@@ -13,6 +13,7 @@ from panelkit.registry import oracle_base as O
 from panelkit.registry.common import panel_geo, rounded_value
 from panelkit.schema import LEVEL_DELEGATION, LEVEL_SUBDELEGATION
 from panelkit.session import scratch_path
+from panelkit.sources.register import geo_dictionary
 
 # The default explorer slice of the fixtures.
 SLICE_SERIES, SLICE_DIS, SLICE_SHEET = "Asegurados", "Modalidad", "Modalidad 10.1"
@@ -56,12 +57,22 @@ def q_parse_member_keys(spark: SparkSession, sf: str) -> DataFrame:
     return X.parse_member_keys(key_texts(panel_geo(spark, sf)))
 
 
+def member_keys(spark: SparkSession, sf: str, level: str) -> DataFrame:
+    """Every member of a level as the explorer lists it, from the geography
+    dimension: delegations (with the national code) at delegation level,
+    subdelegations (with the national pair) at subdelegation level."""
+    geo = geo_dictionary(spark, sf)
+    if level == LEVEL_DELEGATION:
+        return geo.select(member_key("clave_delegacion", F.lit(None).cast("int")).alias("member_key")).distinct()
+    return geo.where(F.col("clave_subdelegacion").isNotNull()).select(member_key().alias("member_key"))
+
+
 def slices(spark: SparkSession, sf: str) -> DataFrame:
     """Default slice at both levels; every member of the level selected."""
     p = panel_geo(spark, sf)
     out = None
     for lv in LEVELS:
-        keys = X.list_members(p, SLICE_SERIES, lv).select("member_key")
+        keys = member_keys(spark, sf, lv)
         s = X.series_slice(p, SLICE_SERIES, lv, SLICE_DIS, SLICE_SHEET, keys, SLICE_START, SLICE_END)
         s = s.withColumn("level", F.lit(lv))
         out = s if out is None else out.unionByName(s)
@@ -111,7 +122,9 @@ PARSE = """SELECT member_key, TRY_CAST(nullif(split_part(member_key, '_', 1), ''
   TRY_CAST(nullif(split_part(member_key, '_', 2), '') AS INT) AS clave_subdelegacion FROM {src}"""
 
 SLICE_CTE = f""",
-members AS (SELECT DISTINCT level, {KEY} AS member_key FROM panel_geo WHERE series = 'Asegurados'),
+members AS (
+  SELECT DISTINCT 'Delegación' AS level, CAST(clave_delegacion AS VARCHAR) || '_NA' AS member_key FROM f_geo
+  UNION ALL SELECT 'Subdelegación', {KEY} FROM f_geo WHERE clave_subdelegacion IS NOT NULL),
 mkeys AS (SELECT level, k.* FROM members, LATERAL ({PARSE.format(src='(SELECT members.member_key)')}) k),
 sl AS (
   SELECT p.level, p.clave_delegacion, p.delegacion, p.clave_subdelegacion, p.subdelegacion, p.date, {O.rv('p.value')} AS value,
