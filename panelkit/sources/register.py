@@ -92,15 +92,16 @@ CODE_DICTIONARY_ROWS = [
 ]
 
 
-_DICTS: dict[int, DataFrame] = {}
+_DICTS: dict[int, tuple[SparkSession, DataFrame]] = {}
 
 
 def code_dictionary(spark: SparkSession) -> DataFrame:
     """Code → (sheet_name, book_name) per series and disaggregation."""
-    key = id(spark._jsparkSession)
-    if key not in _DICTS:
-        _DICTS[key] = literal_table(spark, CODE_DICTIONARY_ROWS, CODE_DICT)
-    return _DICTS[key]
+    hit = _DICTS.get(id(spark))
+    if hit is None or hit[0] is not spark:
+        hit = (spark, literal_table(spark, CODE_DICTIONARY_ROWS, CODE_DICT))
+        _DICTS[id(spark)] = hit
+    return hit[1]
 
 
 def geo_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,15 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 # Logical scans of read-only input tables, per session and path.  Only the
 # plan is kept (file listing and footer schema); no data is cached, and the
 # panel store is never memoised because it changes between steps.
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one driver table; selecting columns here keeps ReadSchema narrow."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _SCANS[key] = df
+    key = (id(spark), path)
+    hit = _SCANS.get(key)
+    # The entry keeps the session alive, so its id cannot be reused by
+    # another session while the entry exists.
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _SCANS[key] = hit
+    df = hit[1]
     return df.select(*columns) if columns else df
