@@ -17,17 +17,20 @@ BROADCAST_MAX_ROWS = 10_000
 def get_session(master: str | None = None, app: str = "panelkit", shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE, skew handling and UTC time.
 
-    On a cluster the master and the checkpoint folder come from the
-    submitter's configuration; the defaults here only serve local runs.
+    On a cluster (no ``master`` given) the shuffle width and the checkpoint
+    folder come from the submitter's configuration; AQE coalesces the
+    cluster's shuffle partitions at run time.  Only local runs (tests, the
+    bench) pin the shuffle width to the local core count.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    parts = shuffle_partitions or int(os.environ.get("PANELKIT_SHUFFLE_PARTITIONS", cpus))
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = int(os.environ.get("BENCH_CPUS", "8"))
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        builder.config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

@@ -3,20 +3,47 @@
 Each month a new register extract lands as Parquet in a drop folder.  The
 stream picks up every file not processed yet (``availableNow`` processes the
 backlog and stops, which suits a monthly schedule) and hands each
-micro-batch to the same gated update as the batch pipeline.  The stream's
-checkpoint sits in the shared folder, so a restarted job neither skips nor
-re-applies a drop; the continuity gate refuses a month that was already
-appended even if a file is dropped twice.
+micro-batch to the same gated update as the batch pipeline.
+
+Exactly-once: the stream's checkpoint sits in the shared folder, and every
+applied micro-batch leaves an epoch marker next to that checkpoint.  A batch that
+is replayed after a failure between the append and the offset commit finds
+its marker and is skipped; a month dropped again in a *new* batch is refused
+by the continuity gate.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from panelkit.plans.monthly import new_month_panel, update_store
 from panelkit.schema import MICRO
 from panelkit.session import scratch_path
 
+EPOCHS = StructType([StructField("epoch_id", LongType())])
+
+
+def _epochs_path(checkpoint: str) -> str:
+    # Epoch ids are only meaningful for one stream checkpoint.
+    return checkpoint.rstrip("/") + "_applied_epochs"
+
+
+def _already_applied(spark: SparkSession, checkpoint: str, epoch_id: int) -> bool:
+    try:
+        marks = spark.read.schema(EPOCHS).parquet(_epochs_path(checkpoint))
+    except AnalysisException:
+        return False
+    return not marks.where(F.col("epoch_id") == epoch_id).isEmpty()
+
+
+def _mark_applied(spark: SparkSession, checkpoint: str, epoch_id: int) -> None:
+    spark.range(epoch_id, epoch_id + 1).select(F.col("id").alias("epoch_id")).write.mode("append").parquet(
+        _epochs_path(checkpoint)
+    )
+
 
 def start_monthly_drop(
     spark: SparkSession,
@@ -26,14 +53,19 @@ def start_monthly_drop(
     geo: DataFrame,
     checkpoint: str | None = None,
 ):
-    """Start the drop-folder stream; returns the StreamingQuery."""
+    """Start the drop-folder stream; returns the StreamingQuery.
+
+    Production runs pass a fixed ``checkpoint`` in the shared folder; without
+    one a fresh folder is taken (every run then re-reads the whole drop).
+    """
     checkpoint = checkpoint or scratch_path(spark, "monthly-drop-checkpoint")
     micro = spark.readStream.schema(MICRO).parquet(drop_dir)
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
+        if batch.isEmpty() or _already_applied(spark, checkpoint, epoch_id):
             return
         update_store(spark, store_path, new_month_panel(batch, dic, geo))
+        _mark_applied(spark, checkpoint, epoch_id)
 
     return (
         micro.writeStream.foreachBatch(apply_batch)
@@ -43,8 +75,10 @@ def start_monthly_drop(
     )
 
 
-def run_monthly_drop(spark: SparkSession, drop_dir: str, store_path: str, dic: DataFrame, geo: DataFrame) -> None:
-    q = start_monthly_drop(spark, drop_dir, store_path, dic, geo)
+def run_monthly_drop(
+    spark: SparkSession, drop_dir: str, store_path: str, dic: DataFrame, geo: DataFrame, checkpoint: str | None = None
+) -> None:
+    q = start_monthly_drop(spark, drop_dir, store_path, dic, geo, checkpoint)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -33,6 +33,15 @@ def test_stream_appends_once_and_refuses_a_repeated_drop(spark):
     assert read_panel(spark, store).count() == n
 
 
+def test_replayed_epoch_is_skipped(spark):
+    from panelkit.streaming.monthly_drop import _already_applied, _mark_applied
+
+    store = scratch_path(spark, "epochs")
+    assert not _already_applied(spark, store, 3)
+    _mark_applied(spark, store, 3)
+    assert _already_applied(spark, store, 3) and not _already_applied(spark, store, 4)
+
+
 def test_backup_copies_the_store(spark):
     hist, _, _ = split_history(spark, SF_SMALL)
     store = scratch_path(spark, "store")
