@@ -17,7 +17,7 @@ from panelkit.operators.micro import clean_counts, microdata_counts
 from panelkit.operators.panel import build_panel, with_geo
 from panelkit.operators.snapshot import require_non_empty
 from panelkit.session import cut_lineage
-from panelkit.sources.store import append_panel, read_panel
+from panelkit.sources.store import append_ids, append_panel, read_panel, store_ids
 
 
 def new_month_panel(micro: DataFrame, dic: DataFrame, geo: DataFrame, month: dt.date | str | None = None) -> DataFrame:
@@ -35,10 +35,11 @@ def updated_panel(stored: DataFrame, new: DataFrame) -> DataFrame:
 def update_store(spark: SparkSession, store_path: str, new: DataFrame) -> DataFrame:
     """Append the new month to the store behind the gate; return the store."""
     require_non_empty(new, "new month")
-    stored = read_panel(spark, store_path)
-    new_ids = cut_lineage(assign_series_ids(new, stored_ids(stored)))
-    require_continuity(stored.select("date"), new_ids.select("date"))
+    stored = read_panel(spark, store_path, ["date"])
+    new_ids = cut_lineage(assign_series_ids(new, store_ids(spark, store_path)))
+    require_continuity(stored, new_ids.select("date"))
     append_panel(new_ids, store_path)
+    append_ids(spark, new_ids, store_path)
     return read_panel(spark, store_path)
 
 

@@ -4,6 +4,10 @@ Writes repartition by the partition columns (plus year, so one hot series
 never lands in a single task) and sort inside partitions, so each task
 writes few, ordered files.  Monthly updates *append* the new month; a full
 reset overwrites statically and refuses to read its own target.
+
+Next to the store sits its id dimension (``<store>_ids``): one row per
+series label with its (book_id, sheet_id).  Updates and name-based slices
+read that small table instead of scanning the whole history.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from pyspark.sql import functions as F
 from panelkit.schema import PANEL, PANEL_COLUMNS
 
 PARTITION_COLUMNS = ["book_id", "sheet_id"]
+ID_TABLE_COLUMNS = ["book_id", "sheet_id", "book_name", "sheet_name", "level", "series", "disaggregation"]
 SORT_COLUMNS = ["date", "clave_delegacion", "clave_subdelegacion"]
 
 
@@ -23,6 +28,34 @@ def read_panel(spark: SparkSession, path: str, columns: list[str] | None = None)
     return df.select(*columns) if columns else df
 
 
+def ids_path(path: str) -> str:
+    return path.rstrip("/") + "_ids"
+
+
+def _ids_of(df: DataFrame) -> DataFrame:
+    return df.select(*ID_TABLE_COLUMNS).distinct()
+
+
+def store_ids(spark: SparkSession, path: str) -> DataFrame:
+    """The store's id dimension (falls back to the store itself if absent)."""
+    schema = PANEL.__class__([PANEL[c] for c in ID_TABLE_COLUMNS])
+    try:
+        return spark.read.schema(schema).parquet(ids_path(path))
+    except Exception:  # noqa: BLE001 - no id table written yet
+        return _ids_of(read_panel(spark, path))
+
+
+def append_ids(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Add the labels of ``df`` that the id table does not hold yet."""
+    new = _ids_of(df)
+    old = store_ids(spark, path)
+    cond = None
+    for c in ID_TABLE_COLUMNS:
+        e = new[c].eqNullSafe(old[c])
+        cond = e if cond is None else cond & e
+    new.join(old, cond, "left_anti").write.mode("append").parquet(ids_path(path))
+
+
 def _layout(df: DataFrame) -> DataFrame:
     return (
         df.select(*PANEL_COLUMNS)
@@ -67,11 +100,13 @@ def reset_panel(df: DataFrame, path: str) -> None:
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
     )
+    _ids_of(read_panel(df.sparkSession, path)).write.mode("overwrite").parquet(ids_path(path))
 
 
 def backup_store(spark: SparkSession, path: str, dest: str) -> None:
     """Copy the store to a dated backup folder (read → write, same layout)."""
     _layout(read_panel(spark, path)).write.mode("errorifexists").partitionBy(*PARTITION_COLUMNS).parquet(dest)
+    store_ids(spark, path).write.mode("errorifexists").parquet(ids_path(dest))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
