@@ -30,6 +30,8 @@ HEADLINE = [
     "series_summary",
     "revision_diff",
     "panel_update",
+    "panel_write_read",
+    "historical_panel",
 ]
 
 

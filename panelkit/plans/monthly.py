@@ -34,9 +34,11 @@ def updated_panel(stored: DataFrame, new: DataFrame) -> DataFrame:
 
 def update_store(spark: SparkSession, store_path: str, new: DataFrame) -> DataFrame:
     """Append the new month to the store behind the gate; return the store."""
-    require_non_empty(new, "new month")
     stored = read_panel(spark, store_path, ["date"])
+    # Checkpoint first: the emptiness check, the gate and the write then read
+    # the materialised month instead of recomputing the register aggregate.
     new_ids = cut_lineage(assign_series_ids(new, store_ids(spark, store_path)))
+    require_non_empty(new_ids, "new month")
     require_continuity(stored, new_ids.select("date"))
     append_panel(new_ids, store_path)
     append_ids(spark, new_ids, store_path)

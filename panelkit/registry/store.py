@@ -27,10 +27,10 @@ def split_history(spark: SparkSession, sf: str):
     without its last month).  The cut-off months are scalars."""
     # Checkpointed once: the three splits and the scalars reuse it.
     p = cut_lineage(panel_geo(spark, sf))
-    last = _max_date(p)
+    # The two latest months in one small job (top-2 of the distinct months).
+    last, last_hist = [r[0] for r in p.select("date").distinct().orderBy(F.desc("date")).limit(2).collect()]
     hist = p.where(F.col("date") < F.lit(last))
     new = p.where(F.col("date") == F.lit(last))
-    last_hist = _max_date(hist)
     gap = hist.where(F.col("date") < F.lit(last_hist))
     return hist, new, gap
 
