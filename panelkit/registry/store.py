@@ -90,7 +90,7 @@ def pruned_slice(spark: SparkSession, path: str, series: str, disaggregation: st
         .select("book_id", "sheet_id")
         .distinct()
     )
-    return store.join(F.broadcast(ids), ["book_id", "sheet_id"], "left_semi").select(*EXPLORER_COLUMNS)
+    return store.join(ids, ["book_id", "sheet_id"], "left_semi").select(*EXPLORER_COLUMNS)
 
 
 def q_partition_prune_scan(spark: SparkSession, sf: str) -> DataFrame:
