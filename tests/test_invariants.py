@@ -94,3 +94,20 @@ def test_lineitem_scan_is_pruned(spark):
     )
     line = [ln for ln in text.splitlines() if "ReadSchema: struct<l_orderkey" in ln][0]
     assert "l_tax" not in line and "l_shipdate" not in line and "l_suppkey" not in line
+
+
+def test_fact_rows_shuffled_twice_at_cluster_scale(spark):
+    """With no data table small enough to broadcast (the 100 TB case), the
+    lineitem-sized rows are shuffled only on orderkey and partkey."""
+    old_t = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_a = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = _plan(panel(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_t)
+        spark.conf.set("spark.sql.adaptive.enabled", old_a)
+    lines = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(l_" in ln]
+    assert len(lines) == 2, lines
+    assert any("l_orderkey" in ln for ln in lines) and any("l_partkey" in ln for ln in lines)
