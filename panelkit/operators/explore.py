@@ -94,7 +94,7 @@ def series_slice(
         p = p.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         p = p.where(F.col("date") <= F.lit(end).cast("date"))
-    out = p.join((keys), cond, "left_semi").select(*SLICE_COLUMNS)
+    out = p.join(keys, cond, "left_semi").select(*SLICE_COLUMNS)
     return out.withColumn("grupo", member_label())
 
 

@@ -54,4 +54,4 @@ def assign_series_ids(new: DataFrame, ids: DataFrame) -> DataFrame:
         & F.col("level").eqNullSafe(F.col("i_level"))
     )
     base = new.drop("book_id", "sheet_id")
-    return base.join((i), cond, "left").drop("i_book", "i_sheet", "i_level")
+    return base.join(i, cond, "left").drop("i_book", "i_sheet", "i_level")

@@ -101,14 +101,15 @@ def family_rows(clean: DataFrame, families: tuple[str, ...] = FAMILIES) -> DataF
 
 
 def _dictionary_side(dic: DataFrame) -> DataFrame:
-    return (
-        dic.where(F.col("sheet_name").isNotNull()).select(
-            F.col("series").alias("d_series"),
-            F.col("disaggregation").alias("d_dis"),
-            F.col("sheet_name_code").alias("d_code"),
-            "sheet_name",
-            "book_name",
-        )
+    """Dictionary rows with a sheet name (a missing name drops the row, as in
+    the reference).  The dictionary is a small dimension; the planner
+    broadcasts it (an inline dictionary already carries the hint)."""
+    return dic.where(F.col("sheet_name").isNotNull()).select(
+        F.col("series").alias("d_series"),
+        F.col("disaggregation").alias("d_dis"),
+        F.col("sheet_name_code").alias("d_code"),
+        "sheet_name",
+        "book_name",
     )
 
 
@@ -208,9 +209,9 @@ def with_geo(panel: DataFrame, geo: DataFrame) -> DataFrame:
     ).distinct()
     dl = geo.select(F.col("clave_delegacion").alias("g_del2"), "delegacion").distinct()
     out = panel.join(
-        (sub),
+        sub,
         F.col("clave_delegacion").eqNullSafe(F.col("g_del")) & F.col("clave_subdelegacion").eqNullSafe(F.col("g_sub")),
         "left",
     ).drop("g_del", "g_sub")
-    out = out.join((dl), F.col("clave_delegacion").eqNullSafe(F.col("g_del2")), "left").drop("g_del2")
+    out = out.join(dl, F.col("clave_delegacion").eqNullSafe(F.col("g_del2")), "left").drop("g_del2")
     return out

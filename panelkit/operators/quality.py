@@ -93,7 +93,7 @@ def referential_check(clean: DataFrame, dic: DataFrame, panel: DataFrame | None
     g = pairs.unionByName(dels).distinct()
     gcond = F.col("clave_delegacion").eqNullSafe(F.col("g_del")) & F.col("clave_subdelegacion").eqNullSafe(F.col("g_sub"))
     geo_lost = (
-        panel.join((g), gcond, "left_anti")
+        panel.join(g, gcond, "left_anti")
         .groupBy("clave_delegacion", "clave_subdelegacion")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("lost_value"))
         .select(
