@@ -18,7 +18,10 @@ from panelkit.registry.all import all_queries  # noqa: E402
 from panelkit.session import get_session  # noqa: E402
 
 HEADLINE = [
+    "reference_month",
+    "dictionary_code_normalize",
     "microdata_counts",
+    "clean_counts",
     "panel_full",
     "panel_with_geo",
     "control_totals",
