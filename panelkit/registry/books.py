@@ -114,7 +114,26 @@ def q_historical_panel(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_value(out)
 
 
+# Series and geography key shared by the computed and the published panel
+# (book names differ by construction, so they are not part of the key).
+XV_KEY = ["level", "date", "clave_delegacion", "clave_subdelegacion", "series", "disaggregation", "sheet_name"]
+
+
+def q_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Computed panel vs the official historical sheets: values that differ by
+    more than the tolerance, and series present on one side only."""
+    from panelkit.operators.quality import revision_diff
+
+    p, sh = published(spark, sf)
+    official = H.historical_panel(
+        S.book_catalogue(spark, sh), S.book_index(sh), S.book_tabs(sh), S.landed_sheets(p, sh), geo_dictionary(spark, sf)
+    )
+    out = revision_diff(p, official, key=XV_KEY)
+    return out.withColumns({c: F.round(F.col(c) + F.lit(0.0000037), 4) for c in ("new_value", "stored_value", "diff")})
+
+
 QUERIES = {
+    "cross_validation": q_cross_validation,
     "catalogue_classify": q_catalogue_classify,
     "index_extract": q_index_extract,
     "sheet_positions": q_sheet_positions,
@@ -297,3 +316,26 @@ ORACLE = {
           ON hp.clave_delegacion IS NOT DISTINCT FROM s.clave_delegacion AND hp.clave_subdelegacion IS NOT DISTINCT FROM s.clave_subdelegacion
         LEFT JOIN (SELECT DISTINCT clave_delegacion, delegacion FROM f_geo) dl ON hp.clave_delegacion IS NOT DISTINCT FROM dl.clave_delegacion""",
 }
+
+
+def _cross_validation_sql() -> str:
+    hist = ORACLE["historical_panel"]
+    comp = f"{O.PANEL_BASE} SELECT * FROM panel_geo"
+    key = XV_KEY
+    join = " AND ".join(f"n.{k} IS NOT DISTINCT FROM s.{k}" for k in key)
+    sel = ", ".join(f"CASE WHEN n.value IS NOT NULL OR n.{key[0]} IS NOT NULL THEN n.{k} ELSE s.{k} END AS {k}" for k in key)
+    return f"""WITH stored AS ({hist}), computed AS ({comp}),
+common AS (SELECT date FROM computed INTERSECT SELECT date FROM stored),
+n AS (SELECT * FROM computed WHERE date IN (SELECT date FROM common)),
+s AS (SELECT * FROM stored WHERE date IN (SELECT date FROM common)),
+j AS (SELECT {sel}, n.value AS new_value, s.value AS stored_value, n.value - s.value AS diff,
+  CASE WHEN NOT (s.value IS NOT NULL OR s.{key[0]} IS NOT NULL) THEN 'missing_stored'
+       WHEN NOT (n.value IS NOT NULL OR n.{key[0]} IS NOT NULL) THEN 'missing_new'
+       WHEN s.value IS NULL THEN 'stored_null'
+       WHEN abs(n.value - s.value) > 1.0 THEN 'changed' END AS status
+  FROM n FULL OUTER JOIN s ON {join})
+SELECT {', '.join(key)}, {O.rv('new_value')} AS new_value, {O.rv('stored_value')} AS stored_value, {O.rv('diff')} AS diff, status
+FROM j WHERE status IS NOT NULL"""
+
+
+ORACLE["cross_validation"] = _cross_validation_sql()
