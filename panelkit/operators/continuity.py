@@ -31,11 +31,13 @@ def continuity_report(stored: DataFrame, new: DataFrame, candidate: str = "new")
     )
 
 
-def require_continuity(stored: DataFrame, new: DataFrame) -> None:
-    """Raise unless the new data is exactly the next month (scalar check)."""
+def require_continuity(stored: DataFrame, new: DataFrame):
+    """Raise unless the new data is exactly the next month (scalar check);
+    return that month."""
     row = continuity_report(stored, new).first()
     if row is None or not row["accepted"]:
         raise ValueError(f"month continuity gate refused the update: {row.asDict() if row else None}")
+    return row["new_min"]
 
 
 def month_gaps(panel: DataFrame, key: list[str] | None = None) -> DataFrame:

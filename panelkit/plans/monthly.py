@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelkit.operators.continuity import require_continuity
 from panelkit.operators.ids import assign_series_ids, stored_ids
@@ -17,7 +18,7 @@ from panelkit.operators.micro import clean_counts, microdata_counts
 from panelkit.operators.panel import build_panel, with_geo
 from panelkit.operators.snapshot import require_non_empty
 from panelkit.session import cut_lineage
-from panelkit.sources.store import append_ids, append_panel, read_panel, store_ids
+from panelkit.sources.store import append_ids, append_months, append_panel, read_panel, store_ids, store_months
 
 
 def new_month_panel(micro: DataFrame, dic: DataFrame, geo: DataFrame, month: dt.date | str | None = None) -> DataFrame:
@@ -34,14 +35,20 @@ def updated_panel(stored: DataFrame, new: DataFrame) -> DataFrame:
 
 def update_store(spark: SparkSession, store_path: str, new: DataFrame) -> DataFrame:
     """Append the new month to the store behind the gate; return the store."""
-    stored = read_panel(spark, store_path, ["date"])
+    stored = store_months(spark, store_path)
     # Checkpoint first: the emptiness check, the gate and the write then read
     # the materialised month instead of recomputing the register aggregate.
     new_ids = cut_lineage(assign_series_ids(new, store_ids(spark, store_path)))
     require_non_empty(new_ids, "new month")
-    require_continuity(stored, new_ids.select("date"))
+    month = require_continuity(stored, new_ids.select("date"))
+    # The month table is written after the data; if a run died in between,
+    # the table lags.  A pushed-down probe of the store (row-group statistics
+    # skip every other month) makes a second append of the month impossible.
+    if not read_panel(spark, store_path, ["date"]).where(F.col("date") == F.lit(month)).isEmpty():
+        raise ValueError(f"month {month} is already in the store")
     append_panel(new_ids, store_path)
     append_ids(spark, new_ids, store_path)
+    append_months(new_ids, store_path)
     return read_panel(spark, store_path)
 
 

@@ -5,9 +5,11 @@ never lands in a single task) and sort inside partitions, so each task
 writes few, ordered files.  Monthly updates *append* the new month; a full
 reset overwrites statically and refuses to read its own target.
 
-Next to the store sits its id dimension (``<store>_ids``): one row per
-series label with its (book_id, sheet_id).  Updates and name-based slices
-read that small table instead of scanning the whole history.
+Next to the store sit two small tables: its id dimension (``<store>_ids``,
+one row per series label with its (book_id, sheet_id)) and its month list
+(``<store>_months``).  Updates, the continuity gate and name-based slices
+read those instead of scanning a history that grows by one file per series
+and month (a reset rewrites and so compacts the store).
 """
 
 from __future__ import annotations
@@ -45,6 +47,22 @@ def store_ids(spark: SparkSession, path: str) -> DataFrame:
         return _ids_of(read_panel(spark, path))
 
 
+def months_path(path: str) -> str:
+    return path.rstrip("/") + "_months"
+
+
+def store_months(spark: SparkSession, path: str) -> DataFrame:
+    """Stored months (falls back to the store's date column if absent)."""
+    try:
+        return spark.read.schema(PANEL.__class__([PANEL["date"]])).parquet(months_path(path))
+    except Exception:  # noqa: BLE001 - no month table written yet
+        return read_panel(spark, path, ["date"]).distinct()
+
+
+def append_months(df: DataFrame, path: str) -> None:
+    df.select("date").distinct().write.mode("append").parquet(months_path(path))
+
+
 def append_ids(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Add the labels of ``df`` that the id table does not hold yet."""
     new = _ids_of(df)
@@ -100,13 +118,16 @@ def reset_panel(df: DataFrame, path: str) -> None:
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
     )
-    _ids_of(read_panel(df.sparkSession, path)).write.mode("overwrite").parquet(ids_path(path))
+    stored = read_panel(df.sparkSession, path)
+    _ids_of(stored).write.mode("overwrite").parquet(ids_path(path))
+    stored.select("date").distinct().write.mode("overwrite").parquet(months_path(path))
 
 
 def backup_store(spark: SparkSession, path: str, dest: str) -> None:
     """Copy the store to a dated backup folder (read → write, same layout)."""
     _layout(read_panel(spark, path)).write.mode("errorifexists").partitionBy(*PARTITION_COLUMNS).parquet(dest)
     store_ids(spark, path).write.mode("errorifexists").parquet(ids_path(dest))
+    store_months(spark, path).write.mode("errorifexists").parquet(months_path(dest))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

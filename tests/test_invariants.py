@@ -111,3 +111,19 @@ def test_fact_rows_shuffled_twice_at_cluster_scale(spark):
     lines = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(l_" in ln]
     assert len(lines) == 2, lines
     assert any("l_orderkey" in ln for ln in lines) and any("l_partkey" in ln for ln in lines)
+
+
+def test_lagging_month_table_cannot_cause_a_double_append(spark):
+    from panelkit.sources.store import months_path
+
+    hist, new, _ = split_history(spark, SF_SMALL)
+    path = scratch_path(spark, "test-store")
+    reset_panel(assign_series_ids(hist, label_ids(hist)), path)
+    before_months = spark.read.parquet(months_path(path)).collect()
+    update_store(spark, path, new)
+    # Simulate a run that died after the data append: month table rolled back.
+    spark.createDataFrame(before_months, "date date").write.mode("overwrite").parquet(months_path(path))
+    n = read_panel(spark, path).count()
+    with pytest.raises(ValueError, match="already in the store"):
+        update_store(spark, path, new)
+    assert read_panel(spark, path).count() == n
