@@ -98,6 +98,25 @@ def classify_catalogue(catalogue: DataFrame) -> DataFrame:
     return c.withColumn("book_id", F.row_number().over(Window.orderBy("path")).cast("int"))
 
 
+CONTENT_MARKERS = "Hoja|Contenido"
+
+
+def select_content_columns(raw: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFrame:
+    """Keep the index-sheet columns in which some cell mentions ``Hoja`` or
+    ``Contenido`` and name them ``hoja``, ``contenido`` by position.
+
+    The choice of columns is data-dependent: one aggregate computes a flag
+    per column (a single row reaches the driver), then the projection is
+    planned with those columns.
+    """
+    cols = [c for c in raw.columns if c not in keys]
+    flags = raw.agg(*[F.max(F.col(f"`{c}`").rlike(CONTENT_MARKERS).cast("int")).alias(c) for c in cols]).first()
+    chosen = [c for c in cols if flags[c] == 1]
+    if len(chosen) < 2:
+        raise ValueError(f"index sheet without Hoja / Contenido columns: {cols}")
+    return raw.select(*keys, F.col(f"`{chosen[0]}`").alias("hoja"), F.col(f"`{chosen[1]}`").alias("contenido"))
+
+
 def extract_index(index: DataFrame) -> DataFrame:
     """Index sheet rows → (Hoja number, squished content); rows with a
     missing cell, without a number, or describing a summary are dropped."""

@@ -52,7 +52,7 @@ def q_catalogue_classify(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_index_extract(spark: SparkSession, sf: str) -> DataFrame:
     _, sh = published(spark, sf)
-    return B.extract_index(S.book_index(sh))
+    return B.extract_index(B.select_content_columns(S.raw_book_index(sh)))
 
 
 def q_sheet_positions(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,9 +67,13 @@ def q_index_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     return B.index_conflicts(B.join_index(B.extract_index(idx), B.sheet_positions(tabs)))
 
 
+def _index(sh: DataFrame) -> DataFrame:
+    return B.select_content_columns(S.raw_book_index(sh))
+
+
 def _sheets(spark: SparkSession, sf: str):
     p, sh = published(spark, sf)
-    return p, sh, H.indexed_sheets(S.book_catalogue(spark, sh), S.book_index(sh), S.book_tabs(sh))
+    return p, sh, H.indexed_sheets(S.book_catalogue(spark, sh), _index(sh), S.book_tabs(sh))
 
 
 def q_assign_book_sheet_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,7 +113,7 @@ def q_composite_code_split(spark: SparkSession, sf: str) -> DataFrame:
 def q_historical_panel(spark: SparkSession, sf: str) -> DataFrame:
     p, sh = published(spark, sf)
     out = H.historical_panel(
-        S.book_catalogue(spark, sh), S.book_index(sh), S.book_tabs(sh), S.landed_sheets(p, sh), geo_dictionary(spark, sf)
+        S.book_catalogue(spark, sh), _index(sh), S.book_tabs(sh), S.landed_sheets(p, sh), geo_dictionary(spark, sf)
     )
     return rounded_value(out)
 
@@ -126,7 +130,7 @@ def q_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
 
     p, sh = published(spark, sf)
     official = H.historical_panel(
-        S.book_catalogue(spark, sh), S.book_index(sh), S.book_tabs(sh), S.landed_sheets(p, sh), geo_dictionary(spark, sf)
+        S.book_catalogue(spark, sh), _index(sh), S.book_tabs(sh), S.landed_sheets(p, sh), geo_dictionary(spark, sf)
     )
     out = revision_diff(p, official, key=XV_KEY)
     return out.withColumns({c: F.round(F.col(c) + F.lit(0.0000037), 4) for c in ("new_value", "stored_value", "diff")})

@@ -107,6 +107,27 @@ def book_index(sheets: DataFrame) -> DataFrame:
     return entries.unionByName(summary).unionByName(empty)
 
 
+def raw_book_index(sheets: DataFrame) -> DataFrame:
+    """The contents sheet as landed: generic columns, a header row, a row
+    counter and a notes column next to the two useful columns."""
+    idx = book_index(sheets)
+    body = idx.select(
+        "path",
+        F.lit(None).cast("string").alias("col_1"),
+        F.col("hoja").alias("col_2"),
+        F.col("contenido").alias("col_3"),
+        F.when(F.col("contenido").contains("Resumen"), F.lit("ver notas")).alias("col_4"),
+    )
+    header = sheets.select("path").distinct().select(
+        "path",
+        F.lit("No.").alias("col_1"),
+        F.lit("Hoja").alias("col_2"),
+        F.lit("Contenido").alias("col_3"),
+        F.lit("Notas").alias("col_4"),
+    )
+    return header.unionByName(body)
+
+
 def book_tabs(sheets: DataFrame) -> DataFrame:
     """Sheet tabs of each workbook, in order: contents first, then one
     numbered tab per sheet, then two non-data tabs."""

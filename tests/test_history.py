@@ -65,3 +65,14 @@ def test_index_conflict_gate(spark):
     tabs = spark.createDataFrame([("b1", 2, "1"), ("b2", 1, "1")], "path string, position int, sheet_name string")
     c = {r.path: r.conflicts for r in B.index_conflicts(B.join_index(B.extract_index(idx), B.sheet_positions(tabs))).collect()}
     assert c == {"b1": 0, "b2": 1}
+
+
+def test_content_columns_are_chosen_by_their_cells(spark):
+    raw = spark.createDataFrame(
+        [("b", "1", "Hoja", "Contenido", "x"), ("b", "2", "Hoja 1", "Modalidad 10", None)],
+        "path string, a string, b string, c string, d string",
+    )
+    out = B.select_content_columns(raw)
+    assert out.columns == ["path", "hoja", "contenido"]
+    got = [(r.hoja, r.contenido) for r in B.extract_index(out).collect()]
+    assert got == [(1, "Modalidad 10")]
