@@ -14,11 +14,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.schema import CODE_DICT, GEO_DICT, NATIONAL_CODE
+from panelkit.schema import CODE_DICT, GEO_DICT, MICRO, NATIONAL_CODE
 from panelkit.session import literal_table
 from panelkit.sources.tables import read_table
 
 
+REGISTER_PARTITION = "date"
+
+
+def write_register(micro: DataFrame, root: str) -> None:
+    """Land register rows partitioned by month (one folder per period)."""
+    micro.repartition(REGISTER_PARTITION).write.mode("append").partitionBy(REGISTER_PARTITION).parquet(root)
+
+
+def read_register(spark: SparkSession, root: str, month=None) -> DataFrame:
+    """Scan the month-partitioned register; a month prunes to one folder.
+
+    Only the columns the cube needs are declared, so the scan reads nothing
+    else; the insured flags are pushed into the Parquet reader by Catalyst.
+    """
+    df = spark.read.schema(MICRO).parquet(root)
+    if month is not None:
+        df = df.where(F.col(REGISTER_PARTITION) == F.lit(month).cast("date"))
+    return df
+
+
 def micro_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per worker record (lineitem grain), 13 register columns."""
     li = read_table(

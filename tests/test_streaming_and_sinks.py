@@ -58,3 +58,18 @@ def test_list_workbooks(spark, tmp_path):
         p.write_bytes(b"x")
     paths = sorted(r.path.rsplit("/", 1)[-1] for r in list_workbooks(spark, str(tmp_path)).collect())
     assert paths == ["a.xlsx", "b.xlsx"]
+
+
+def test_month_partitioned_register_prunes_to_one_month(spark):
+    from panelkit.operators.micro import microdata_counts
+    from panelkit.sources.register import read_register, write_register
+
+    micro = micro_register(spark, SF_SMALL)
+    root = scratch_path(spark, "register")
+    write_register(micro, root)
+    last = micro.agg(F.max("date")).first()[0]
+    one = read_register(spark, root, last)
+    text = microdata_counts(one)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in text and "PushedFilters" in text
+    assert one.select("date").distinct().count() == 1
+    assert microdata_counts(one).count() == microdata_counts(micro.where(F.col("date") == F.lit(last))).count()
