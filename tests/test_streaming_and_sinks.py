@@ -73,3 +73,20 @@ def test_month_partitioned_register_prunes_to_one_month(spark):
     assert "PartitionFilters: [isnotnull(date" in text and "PushedFilters" in text
     assert one.select("date").distinct().count() == 1
     assert microdata_counts(one).count() == microdata_counts(micro.where(F.col("date") == F.lit(last))).count()
+
+
+def test_monthly_cycle_from_partitioned_register(spark):
+    from panelkit.plans.monthly import run_month
+    from panelkit.sources.register import read_register, write_register
+
+    hist, new, _ = split_history(spark, SF_SMALL)
+    store = scratch_path(spark, "cycle-store")
+    reset_panel(assign_series_ids(hist, label_ids(hist)), store)
+    root = scratch_path(spark, "register")
+    write_register(micro_register(spark, SF_SMALL), root)
+    last = new.agg(F.max("date")).first()[0]
+    out = run_month(spark, read_register(spark, root, last), code_dictionary(spark), geo_dictionary(spark, SF_SMALL), store, last)
+    assert out.count() == hist.count() + new.count()
+    got = out.where(F.col("date") == F.lit(last)).groupBy("level").agg(F.sum("value").alias("s")).collect()
+    want = new.groupBy("level").agg(F.sum("value").alias("s")).collect()
+    assert sorted((r.level, round(r.s, 6)) for r in got) == sorted((r.level, round(r.s, 6)) for r in want)
