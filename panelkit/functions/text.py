@@ -19,10 +19,28 @@ def squish(x: Column | str) -> Column:
     return F.trim(F.regexp_replace(_c(x), r"\s+", " "))
 
 
+# Sentence breaks as in Unicode sentence segmentation, for the cases labels
+# contain: after '?' or '!' plus spaces always; after '.' plus spaces only
+# when the next letter is upper-case (a lower-case letter continues the
+# sentence, and '10.1' has no space).  A marker character splits sentences.
+_MARK = "\u0001"
+_SENTENCE_FIRST_LETTER = r"(?s)^([^\p{L}]*)(\p{L})(.*)$"
+
+
+def _title_first_letter(s: Column) -> Column:
+    pre = F.regexp_extract(s, _SENTENCE_FIRST_LETTER, 1)
+    first = F.regexp_extract(s, _SENTENCE_FIRST_LETTER, 2)
+    rest = F.regexp_extract(s, _SENTENCE_FIRST_LETTER, 3)
+    return F.when(s.rlike(r"\p{L}"), F.concat(pre, F.upper(first), F.lower(rest))).otherwise(F.lower(s))
+
+
 def sentence_case(x: Column | str) -> Column:
-    """First character upper-case, the rest lower-case (not title case)."""
+    """Sentence case: in every sentence the first letter is upper-case and
+    all other letters lower-case (not title case of every word)."""
     c = _c(x)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    marked = F.regexp_replace(c, r"([?!] +)", "$1" + _MARK)
+    marked = F.regexp_replace(marked, r"(\. +)([^\p{L}]*\p{Lu})", "$1" + _MARK + "$2")
+    return F.array_join(F.transform(F.split(marked, _MARK), _title_first_letter), "")
 
 
 def first_number(x: Column | str) -> Column:

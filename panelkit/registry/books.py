@@ -172,7 +172,16 @@ def _first_number(x: str) -> str:
 
 
 def _sentence(x: str) -> str:
-    return f"upper(substr({x}, 1, 1)) || lower(substr({x}, 2))"
+    first = "'(?s)^([^\\p{L}]*)(\\p{L})(.*)$'"
+    part = (
+        f"CASE WHEN regexp_matches(s, '\\p{{L}}') THEN regexp_extract(s, {first}, 1) || upper(regexp_extract(s, {first}, 2))"
+        f" || lower(regexp_extract(s, {first}, 3)) ELSE lower(s) END"
+    )
+    marked = (
+        f"regexp_replace(regexp_replace({x}, '([?!] +)', '\\1' || chr(1), 'g'), "
+        f"'(\\. +)([^\\p{{L}}]*\\p{{Lu}})', '\\1' || chr(1) || '\\2', 'g')"
+    )
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE array_to_string(list_transform(string_split({marked}, chr(1)), lambda s: {part}), '') END"
 
 
 def _rules(x: str, rules) -> str:

@@ -7,6 +7,7 @@ job, so the test cost stays a few jobs however many examples are drawn.
 import datetime as dt
 from collections import Counter
 
+import regex
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -45,7 +46,30 @@ def test_excel_serial_model(spark, serials):
         assert r.d == dt.date(1899, 12, 30) + dt.timedelta(days=int(r.s))
 
 
-TEXT = st.text(alphabet=st.sampled_from(list("abcXYZ ñÁé\t\n 019.")), max_size=30)
+TEXT = st.text(alphabet=st.sampled_from(list("abcXYZ ñÁé\t\n 019.?!")), max_size=30)
+
+
+def py_sentence_case(t: str) -> str:
+    marked = regex.sub(r"([?!] +)", "\\1\x01", t)
+    marked = regex.sub(r"(\. +)([^\p{L}]*\p{Lu})", "\\1\x01\\2", marked)
+    out = []
+    for part in marked.split("\x01"):
+        m = regex.match(r"(?s)^([^\p{L}]*)(\p{L})(.*)$", part)
+        out.append(m.group(1) + m.group(2).upper() + m.group(3).lower() if m else part.lower())
+    return "".join(out)
+
+
+def test_sentence_case_examples(spark):
+    cases = {
+        "PATRONES POR RANGO": "Patrones por rango",
+        "10 modalidad": "10 Modalidad",
+        "MODALIDAD 10. TRABAJADORES PERMANENTES": "Modalidad 10. Trabajadores permanentes",
+        "modalidad 10. trabajadores": "Modalidad 10. trabajadores",
+        "sector 10.1 total": "Sector 10.1 total",
+        "¿qué? sí": "¿Qué? Sí",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", sentence_case("t").alias("sc"))
+    assert {r.t: r.sc for r in df.collect()} == cases
 
 
 @SETTINGS
@@ -56,7 +80,7 @@ def test_squish_and_sentence_case_model(spark, texts):
     )
     for r in df.collect():
         assert r.sq == " ".join(r.t.split())
-        assert r.sc == (r.t[:1].upper() + r.t[1:].lower())
+        assert r.sc == py_sentence_case(r.t)
 
 
 @SETTINGS
