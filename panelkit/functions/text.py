@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented letters and their ASCII transliteration.
-ACCENTED = "áéíóúüñÁÉÍÓÚÜÑàèìòùÀÈÌÒÙ"
-PLAIN = "aeiouunAEIOUUNaeiouAEIOU"
+# Accented Latin letters and their ASCII transliteration.
+ACCENTED = "áéíóúüñÁÉÍÓÚÜÑàèìòùÀÈÌÒÙâêîôûÂÊÎÔÛäëïöÄËÏÖãõÃÕçÇ"
+PLAIN = "aeiouunAEIOUUNaeiouAEIOUaeiouAEIOUaeioAEIOaoAOcC"
+# Whitespace: ASCII blanks and every Unicode space separator (no-break
+# space included), as the reference's regular-expression engine treats them.
+WHITESPACE = r"[\s\p{Z}]+"
 
 
 def _c(x: Column | str) -> Column:
@@ -16,7 +19,7 @@ def _c(x: Column | str) -> Column:
 
 def squish(x: Column | str) -> Column:
     """Trim and collapse internal whitespace runs to one space."""
-    return F.trim(F.regexp_replace(_c(x), r"\s+", " "))
+    return F.trim(F.regexp_replace(_c(x), WHITESPACE, " "))
 
 
 # Sentence breaks as in Unicode sentence segmentation, for the cases labels

@@ -164,7 +164,7 @@ def _values(rows, names) -> str:
 
 
 def _squish(x: str) -> str:
-    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace({x}, '[\\s\\p{{Z}}]+', ' ', 'g'))"
 
 
 def _first_number(x: str) -> str:

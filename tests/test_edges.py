@@ -130,3 +130,11 @@ def test_null_safe_semi_join_keeps_delegation_rows(spark):
     out = series_slice(panel, "Asegurados", "Delegación", "Modalidad", "M", keys).collect()
     assert len(out) == 1 and out[0].grupo == "02 | B"
     assert F is not None
+
+
+def test_squish_handles_unicode_spaces_and_accents(spark):
+    from panelkit.functions import squish, strip_accents
+
+    df = spark.createDataFrame([(" Patrones  por\t rango ", "Población ç ã")], "a string, b string")
+    r = df.select(squish("a").alias("a"), strip_accents("b").alias("b")).first()
+    assert r.a == "Patrones por rango" and r.b == "Poblacion c a"
