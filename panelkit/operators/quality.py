@@ -110,6 +110,22 @@ def referential_check(clean: DataFrame, dic: DataFrame, panel: DataFrame | None
     return lost.unionByName(geo_lost)
 
 
+def dictionary_duplicates(dic: DataFrame) -> DataFrame:
+    """Dictionary keys (series, disaggregation, code; NULL code included)
+    that map to more than one row: each would multiply panel rows."""
+    return (
+        dic.groupBy("series", "disaggregation", "sheet_name_code")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .where(F.col("n_rows") > 1)
+    )
+
+
+def require_unique_dictionary(dic: DataFrame) -> None:
+    dup = dictionary_duplicates(dic)
+    if not dup.isEmpty():
+        raise ValueError(f"code dictionary has duplicate keys: {dup.limit(20).collect()}")
+
+
 def months_in_common(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select("date").intersect(b.select("date"))
 

@@ -16,13 +16,16 @@ from panelkit.operators.continuity import require_continuity
 from panelkit.operators.ids import assign_series_ids, stored_ids
 from panelkit.operators.micro import clean_counts, microdata_counts
 from panelkit.operators.panel import build_panel, with_geo
+from panelkit.operators.quality import require_unique_dictionary
 from panelkit.operators.snapshot import require_non_empty
 from panelkit.session import cut_lineage
 from panelkit.sources.store import append_ids, append_months, append_panel, read_panel, store_ids, store_months
 
 
 def new_month_panel(micro: DataFrame, dic: DataFrame, geo: DataFrame, month: dt.date | str | None = None) -> DataFrame:
-    """Panel of the register's month(s), with geography names."""
+    """Panel of the register's month(s), with geography names.  The code
+    dictionary must have unique keys (duplicates would multiply rows)."""
+    require_unique_dictionary(dic)
     return with_geo(build_panel(clean_counts(microdata_counts(micro), month), dic), geo)
 
 

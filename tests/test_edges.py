@@ -138,3 +138,15 @@ def test_squish_handles_unicode_spaces_and_accents(spark):
     df = spark.createDataFrame([(" Patrones  por\t rango ", "Población ç ã")], "a string, b string")
     r = df.select(squish("a").alias("a"), strip_accents("b").alias("b")).first()
     assert r.a == "Patrones por rango" and r.b == "Poblacion c a"
+
+
+def test_duplicate_dictionary_keys_are_refused(spark):
+    from panelkit.operators.quality import dictionary_duplicates, require_unique_dictionary
+
+    dic = code_dictionary(spark)
+    assert dictionary_duplicates(dic).count() == 0
+    require_unique_dictionary(dic)
+    dup = dic.unionByName(dic.where("sheet_name_code IS NULL"))
+    assert [r.sheet_name_code for r in dictionary_duplicates(dup).collect()] == [None]
+    with pytest.raises(ValueError):
+        require_unique_dictionary(dup)
