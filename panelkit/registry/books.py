@@ -11,7 +11,8 @@ from panelkit.operators import books as B
 from panelkit.plans import history as H
 from panelkit.registry import oracle_base as O
 from panelkit.registry.common import panel_geo, rounded_value
-from panelkit.session import cut_lineage, literal_table
+from panelkit.session import cut_lineage, literal_table, scratch_path
+from panelkit.sources.store import write_table
 from panelkit.sources import books as S
 from panelkit.sources.register import geo_dictionary
 
@@ -46,8 +47,12 @@ def published(spark: SparkSession, sf: str):
 
 
 def q_catalogue_classify(spark: SparkSession, sf: str) -> DataFrame:
+    """Classified catalogue, exported as CSV and read back."""
     _, sh = published(spark, sf)
-    return B.classify_catalogue(S.book_catalogue(spark, sh))
+    cat = B.classify_catalogue(S.book_catalogue(spark, sh))
+    path = scratch_path(spark, "catalogue")
+    write_table(cat, path, "csv")
+    return spark.read.schema(cat.schema).option("header", True).option("nullValue", "").csv(path)
 
 
 def q_index_extract(spark: SparkSession, sf: str) -> DataFrame:
