@@ -87,7 +87,11 @@ def summary(panel: DataFrame, key: list[str] | None = None) -> DataFrame:
 def seasonal_profile(panel: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Mean ratio of each calendar month to its year's mean, per series."""
     key = key or SERIES_KEY
-    year_mean = F.avg("value").over(Window.partitionBy(*key, F.year("date")))
+    # Same-year frame inside the series partition: the aggregate below groups
+    # by the series key plus month, so it reuses this partitioning (one
+    # shuffle in total instead of one per key).
+    same_year = Window.partitionBy(*key).orderBy(F.year("date")).rangeBetween(0, 0)
+    year_mean = F.avg("value").over(same_year)
     r = panel.select(*key, F.month("date").alias("month"), F.try_divide(F.col("value"), year_mean).alias("ratio"))
     return r.groupBy(*key, "month").agg(
         F.avg("ratio").alias("seasonal_index"), F.count("ratio").cast("bigint").alias("n_years")
@@ -104,13 +108,17 @@ def series_correlation(
     """Correlation over time between each series and the entity's reference
     series (total of the reference sheets for the same entity and month).
 
-    The reference is a window sum on (entity, month) attached to every row:
-    linear in the data, no pair enumeration inside a group.
+    The reference is a window sum over the entity's same-month rows attached
+    to every row: linear in the data, no pair enumeration inside a group.
     """
     key = key or SERIES_KEY
     entity = entity or ENTITY_KEY
     is_ref = (F.col("series") == reference_series) & (F.col("disaggregation") == reference_disaggregation)
-    ref = F.sum(F.when(is_ref, F.col("value"))).over(Window.partitionBy(*entity, "date"))
+    # Same-month frame inside the entity partition (an entity holds its
+    # sheets x months, bounded by the dictionary and the calendar); the
+    # aggregate groups by a superset of the entity key and reuses it.
+    same_month = Window.partitionBy(*entity).orderBy(month_index()).rangeBetween(0, 0)
+    ref = F.sum(F.when(is_ref, F.col("value"))).over(same_month)
     p = panel.withColumn("reference_value", ref).where(F.col("reference_value").isNotNull())
     agg = p.groupBy(*key).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_months"),
