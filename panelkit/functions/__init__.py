@@ -1,6 +1,6 @@
 """Scalar column expressions (built-in Spark functions only, no UDFs)."""
 
-from panelkit.functions.codes import employer_modality_code, modality_code, normalize_code, size_label
+from panelkit.functions.codes import code_text, employer_modality_code, modality_code, normalize_code, size_label
 from panelkit.functions.dates import excel_serial_to_date, next_month, reference_month
 from panelkit.functions.labels import member_key, member_label
 from panelkit.functions.text import (
@@ -13,6 +13,7 @@ from panelkit.functions.text import (
 )
 
 __all__ = [
+    "code_text",
     "employer_modality_code",
     "excel_serial_to_date",
     "first_number",

@@ -13,21 +13,28 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def code_text(x: Column | str) -> Column:
+    """A code as text, printed like an integer when it is a whole number:
+    ``3`` and ``3.0`` both give ``'3'``, strings pass unchanged (registers
+    store codes as numbers or as text)."""
+    return F.regexp_replace(_c(x).cast("string"), r"\.0$", "")
+
+
 def modality_code(mod: Column | str = "mod", tipotrc: Column | str = "tipotrc") -> Column:
     """``mod.tipotrc``; modalities 32, 33 and 14 collapse to ``<mod>.1``.
 
     ``concat`` propagates NULL (a NULL worker type gives a NULL code), which is
     what the register's string join does; ``concat_ws`` would skip it.
     """
-    m = _c(mod)
+    m = code_text(mod)
     return F.when(m.isin(*COLLAPSED_MODALITIES), F.concat(m, F.lit(".1"))).otherwise(
-        F.concat(m, F.lit("."), _c(tipotrc))
+        F.concat(m, F.lit("."), code_text(tipotrc))
     )
 
 
 def employer_modality_code(mod: Column | str = "mod") -> Column:
     """Employers are counted per modality only: code ``<mod>.1``."""
-    return F.concat(_c(mod), F.lit(".1"))
+    return F.concat(code_text(mod), F.lit(".1"))
 
 
 def size_label(size: Column | str = "size_cierre") -> Column:

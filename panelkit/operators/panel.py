@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.codes import employer_modality_code
+from panelkit.functions.codes import code_text, employer_modality_code
 from panelkit.schema import (
     DIS_MODALITY,
     DIS_SECTOR,
@@ -63,7 +63,7 @@ def _family_struct(name: str) -> Column:
         spec = (SERIES_INSURED, DIS_MODALITY, F.col("cve_modalidad"), n, null_dbl, null_long, true)
     elif name == "insured_sector":
         spec = (
-            SERIES_INSURED, DIS_SECTOR, F.col("div_final").cast("string"), n, null_dbl, null_long,
+            SERIES_INSURED, DIS_SECTOR, code_text("div_final"), n, null_dbl, null_long,
             F.col("div_final").isNotNull(),
         )
     elif name == "employers_modality":

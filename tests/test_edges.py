@@ -150,3 +150,11 @@ def test_duplicate_dictionary_keys_are_refused(spark):
     assert [r.sheet_name_code for r in dictionary_duplicates(dup).collect()] == [None]
     with pytest.raises(ValueError):
         require_unique_dictionary(dup)
+
+
+def test_numeric_codes_print_like_integers(spark):
+    from panelkit.functions import code_text, modality_code
+
+    df = spark.createDataFrame([(10.0, 2.0, 3.0), (32.0, 1.0, None)], "m double, t double, d double")
+    rows = df.select(modality_code("m", "t").alias("c"), code_text("d").alias("s")).collect()
+    assert [(r.c, r.s) for r in rows] == [("10.2", "3"), ("32.1", None)]
