@@ -111,6 +111,35 @@ CODE_DICTIONARY_ROWS = [
 ]
 
 
+def read_code_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """Code dictionary landed as CSV with a header.  Every column is read as
+    text (no inference), then float-artefact codes are repaired."""
+    from panelkit.functions.codes import normalize_code
+
+    df = spark.read.schema(CODE_DICT).option("header", True).csv(path)
+    return df.withColumn("sheet_name_code", normalize_code("sheet_name_code"))
+
+
+def read_geo_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """Geography dictionary landed as CSV with a header: the first four
+    columns by position are delegation code and name, subdelegation code and
+    name, whatever their headers; codes are read leniently as numbers."""
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    c = raw.columns
+    if len(c) < 4:
+        raise ValueError(f"geography dictionary needs four columns, found {c}")
+
+    def num(name: str):
+        return F.floor(F.col(f"`{name}`").try_cast("double")).try_cast("int")
+
+    return raw.select(
+        num(c[0]).alias("clave_delegacion"),
+        F.col(f"`{c[1]}`").alias("delegacion"),
+        num(c[2]).alias("clave_subdelegacion"),
+        F.col(f"`{c[3]}`").alias("subdelegacion"),
+    )
+
+
 _DICTS: dict[int, tuple[SparkSession, DataFrame]] = {}
 
 

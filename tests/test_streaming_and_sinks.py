@@ -90,3 +90,23 @@ def test_monthly_cycle_from_partitioned_register(spark):
     got = out.where(F.col("date") == F.lit(last)).groupBy("level").agg(F.sum("value").alias("s")).collect()
     want = new.groupBy("level").agg(F.sum("value").alias("s")).collect()
     assert sorted((r.level, round(r.s, 6)) for r in got) == sorted((r.level, round(r.s, 6)) for r in want)
+
+
+def test_dictionary_files_round_trip(spark):
+    from panelkit.sources.register import read_code_dictionary, read_geo_dictionary
+
+    dic = code_dictionary(spark)
+    p = scratch_path(spark, "dict")
+    artefact = dic.withColumn(
+        "sheet_name_code",
+        F.when(F.col("sheet_name_code") == "10.1", F.lit("10.100000000000001")).otherwise(F.col("sheet_name_code")),
+    )
+    artefact.write.option("header", True).csv(p)
+    back = read_code_dictionary(spark, p)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, dic.collect()), key=str)
+
+    geo = geo_dictionary(spark, SF_SMALL)
+    g = scratch_path(spark, "geo")
+    geo.toDF("Clave", "Delegación", "Clave sub", "Subdelegación").write.option("header", True).csv(g)
+    gback = read_geo_dictionary(spark, g)
+    assert sorted(map(tuple, gback.collect()), key=str) == sorted(map(tuple, geo.collect()), key=str)
