@@ -36,3 +36,15 @@ def base(spark):
 )
 def test_operator_shuffle_budget(base, op, budget):
     assert _exchanges(op(base)) - _exchanges(base) == budget
+
+
+def test_aggregations_combine_map_side_before_the_shuffle(spark):
+    """A hot cell (a third of the register in one key) costs one partial row
+    per task before the exchange: both aggregation shuffles of the flagship
+    sit on top of partial aggregates."""
+    plan = panel(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    for i, ln in enumerate(lines):
+        if "Exchange hashpartitioning" in ln and "cve_del_final" in ln or ("Exchange hashpartitioning(date" in ln and "series" in ln):
+            below = " ".join(lines[i + 1 : i + 3])
+            assert "partial_" in below, below
