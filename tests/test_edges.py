@@ -158,3 +158,20 @@ def test_numeric_codes_print_like_integers(spark):
     df = spark.createDataFrame([(10.0, 2.0, 3.0), (32.0, 1.0, None)], "m double, t double, d double")
     rows = df.select(modality_code("m", "t").alias("c"), code_text("d").alias("s")).collect()
     assert [(r.c, r.s) for r in rows] == [("10.2", "3"), ("32.1", None)]
+
+
+def test_null_geography_codes_are_groups_not_rollups(spark):
+    rows = [(D, 1, None, None, "10", "1", 1, "S1", 4, 10.0, 1), (D, 1, 2, 3, "10", "1", 1, "S1", 6, 20.0, 1)]
+    p = build_panel(cube(spark, rows), code_dictionary(spark)).where("sheet_name = 'Modalidad 10.1'")
+    got = sorted(
+        ((r.level, r.clave_delegacion, r.clave_subdelegacion, r.value) for r in p.collect()),
+        key=lambda t: (t[0], t[1] is None, t[1] or 0, t[2] is None, t[2] or 0),
+    )
+    assert got == [
+        ("Delegación", 2, None, 6.0),
+        ("Delegación", 99, None, 10.0),
+        ("Delegación", None, None, 4.0),
+        ("Subdelegación", 2, 3, 6.0),
+        ("Subdelegación", 99, 99, 10.0),
+        ("Subdelegación", None, None, 4.0),
+    ]
