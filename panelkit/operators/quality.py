@@ -141,17 +141,20 @@ def revision_diff(new: DataFrame, stored: DataFrame, tol: float = REVISION_TOLER
     key = key or [k for k in REVISION_KEY if k in new.columns and k in stored.columns]
     # At most one row per calendar month: the bound is the calendar.
     common = F.broadcast(months_in_common(new, stored))
-    n = new.join(common, "date", "left_semi").select(*[F.col(k).alias(f"n_{k}") for k in key], F.col("value").alias("new_value"))
-    s = stored.join(common, "date", "left_semi").select(*[F.col(k).alias(f"s_{k}") for k in key], F.col("value").alias("stored_value"))
+    n = new.join(common, "date", "left_semi").select(
+        *[F.col(k).alias(f"n_{k}") for k in key], F.col("value").alias("new_value"), F.lit(True).alias("n_present")
+    )
+    s = stored.join(common, "date", "left_semi").select(
+        *[F.col(k).alias(f"s_{k}") for k in key], F.col("value").alias("stored_value"), F.lit(True).alias("s_present")
+    )
     cond = None
     for k in key:
         c = F.col(f"n_{k}").eqNullSafe(F.col(f"s_{k}"))
         cond = c if cond is None else cond & c
     j = n.join(s, cond, "full_outer")
-    n_present = F.col("n_present")
-    s_present = F.col("s_present")
-    j = j.withColumns({"n_present": F.col("new_value").isNotNull() | F.col(f"n_{key[0]}").isNotNull(),
-                       "s_present": F.col("stored_value").isNotNull() | F.col(f"s_{key[0]}").isNotNull()})
+    # Side markers tell a missing row from a row whose values are NULL.
+    n_present = F.col("n_present").isNotNull()
+    s_present = F.col("s_present").isNotNull()
     diff = F.col("new_value") - F.col("stored_value")
     status = (
         F.when(~s_present, F.lit("missing_stored"))

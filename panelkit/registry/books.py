@@ -341,14 +341,14 @@ def _cross_validation_sql() -> str:
     comp = f"{O.PANEL_BASE} SELECT * FROM panel_geo"
     key = XV_KEY
     join = " AND ".join(f"n.{k} IS NOT DISTINCT FROM s.{k}" for k in key)
-    sel = ", ".join(f"CASE WHEN n.value IS NOT NULL OR n.{key[0]} IS NOT NULL THEN n.{k} ELSE s.{k} END AS {k}" for k in key)
+    sel = ", ".join(f"coalesce(n.{k}, s.{k}) AS {k}" for k in key)
     return f"""WITH stored AS ({hist}), computed AS ({comp}),
 common AS (SELECT date FROM computed INTERSECT SELECT date FROM stored),
-n AS (SELECT * FROM computed WHERE date IN (SELECT date FROM common)),
-s AS (SELECT * FROM stored WHERE date IN (SELECT date FROM common)),
+n AS (SELECT *, TRUE AS present FROM computed WHERE date IN (SELECT date FROM common)),
+s AS (SELECT *, TRUE AS present FROM stored WHERE date IN (SELECT date FROM common)),
 j AS (SELECT {sel}, n.value AS new_value, s.value AS stored_value, n.value - s.value AS diff,
-  CASE WHEN NOT (s.value IS NOT NULL OR s.{key[0]} IS NOT NULL) THEN 'missing_stored'
-       WHEN NOT (n.value IS NOT NULL OR n.{key[0]} IS NOT NULL) THEN 'missing_new'
+  CASE WHEN s.present IS NULL THEN 'missing_stored'
+       WHEN n.present IS NULL THEN 'missing_new'
        WHEN s.value IS NULL THEN 'stored_null'
        WHEN abs(n.value - s.value) > 1.0 THEN 'changed' END AS status
   FROM n FULL OUTER JOIN s ON {join})

@@ -133,7 +133,7 @@ rev AS (SELECT {cols}, CASE WHEN clave_subdelegacion % 7 = 0 THEN value + 2 ELSE
         FROM hist_ids WHERE clave_subdelegacion IS DISTINCT FROM 3)""".format(cols=_COLS)
 
 _REV_JOIN = " AND ".join(f"n.{k} IS NOT DISTINCT FROM s.{k}" for k in _RK)
-_REV_SEL = ", ".join(f"CASE WHEN n.value IS NOT NULL OR n.{_RK[0]} IS NOT NULL THEN n.{k} ELSE s.{k} END AS {k}" for k in _RK)
+_REV_SEL = ", ".join(f"coalesce(n.{k}, s.{k}) AS {k}" for k in _RK)
 
 _REVIEW = " OR ".join(
     f"(series = '{s}' AND disaggregation = '{d}' AND regexp_matches(sheet_name, '{p}'))" for s, d, p in R.REVIEW_PATTERNS
@@ -182,7 +182,7 @@ rev AS (SELECT {cols}, CASE WHEN clave_subdelegacion % 7 = 0 THEN value + 2 ELSE
         FROM hist_ids WHERE clave_subdelegacion IS DISTINCT FROM 3)""".format(cols=_COLS)
 
 _REV_JOIN = " AND ".join(f"n.{k} IS NOT DISTINCT FROM s.{k}" for k in _RK)
-_REV_SEL = ", ".join(f"CASE WHEN n.value IS NOT NULL OR n.{_RK[0]} IS NOT NULL THEN n.{k} ELSE s.{k} END AS {k}" for k in _RK)
+_REV_SEL = ", ".join(f"coalesce(n.{k}, s.{k}) AS {k}" for k in _RK)
 
 _REVIEW = " OR ".join(
     f"(series = '{s}' AND disaggregation = '{d}' AND regexp_matches(sheet_name, '{p}'))" for s, d, p in R.REVIEW_PATTERNS
@@ -217,11 +217,11 @@ ORACLE = {
         SELECT date FROM (SELECT date FROM rev UNION ALL SELECT date FROM newm) x INTERSECT SELECT date FROM hist_ids""",
     "revision_diff": f"""{O.PANEL_BASE}{HIST}{REV},
         common AS (SELECT date FROM rev INTERSECT SELECT date FROM hist_ids),
-        n AS (SELECT * FROM rev WHERE date IN (SELECT date FROM common)),
-        s AS (SELECT * FROM hist_ids WHERE date IN (SELECT date FROM common)),
+        n AS (SELECT *, TRUE AS present FROM rev WHERE date IN (SELECT date FROM common)),
+        s AS (SELECT *, TRUE AS present FROM hist_ids WHERE date IN (SELECT date FROM common)),
         j AS (SELECT {_REV_SEL}, n.value AS new_value, s.value AS stored_value, n.value - s.value AS diff,
-          CASE WHEN NOT (s.value IS NOT NULL OR s.{_RK[0]} IS NOT NULL) THEN 'missing_stored'
-               WHEN NOT (n.value IS NOT NULL OR n.{_RK[0]} IS NOT NULL) THEN 'missing_new'
+          CASE WHEN s.present IS NULL THEN 'missing_stored'
+               WHEN n.present IS NULL THEN 'missing_new'
                WHEN s.value IS NULL THEN 'stored_null'
                WHEN abs(n.value - s.value) > 1.0 THEN 'changed' END AS status
           FROM n FULL OUTER JOIN s ON {_REV_JOIN})

@@ -175,3 +175,14 @@ def test_null_geography_codes_are_groups_not_rollups(spark):
         ("Subdelegación", 99, 99, 10.0),
         ("Subdelegación", None, None, 4.0),
     ]
+
+
+def test_revision_diff_statuses_with_null_values_and_ids(spark):
+    from panelkit.operators.quality import revision_diff
+
+    schema = "book_id int, date date, clave_delegacion int, value double"
+    stored = spark.createDataFrame([(None, D, 1, None), (1, D, 2, 5.0), (1, D, 3, 5.0), (1, D, 4, None)], schema)
+    new = spark.createDataFrame([(1, D, 2, 9.0), (1, D, 3, 5.5), (1, D, 4, 1.0), (1, D, 5, 1.0)], schema)
+    out = revision_diff(new, stored, key=["book_id", "date", "clave_delegacion"])
+    got = {r.clave_delegacion: r.status for r in out.collect()}
+    assert got == {1: "missing_new", 2: "changed", 4: "stored_null", 5: "missing_stored"}
