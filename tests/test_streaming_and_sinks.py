@@ -110,3 +110,22 @@ def test_dictionary_files_round_trip(spark):
     geo.toDF("Clave", "Delegación", "Clave sub", "Subdelegación").write.option("header", True).csv(g)
     gback = read_geo_dictionary(spark, g)
     assert sorted(map(tuple, gback.collect()), key=str) == sorted(map(tuple, geo.collect()), key=str)
+
+
+def test_updated_panel_and_display_helpers(spark):
+    from panelkit.plans.monthly import updated_panel
+    from panelkit.sources.store import display_order, preview, write_table
+
+    hist, new, _ = split_history(spark, SF_SMALL)
+    stored = assign_series_ids(hist, label_ids(hist))
+    up = updated_panel(stored, new)
+    assert up.count() == hist.count() + new.count()
+    assert up.where(F.col("book_id").isNull()).count() == 0
+    with pytest.raises(ValueError):
+        updated_panel(up, new)
+    first = display_order(up).first()
+    assert (first.book_id, first.sheet_id) == (1, 1)
+    assert preview(up).count() == 10
+    p = scratch_path(spark, "cube")
+    write_table(up.select("date", "value"), p)
+    assert spark.read.parquet(p).count() == up.count()
