@@ -5,11 +5,14 @@ stream picks up every file not processed yet (``availableNow`` processes the
 backlog and stops, which suits a monthly schedule) and hands each
 micro-batch to the same gated update as the batch pipeline.
 
+A batch may hold several months (a backlog); they are applied in calendar
+order, each behind the continuity gate.
+
 Exactly-once: the stream's checkpoint sits in the shared folder, and every
-applied micro-batch leaves an epoch marker next to that checkpoint.  A batch that
-is replayed after a failure between the append and the offset commit finds
-its marker and is skipped; a month dropped again in a *new* batch is refused
-by the continuity gate.
+month applied by a micro-batch leaves an (epoch, month) marker next to that
+checkpoint.  A batch replayed after a failure — between two months, or
+between the append and the offset commit — skips the months it already
+applied; a month dropped again in a *new* batch is refused by the gate.
 """
 
 from __future__ import annotations
@@ -17,13 +20,13 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from panelkit.plans.monthly import new_month_panel, update_store
 from panelkit.schema import MICRO
 from panelkit.session import scratch_path
 
-EPOCHS = StructType([StructField("epoch_id", LongType())])
+EPOCHS = StructType([StructField("epoch_id", LongType()), StructField("date", DateType())])
 
 
 def _epochs_path(checkpoint: str) -> str:
@@ -31,18 +34,18 @@ def _epochs_path(checkpoint: str) -> str:
     return checkpoint.rstrip("/") + "_applied_epochs"
 
 
-def _already_applied(spark: SparkSession, checkpoint: str, epoch_id: int) -> bool:
+def _applied_months(spark: SparkSession, checkpoint: str, epoch_id: int) -> set:
     try:
         marks = spark.read.schema(EPOCHS).parquet(_epochs_path(checkpoint))
     except AnalysisException:
-        return False
-    return not marks.where(F.col("epoch_id") == epoch_id).isEmpty()
+        return set()
+    return {r[0] for r in marks.where(F.col("epoch_id") == epoch_id).select("date").collect()}
 
 
-def _mark_applied(spark: SparkSession, checkpoint: str, epoch_id: int) -> None:
-    spark.range(epoch_id, epoch_id + 1).select(F.col("id").alias("epoch_id")).write.mode("append").parquet(
-        _epochs_path(checkpoint)
-    )
+def _mark_applied(spark: SparkSession, checkpoint: str, epoch_id: int, month) -> None:
+    spark.range(1).select(F.lit(epoch_id).cast("long").alias("epoch_id"), F.lit(month).cast("date").alias("date")).write.mode(
+        "append"
+    ).parquet(_epochs_path(checkpoint))
 
 
 def start_monthly_drop(
@@ -62,10 +65,16 @@ def start_monthly_drop(
     micro = spark.readStream.schema(MICRO).parquet(drop_dir)
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty() or _already_applied(spark, checkpoint, epoch_id):
-            return
-        update_store(spark, store_path, new_month_panel(batch, dic, geo))
-        _mark_applied(spark, checkpoint, epoch_id)
+        # A backlog may bring several months in one batch: apply them in
+        # calendar order, each behind the gate.  The month list of a batch is
+        # a handful of dates (a plan parameter), not data.
+        months = [r[0] for r in batch.select("date").distinct().orderBy("date").collect()]
+        done = _applied_months(spark, checkpoint, epoch_id) if months else set()
+        for month in months:
+            if month in done:
+                continue
+            update_store(spark, store_path, new_month_panel(batch.where(F.col("date") == F.lit(month)), dic, geo))
+            _mark_applied(spark, checkpoint, epoch_id, month)
 
     return (
         micro.writeStream.foreachBatch(apply_batch)

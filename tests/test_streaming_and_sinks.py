@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from panelkit.operators.ids import assign_series_ids, label_ids
+from panelkit.registry.common import panel_geo
 from panelkit.registry.store import split_history
 from panelkit.session import scratch_path
 from panelkit.sources.books import list_workbooks
@@ -34,12 +35,26 @@ def test_stream_appends_once_and_refuses_a_repeated_drop(spark):
 
 
 def test_replayed_epoch_is_skipped(spark):
-    from panelkit.streaming.monthly_drop import _already_applied, _mark_applied
+    import datetime as dt
 
-    store = scratch_path(spark, "epochs")
-    assert not _already_applied(spark, store, 3)
-    _mark_applied(spark, store, 3)
-    assert _already_applied(spark, store, 3) and not _already_applied(spark, store, 4)
+    from panelkit.streaming.monthly_drop import _applied_months, _mark_applied
+
+    ck = scratch_path(spark, "epochs")
+    assert _applied_months(spark, ck, 3) == set()
+    _mark_applied(spark, ck, 3, dt.date(2001, 7, 1))
+    assert _applied_months(spark, ck, 3) == {dt.date(2001, 7, 1)} and _applied_months(spark, ck, 4) == set()
+
+
+def test_stream_applies_a_two_month_backlog_in_order(spark):
+    p = panel_geo(spark, SF_SMALL)
+    months = [r[0] for r in p.select("date").distinct().orderBy(F.desc("date")).limit(2).collect()]
+    older = p.where(F.col("date") < F.lit(months[1]))
+    store = scratch_path(spark, "backlog-store")
+    reset_panel(assign_series_ids(older, label_ids(older)), store)
+    drop = scratch_path(spark, "drop")
+    micro_register(spark, SF_SMALL).where(F.col("date") >= F.lit(months[1])).write.parquet(drop)
+    run_monthly_drop(spark, drop, store, code_dictionary(spark), geo_dictionary(spark, SF_SMALL))
+    assert read_panel(spark, store).count() == p.count()
 
 
 def test_backup_copies_the_store(spark):
