@@ -35,6 +35,8 @@ def require_continuity(stored: DataFrame, new: DataFrame):
     """Raise unless the new data is exactly the next month (scalar check);
     return that month."""
     row = continuity_report(stored, new).first()
+    if row is not None and row["n_new_months"] == 0:
+        raise ValueError("the new month holds no rows")
     if row is None or not row["accepted"]:
         raise ValueError(f"month continuity gate refused the update: {row.asDict() if row else None}")
     return row["new_min"]

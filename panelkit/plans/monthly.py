@@ -39,10 +39,10 @@ def updated_panel(stored: DataFrame, new: DataFrame) -> DataFrame:
 def update_store(spark: SparkSession, store_path: str, new: DataFrame) -> DataFrame:
     """Append the new month to the store behind the gate; return the store."""
     stored = store_months(spark, store_path)
-    # Checkpoint first: the emptiness check, the gate and the write then read
-    # the materialised month instead of recomputing the register aggregate.
+    # Checkpoint first: the gate (which also refuses an empty month) and the
+    # write then read the materialised month instead of recomputing the
+    # register aggregate.
     new_ids = cut_lineage(assign_series_ids(new, store_ids(spark, store_path)))
-    require_non_empty(new_ids, "new month")
     month = require_continuity(stored, new_ids.select("date"))
     # The month table is written after the data; if a run died in between,
     # the table lags.  A pushed-down probe of the store (row-group statistics

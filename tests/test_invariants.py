@@ -127,3 +127,11 @@ def test_lagging_month_table_cannot_cause_a_double_append(spark):
     with pytest.raises(ValueError, match="already in the store"):
         update_store(spark, path, new)
     assert read_panel(spark, path).count() == n
+
+
+def test_empty_new_month_is_refused(spark):
+    hist, new, _ = split_history(spark, SF_SMALL)
+    path = scratch_path(spark, "test-store")
+    reset_panel(assign_series_ids(hist, label_ids(hist)), path)
+    with pytest.raises(ValueError, match="no rows"):
+        update_store(spark, path, new.where(F.lit(False)))
