@@ -9,6 +9,21 @@ from pyspark.sql import functions as F
 SUPERSEDED_SUFFIX = "ant.sas7bdat"
 
 
+# Fixed value: file-name prefix of the monthly register snapshots.
+SNAPSHOT_PREFIX = "pafinalmes"
+
+
+def list_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX) -> DataFrame:
+    """Files of ``directory`` whose names start with ``prefix`` (path only;
+    file contents are never read)."""
+    return (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", f"{prefix}*")
+        .load(directory)
+        .select("path")
+    )
+
+
 def snapshot_files(paths: DataFrame, path_col: str = "path") -> DataFrame:
     """File name, and dataset name without extension, of each listed path.
 

@@ -144,3 +144,12 @@ def test_updated_panel_and_display_helpers(spark):
     p = scratch_path(spark, "cube")
     write_table(up.select("date", "value"), p)
     assert spark.read.parquet(p).count() == up.count()
+
+
+def test_latest_snapshot_from_a_folder(spark, tmp_path):
+    from panelkit.operators.snapshot import latest_snapshot, list_snapshots
+
+    for name in ["pafinalmes202501.sas7bdat", "pafinalmes202502.sas7bdat", "pafinalmes202503ant.sas7bdat", "other.txt"]:
+        (tmp_path / name).write_bytes(b"x")
+    got = [(r.full_periodo, r.periodo) for r in latest_snapshot(list_snapshots(spark, str(tmp_path))).collect()]
+    assert got == [("pafinalmes202502.sas7bdat", "pafinalmes202502")]
