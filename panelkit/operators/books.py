@@ -218,14 +218,19 @@ def drop_incomplete(long: DataFrame) -> DataFrame:
 def repair_dates(long: DataFrame, sheet: list[str], entity: list[str]) -> DataFrame:
     """Sheets with undecodable month headers get a monthly sequence from the
     first date, per sheet and entity in header order; other sheets are kept
-    as they are (anti join + union).  The window holds one sheet row."""
-    bad = long.groupBy(*sheet).agg(F.count_if(F.col("date").isNull()).alias("bad_dates")).where("bad_dates > 0")
-    to_fix = long.join(bad.select(*sheet), sheet, "left_semi")
-    keep = long.join(bad.select(*sheet), sheet, "left_anti")
+    as they are.
+
+    One shuffle: a per-sheet window counts the bad headers, and the
+    per-(sheet, entity) window that numbers the cells reuses the sheet
+    partitioning.  A partition holds one sheet (entities x months cells).
+    """
+    bad = F.sum(F.col("date").isNull().cast("int")).over(Window.partitionBy(*sheet))
     w = Window.partitionBy(*sheet, *entity).orderBy("col_pos")
     first = F.first("date").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    fixed = to_fix.withColumn("date", F.add_months(first, F.row_number().over(w) - 1))
-    return keep.unionByName(fixed)
+    fixed = F.add_months(first, F.row_number().over(w) - 1)
+    return long.withColumn("bad_dates", bad).withColumn(
+        "date", F.when(F.col("bad_dates") > 0, fixed).otherwise(F.col("date"))
+    ).drop("bad_dates")
 
 
 def clean_labels(labels: DataFrame) -> DataFrame:

@@ -51,3 +51,14 @@ def test_aggregations_combine_map_side_before_the_shuffle(spark):
             assert "partial_" in below, below
             checked += 1
     assert checked == 2
+
+
+def test_date_repair_is_one_shuffle(spark):
+    from panelkit.operators import books as B
+    from panelkit.plans import history as H
+    from panelkit.registry.common import panel_geo
+    from panelkit.sources import books as S
+
+    p = panel_geo(spark, SF_SMALL)
+    long = B.unpivot_sheets(S.landed_sheets(p, S.published_sheets(p)), H.SHEET, drop_missing=False)
+    assert _exchanges(B.repair_dates(long, H.SHEET, H.ENTITY)) - _exchanges(long) == 1
