@@ -127,7 +127,10 @@ def require_unique_dictionary(dic: DataFrame) -> None:
 
 
 def months_in_common(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.select("date").intersect(b.select("date"))
+    """Months present on both sides.  Each side is first reduced to its
+    distinct months (partial aggregation), so the intersection shuffles a
+    calendar's worth of rows, not the history."""
+    return a.select("date").distinct().intersect(b.select("date").distinct())
 
 
 def revision_diff(new: DataFrame, stored: DataFrame, tol: float = REVISION_TOLERANCE, key: list[str] | None = None) -> DataFrame:
