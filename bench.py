@@ -49,27 +49,31 @@ def main() -> None:
     keys = sys.argv[1:] or HEADLINE
     spark = get_session(f"local[{cpus}]", app="panelkit-bench", shuffle_partitions=int(cpus))
     qs = all_queries()
-    times = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for k in keys:
         best = None
-        for _ in range(reps):
-            t0 = time.perf_counter()
-            run(qs[k](spark, sf_dir))
-            dt_ = time.perf_counter() - t0
-            best = dt_ if best is None else min(best, dt_)
-        times[k] = round(best, 3)
+        try:
+            for _ in range(reps):
+                t0 = time.perf_counter()
+                run(qs[k](spark, sf_dir))
+                dt_ = time.perf_counter() - t0
+                best = dt_ if best is None else min(best, dt_)
+            times[k] = round(best, 3)
+        except Exception as e:  # noqa: BLE001 - report and keep benchmarking
+            times[k] = None
+            errors[k] = str(e).splitlines()[0][:300]
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(
-        json.dumps(
-            {
-                "metric": "headline_queries_total",
-                "value": round(sum(times.values()), 3),
-                "unit": "sec",
-                "queries": times,
-                "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-            }
-        )
-    )
+    out = {
+        "metric": "headline_queries_total",
+        "value": round(sum(t for t in times.values() if t is not None), 3),
+        "unit": "sec",
+        "queries": times,
+        "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
