@@ -62,3 +62,24 @@ def test_date_repair_is_one_shuffle(spark):
     p = panel_geo(spark, SF_SMALL)
     long = B.unpivot_sheets(S.landed_sheets(p, S.published_sheets(p)), H.SHEET, drop_missing=False)
     assert _exchanges(B.repair_dates(long, H.SHEET, H.ENTITY)) - _exchanges(long) == 1
+
+
+def test_store_slice_pushes_predicates_and_prunes_columns(spark):
+    from panelkit.operators.ids import assign_series_ids, label_ids
+    from panelkit.plans import explorer as ex
+    from panelkit.registry.store import split_history
+    from panelkit.session import scratch_path
+    from panelkit.sources.store import reset_panel
+
+    hist, _, _ = split_history(spark, SF_SMALL)
+    path = scratch_path(spark, "plan-store")
+    reset_panel(assign_series_ids(hist, label_ids(hist)), path)
+    p = ex.open_panel(spark, path)
+    keys = ex.member_choices(p, "Asegurados", "Delegación").select("member_key")
+    s = ex.prepared_data(p, "Asegurados", "Delegación", "Modalidad", "Modalidad 10.1", keys, None, None)
+    text = s._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "EqualTo(series,Asegurados)" in text and "EqualTo(sheet_name,Modalidad 10.1)" in text
+    schemas = [ln for ln in text.splitlines() if ln.strip().startswith("ReadSchema:")]
+    assert schemas and all("book_name" not in ln for ln in schemas)
