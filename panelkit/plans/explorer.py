@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators import explore as X
 from panelkit.schema import EXPLORER_COLUMNS
-from panelkit.sources.store import read_panel
+from panelkit.sources.store import read_panel, store_ids
 
 
 def open_panel(spark: SparkSession, store_path: str) -> DataFrame:
@@ -22,6 +22,23 @@ def open_panel(spark: SparkSession, store_path: str) -> DataFrame:
     return read_panel(spark, store_path, EXPLORER_COLUMNS)
 
 
+def pruned_slice(spark: SparkSession, path: str, series: str, disaggregation: str, sheet_name: str) -> DataFrame:
+    """One sheet's rows from the store, reading only that sheet's folders.
+
+    The names resolve to (book_id, sheet_id) in the store's small id table;
+    the join on the partition columns lets dynamic partition pruning skip
+    every other series' directory at scan time.
+    """
+    store = read_panel(spark, path)
+    ids = (
+        store_ids(spark, path)
+        .where((F.col("series") == series) & (F.col("disaggregation") == disaggregation) & (F.col("sheet_name") == sheet_name))
+        .select("book_id", "sheet_id")
+        .distinct()
+    )
+    return store.join(ids, ["book_id", "sheet_id"], "left_semi").select(*EXPLORER_COLUMNS)
+
+
 def series_choices(panel: DataFrame) -> DataFrame:
     return X.list_series(panel).orderBy("series")
 

@@ -12,7 +12,8 @@ from panelkit.registry import oracle_base as O
 from panelkit.registry.common import panel, panel_geo, rounded_value
 from panelkit.schema import EXPLORER_COLUMNS, PANEL_COLUMNS
 from panelkit.session import cut_lineage, scratch_path
-from panelkit.sources.store import read_panel, reset_panel, store_ids
+from panelkit.plans.explorer import pruned_slice
+from panelkit.sources.store import read_panel, reset_panel
 
 # The slice used by the pruning scan.
 SLICE = {"series": "Asegurados", "disaggregation": "Modalidad", "sheet_name": "Modalidad 10.1"}
@@ -76,23 +77,6 @@ def q_panel_update(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_value(update_store(spark, path, new))
 
 
-def pruned_slice(spark: SparkSession, path: str, series: str, disaggregation: str, sheet_name: str) -> DataFrame:
-    """Slice by names, pruned by partition ids.
-
-    The names resolve to (book_id, sheet_id) in the store's small id table;
-    the join on the partition columns lets dynamic partition pruning skip
-    every other series' directory at scan time.
-    """
-    store = read_panel(spark, path)
-    ids = (
-        store_ids(spark, path)
-        .where((F.col("series") == series) & (F.col("disaggregation") == disaggregation) & (F.col("sheet_name") == sheet_name))
-        .select("book_id", "sheet_id")
-        .distinct()
-    )
-    return store.join(ids, ["book_id", "sheet_id"], "left_semi").select(*EXPLORER_COLUMNS)
-
-
 def q_partition_prune_scan(spark: SparkSession, sf: str) -> DataFrame:
     h, _, _, _ = hist_with_ids(spark, sf)
     path = _fresh_store(spark, h)
