@@ -13,7 +13,7 @@ from panelkit.functions.dates import reference_month
 from panelkit.operators.panel import ADDITIVE_FAMILIES, family_table
 from panelkit.operators.snapshot import latest_snapshot
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import clean, cube, panel, panel_geo, rounded_value, rv
+from panelkit.registry.common import clean, cube, panel, panel_geo, rounded_value
 from panelkit.session import literal_table
 from panelkit.sources.register import code_dictionary
 from panelkit.sources.tables import read_table
