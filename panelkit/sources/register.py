@@ -23,8 +23,13 @@ REGISTER_PARTITION = "date"
 
 
 def write_register(micro: DataFrame, root: str) -> None:
-    """Land register rows partitioned by month (one folder per period)."""
-    micro.repartition(REGISTER_PARTITION).write.mode("append").partitionBy(REGISTER_PARTITION).parquet(root)
+    """Land register rows partitioned by month (one folder per period).
+
+    No shuffle: every task sorts its own rows by month and writes one file
+    per month it holds, so a month with a third of all rows is still written
+    by all tasks in parallel (hashing by month would give it to one task).
+    """
+    micro.sortWithinPartitions(REGISTER_PARTITION).write.mode("append").partitionBy(REGISTER_PARTITION).parquet(root)
 
 
 def read_register(spark: SparkSession, root: str, month=None) -> DataFrame:
