@@ -85,12 +85,19 @@ def published_sheets(panel: DataFrame) -> DataFrame:
     labels = panel.select("level", "series", "disaggregation", "sheet_name").distinct()
     labels = labels.withColumn("path", book_path())
     hoja = F.dense_rank().over(Window.partitionBy("path").orderBy("sheet_name"))
-    return labels.withColumn("hoja", hoja.cast("int"))
+    labels = labels.withColumn("hoja", hoja.cast("int"))
+    # The book's sheet count from the same path partition (no extra shuffle).
+    return labels.withColumn("n_sheets", F.max("hoja").over(Window.partitionBy("path")))
+
+
+def _books(sheets: DataFrame) -> DataFrame:
+    """One row per workbook: its last sheet (sheet names are distinct)."""
+    return sheets.where(F.col("hoja") == F.col("n_sheets")).select("path", F.col("n_sheets").alias("n"))
 
 
 def book_catalogue(spark: SparkSession, sheets: DataFrame) -> DataFrame:
     extra = literal_table(spark, [(p,) for p in EXTRA_BOOKS], StructType([StructField("path", StringType())]))
-    return sheets.select("path").unionByName(extra).distinct()
+    return _books(sheets).select("path").unionByName(extra).distinct()
 
 
 def book_index(sheets: DataFrame) -> DataFrame:
@@ -100,7 +107,7 @@ def book_index(sheets: DataFrame) -> DataFrame:
         F.concat(F.lit(" Hoja "), F.col("hoja").cast("string")).alias("hoja"),
         F.concat(F.lit("  "), F.regexp_replace("sheet_name", " ", "  "), F.lit(" ")).alias("contenido"),
     )
-    books = sheets.groupBy("path").agg(F.max("hoja").alias("n"))
+    books = _books(sheets)
     summary = books.select("path", F.concat(F.lit("Hoja "), (F.col("n") + 1).cast("string")).alias("hoja"),
                            F.lit("Resumen nacional").alias("contenido"))
     empty = books.select("path", F.lit(None).cast("string").alias("hoja"), F.lit("Notas").alias("contenido"))
@@ -118,7 +125,7 @@ def raw_book_index(sheets: DataFrame) -> DataFrame:
         F.col("contenido").alias("col_3"),
         F.when(F.col("contenido").contains("Resumen"), F.lit("ver notas")).alias("col_4"),
     )
-    header = sheets.select("path").distinct().select(
+    header = _books(sheets).select(
         "path",
         F.lit("No.").alias("col_1"),
         F.lit("Hoja").alias("col_2"),
@@ -132,7 +139,7 @@ def book_tabs(sheets: DataFrame) -> DataFrame:
     """Sheet tabs of each workbook, in order: contents first, then one
     numbered tab per sheet, then two non-data tabs."""
     data = sheets.select("path", (F.col("hoja") + 1).alias("position"), F.col("hoja").cast("string").alias("sheet_name"))
-    books = sheets.groupBy("path").agg(F.max("hoja").alias("n"))
+    books = _books(sheets)
     first = books.select("path", F.lit(1).alias("position"), F.lit("Contenido").alias("sheet_name"))
     notes = books.select("path", (F.col("n") + 2).alias("position"), F.lit(f"{BAD_HEADER_INDEX}.1").alias("sheet_name"))
     paren = books.select("path", (F.col("n") + 3).alias("position"), F.lit("(1)").alias("sheet_name"))
