@@ -58,11 +58,12 @@ def date_bounds(panel: DataFrame, by: tuple[str, ...] = ("series", "level", "dis
     return panel.groupBy(*by).agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"))
 
 
-def parse_member_keys(keys: DataFrame, key_col: str = "member_key") -> DataFrame:
+def parse_member_keys(keys: DataFrame, key_col: str = "member_key", keep: tuple[str, ...] = ()) -> DataFrame:
     """``"<del>_<subdel>"`` → two integer codes; a missing or non-numeric
-    part (``NA``, absent) becomes NULL."""
+    part (``NA``, absent) becomes NULL.  ``keep`` columns pass through."""
     parts = F.split(F.col(key_col), "_")
     return keys.select(
+        *keep,
         F.col(key_col).alias("member_key"),
         F.try_element_at(parts, F.lit(1)).try_cast("int").alias("clave_delegacion"),
         F.try_element_at(parts, F.lit(2)).try_cast("int").alias("clave_subdelegacion"),
@@ -72,7 +73,7 @@ def parse_member_keys(keys: DataFrame, key_col: str = "member_key") -> DataFrame
 def series_slice(
     panel: DataFrame,
     series: str,
-    level: str,
+    level: str | tuple[str, ...],
     disaggregation: str,
     sheet_name: str,
     member_keys: DataFrame,
@@ -84,17 +85,30 @@ def series_slice(
     The selection is a semi join on the parsed codes, NULL matching NULL so
     delegation rows (no subdelegation code) can be selected.  The key side
     is distinct; Spark broadcasts it when its size statistics allow.
+
+    Several levels can be sliced in one pass: pass a tuple of levels and
+    member keys carrying a ``level`` column; the output then keeps
+    ``level``.
     """
-    keys = parse_member_keys(member_keys).select(
-        F.col("clave_delegacion").alias("k_del"), F.col("clave_subdelegacion").alias("k_sub")
+    multi = not isinstance(level, str)
+    kcols = [F.col("level").alias("k_level")] if multi else []
+    parsed = parse_member_keys(member_keys.select("member_key", *(["level"] if multi else [])), keep=("level",) if multi else ())
+    keys = parsed.select(
+        *kcols, F.col("clave_delegacion").alias("k_del"), F.col("clave_subdelegacion").alias("k_sub")
     ).distinct()
     cond = F.col("clave_delegacion").eqNullSafe(F.col("k_del")) & F.col("clave_subdelegacion").eqNullSafe(F.col("k_sub"))
-    p = _where(panel, series=series, level=level, disaggregation=disaggregation, sheet_name=sheet_name)
+    if multi:
+        cond = cond & (F.col("level") == F.col("k_level"))
+        p = _where(panel, series=series, disaggregation=disaggregation, sheet_name=sheet_name).where(
+            F.col("level").isin(*level)
+        )
+    else:
+        p = _where(panel, series=series, level=level, disaggregation=disaggregation, sheet_name=sheet_name)
     if start is not None:
         p = p.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         p = p.where(F.col("date") <= F.lit(end).cast("date"))
-    out = p.join(keys, cond, "left_semi").select(*SLICE_COLUMNS)
+    out = p.join(keys, cond, "left_semi").select(*(["level"] if multi else []), *SLICE_COLUMNS)
     return out.withColumn("grupo", member_label())
 
 

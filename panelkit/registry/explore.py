@@ -68,15 +68,12 @@ def member_keys(spark: SparkSession, sf: str, level: str) -> DataFrame:
 
 
 def slices(spark: SparkSession, sf: str) -> DataFrame:
-    """Default slice at both levels; every member of the level selected."""
+    """Default slice at both levels in one pass; every member selected."""
     p = panel_geo(spark, sf)
-    out = None
-    for lv in LEVELS:
-        keys = member_keys(spark, sf, lv)
-        s = X.series_slice(p, SLICE_SERIES, lv, SLICE_DIS, SLICE_SHEET, keys, SLICE_START, SLICE_END)
-        s = s.withColumn("level", F.lit(lv))
-        out = s if out is None else out.unionByName(s)
-    return out
+    keys = member_keys(spark, sf, LEVELS[0]).withColumn("level", F.lit(LEVELS[0]))
+    for lv in LEVELS[1:]:
+        keys = keys.unionByName(member_keys(spark, sf, lv).withColumn("level", F.lit(lv)))
+    return X.series_slice(p, SLICE_SERIES, LEVELS, SLICE_DIS, SLICE_SHEET, keys, SLICE_START, SLICE_END)
 
 
 def q_series_slice(spark: SparkSession, sf: str) -> DataFrame:
