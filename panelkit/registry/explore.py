@@ -47,9 +47,12 @@ def q_date_bounds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def key_texts(panel: DataFrame) -> DataFrame:
-    """Member keys as the explorer sends them, plus bare delegation codes."""
-    full = panel.select(member_key().alias("member_key")).distinct()
-    bare = panel.select(F.col("clave_delegacion").cast("string").alias("member_key")).distinct()
+    """Member keys as the explorer sends them, plus bare delegation codes.
+    Both come from one distinct (del, subdel) set, so the panel is
+    aggregated once."""
+    pairs = panel.select("clave_delegacion", "clave_subdelegacion").distinct()
+    full = pairs.select(member_key().alias("member_key"))
+    bare = pairs.select(F.col("clave_delegacion").cast("string").alias("member_key")).distinct()
     return full.unionByName(bare)
 
 

@@ -38,8 +38,8 @@ def split_history(spark: SparkSession, sf: str):
 
 def hist_with_ids(spark: SparkSession, sf: str):
     hist, new, gap = split_history(spark, sf)
-    ids = label_ids(hist)
-    return assign_series_ids(hist, ids), ids, new, gap
+    ids = cut_lineage(label_ids(hist))
+    return cut_lineage(assign_series_ids(hist, ids)), ids, new, gap
 
 
 def _fresh_store(spark: SparkSession, df: DataFrame) -> str:
