@@ -139,7 +139,8 @@ def revision_diff(new: DataFrame, stored: DataFrame, tol: float = REVISION_TOLER
     Both sides are first cut to the months they share (a small broadcast
     month list), then full-outer joined null-safe on the panel key.  Rows
     reported: ``changed`` (|new − stored| > tol), ``missing_new``,
-    ``missing_stored`` and ``stored_null``.
+    ``missing_stored`` and ``stored_null``.  Each input is read twice (its
+    months, its rows): pass stored tables or checkpointed frames.
     """
     key = key or [k for k in REVISION_KEY if k in new.columns and k in stored.columns]
     # At most one row per calendar month: the bound is the calendar.
