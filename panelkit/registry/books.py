@@ -10,7 +10,7 @@ from panelkit.functions.text import ACCENTED, PLAIN
 from panelkit.operators import books as B
 from panelkit.plans import history as H
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import panel_geo, rounded_value
+from panelkit.registry.common import panel_geo, rounded_value, rv
 from panelkit.session import cut_lineage, literal_table, scratch_path
 from panelkit.sources.store import write_table
 from panelkit.sources import books as S
@@ -141,7 +141,7 @@ def q_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
         )
     )
     out = revision_diff(p, official, key=XV_KEY)
-    return out.withColumns({c: F.round(F.col(c) + F.lit(0.0000037), 4) for c in ("new_value", "stored_value", "diff")})
+    return out.withColumns({c: rv(c) for c in ("new_value", "stored_value", "diff")})
 
 
 QUERIES = {

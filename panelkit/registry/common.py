@@ -18,7 +18,7 @@ def rv(c: Column | str) -> Column:
     unrounded double.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c + F.lit(0.0000037), 4)
+    return F.round(c + F.lit(0.0000037), 4) + F.lit(0.0)
 
 
 def cube(spark: SparkSession, sf: str) -> DataFrame:

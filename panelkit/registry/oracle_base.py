@@ -150,5 +150,6 @@ PANEL_BASE = with_ctes(F_MICRO, F_DICT, F_GEO, CUBE, CLEAN, FAMILIES, PANEL_STEP
 
 
 def rv(expr: str) -> str:
-    """Rounding used on both sides for non-integral doubles (see README)."""
-    return f"round({expr} + 0.0000037, 4)"
+    """Rounding used on both sides for non-integral doubles (see README);
+    ``+ 0.0`` turns a rounded negative zero into zero."""
+    return f"(round({expr} + 0.0000037, 4) + 0.0)"

@@ -267,7 +267,7 @@ ORACLE["referential_check"] = f"""{O.PANEL_BASE},{_FAM}
     GROUP BY series, disaggregation, code
     UNION ALL
     SELECT NULL, NULL, coalesce(CAST(clave_delegacion AS VARCHAR), 'NA') || '_' || coalesce(CAST(clave_subdelegacion AS VARCHAR), 'NA'),
-      CAST(count(*) AS BIGINT), round(sum(value) + 0.0000037, 4), NULL, 'geography'
+      CAST(count(*) AS BIGINT), {O.rv('sum(value)')}, NULL, 'geography'
     FROM panel_full p WHERE NOT EXISTS (SELECT 1 FROM (SELECT clave_delegacion, clave_subdelegacion FROM f_geo
       UNION ALL SELECT clave_delegacion, CAST(NULL AS INT) FROM f_geo) g WHERE g.clave_delegacion IS NOT DISTINCT FROM p.clave_delegacion
       AND g.clave_subdelegacion IS NOT DISTINCT FROM p.clave_subdelegacion)
