@@ -34,4 +34,8 @@ def test_query_matches_oracle(spark, con, key):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 7324
-    assert "value" in df.columns and "delegacion" in df.columns
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("date", "date"), ("level", "string"), ("clave_delegacion", "int"), ("clave_subdelegacion", "int"),
+        ("series", "string"), ("disaggregation", "string"), ("sheet_name", "string"), ("book_name", "string"),
+        ("value", "double"), ("subdelegacion", "string"), ("delegacion", "string"),
+    ]
