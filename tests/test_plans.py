@@ -83,3 +83,13 @@ def test_store_slice_pushes_predicates_and_prunes_columns(spark):
     assert "EqualTo(series,Asegurados)" in text and "EqualTo(sheet_name,Modalidad 10.1)" in text
     schemas = [ln for ln in text.splitlines() if ln.strip().startswith("ReadSchema:")]
     assert schemas and all("book_name" not in ln for ln in schemas)
+
+
+def test_two_level_slice_aggregates_the_panel_once(spark):
+    from panelkit.registry.common import panel_geo
+    from panelkit.registry.explore import slices
+
+    one_panel = _exchanges(panel_geo(spark, SF_SMALL))
+    sliced = _exchanges(slices(spark, SF_SMALL))
+    # The panel's exchanges appear once, plus the small member-key distinct.
+    assert sliced <= one_panel + 2, (one_panel, sliced)
