@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -70,15 +71,23 @@ def _offsets(col: pa.Array) -> np.ndarray:
 
 
 class WordCache:
-    """A bounded map from a word to what was computed for it; the older half goes when it is full."""
+    """A bounded map from a word to what was computed for it; the older half goes when it is full.
 
-    def __init__(self, entries: int):
-        self.half = entries // 2
+    Words of more than ``longest`` characters are held for one call only.
+    """
+
+    def __init__(self, entries: int, longest: int = 64):
+        self.half, self.longest = entries // 2, longest
         self.young: dict = {}
         self.old: dict = {}
+        self.passing: list = []
 
     def table(self, words: Iterable, compute) -> dict:
         """The whole map, after adding what ``compute(list of missing words)`` gives for those it lacks."""
+        for w in self.passing:
+            self.young.pop(w, None)
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
         missing = []
         young, old = self.young, self.old
         for w in set(words).difference(young):
@@ -88,11 +97,24 @@ class WordCache:
                 young[w] = v
         if missing:
             young.update(zip(missing, compute(missing), strict=True))
-        if len(young) > self.half:
-            self.old, self.young = young, {}
+        self.passing = [w for w in missing if len(w) > self.longest]
         return young
 
 
+#: A space with white space beside it; where there is none, every space starts a new part.
+_ODD_SPACE = re.compile(r"\s | \s")
+_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+
+
+def space_parts(text: str) -> list[str]:
+    """The text cut at its spaces between two characters that are not white space.
+
+    Where the text has no other spaces, that is a plain split.  Joining the
+    parts with a space gives the text back.
+    """
+    return _LONE_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the undirected ``edges`` (a, b): component is the smallest node reachable.
 

@@ -4,17 +4,73 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.llm import langid, quality
+from panelkit.llm.bpe_codec import decode_documents, encode_documents
 from panelkit.llm.exact_dedup import exact_duplicates
+from panelkit.llm.lattice_dedup import near_duplicate_vectors
+from panelkit.llm.packing import pack_documents
+from panelkit.llm.secret_scan import scan_secrets
 from panelkit.llm.sharding import interleaved_shards
+from panelkit.llm.simhash import near_duplicates
+from panelkit.llm.token_counts import count_tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    decoded = decode_documents(encoded, path)
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+    def of(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "literal")
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = interleaved_shards(table(spark, sf_dir, "documents"), shards=40)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -25,6 +81,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op2_token_counts": op2_token_counts,
+    "op3_lattice_dedup": op3_lattice_dedup,
+    "op4_packing": op4_packing,
+    "op5_simhash": op5_simhash,
+    "op6_bpe_codec": op6_bpe_codec,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_quality": op8_quality,
     "op9_interleaved_shards": op9_interleaved_shards,
     "op10_exact_dedup": op10_exact_dedup,
 }
