@@ -173,16 +173,16 @@ class DuckCodec:
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         """Ids of " " + part: one pre-token if the part is all letters, else by the pattern."""
         split = [[f" {p}"] if p.isalpha() and p.isascii() else self.pattern.findall(f" {p}") for p in parts]
-        table = self.words.table((w for own in split for w in own), self._encode_words)
+        table = self.words.table(split, self._encode_words)
         return [b"".join(map(table.__getitem__, own)) for own in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text. Its pre-tokens never reach over a lone space, so parts between such spaces are cached."""
         cut = [space_parts(t) for t in texts]
-        heads = [self.pattern.findall(p[0]) for p in cut]
-        later = self.parts.table((w for p in cut for w in p[1:]), self._encode_parts)
-        first = self.words.table((w for own in heads for w in own), self._encode_words)
-        return [b"".join(map(first.__getitem__, own)) + b"".join(map(later.__getitem__, p[1:])) for own, p in zip(heads, cut, strict=True)]
+        heads = [self.pattern.findall(p.pop(0)) for p in cut]
+        later = self.parts.table(cut, self._encode_parts)
+        first = self.words.table(heads, self._encode_words)
+        return [b"".join(map(first.__getitem__, own)) + b"".join(map(later.__getitem__, p)) for own, p in zip(heads, cut, strict=True)]
 
     def decode(self, encoded: list[bytes]) -> list[bytes]:
         """The bytes that the ids stand for; an unknown id is an error."""

@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +71,29 @@ def _offsets(col: pa.Array) -> np.ndarray:
     return np.frombuffer(col.buffers()[1], dtype=kind, count=len(col) + 1, offset=col.offset * np.dtype(kind).itemsize).astype(np.int64)
 
 
+def bitmap_filter(keys: DataFrame, rows: int, max_bits: int = 26):
+    """A boolean function of a 64-bit key column that is false only for keys that ``keys`` (column ``fp``) lacks.
+
+    A bit for the leading digits of every key; the bitmap is built by a
+    grouped ``bit_or`` and has at most 2**max_bits bits (8 MB), so collecting
+    and broadcasting it is bounded.  Past that size it lets more keys through.
+    """
+    bits = min(max_bits, max(12, (64 * rows).bit_length()))
+    spot = F.shiftrightunsigned("fp", 64 - bits)
+    mask = F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(fp, {64 - bits}) & 63 AS int)))")
+    table = keys.groupBy(F.shiftright(spot, 6).alias("word")).agg(mask.alias("mask")).toArrow()
+    bitmap = np.zeros(1 << (bits - 6), np.uint64)
+    bitmap[table["word"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
+    shared = keys.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def listed(fp: pd.Series) -> pd.Series:
+        at = fp.to_numpy().astype(np.int64).view(np.uint64) >> np.uint64(64 - bits)
+        return pd.Series((shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool))
+
+    return listed
+
+
 class WordCache:
     """A bounded map from a word to what was computed for it; the older half goes when it is full.
 
@@ -82,15 +106,19 @@ class WordCache:
         self.old: dict = {}
         self.passing: list = []
 
-    def table(self, words: Iterable, compute) -> dict:
-        """The whole map, after adding what ``compute(list of missing words)`` gives for those it lacks."""
+    def get(self, word):
+        """What is held for ``word``, or None."""
+        return self.young.get(word) or self.old.get(word)
+
+    def table(self, groups: Iterable[Iterable], compute) -> dict:
+        """The whole map, after adding what ``compute(list of missing words)`` gives for those it lacks of all groups."""
         for w in self.passing:
             self.young.pop(w, None)
         if len(self.young) > self.half:
             self.old, self.young = self.young, {}
         missing = []
         young, old = self.young, self.old
-        for w in set(words).difference(young):
+        for w in set().union(*groups).difference(young):
             if (v := old.get(w)) is None:
                 missing.append(w)
             else:
@@ -101,8 +129,8 @@ class WordCache:
         return young
 
 
-#: A space with white space beside it; where there is none, every space starts a new part.
-_ODD_SPACE = re.compile(r"\s | \s")
+#: All other white space, as plain characters.
+_WHITE = [chr(c) for c in range(1, 0x3001) if chr(c).isspace() and c != 0x20]
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -112,7 +140,9 @@ def space_parts(text: str) -> list[str]:
     Where the text has no other spaces, that is a plain split.  Joining the
     parts with a space gives the text back.
     """
-    return _LONE_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+    if "  " in text or any(w in text and (f" {w}" in text or f"{w} " in text) for w in _WHITE):
+        return _LONE_SPACE.split(text)
+    return text.split(" ")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

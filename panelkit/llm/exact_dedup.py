@@ -7,9 +7,9 @@ adding the counts of equal remainders.  Fingerprints whose merged count is
 above one route their documents to byte verification, which groups whole
 texts; all other documents are known to be alone and their texts never move.
 
-Routing uses a bitmap over the high bits of the repeated fingerprints. It
-has at most 2**MAX_ROUTE_BITS bits, so what is broadcast is bounded; a bit
-shared by chance only sends one more document to verification.
+Routing uses a bitmap of bounded size over the high bits of the repeated
+fingerprints; a bit shared by chance only sends one more document to
+verification.
 
 Null text counts as empty.  Of equal texts the largest doc_id stays (nulls
 last); of rows that tie on it, exactly one.  Empty tables give empty results.
@@ -25,11 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import narrow, ship_package
+from panelkit.llm.common import bitmap_filter, narrow, ship_package
 from panelkit.session import cut_lineage
 
 BLOCK_FINGERPRINTS = 1 << 14
-MAX_ROUTE_BITS = 26
 
 
 class CountingQuotientFilter:
@@ -92,30 +91,12 @@ def repeated_fingerprints(fps: DataFrame, block_bits: int) -> DataFrame:
     return filters.groupBy("block").applyInPandas(merge, "fp long, n long")
 
 
-def _router(repeated: DataFrame, rows: int):
-    """A boolean column expression of ``fp``: false only where the fingerprint is not repeated."""
-    bits = min(MAX_ROUTE_BITS, max(12, (64 * rows).bit_length()))
-    spot = F.shiftrightunsigned("fp", 64 - bits)
-    words = repeated.groupBy(F.shiftright(spot, 6).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(fp, {64 - bits}) & 63 AS int)))").alias("mask"))
-    table = words.toArrow()
-    bitmap = np.zeros(1 << (bits - 6), np.uint64)
-    bitmap[table["word"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
-    shared = repeated.sparkSession.sparkContext.broadcast(bitmap)
-
-    @F.pandas_udf("boolean")
-    def routed(fp: pd.Series) -> pd.Series:
-        at = fp.to_numpy().astype(np.int64).view(np.uint64) >> np.uint64(64 - bits)
-        return pd.Series((shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool))
-
-    return routed
-
-
 def _routing(texts: DataFrame):
     """``texts`` has ``fp``. Counts, filters and merges; returns the routing expression and the checkpointed repeats."""
     rows = texts.count()
     block_bits = max(0, (rows // BLOCK_FINGERPRINTS).bit_length())
     repeated = cut_lineage(repeated_fingerprints(texts, block_bits))
-    return _router(repeated, repeated.count())
+    return bitmap_filter(repeated, repeated.count())
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -60,6 +60,7 @@ class CachedEncoder:
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.opens = np.array([n.startswith("Ġ") for n in names])
         self.ends_sentence = np.array([n.endswith((".", "!", "?")) or "Ċ" in n for n in names])
+        self.stops = dict(zip(".,", self.encode_all([".", ","]), strict=True))
         self.first = WordCache(CACHE_WORDS // 8)
         self.later = WordCache(CACHE_WORDS)
 
@@ -70,7 +71,10 @@ class CachedEncoder:
     def _encode_later(self, words: list[str]) -> list[bytes]:
         """Ids of " " + word; plain words are encoded many at a time and told apart by their leading space."""
         out: dict[str, bytes] = {}
-        plain = [w for w in words if w and " " not in w and not w[0].isspace() and not w[-1].isspace()]
+        # A Latin word and the full stop or comma behind it are two pre-tokens: only the word needs encoding.
+        stems = {w: w[:-1] for w in words if w[-1:] in self.stops and w[:-1].isalpha() and max(w) < "\u0250"}
+        out.update((s, known) for s in stems.values() if (known := self.later.get(s)))
+        plain = [w for w in {*words, *stems.values()}.difference(stems, out) if w and " " not in w and not w[0].isspace() and not w[-1].isspace()]
         for at in range(0, len(plain), _JOINED):
             part = plain[at : at + _JOINED]
             ids = np.frombuffer(self.encode_all([" " + " ".join(part)])[0], "<u4")
@@ -80,15 +84,17 @@ class CachedEncoder:
                 out.update((w, raw[a:b]) for w, a, b in zip(part, edges, edges[1:]))
         for w in words:
             if w not in out:
-                out[w] = self.encode_all([" " + w])[0]
+                stem = stems.get(w)
+                out[w] = out[stem] + self.stops[w[-1]] if stem in out else self.encode_all([" " + w])[0]
         return [out[w] for w in words]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         parts = [space_parts(t) for t in texts]
-        first = self.first.table((p[0] for p in parts), self.encode_all)
-        later = self.later.table((w for p in parts for w in p[1:]), self._encode_later)
-        return [first[p[0]] + b"".join(map(later.__getitem__, p[1:])) for p in parts]
+        heads = [p.pop(0) for p in parts]
+        first = self.first.table([heads], self.encode_all)
+        later = self.later.table(parts, self._encode_later)
+        return [first[h] + b"".join(map(later.__getitem__, p)) for h, p in zip(heads, parts, strict=True)]
 
 
 _encoders: dict[int, CachedEncoder] = {}

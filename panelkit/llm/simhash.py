@@ -10,11 +10,10 @@ bits; table v (any non-zero vector of r + 1 bits) keeps the positions whose
 vector has an odd product with v.  Any r positions leave some v with an even
 product on all of them, so every pair within the radius agrees in at least one
 of the 2**(r+1) - 1 tables: nothing is lost.  Only distinct fingerprints are
-hashed.  A bucket of more than ``bucket_rows`` of them is dealt out again by
-the masks of further vectors added to its own, which keeps the guarantee
-and the work per bucket bounded, until no bucket is larger (each level
-fixes more bits).  Inside a bucket pairs are compared in blocks and only a spanning
-star per class leaves it, never its pairs.
+hashed.  A bucket of more than ``bucket_rows`` of them is dealt out over a grid
+of chunk pairs, so a task holds two chunks at most and every pair of the
+bucket still meets once.  Inside, pairs are compared in blocks and only a
+spanning star per class leaves, never the pairs.
 
 Null text counts as empty.  A null doc_id takes part, but never names a
 component: a component without any other id has a null component_id.
@@ -31,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import connected_components, find, narrow, slices, union_all
+from panelkit.llm.common import bitmap_filter, connected_components, find, narrow, slices, union_all
 from panelkit.session import cut_lineage
 
 SEED = 42
@@ -108,23 +107,19 @@ def _bucket_edges(radius: int):
 
 def linking_edges(fps: DataFrame, radius: int = 3, bucket_rows: int = BUCKET_ROWS, seed: int = 5) -> DataFrame:
     """Edges (a, b) between the distinct values of ``fp`` that connect exactly what lies within ``radius`` bits."""
-    rows = fps.select("fp", F.lit(0).cast("long").alias("kept"))  # kept: positions already fixed
-    found: DataFrame | None = None
-    level = 0
-    while True:
-        masks = F.array(*[F.lit(_signed(m)).cast("long") for m in covering_masks(radius, seed=seed + level)])
-        dealt = rows.withColumn("mask", F.explode(masks)).select("fp", F.expr("kept | mask").alias("kept")).distinct() if level else rows.withColumn("kept", F.explode(masks))
-        dealt = dealt.withColumn("key", F.expr("fp & kept"))
-        large = cut_lineage(dealt.groupBy("kept", "key").agg(F.count("*").alias("n")).where(f"n > {bucket_rows}").select("kept", "key"))
-        none_left = large.isEmpty()
-        small = dealt if none_left else dealt.join(large, ["kept", "key"], "left_anti")
-        lists = small.groupBy("kept", "key").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("fps")
-        edges = lists.mapInArrow(_bucket_edges(radius), "a long, b long")
-        found = edges if found is None else found.union(edges)
-        if none_left:
-            return found
-        rows = cut_lineage(dealt.join(large, ["kept", "key"], "left_semi").select("fp", "kept"))
-        level += 1
+    masks = F.array(*[F.lit(_signed(m)).cast("long") for m in covering_masks(radius, seed=seed)])
+    dealt = fps.select("fp", F.posexplode(masks).alias("mask", "bits")).select("fp", "mask", F.expr("fp & bits").alias("key"))
+    large = cut_lineage(dealt.groupBy("mask", "key").agg(F.count("*").alias("n")).where(f"n > {bucket_rows}"))
+    if large.isEmpty():
+        dealt = dealt.select("fp", "mask", "key", F.lit(0).alias("row"), F.lit(0).alias("col"))
+    else:
+        chunks = F.coalesce(F.ceil(F.col("n") / bucket_rows), F.lit(1)).cast("int")
+        side = F.pmod(F.xxhash64("fp", F.lit("chunk")), F.col("chunks")).cast("int")
+        sized = dealt.join(large, ["mask", "key"], "left").withColumn("chunks", chunks).withColumn("side", side)
+        sized = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        dealt = sized.select("fp", "mask", "key", F.least("side", "other").alias("row"), F.greatest("side", "other").alias("col"))
+    lists = dealt.groupBy("mask", "key", "row", "col").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("fps")
+    return lists.mapInArrow(_bucket_edges(radius), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -143,8 +138,13 @@ def drop_near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_co
     """The rows of ``docs``, all columns, that are the smallest doc_id of their component.
 
     Rows with a null doc_id stay.  doc_id must name a row: of rows that
-    repeat one doc_id all stay or all go.
+    repeat one doc_id all stay or all go.  A bounded bitmap of the dropped
+    ids lets most rows pass without a shuffle of their texts.
     """
     found = near_duplicates(docs, words, radius, id_col, text_col)
-    dropped = cut_lineage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct())
-    return docs.join(dropped, F.col(f"`{id_col}`") == F.col("__dropped"), "left_anti")
+    dropped = cut_lineage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped_doc_id")).distinct())
+    key = F.xxhash64(F.col(f"`{id_col}`").cast("long"))
+    listed = bitmap_filter(dropped.select(F.xxhash64("dropped_doc_id").alias("fp")), dropped.count())
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("fp"))
+    suspects = whole.where(listed("fp")).join(dropped, F.col("row")[id_col] == F.col("dropped_doc_id"), "left_anti")
+    return whole.where(~listed("fp")).select("row.*").union(suspects.select("row.*"))

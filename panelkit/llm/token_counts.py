@@ -172,7 +172,7 @@ class TokenCounter:
                 units.append([u[1:] for u in _UNIT.findall(MARK + text.replace(" ", MARK))])
             else:
                 units.append(text.split(" "))
-        table = self.cache.table((u for own in units for u in own), self._count)
+        table = self.cache.table(units, self._count)
         return [sum(map(table.__getitem__, own)) for own in units]
 
 
