@@ -36,11 +36,14 @@ def microdata_counts(micro: DataFrame, keys: list[str] | None = None, sort: bool
 def clean_counts(cube: DataFrame, month: dt.date | str | None = None) -> DataFrame:
     """Rename geography keys, derive the modality code, clean the size label.
 
-    When ``month`` is given (a single-month extract) it becomes the ``date``
-    column, as in the monthly pipeline; otherwise the cube's own ``date``
-    column is kept.
+    When ``month`` is given, only the cells of that month are taken, and cells
+    without a date (an extract without one) belong to it; otherwise the
+    cube's own ``date`` column is kept.
     """
     out = cube.withColumnsRenamed({"cve_del_final": "clave_delegacion", "cve_subdel_final": "clave_subdelegacion"})
     if month is not None:
-        out = out.withColumn("date", F.lit(month).cast("date"))
+        own = F.lit(month).cast("date")
+        if "date" in out.columns:
+            out = out.where(F.col("date").isNull() | (F.col("date") == own))
+        out = out.withColumn("date", own)
     return out.withColumns({"cve_modalidad": modality_code("mod", "tipotrc"), "size_cierre": size_label("size_cierre")})

@@ -29,14 +29,11 @@ def pruned_slice(spark: SparkSession, path: str, series: str, disaggregation: st
     the join on the partition columns lets dynamic partition pruning skip
     every other series' directory at scan time.
     """
-    store = read_panel(spark, path)
-    ids = (
-        store_ids(spark, path)
-        .where((F.col("series") == series) & (F.col("disaggregation") == disaggregation) & (F.col("sheet_name") == sheet_name))
-        .select("book_id", "sheet_id")
-        .distinct()
-    )
-    return store.join(ids, ["book_id", "sheet_id"], "left_semi").select(*EXPLORER_COLUMNS)
+    named = (F.col("series") == series) & (F.col("disaggregation") == disaggregation) & (F.col("sheet_name") == sheet_name)
+    store = read_panel(spark, path).where(named)  # one id can hold several disaggregations of a level's book and sheet
+    ids = store_ids(spark, path).where(named).select(F.col("book_id").alias("b"), F.col("sheet_id").alias("s")).distinct()
+    same = F.col("book_id").eqNullSafe(F.col("b")) & F.col("sheet_id").eqNullSafe(F.col("s"))
+    return store.join(ids, same, "left_semi").select(*EXPLORER_COLUMNS)
 
 
 def series_choices(panel: DataFrame) -> DataFrame:

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.operators.continuity import require_continuity
-from panelkit.operators.ids import assign_series_ids, stored_ids
+from panelkit.operators.ids import ID_COLUMNS, assign_series_ids, extend_ids, stored_ids
 from panelkit.operators.micro import clean_counts, microdata_counts
 from panelkit.operators.panel import build_panel, with_geo
 from panelkit.operators.quality import require_unique_dictionary
 from panelkit.operators.snapshot import require_non_empty
 from panelkit.session import cut_lineage
-from panelkit.sources.store import append_ids, append_months, append_panel, read_panel, store_ids, store_months
+from panelkit.sources.store import append_ids, append_months, append_panel, read_panel, replace_month, store_ids, store_months
 
 
 def new_month_panel(micro: DataFrame, dic: DataFrame, geo: DataFrame, month: dt.date | str | None = None) -> DataFrame:
@@ -36,21 +36,34 @@ def updated_panel(stored: DataFrame, new: DataFrame) -> DataFrame:
     return new_ids.unionByName(stored, allowMissingColumns=True)
 
 
-def update_store(spark: SparkSession, store_path: str, new: DataFrame) -> DataFrame:
-    """Append the new month to the store behind the gate; return the store."""
-    stored = store_months(spark, store_path)
+def update_store(spark: SparkSession, store_path: str, new: DataFrame, resume: bool = False) -> DataFrame:
+    """Append the new month to the store behind the gate; return the store.
+
+    The ids of new series are numbered and written before the data, and the
+    old ids are read before anything is written, so a run that dies at any
+    step loses no id.  ``resume`` completes such a run: whatever it left of
+    the month is replaced, and the side tables are brought up to date.
+    """
+    old_ids = cut_lineage(store_ids(spark, store_path))
     # Checkpoint first: the gate (which also refuses an empty month) and the
     # write then read the materialised month instead of recomputing the
     # register aggregate.
-    new_ids = cut_lineage(assign_series_ids(new, store_ids(spark, store_path)))
+    new_ids = cut_lineage(assign_series_ids(new, extend_ids(old_ids.select(*ID_COLUMNS), new)))
+    stored = store_months(spark, store_path)
+    if resume:
+        stored = stored.join(new_ids.select("date").distinct(), "date", "left_anti")
     month = require_continuity(stored, new_ids.select("date"))
-    # The month table is written after the data; if a run died in between,
-    # the table lags.  A pushed-down probe of the store (row-group statistics
+    # The month list is written after the data; if a run died in between,
+    # the list lags.  A pushed-down probe of the store (row-group statistics
     # skip every other month) makes a second append of the month impossible.
-    if not read_panel(spark, store_path, ["date"]).where(F.col("date") == F.lit(month)).isEmpty():
+    held = not read_panel(spark, store_path, ["date"]).where(F.col("date") == F.lit(month)).isEmpty()
+    if held and not resume:
         raise ValueError(f"month {month} is already in the store")
-    append_panel(new_ids, store_path)
     append_ids(spark, new_ids, store_path)
+    if held:
+        replace_month(spark, store_path, new_ids)
+    else:
+        append_panel(new_ids, store_path)
     append_months(new_ids, store_path)
     return read_panel(spark, store_path)
 

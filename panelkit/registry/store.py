@@ -13,10 +13,11 @@ from panelkit.registry.common import panel, panel_geo, rounded_value
 from panelkit.schema import EXPLORER_COLUMNS, PANEL_COLUMNS
 from panelkit.session import cut_lineage, scratch_path
 from panelkit.plans.explorer import pruned_slice
-from panelkit.sources.store import read_panel, reset_panel
+from panelkit.sources.store import compact_store, read_panel, replace_month, reset_panel
 
 # The slice used by the pruning scan.
 SLICE = {"series": "Asegurados", "disaggregation": "Modalidad", "sheet_name": "Modalidad 10.1"}
+NEW_SHEET, DROPPED_SHEET = "Modalidad nueva", "Modalidad 14"
 
 
 def _max_date(df: DataFrame):
@@ -106,7 +107,41 @@ def q_monthly_stream_update(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_value(read_panel(spark, store))
 
 
+def with_new_series(new: DataFrame) -> DataFrame:
+    """The month with one more sheet than the history knows: copies of a family's rows under a new name."""
+    family = (F.col("series") == SLICE["series"]) & (F.col("disaggregation") == SLICE["disaggregation"])
+    copy = new.where(family).withColumn("sheet_name", F.lit(NEW_SHEET))
+    return new.unionByName(copy)
+
+
+def q_panel_update_new_series(spark: SparkSession, sf: str) -> DataFrame:
+    h, _, new, _ = hist_with_ids(spark, sf)
+    path = _fresh_store(spark, h)
+    return rounded_value(update_store(spark, path, with_new_series(new)))
+
+
+def q_pruned_slice_new_series(spark: SparkSession, sf: str) -> DataFrame:
+    h, _, new, _ = hist_with_ids(spark, sf)
+    path = _fresh_store(spark, h)
+    update_store(spark, path, with_new_series(new))
+    return rounded_value(pruned_slice(spark, path, **(SLICE | {"sheet_name": NEW_SHEET})))
+
+
+def q_panel_replace_month(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored last month is published again, revised and without one series."""
+    h, ids, new, _ = hist_with_ids(spark, sf)
+    path = _fresh_store(spark, h)
+    update_store(spark, path, new)
+    revised = new.where(F.col("sheet_name") != DROPPED_SHEET).withColumn("value", F.col("value") + 1)
+    replace_month(spark, path, assign_series_ids(revised, ids))
+    compact_store(spark, path)
+    return rounded_value(read_panel(spark, path))
+
+
 QUERIES = {
+    "panel_update_new_series": q_panel_update_new_series,
+    "pruned_slice_new_series": q_pruned_slice_new_series,
+    "panel_replace_month": q_panel_replace_month,
     "monthly_stream_update": q_monthly_stream_update,
     "assign_series_ids": q_assign_series_ids,
     "month_continuity": q_month_continuity,
@@ -135,6 +170,21 @@ gap_ids AS (
   SELECT g.*, i.book_id, i.sheet_id FROM gap g LEFT JOIN ids i
   ON g.sheet_name IS NOT DISTINCT FROM i.sheet_name AND g.book_name IS NOT DISTINCT FROM i.book_name AND g.level IS NOT DISTINCT FROM i.level)"""
 
+# The month with one more sheet; its labels get the next free numbers in sorted order.
+NEW_SERIES = HIST + """,
+new2 AS (SELECT * FROM newm UNION ALL SELECT * REPLACE ('Modalidad nueva' AS sheet_name) FROM newm
+  WHERE series = 'Asegurados' AND disaggregation = 'Modalidad'),
+fresh AS (SELECT DISTINCT level, book_name, sheet_name FROM new2 WHERE sheet_name = 'Modalidad nueva'),
+ids2 AS (
+  SELECT book_id, sheet_id, level, book_name, sheet_name FROM ids
+  UNION ALL
+  SELECT b.book_id, CAST((SELECT max(sheet_id) FROM ids) + row_number() OVER (ORDER BY f.level, f.book_name, f.sheet_name) AS INT),
+         f.level, f.book_name, f.sheet_name
+  FROM fresh f JOIN (SELECT DISTINCT book_id, level, book_name FROM ids) b ON b.level = f.level AND b.book_name = f.book_name),
+new2_ids AS (
+  SELECT n.*, i.book_id, i.sheet_id FROM new2 n LEFT JOIN ids2 i
+  ON n.sheet_name IS NOT DISTINCT FROM i.sheet_name AND n.book_name IS NOT DISTINCT FROM i.book_name AND n.level IS NOT DISTINCT FROM i.level)"""
+
 _COLS = ", ".join(c for c in PANEL_COLUMNS if c != "value")
 _XCOLS = ", ".join(c for c in EXPLORER_COLUMNS if c != "value")
 
@@ -150,6 +200,13 @@ FROM (SELECT max(date) AS last_stored FROM {stored}) s,
 _GKEY = "level, series, disaggregation, sheet_name, book_name, clave_delegacion, clave_subdelegacion"
 
 ORACLE = {
+    "panel_update_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_COLS}, {O.rv('value')} AS value FROM
+        (SELECT {_COLS}, value FROM hist_ids UNION ALL SELECT {_COLS}, value FROM new2_ids) u""",
+    "pruned_slice_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_XCOLS}, {O.rv('value')} AS value FROM new2_ids
+        WHERE series = 'Asegurados' AND disaggregation = 'Modalidad' AND sheet_name = 'Modalidad nueva'""",
+    "panel_replace_month": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM
+        (SELECT {_COLS}, value FROM hist_ids UNION ALL
+         SELECT {_COLS}, value + 1 AS value FROM new_ids WHERE sheet_name <> 'Modalidad 14') u""",
     "monthly_stream_update": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM
         (SELECT {_COLS}, value FROM hist_ids UNION ALL SELECT {_COLS}, value FROM new_ids) u""",
     "assign_series_ids": f"{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM new_ids",

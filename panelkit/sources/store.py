@@ -9,7 +9,10 @@ Next to the store sit two small tables: its id dimension (``<store>_ids``,
 one row per series label with its (book_id, sheet_id)) and its month list
 (``<store>_months``).  Updates, the continuity gate and name-based slices
 read those instead of scanning a history that grows by one file per series
-and month (a reset rewrites and so compacts the store).
+and month.  A side table that was never written is rebuilt from the store;
+only a missing path counts as "never written", every other error is raised.
+``replace_month`` publishes a revised month and ``compact_store`` rewrites
+the small files of many updates.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.schema import PANEL, PANEL_COLUMNS
+from panelkit.session import cut_lineage
 
 PARTITION_COLUMNS = ["book_id", "sheet_id"]
 ID_TABLE_COLUMNS = ["book_id", "sheet_id", "book_name", "sheet_name", "level", "series", "disaggregation"]
@@ -38,13 +42,18 @@ def _ids_of(df: DataFrame) -> DataFrame:
     return df.select(*ID_TABLE_COLUMNS).distinct()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system (any other failure raises)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def store_ids(spark: SparkSession, path: str) -> DataFrame:
-    """The store's id dimension (falls back to the store itself if absent)."""
+    """The store's id dimension, from the store itself if it was never written."""
     schema = PANEL.__class__([PANEL[c] for c in ID_TABLE_COLUMNS])
-    try:
+    if path_exists(spark, ids_path(path)):
         return spark.read.schema(schema).parquet(ids_path(path))
-    except Exception:  # noqa: BLE001 - no id table written yet
-        return _ids_of(read_panel(spark, path))
+    return _ids_of(read_panel(spark, path))
 
 
 def months_path(path: str) -> str:
@@ -52,26 +61,43 @@ def months_path(path: str) -> str:
 
 
 def store_months(spark: SparkSession, path: str) -> DataFrame:
-    """Stored months (falls back to the store's date column if absent)."""
-    try:
-        return spark.read.schema(PANEL.__class__([PANEL["date"]])).parquet(months_path(path))
-    except Exception:  # noqa: BLE001 - no month table written yet
-        return read_panel(spark, path, ["date"]).distinct()
+    """Stored months, from the store's date column if the list was never written."""
+    if path_exists(spark, months_path(path)):
+        return spark.read.schema(PANEL.__class__([PANEL["date"]])).parquet(months_path(path)).distinct()
+    return read_panel(spark, path, ["date"]).distinct()
 
 
 def append_months(df: DataFrame, path: str) -> None:
-    df.select("date").distinct().write.mode("append").parquet(months_path(path))
+    """Add the months of ``df`` that the list lacks; write the whole list where there is none."""
+    spark = df.sparkSession
+    new = df.select("date").distinct()
+    if path_exists(spark, months_path(path)):
+        new.join(store_months(spark, path), "date", "left_anti").write.mode("append").parquet(months_path(path))
+    else:
+        cut_lineage(store_months(spark, path).union(new).distinct()).write.parquet(months_path(path))
 
 
-def append_ids(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Add the labels of ``df`` that the id table does not hold yet."""
-    new = _ids_of(df)
-    old = store_ids(spark, path)
+def append_ids(spark: SparkSession, ids: DataFrame, path: str) -> None:
+    """Add the rows of ``ids`` that the id table lacks; write the whole table where there is none.
+
+    An id table without a row, or a row without ids, is refused: later
+    updates would lose the ids of known series.
+    """
+    new, old = ids.select(*ID_TABLE_COLUMNS).distinct(), store_ids(spark, path)
     cond = None
     for c in ID_TABLE_COLUMNS:
         e = new[c].eqNullSafe(old[c])
         cond = e if cond is None else cond & e
-    new.join(old, cond, "left_anti").write.mode("append").parquet(ids_path(path))
+    added = cut_lineage(new.join(old, cond, "left_anti"))
+    if not added.where(F.col("book_id").isNull() | F.col("sheet_id").isNull()).isEmpty():
+        raise ValueError("a series without ids cannot enter the id table")
+    if path_exists(spark, ids_path(path)):
+        added.write.mode("append").parquet(ids_path(path))
+        return
+    whole = cut_lineage(old.union(added))
+    if whole.isEmpty():
+        raise ValueError("an empty id table is refused")
+    whole.write.parquet(ids_path(path))
 
 
 def _layout(df: DataFrame) -> DataFrame:
@@ -98,9 +124,47 @@ def overwrite_partitions(df: DataFrame, path: str) -> None:
     )
 
 
+def replace_month(spark: SparkSession, path: str, new: DataFrame) -> None:
+    """Publish ``new`` (with ids) in place of what the store holds for its months.
+
+    The affected (book_id, sheet_id) partitions, old and new, are written
+    anew from a checkpoint and swapped in by one dynamic partition overwrite;
+    a partition that only held the replaced months is removed by an empty
+    rewrite of its rows.  Running it again gives the same store.
+    """
+    months = cut_lineage(new.select("date").distinct())
+    store = read_panel(spark, path)
+    held = store.join(months, "date", "left_semi").select(*PARTITION_COLUMNS)
+    affected = cut_lineage(held.union(new.select(*PARTITION_COLUMNS)).distinct())
+    kept = store.join(affected, PARTITION_COLUMNS, "left_semi").join(months, "date", "left_anti")
+    whole = cut_lineage(kept.select(*PANEL_COLUMNS).unionByName(new.select(*PANEL_COLUMNS)))
+    emptied = affected.join(whole.select(*PARTITION_COLUMNS).distinct(), PARTITION_COLUMNS, "left_anti").collect()
+    overwrite_partitions(whole, path)
+    for r in emptied:  # folders of series that lost their only month: bounded by the id table
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/book_id={r.book_id}/sheet_id={r.sheet_id}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def compact_store(spark: SparkSession, path: str) -> None:
+    """Rewrite every partition's many small monthly files as few ordered ones; the rows stay the same."""
+    overwrite_partitions(cut_lineage(read_panel(spark, path)), path)
+
+
+def _input_roots(df: DataFrame) -> list[str]:
+    """Root folders of the file scans under ``df`` (one per scan, never the files)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    roots = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and hasattr(leaf.relation(), "location"):
+            paths = leaf.relation().location().rootPaths()
+            roots += [paths.apply(j).toUri().getPath() for j in range(paths.size())]
+    return roots
+
+
 def _reads_from(df: DataFrame, path: str) -> bool:
-    target = path.rstrip("/")
-    return any(target in f for f in df.inputFiles())
+    target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath().rstrip("/")
+    return any(f == target or f.startswith(target + "/") or target.startswith(f + "/") for f in map(lambda r: r.rstrip("/"), _input_roots(df)))
 
 
 def reset_panel(df: DataFrame, path: str) -> None:

@@ -8,16 +8,18 @@ micro-batch to the same gated update as the batch pipeline.
 A batch may hold several months (a backlog); they are applied in calendar
 order, each behind the continuity gate.
 
-Exactly-once: the stream's checkpoint sits in the shared folder, and every
-month applied by a micro-batch leaves an (epoch, month) marker next to that
-checkpoint.  A batch replayed after a failure — between two months, or
-between the append and the offset commit — skips the months it already
-applied; a month dropped again in a *new* batch is refused by the gate.
+Exactly-once: the stream's checkpoint sits in the shared folder.  Before a
+month is touched, an (epoch, month) intent is written next to that
+checkpoint, and a marker after its last step.  A batch replayed after a
+failure skips months with a marker and completes months with an intent only:
+whatever the dead run left of the month is replaced, and the id and month
+tables are brought up to date.  A month dropped again in a *new* batch is
+refused by the gate.  Files must land complete (written elsewhere and
+renamed), one drop per month.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
@@ -25,27 +27,26 @@ from pyspark.sql.types import DateType, LongType, StructField, StructType
 from panelkit.plans.monthly import new_month_panel, update_store
 from panelkit.schema import MICRO
 from panelkit.session import scratch_path
+from panelkit.sources.store import path_exists
 
 EPOCHS = StructType([StructField("epoch_id", LongType()), StructField("date", DateType())])
 
 
-def _epochs_path(checkpoint: str) -> str:
+def _marks_path(checkpoint: str, kind: str) -> str:
     # Epoch ids are only meaningful for one stream checkpoint.
-    return checkpoint.rstrip("/") + "_applied_epochs"
+    return f"{checkpoint.rstrip('/')}_{kind}_epochs"
 
 
-def _applied_months(spark: SparkSession, checkpoint: str, epoch_id: int) -> set:
-    try:
-        marks = spark.read.schema(EPOCHS).parquet(_epochs_path(checkpoint))
-    except AnalysisException:
+def _marked_months(spark: SparkSession, checkpoint: str, kind: str, epoch_id: int) -> set:
+    path = _marks_path(checkpoint, kind)
+    if not path_exists(spark, path):
         return set()
-    return {r[0] for r in marks.where(F.col("epoch_id") == epoch_id).select("date").collect()}
+    return {r[0] for r in spark.read.schema(EPOCHS).parquet(path).where(F.col("epoch_id") == epoch_id).select("date").collect()}
 
 
-def _mark_applied(spark: SparkSession, checkpoint: str, epoch_id: int, month) -> None:
-    spark.range(1).select(F.lit(epoch_id).cast("long").alias("epoch_id"), F.lit(month).cast("date").alias("date")).write.mode(
-        "append"
-    ).parquet(_epochs_path(checkpoint))
+def _mark(spark: SparkSession, checkpoint: str, kind: str, epoch_id: int, month) -> None:
+    row = spark.range(1).select(F.lit(epoch_id).cast("long").alias("epoch_id"), F.lit(month).cast("date").alias("date"))
+    row.write.mode("append").parquet(_marks_path(checkpoint, kind))
 
 
 def start_monthly_drop(
@@ -69,12 +70,16 @@ def start_monthly_drop(
         # calendar order, each behind the gate.  The month list of a batch is
         # a handful of dates (a plan parameter), not data.
         months = [r[0] for r in batch.select("date").distinct().orderBy("date").collect()]
-        done = _applied_months(spark, checkpoint, epoch_id) if months else set()
+        done = _marked_months(spark, checkpoint, "applied", epoch_id) if months else set()
+        begun = _marked_months(spark, checkpoint, "begun", epoch_id) if months else set()
         for month in months:
             if month in done:
                 continue
-            update_store(spark, store_path, new_month_panel(batch.where(F.col("date") == F.lit(month)), dic, geo))
-            _mark_applied(spark, checkpoint, epoch_id, month)
+            if month not in begun:
+                _mark(spark, checkpoint, "begun", epoch_id, month)
+            panel = new_month_panel(batch.where(F.col("date") == F.lit(month)), dic, geo)
+            update_store(spark, store_path, panel, resume=month in begun)
+            _mark(spark, checkpoint, "applied", epoch_id, month)
 
     return (
         micro.writeStream.foreachBatch(apply_batch)

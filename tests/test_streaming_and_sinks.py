@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from panelkit.operators.ids import assign_series_ids, label_ids
+from panelkit.plans.monthly import update_store
 from panelkit.registry.common import panel_geo
 from panelkit.registry.store import split_history
 from panelkit.session import scratch_path
@@ -37,12 +38,12 @@ def test_stream_appends_once_and_refuses_a_repeated_drop(spark):
 def test_replayed_epoch_is_skipped(spark):
     import datetime as dt
 
-    from panelkit.streaming.monthly_drop import _applied_months, _mark_applied
+    from panelkit.streaming.monthly_drop import _mark, _marked_months
 
     ck = scratch_path(spark, "epochs")
-    assert _applied_months(spark, ck, 3) == set()
-    _mark_applied(spark, ck, 3, dt.date(2001, 7, 1))
-    assert _applied_months(spark, ck, 3) == {dt.date(2001, 7, 1)} and _applied_months(spark, ck, 4) == set()
+    assert _marked_months(spark, ck, "applied", 3) == set()
+    _mark(spark, ck, "applied", 3, dt.date(2001, 7, 1))
+    assert _marked_months(spark, ck, "applied", 3) == {dt.date(2001, 7, 1)} and _marked_months(spark, ck, "applied", 4) == set()
 
 
 def test_stream_applies_a_two_month_backlog_in_order(spark):
@@ -153,3 +154,103 @@ def test_latest_snapshot_from_a_folder(spark, tmp_path):
         (tmp_path / name).write_bytes(b"x")
     got = [(r.full_periodo, r.periodo) for r in latest_snapshot(list_snapshots(spark, str(tmp_path))).collect()]
     assert got == [("pafinalmes202502.sas7bdat", "pafinalmes202502")]
+
+
+def _stores(spark):
+    hist, new, _ = split_history(spark, SF_SMALL)
+    store = scratch_path(spark, "test-store")
+    reset_panel(assign_series_ids(hist, label_ids(hist)), store)
+    return store, hist, new
+
+
+def _rows(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+def test_update_without_an_id_table_keeps_all_ids(spark):
+    from panelkit.sources import store as S
+
+    store, _, new = _stores(spark)
+    known = _rows(S.store_ids(spark, store))
+    p = spark._jvm.org.apache.hadoop.fs.Path(S.ids_path(store))
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    update_store(spark, store, new)
+    assert S.path_exists(spark, S.ids_path(store)) and set(known) <= set(_rows(S.store_ids(spark, store)))
+    assert read_panel(spark, store).where("book_id IS NULL OR sheet_id IS NULL").isEmpty()
+
+
+def test_only_a_missing_path_counts_as_absent(spark):
+    from panelkit.sources import store as S
+
+    store, _, _ = _stores(spark)
+    p = spark._jvm.org.apache.hadoop.fs.Path(S.ids_path(store) + "/part-broken.parquet")
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p)
+    out.write(bytearray(b"not parquet"))
+    out.close()
+    with pytest.raises(Exception, match="(?i)parquet|footer|malformed"):
+        S.store_ids(spark, store).collect()
+
+
+def test_ids_are_stable_when_labels_are_added(spark):
+    from panelkit.operators.ids import extend_ids
+
+    schema = "level string, book_name string, sheet_name string"
+    old = label_ids(spark.createDataFrame([("L", "B1", "S1"), ("L", "B2", "S2"), (None, "B2", None)], schema))
+    more = spark.createDataFrame([("L", "A0", "S0"), ("L", "B1", "S1"), ("L", "B1", "S0"), ("L", None, "S9")], schema)
+    ids = {(r.level, r.book_name, r.sheet_name): (r.book_id, r.sheet_id) for r in extend_ids(old, more).collect()}
+    before = {(r.level, r.book_name, r.sheet_name): (r.book_id, r.sheet_id) for r in old.collect()}
+    assert all(ids[k] == v for k, v in before.items()) and len(ids) == 6
+    assert ids[("L", "B1", "S0")][0] == ids[("L", "B1", "S1")][0]
+    assert sorted(s for _, s in ids.values()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_restore_from_a_backup_next_to_the_store(spark):
+    store, hist, new = _stores(spark)
+    before = _rows(read_panel(spark, store))
+    backup_store(spark, store, store + "_backup")
+    update_store(spark, store, new)
+    reset_panel(read_panel(spark, store + "_backup"), store)
+    assert _rows(read_panel(spark, store)) == before
+
+
+@pytest.mark.parametrize("step", ["append_ids", "append_panel", "append_months", "_mark"])
+def test_stream_completes_a_month_after_a_crash(spark, monkeypatch, step):
+    from panelkit.plans import monthly as M
+    from panelkit.sources.register import code_dictionary, geo_dictionary, micro_register
+    from panelkit.sources.store import store_ids, store_months
+    from panelkit.streaming import monthly_drop as D
+
+    store, hist, new = _stores(spark)
+    expected = _rows(hist.unionByName(new).drop("book_id", "sheet_id"))
+    drop, checkpoint = scratch_path(spark, "register-drop"), scratch_path(spark, "stream-checkpoint")
+    last = new.agg(F.max("date")).first()[0]
+    micro_register(spark, SF_SMALL).where(F.col("date") == F.lit(last)).write.parquet(drop)
+    module = D if step == "_mark" else M
+    real = getattr(module, step)
+
+    def crash(*a):
+        if step != "_mark" or a[2] == "applied":
+            if step != "_mark":
+                real(*a)  # the step is done, the run dies right after it
+            raise RuntimeError("lost driver")
+        real(*a)
+
+    monkeypatch.setattr(module, step, crash)
+    with pytest.raises(Exception, match="lost driver"):
+        D.run_monthly_drop(spark, drop, store, code_dictionary(spark), geo_dictionary(spark, SF_SMALL), checkpoint)
+    monkeypatch.setattr(module, step, real)
+    D.run_monthly_drop(spark, drop, store, code_dictionary(spark), geo_dictionary(spark, SF_SMALL), checkpoint)
+    got = read_panel(spark, store)
+    assert _rows(got.drop("book_id", "sheet_id")) == expected
+    assert [r[0] for r in store_months(spark, store).where(F.col("date") == F.lit(last)).collect()] == [last]
+    assert got.select("book_id", "sheet_id").distinct().count() == store_ids(spark, store).select("book_id", "sheet_id").distinct().count()
+
+
+def test_months_of_other_dates_are_not_relabelled(spark):
+    from panelkit.operators.micro import clean_counts, microdata_counts
+    from panelkit.sources.register import micro_register
+
+    cube = microdata_counts(micro_register(spark, SF_SMALL))
+    month = cube.agg(F.max("date")).first()[0]
+    only = clean_counts(cube, month)
+    assert only.agg(F.sum("asegurados")).first()[0] == cube.where(F.col("date") == F.lit(month)).agg(F.sum("asegurados")).first()[0]
