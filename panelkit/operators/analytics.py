@@ -104,27 +104,29 @@ def series_correlation(
     reference_disaggregation: str = "Modalidad",
     key: list[str] | None = None,
     entity: list[str] | None = None,
+    min_months: int = 3,
 ) -> DataFrame:
     """Correlation over time between each series and the entity's reference
     series (total of the reference sheets for the same entity and month).
 
-    The reference is a window sum over the entity's same-month rows attached
-    to every row: linear in the data, no pair enumeration inside a group.
+    The reference is aggregated per entity and month, with a map-side pass,
+    and joined back: a large entity never sits in one task.  Series of fewer
+    than ``min_months`` months, or constant ones, get NULL.
     """
     key = key or SERIES_KEY
     entity = entity or ENTITY_KEY
     is_ref = (F.col("series") == reference_series) & (F.col("disaggregation") == reference_disaggregation)
-    # Same-month frame inside the entity partition (an entity holds its
-    # sheets x months, bounded by the dictionary and the calendar); the
-    # aggregate groups by a superset of the entity key and reuses it.
-    same_month = Window.partitionBy(*entity).orderBy(month_index()).rangeBetween(0, 0)
-    ref = F.sum(F.when(is_ref, F.col("value"))).over(same_month)
-    p = panel.withColumn("reference_value", ref).where(F.col("reference_value").isNotNull())
+    sums = panel.where(is_ref).groupBy(*[F.col(c).alias(f"r_{c}") for c in entity], F.col("date").alias("r_date")).agg(F.sum("value").alias("reference_value"))
+    same = F.col("date") == F.col("r_date")
+    for c in entity:
+        same = same & F.col(c).eqNullSafe(F.col(f"r_{c}"))
+    p = panel.join(sums, same).where(F.col("reference_value").isNotNull())
     agg = p.groupBy(*key).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_months"),
-        F.corr("value", "reference_value").alias("c"),
+        F.covar_pop("value", "reference_value").alias("cov"),
         F.stddev_pop("value").alias("sd_v"),
-        F.stddev_pop("reference_value").alias("sd_r"),
+        F.stddev_pop(F.when(F.col("value").isNotNull(), F.col("reference_value"))).alias("sd_r"),
     )
-    ok = (F.col("n_months") >= 3) & (F.col("sd_v") > 0) & (F.col("sd_r") > 0)
-    return agg.select(*key, "n_months", F.when(ok, F.col("c")).alias("correlation"))
+    ok = (F.col("n_months") >= min_months) & (F.col("sd_v") > 0) & (F.col("sd_r") > 0)
+    corr = F.try_divide(F.col("cov"), F.col("sd_v") * F.col("sd_r"))
+    return agg.select(*key, "n_months", F.when(ok, corr).alias("correlation"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.dates import excel_serial_to_date
@@ -24,6 +24,8 @@ from panelkit.functions.text import (
     squish,
     strip_accents,
 )
+from panelkit.operators.ids import ordered_numbers
+from panelkit.session import cut_lineage
 
 # Folder names of the series kept in the catalogue.
 SERIES_FOLDERS = "ASEGURADOS TRABAJADORES|PATRONES|SALARIO"
@@ -78,8 +80,7 @@ def classify_catalogue(catalogue: DataFrame) -> DataFrame:
 
     Level: the file name decides first; in paths ``SUBDELEGACIONES`` is
     tested before ``DELEGACIONES`` (which it contains).  ``book_id`` numbers
-    the kept books by path; the catalogue is one row per file, a small
-    dimension.
+    the kept books by path.
     """
     p = F.col("path")
     raw = F.regexp_extract(p, r"([^/]+)\.xlsx$", 1)
@@ -95,26 +96,31 @@ def classify_catalogue(catalogue: DataFrame) -> DataFrame:
     dis = _rules(n, DISAGGREGATION_RULES).when(p.contains(DISAGGREGATION_PATH_RULE[0]), F.lit(DISAGGREGATION_PATH_RULE[1]))
     c = c.select("path", "name", "level", _rules(n, SERIES_RULES).alias("series"), dis.alias("disaggregation"))
     c = c.where(~n.rlike(EXCLUDED_BOOKS))
-    return c.withColumn("book_id", F.row_number().over(Window.orderBy("path")).cast("int"))
+    c = cut_lineage(c)
+    return c.join(ordered_numbers(c, ["path"], "book_id").withColumnRenamed("path", "_path"), F.col("path") == F.col("_path")).drop("_path")
 
 
 CONTENT_MARKERS = "Hoja|Contenido"
 
 
-def select_content_columns(raw: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFrame:
-    """Keep the index-sheet columns in which some cell mentions ``Hoja`` or
-    ``Contenido`` and name them ``hoja``, ``contenido`` by position.
+def select_content_columns(raw: DataFrame, key: str = "path") -> DataFrame:
+    """Of each book's index sheet, the two columns in which some cell mentions
+    ``Hoja`` or ``Contenido``, named ``hoja``, ``contenido`` by position.
 
-    The choice of columns is data-dependent: one aggregate computes a flag
-    per column (a single row reaches the driver), then the projection is
-    planned with those columns.
+    Books differ in layout, so the choice is made per book: one aggregate with
+    a flag per column, joined back.  A book without exactly two such columns
+    is an error that names it.
     """
-    cols = [c for c in raw.columns if c not in keys]
-    flags = raw.agg(*[F.max(F.col(f"`{c}`").rlike(CONTENT_MARKERS).cast("int")).alias(c) for c in cols]).first()
-    chosen = [c for c in cols if flags[c] == 1]
-    if len(chosen) < 2:
-        raise ValueError(f"index sheet without Hoja / Contenido columns: {cols}")
-    return raw.select(*keys, F.col(f"`{chosen[0]}`").alias("hoja"), F.col(f"`{chosen[1]}`").alias("contenido"))
+    cols = [c for c in raw.columns if c != key]
+    flags = raw.groupBy(key).agg(*[F.max(F.col(f"`{c}`").rlike(CONTENT_MARKERS)).alias(f"f{i}") for i, c in enumerate(cols)])
+    places = F.filter(F.array(*[F.when(F.col(f"f{i}"), F.lit(i)) for i in range(len(cols))]), lambda p: p.isNotNull())
+    chosen = cut_lineage(flags.select(F.col(key).alias("_book"), places.alias("_places")))
+    odd = chosen.where(F.size("_places") != 2)
+    if n := odd.count():
+        raise ValueError(f"{n} index sheets without exactly two Hoja / Contenido columns, first {odd.orderBy('_book').limit(20).collect()}")
+    cells = F.array(*[F.col(f"`{c}`").cast("string") for c in cols])
+    joined = raw.select(key, cells.alias("_cells")).join(chosen, F.col(key).eqNullSafe(F.col("_book")))
+    return joined.select(key, F.get("_cells", F.col("_places")[0]).alias("hoja"), F.get("_cells", F.col("_places")[1]).alias("contenido"))
 
 
 def extract_index(index: DataFrame) -> DataFrame:
@@ -127,6 +133,11 @@ def extract_index(index: DataFrame) -> DataFrame:
     return c.where(~F.col("contenido").rlike("Resumen|resumen"))
 
 
+def explode_tabs(workbooks: DataFrame) -> DataFrame:
+    """(path, tabs in file order) → (path, position from 1, sheet name)."""
+    return workbooks.select("path", F.posexplode("tabs").alias("at", "sheet_name")).select("path", (F.col("at") + 1).alias("position"), "sheet_name")
+
+
 def sheet_positions(tabs: DataFrame) -> DataFrame:
     """Sheet tabs → (position, sheet name, Hoja number) for numeric tabs.
 
@@ -164,15 +175,21 @@ def index_conflicts(joined: DataFrame) -> DataFrame:
 
 def require_no_conflicts(conflicts: DataFrame) -> None:
     bad = conflicts.where(F.col("conflicts") > 0)
-    if not bad.isEmpty():
-        raise ValueError(f"index conflicts in {bad.limit(20).collect()}")
+    if n := bad.count():
+        raise ValueError(f"index conflicts in {n} books, first {bad.orderBy('path').limit(20).collect()}")
 
 
 def assign_sheet_ids(books: DataFrame, joined: DataFrame) -> DataFrame:
     """sheet_id numbers every indexed sheet by (book_id, position), on the
     index (one row per sheet), never on the data."""
     j = joined.join(books.select("path", "book_id"), "path")
-    return j.withColumn("sheet_id", F.row_number().over(Window.orderBy("book_id", "position")).cast("int"))
+    j = cut_lineage(j)
+    order = ["book_id", "position", "hoja", "contenido"]
+    ids = ordered_numbers(j, order, "sheet_id").select(*[F.col(c).alias(f"_{c}") for c in order], "sheet_id")
+    same = F.lit(True)
+    for c in order:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return j.join(ids, same).drop(*[f"_{c}" for c in order])
 
 
 def snake_case(name: str) -> str:
@@ -184,13 +201,13 @@ def snake_case(name: str) -> str:
 
 def unpivot_sheets(wide: DataFrame, keys: list[str], drop_missing: bool = True) -> DataFrame:
     """Wide sheet(s) → long: every column whose header holds a digit is a
-    month (Excel serial day), values cast to double; the header position is
+    month (Excel serial day), values cast to double, NULL where a cell is text; the header position is
     kept for date repair.  ``drop_missing`` drops rows with any NULL, as the
     plain reader does."""
     months = [c for c in wide.columns if re.search(r"\d", c) and c not in keys]
     ids = [c for c in wide.columns if c not in months]
     pos = F.create_map(*[x for i, c in enumerate(months) for x in (F.lit(c), F.lit(i + 1))])
-    cast = wide.select(*ids, *[F.col(f"`{c}`").cast("double").alias(c) for c in months])
+    cast = wide.select(*ids, *[F.col(f"`{c}`").try_cast("double").alias(c) for c in months])
     long = cast.unpivot(ids, months, "header", "value")
     long = long.select(
         *[F.col(f"`{c}`").alias(snake_case(c)) for c in ids],
@@ -215,22 +232,39 @@ def drop_incomplete(long: DataFrame) -> DataFrame:
     return long.where(cond)
 
 
-def repair_dates(long: DataFrame, sheet: list[str], entity: list[str]) -> DataFrame:
-    """Sheets with undecodable month headers get a monthly sequence from the
-    first date, per sheet and entity in header order; other sheets are kept
-    as they are.
+def bad_date_report(long: DataFrame, sheet: list[str]) -> DataFrame:
+    """Per sheet with cells under undecodable headers: how many headers and
+    cells, and the first decodable header (place and date) to repair from,
+    NULL if there is none."""
+    cells = long.where(F.col("value").isNotNull())
+    bad = F.col("date").isNull()
+    anchor = F.min(F.when(~bad, F.struct("col_pos", "date")))
+    found = cells.groupBy(*sheet).agg(
+        F.count_distinct(F.when(bad, F.col("col_pos"))).alias("bad_headers"),
+        F.sum(bad.cast("long")).alias("bad_cells"),
+        anchor.alias("anchor"),
+    )
+    return found.where(F.col("bad_headers") > 0).select(
+        *sheet, "bad_headers", "bad_cells", F.col("anchor.col_pos").alias("anchor_pos"), F.col("anchor.date").alias("anchor_date")
+    )
+
+
+def repair_dates(long: DataFrame, sheet: list[str]) -> DataFrame:
+    """Sheets with cells under undecodable headers get a monthly sequence
+    from their first decodable header, stepping by header place; other sheets
+    are kept as they are.  A sheet without any decodable header keeps NULL
+    dates and appears in :func:`bad_date_report` without an anchor.
 
-    One shuffle: a per-sheet window counts the bad headers, and the
-    per-(sheet, entity) window that numbers the cells reuses the sheet
-    partitioning.  A partition holds one sheet (entities x months cells).
+    The repair is a map of one row per bad sheet joined to the cells: the
+    cells are aggregated map-side for it and never shuffled by entity.
     """
-    bad = F.sum(F.col("date").isNull().cast("int")).over(Window.partitionBy(*sheet))
-    w = Window.partitionBy(*sheet, *entity).orderBy("col_pos")
-    first = F.first("date").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    fixed = F.add_months(first, F.row_number().over(w) - 1)
-    return long.withColumn("bad_dates", bad).withColumn(
-        "date", F.when(F.col("bad_dates") > 0, fixed).otherwise(F.col("date"))
-    ).drop("bad_dates")
+    bad = bad_date_report(long, sheet).select(*[F.col(c).alias(f"_{c}") for c in sheet], "anchor_pos", "anchor_date", F.lit(True).alias("_bad"))
+    same = F.lit(True)
+    for c in sheet:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    fixed = F.add_months("anchor_date", F.col("col_pos") - F.col("anchor_pos"))
+    date = F.when(F.col("_bad"), fixed).otherwise(F.col("date"))
+    return long.join(bad, same, "left").withColumn("date", date).select(*long.columns)
 
 
 def clean_labels(labels: DataFrame) -> DataFrame:

@@ -143,8 +143,7 @@ def revision_diff(new: DataFrame, stored: DataFrame, tol: float = REVISION_TOLER
     months, its rows): pass stored tables or checkpointed frames.
     """
     key = key or [k for k in REVISION_KEY if k in new.columns and k in stored.columns]
-    # At most one row per calendar month: the bound is the calendar.
-    common = F.broadcast(months_in_common(new, stored))
+    common = months_in_common(new, stored)
     n = new.join(common, "date", "left_semi").select(
         *[F.col(k).alias(f"n_{k}") for k in key], F.col("value").alias("new_value"), F.lit(True).alias("n_present")
     )

@@ -25,7 +25,7 @@ def indexed_sheets(catalogue: DataFrame, index: DataFrame, tabs: DataFrame, chec
 def repaired_long(wide: DataFrame) -> DataFrame:
     """Unpivot every sheet, repair undecodable months, drop empty cells."""
     long = B.unpivot_sheets(wide, SHEET, drop_missing=False)
-    return B.drop_incomplete(B.repair_dates(long, SHEET, ENTITY))
+    return B.drop_incomplete(B.repair_dates(long, SHEET))
 
 
 def historical_panel(

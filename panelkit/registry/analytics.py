@@ -7,14 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from panelkit.operators import analytics as A
 from panelkit.registry import oracle_base as O
 from panelkit.registry.common import panel, rv
-from panelkit.registry.quality import additive_upper
 
 K = ", ".join(A.SERIES_KEY)
 E = ", ".join(A.ENTITY_KEY)
 
 
 def _input(spark: SparkSession, sf: str) -> DataFrame:
-    return additive_upper(panel(spark, sf))
+    return panel(spark, sf)
 
 
 def _round(df: DataFrame, cols) -> DataFrame:
@@ -51,7 +50,7 @@ QUERIES = {
     "series_correlation": q_series_correlation,
 }
 
-INPUT = ", a AS (SELECT * FROM panel_full WHERE series <> 'Salario' AND level = 'Delegación')"
+INPUT = ", a AS (SELECT * FROM panel_full)"
 JOIN_KEY = " AND ".join(f"p.{k} IS NOT DISTINCT FROM c.{k}" for k in A.SERIES_KEY)
 CHANGES = f""",
 ch AS (

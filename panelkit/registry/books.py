@@ -62,7 +62,9 @@ def q_index_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_sheet_positions(spark: SparkSession, sf: str) -> DataFrame:
     _, sh = published(spark, sf)
-    return B.sheet_positions(S.book_tabs(sh))
+    # The workbooks' tab lists as landed; the ordinal comes from the list.
+    tabs = S.book_tabs(sh).groupBy("path").agg(F.sort_array(F.collect_list(F.struct("position", "sheet_name"))).alias("t"))
+    return B.sheet_positions(B.explode_tabs(tabs.select("path", F.col("t.sheet_name").alias("tabs"))))
 
 
 def q_index_conflicts(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,6 +101,10 @@ def q_date_repair(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_value(H.repaired_long(_wide(spark, sf)))
 
 
+def q_bad_date_report(spark: SparkSession, sf: str) -> DataFrame:
+    return B.bad_date_report(B.unpivot_sheets(_wide(spark, sf), H.SHEET, drop_missing=False), H.SHEET)
+
+
 def q_sheet_label_clean(spark: SparkSession, sf: str) -> DataFrame:
     _, _, s = _sheets(spark, sf)
     labels = s.select(
@@ -153,6 +159,7 @@ QUERIES = {
     "assign_book_sheet_ids": q_assign_book_sheet_ids,
     "sheet_unpivot": q_sheet_unpivot,
     "date_repair": q_date_repair,
+    "bad_date_report": q_bad_date_report,
     "sheet_label_clean": q_sheet_label_clean,
     "composite_code_split": q_composite_code_split,
     "historical_panel": q_historical_panel,
@@ -265,12 +272,12 @@ long AS (SELECT r.path, r.position, r.clave_delegacion, r.delegacion, r.clave_su
   LEFT JOIN cellsrc c ON c.path = r.path AND c.position = r.position AND c.clave_delegacion = r.clave_delegacion
     AND c.clave_subdelegacion IS NOT DISTINCT FROM r.clave_subdelegacion AND c.delegacion IS NOT DISTINCT FROM r.delegacion
     AND c.subdelegacion IS NOT DISTINCT FROM r.subdelegacion AND c.date = h.date),
-bad AS (SELECT path, position FROM long GROUP BY path, position HAVING count(*) FILTER (WHERE date IS NULL) > 0),
-rep AS (SELECT path, position, clave_delegacion, delegacion, clave_subdelegacion, subdelegacion, col_pos, header,
-    CASE WHEN (path, position) IN (SELECT (path, position) FROM bad) THEN
-      CAST(first_value(date) OVER w + to_months(CAST(row_number() OVER w AS INT) - 1) AS DATE) ELSE date END AS date, value
-  FROM long WINDOW w AS (PARTITION BY path, position, clave_delegacion, clave_subdelegacion ORDER BY col_pos
-    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
+bad AS (SELECT path, position, count(DISTINCT col_pos) FILTER (WHERE date IS NULL) AS bad_headers,
+    count(*) FILTER (WHERE date IS NULL) AS bad_cells, min(col_pos) FILTER (WHERE date IS NOT NULL) AS anchor_pos
+  FROM long WHERE value IS NOT NULL GROUP BY path, position HAVING count(*) FILTER (WHERE date IS NULL) > 0),
+badh AS (SELECT bad.*, hdr.date AS anchor_date FROM bad LEFT JOIN hdr ON hdr.col_pos = bad.anchor_pos),
+rep AS (SELECT l.* REPLACE (CASE WHEN b.path IS NOT NULL THEN CAST(b.anchor_date + to_months(l.col_pos - b.anchor_pos) AS DATE) ELSE l.date END AS date)
+  FROM long l LEFT JOIN badh b ON b.path = l.path AND b.position = l.position)"""
 
 COMPLETE = ("date IS NOT NULL AND value IS NOT NULL AND clave_delegacion IS NOT NULL AND delegacion IS NOT NULL "
             "AND ((clave_subdelegacion IS NULL) = (subdelegacion IS NULL))")
@@ -315,6 +322,8 @@ ORACLE = {
         SELECT {LONG_COLS}, {O.rv('value')} AS value FROM long WHERE {COMPLETE}""",
     "date_repair": f"""{O.PANEL_BASE}{PUB}{GRID}
         SELECT {LONG_COLS}, {O.rv('value')} AS value FROM rep WHERE {COMPLETE}""",
+    "bad_date_report": f"""{O.PANEL_BASE}{PUB}{GRID}
+        SELECT path, position, bad_headers, bad_cells, anchor_pos, anchor_date FROM badh""",
     "sheet_label_clean": f"""{O.PANEL_BASE}{PUB}{SHEETS},
         raw AS (SELECT name AS book_name, contenido AS sheet_name, series, disaggregation FROM sheets UNION ALL {_EDGE_LAB}),
         c AS ({_clean('raw')})

@@ -25,11 +25,6 @@ REVISED_EVERY, DROPPED_SUBDEL, REVISION_BUMP = 7, 3, 2.0
 OUTLIER_KEY = ["level", "series", "disaggregation", "sheet_name", "book_name", "clave_delegacion", "clave_subdelegacion"]
 
 
-def additive_upper(panel_df: DataFrame) -> DataFrame:
-    """Additive series at delegation and national level (analytics input)."""
-    return panel_df.where((F.col("series") != "Salario") & (F.col("level") == LEVEL_DELEGATION))
-
-
 def revised_history(h: DataFrame) -> DataFrame:
     """F-REV: the history with some values revised and one subdelegation
     missing, as a recomputation might come back."""
@@ -66,7 +61,7 @@ def q_revision_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_range_outliers(spark: SparkSession, sf: str) -> DataFrame:
-    out = Q.range_outliers(additive_upper(panel(spark, sf)), OUTLIER_KEY)
+    out = Q.range_outliers(panel(spark, sf), OUTLIER_KEY)
     return out.withColumns({c: rv(c) for c in ("value", "trailing_mean", "trailing_sd")})
 
 
@@ -210,9 +205,6 @@ ORACLE = {
         SELECT "check", {_LK}, clave_delegacion, {O.rv('lower_sum')} AS lower_sum, {O.rv('upper_value')} AS upper_value,
           {O.rv('upper_value_2')} AS upper_value_2,
           {_OK.format(a='lower_sum', b='upper_value')} AND {_OK.format(a='lower_sum', b='upper_value_2')} AS ok FROM u""",
-    "referential_check": f"""{O.PANEL_BASE}, fam AS (
-          SELECT series, disaggregation, cve_modalidad AS code, asegurados AS v, CAST(NULL AS BIGINT) AS wd FROM clean WHERE ta = 1 AND 'Asegurados' = 'Asegurados' AND disaggregation_dummy IS NULL
-        ) SELECT 1""",
     "months_in_common": f"""{O.PANEL_BASE}{HIST}{REV}
         SELECT date FROM (SELECT date FROM rev UNION ALL SELECT date FROM newm) x INTERSECT SELECT date FROM hist_ids""",
     "revision_diff": f"""{O.PANEL_BASE}{HIST}{REV},
@@ -227,7 +219,7 @@ ORACLE = {
           FROM n FULL OUTER JOIN s ON {_REV_JOIN})
         SELECT {', '.join(_RK)}, {O.rv('new_value')} AS new_value, {O.rv('stored_value')} AS stored_value, {O.rv('diff')} AS diff, status
         FROM j WHERE status IS NOT NULL""",
-    "range_outliers": f"""{O.PANEL_BASE}, a AS (SELECT * FROM panel_full WHERE series <> 'Salario' AND level = 'Delegación'),
+    "range_outliers": f"""{O.PANEL_BASE}, a AS (SELECT * FROM panel_full),
         w AS (SELECT {', '.join(OUTLIER_KEY)}, date, value,
           avg(value) OVER (PARTITION BY {', '.join(OUTLIER_KEY)} ORDER BY date ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS trailing_mean,
           stddev_samp(value) OVER (PARTITION BY {', '.join(OUTLIER_KEY)} ORDER BY date ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS trailing_sd

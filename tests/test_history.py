@@ -1,5 +1,6 @@
 """Historical rebuild: unpivot ∘ pivot is the identity on values."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -76,3 +77,41 @@ def test_content_columns_are_chosen_by_their_cells(spark):
     assert out.columns == ["path", "hoja", "contenido"]
     got = [(r.hoja, r.contenido) for r in B.extract_index(out).collect()]
     assert got == [(1, "Modalidad 10")]
+
+
+def test_content_columns_are_chosen_per_book(spark):
+    rows = [("b1", "Hoja", "Contenido", "x"), ("b1", "Hoja 1", "Modalidad 10", None), ("b2", "1", "Hoja", "Contenido"), ("b2", "2", "Hoja 2", "Sector 3")]
+    raw = spark.createDataFrame(rows, "path string, a string, b string, c string")
+    got = sorted((r.path, r.hoja, r.contenido) for r in B.extract_index(B.select_content_columns(raw)).collect())
+    assert got == [("b1", 1, "Modalidad 10"), ("b2", 2, "Sector 3")]
+    with pytest.raises(ValueError, match="b3"):
+        B.select_content_columns(raw.union(spark.createDataFrame([("b3", "Hoja", "nada", "x")], raw.schema)))
+
+
+def _repaired(spark, rows, headers):
+    wide = spark.createDataFrame(rows, "path string, position int, clave_delegacion string, clave_subdelegacion string, " + ", ".join(f"`{h}` string" for h in headers))
+    long = B.unpivot_sheets(wide, H.SHEET, drop_missing=False)
+    dates = {(r.position, r.clave_delegacion, r.value): str(r.date) for r in B.repair_dates(long, H.SHEET).where("value IS NOT NULL").collect()}
+    return dates, {r.position: (r.bad_headers, r.bad_cells, r.anchor_pos) for r in B.bad_date_report(long, H.SHEET).collect()}
+
+
+def test_a_bad_header_concerns_only_sheets_with_cells_under_it(spark):
+    dates, report = _repaired(spark, [("b", 1, "01", None, "1", None, "3"), ("b", 2, "01", None, "4", "5", "6")], ["43831", "x2", "43891"])
+    assert dates[(1, "01", 1.0)] == "2020-01-01" and dates[(1, "01", 3.0)] == "2020-03-01"
+    assert dates[(2, "01", 5.0)] == "2020-02-01" and report == {2: (1, 1, 1)}
+
+
+def test_a_bad_first_header_keeps_the_sheet(spark):
+    dates, report = _repaired(spark, [("b", 1, "01", None, "1", "2", "3")], ["x1", "43862", "43891"])
+    assert [dates[(1, "01", v)] for v in (1.0, 2.0, 3.0)] == ["2020-01-01", "2020-02-01", "2020-03-01"] and report == {1: (1, 1, 2)}
+
+
+def test_two_rows_of_one_entity_keep_their_months_and_text_cells_become_null(spark):
+    dates, report = _repaired(spark, [("b", 1, "01", None, "1", "2", "N/D"), ("b", 1, "01", None, "7", "8", "9")], ["43831", "x2", "43891"])
+    assert dates == {(1, "01", 1.0): "2020-01-01", (1, "01", 2.0): "2020-02-01", (1, "01", 7.0): "2020-01-01", (1, "01", 8.0): "2020-02-01", (1, "01", 9.0): "2020-03-01"}
+
+
+def test_sheet_ordinals_come_from_the_tab_list(spark):
+    lists = spark.createDataFrame([("b", ["Contenido", "1", "Notas", "3"])], "path string, tabs array<string>")
+    got = [(r.position, r.hoja) for r in B.sheet_positions(B.explode_tabs(lists)).collect()]
+    assert got == [(2, 1), (4, 3)]

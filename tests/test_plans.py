@@ -10,7 +10,8 @@ from conftest import SF_SMALL
 from panelkit.operators import analytics as A
 from panelkit.operators import quality as Q
 from panelkit.registry.common import panel
-from panelkit.registry.quality import OUTLIER_KEY, additive_upper
+from panelkit.registry.quality import OUTLIER_KEY
+from panelkit.session import cut_lineage
 
 
 def _exchanges(df) -> int:
@@ -19,7 +20,7 @@ def _exchanges(df) -> int:
 
 @pytest.fixture(scope="module")
 def base(spark):
-    return additive_upper(panel(spark, SF_SMALL))
+    return panel(spark, SF_SMALL)
 
 
 @pytest.mark.parametrize(
@@ -29,7 +30,6 @@ def base(spark):
         (A.anomalies, 1),
         (A.summary, 1),
         (A.seasonal_profile, 1),
-        (A.series_correlation, 1),
         (Q.control_totals, 1),
         (lambda p: Q.range_outliers(p, OUTLIER_KEY), 1),
     ],
@@ -53,15 +53,22 @@ def test_aggregations_combine_map_side_before_the_shuffle(spark):
     assert checked == 2
 
 
-def test_date_repair_is_one_shuffle(spark):
+def test_correlation_reference_is_aggregated_map_side(base):
+    plan = A.series_correlation(base)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum(value" in plan and "Window" not in plan
+
+
+def test_date_repair_does_not_shuffle_by_entity(spark):
     from panelkit.operators import books as B
     from panelkit.plans import history as H
     from panelkit.registry.common import panel_geo
     from panelkit.sources import books as S
 
-    p = panel_geo(spark, SF_SMALL)
-    long = B.unpivot_sheets(S.landed_sheets(p, S.published_sheets(p)), H.SHEET, drop_missing=False)
-    assert _exchanges(B.repair_dates(long, H.SHEET, H.ENTITY)) - _exchanges(long) == 1
+    p = cut_lineage(panel_geo(spark, SF_SMALL))
+    long = cut_lineage(B.unpivot_sheets(S.landed_sheets(p, S.published_sheets(p)), H.SHEET, drop_missing=False))
+    plan = B.repair_dates(long, H.SHEET)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert "Window" not in plan and all("clave_" not in ln for ln in exchanges)
 
 
 def test_store_slice_pushes_predicates_and_prunes_columns(spark):
