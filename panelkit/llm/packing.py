@@ -40,7 +40,7 @@ STRIDE = 128
 SENTENCE_PENALTY = 2
 TRUNCATION_PENALTY = 24
 BLOCK = 1 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 _JOINED = 2_000
 
 
