@@ -42,7 +42,7 @@ SENSITIVE = {
     "credential": 0.9, "credentials": 0.9, "bearer": 0.9, "auth": 0.7, "authorization": 0.8, "signature": 0.6, "salt": 0.6,
     "accesskey": 1.0, "privatekey": 1.0, "secretkey": 1.0, "signingkey": 1.0, "encryptionkey": 1.0,
 }
-PLACEHOLDER = re.compile(r"(?i)^(?:none|null|nil|true|false|undefined|changeme|change_me|example|placeholder|redacted|dummy|test|xxx+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s|your[_-].*)$")
+PLACEHOLDER = re.compile(r"(?i)^(?:none|null|nil|true|false|undefined|changeme|change_me|example|placeholder|redacted|dummy|test|xxx+|\*+|\.+|<.*>|\[[a-z_]+\]|\$\{.*\}|\{\{.*\}\}|%\(.*\)s|your[_-].*)$")
 THRESHOLD = 0.45
 
 _OPERATOR = re.compile(r"(?<![=:!<>+*/%-])(?:=>|:=|[:=])(?![=:/])")

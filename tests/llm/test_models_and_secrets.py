@@ -1,0 +1,184 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from odd_rows import SF_SMALL, no_docs, odd_docs  # noqa: F401
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from panelkit.llm import langid, quality
+from panelkit.llm import secret_scan as S
+
+SF_MODEL = "/root/testdata/sf0.01"
+
+
+def held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def test_language_of_held_out_documents(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF_MODEL}/documents.parquet").collect()}
+    rows = E.queries()["op1_language_id"](spark, SF_MODEL).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    assert all(r.held_out == held_out(r.doc_id) and 0 <= r.score <= 1 for r in rows)
+    own = [r for r in rows if r.held_out]
+    assert sum(r.lang_pred == docs[r.doc_id].lang for r in own) >= 0.98 * len(own) > 100
+
+
+def test_language_scores_against_dense_naive_bayes():
+    rng = np.random.default_rng(0)
+    model = langid.LanguageModel(["a", "b", "c"], np.log(rng.dirichlet(np.ones(langid.DIM), 3)).T.astype(np.float32))
+    texts = ["", None, "12 -- 3", "ab", "Some Words, 12 more", "ünï çødé 漢字 " * 500]
+    langs, scores = langid.score_texts(texts, model)
+    for text, lang, score in zip(texts, langs, scores):
+        counts = sum((np.bincount(g, minlength=langid.DIM) for g in langid.hashed_ngrams(text or "")), np.zeros(langid.DIM))
+        if not counts.any():
+            assert (lang, score) == ("und", 0.0)
+            continue
+        log_likelihood = counts @ model.log_prob.astype(float)
+        posterior = np.exp(log_likelihood - log_likelihood.max())
+        assert lang == model.langs[int(np.argmax(posterior))] and score == pytest.approx(posterior.max() / posterior.sum(), rel=1e-4)
+
+
+def test_long_texts_count_the_same_in_blocks(monkeypatch):
+    text = "Ab çd 12, efg. Hij! " * 40
+    monkeypatch.setattr(langid, "_letters", lambda t=langid._letters(): t)
+
+    def counts():
+        return Counter(np.concatenate(list(langid.hashed_ngrams(text))).tolist())
+
+    whole = counts()
+    monkeypatch.setattr(langid, "BLOCK", 37)
+    blocks = counts()
+    # Only the marks at block ends may differ.
+    assert sum(((whole - blocks) + (blocks - whole)).values()) <= 12 * (len(text) // 37 + 1)
+    assert sum(whole.values()) > 2000
+
+
+def test_language_odd_rows(odd_docs, no_docs):
+    model = langid.train(odd_docs)
+    assert model.langs == ["de", "en", "la"]
+    rows = {(r.doc_id, r.lang_pred == "und", r.score == 0) for r in langid.identify(odd_docs, model).collect()}
+    assert {i for i, und, zero in rows if und and zero} == {3, 4, 5, 9}
+    kept = langid.keep_identified(odd_docs, model)
+    assert kept.columns == odd_docs.columns and {r.doc_id for r in kept.collect()} <= {1, 2, 6, 7, 8, 10, None}
+    nothing = langid.train(no_docs)
+    assert nothing.langs == [] and {r.lang_pred for r in langid.identify(odd_docs, nothing).collect()} == {"und"}
+    assert langid.identify(no_docs, model).collect() == []
+
+
+def auc(scores, labels):
+    good, bad = scores[labels == 1], scores[labels == 0]
+    return np.mean([(good > b).mean() + (good == b).mean() / 2 for b in bad])
+
+
+def test_quality_of_held_out_documents(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_MODEL}/labels.parquet").collect()}
+    rows = E.queries()["op8_quality"](spark, SF_MODEL).collect()
+    assert len(rows) == spark.read.parquet(f"{SF_MODEL}/documents.parquet").count()
+    assert all(r.held_out == held_out(r.doc_id) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
+    own = [r for r in rows if r.held_out and r.doc_id in labels]
+    y = np.array([labels[r.doc_id] for r in own])
+    assert auc(np.array([r.score for r in own]), y) > 0.97
+    assert np.mean([r.predicted == 1 for r, q in zip(own, y) if q == 1]) > 0.95
+
+
+def test_isotonic_fit_is_the_best_monotone_one():
+    rng = np.random.default_rng(1)
+    x, y = rng.integers(0, 12, 80).astype(float), rng.integers(0, 2, 80).astype(float)
+    kx, ky = quality.pool_adjacent(x, y)
+    assert (np.diff(ky) > 0).all() and (np.diff(kx) > 0).all()
+    # min-max formula of the isotonic fit at each distinct x
+    xs = np.unique(x)
+    fit = [max(min(y[(x >= a) & (x <= b)].mean() for b in xs[xs >= v]) for a in xs[xs <= v]) for v in xs]
+    assert np.allclose(np.unique(np.round(fit, 12)), np.round(ky, 12))
+
+
+def test_fourier_features_approximate_the_kernel():
+    rng = np.random.default_rng(2)
+    size = 4
+    m = quality.QualityModel(np.zeros(size), np.ones(size), rng.normal(0, 1 / np.sqrt(size), (size, 20_000)), rng.uniform(0, 2 * np.pi, 20_000), None, None, None)
+    x = rng.normal(size=(20, size))
+    z = quality.fourier(x, m)[:, :-1]
+    exact = np.exp(-((x[:, None] - x[None]) ** 2).sum(2) / (2 * size))
+    assert np.abs(z @ z.T - exact).max() < 0.05
+
+
+def test_quality_odd_rows(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(1, 11)] + [(None, 1, "x"), (3, None, "x"), (4, 1, "x"), (77, 1, "x")], "doc_id long, quality int, text string")
+    m = quality.train(odd_docs, labels)
+    rows = quality.score_quality(odd_docs, m).collect()
+    assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
+    none = quality.train(odd_docs, labels.limit(0))
+    assert {(r.score, r.predicted) for r in quality.score_quality(odd_docs, none).collect()} == {(0.5, 0)}
+    assert quality.score_quality(no_docs, m).collect() == []
+
+
+def plain_base(text):
+    """The base patterns as written, every match tested by its length."""
+    out = []
+    names = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in n) for n in ("password", "passwd", "secret", "token", "api_?key"))
+    for m in re.finditer(r"(" + names + r")[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text):
+        if len(m.group(2)) >= 6:
+            out.append(("assign", m.start(), m.end()))
+    out += [("access", m.start(), m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    out += [("hex", m.start(), m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 24]
+    order = {"assign": 0, "access": 1, "hex": 2}
+    return sorted(out, key=lambda s: (s[1], order[s[0]]))
+
+
+def test_base_spans_against_the_patterns():
+    rnd = random.Random(3)
+    bits = ["password", "PassWd", "SECRET", "token", "api_key", "ApiKey", "ſecret", "toKen", '"', "'", " ", "  ", ":", "=", "AKIA", "AKIA" + "Z" * 16, "ABC0", "deadbeef" * 3, "0a1b2c", "é", "\n", "x", "abcdef", "+/_.=-", "漢"]
+    for _ in range(3000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14)))
+        assert [s for s in S.scan_text(text) if s[0] != "literal"] == plain_base(text)
+
+
+def literals(text):
+    return [text[a:b] for k, a, b in S.scan_text(text) if k == "literal"]
+
+
+def test_lexer_follows_names_and_constants():
+    assert literals('A = "ab12CD34ef"\nB = A\npassword_hash = B\n') == ["ab12CD34ef"]
+    assert literals('A = "ab12CD34ef"\ncolour = A\n') == []
+    assert literals("export AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG+bPx") == ["wJalrXUtnFEMI/K7MDENG+bPx"]
+    assert literals("cfg = {'db.credentials': 'hunter22!x', 'user': 'bob12345'}") == ["hunter22!x"]
+    assert literals("privateKey = 'abc123' + \"DEF456\"") == ["abc123", "DEF456"]
+    assert literals('auth_token_value: "${TOKEN}"\nsigning_key = "changeme"\n') == []
+    assert literals("the secret garden: a book. key: value") == []
+    assert literals("a = b\nb = a\nauth_token_x = a") == []  # a circle ends
+
+
+def test_redaction_leaves_nothing_to_find(odd_docs, no_docs):
+    text = "x password = 'abcdef123' y AKIA" + "Q" * 20 + " z " + "0a" * 20 + " token: 04dbebab91ab85687d33eeaaf9ac699e1188f962 end"
+    clean = S.redact_text(text)
+    assert clean == "x password = '[SECRET]' y [SECRET] z [SECRET] token: [SECRET] end" and S.scan_text(clean) == []
+    assert S.redact_text(None) is None and S.redact_text("") == "" and S.redact_text("plain text") == "plain text"
+    out = S.redact_secrets(odd_docs, length_col="n_chars")
+    assert out.columns == odd_docs.columns and out.dtypes == odd_docs.dtypes
+    before, after = ({(r.doc_id, r.text): tuple(r) for r in d.collect()} for d in (odd_docs, out))
+    changed = set(after) - set(before)
+    assert changed == {(8, "password = '[SECRET]'")} and after[(8, "password = '[SECRET]'")][4] == 21
+    assert S.redact_secrets(no_docs).collect() == []
+
+
+def test_secret_query(spark, odd_docs, no_docs):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_MODEL}/documents.parquet").collect()}
+    rows = E.queries()["op7_secret_scan"](spark, SF_MODEL).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
+        base = plain_base(docs[r.doc_id])
+        kinds = Counter(s[0] for s in base)
+        assert (r.n_assign, r.n_access, r.n_hex) == (kinds["assign"], kinds["access"], kinds["hex"])
+        joined = [":".join(map(str, s)) for s in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(joined).encode()).hexdigest()
+        assert [s for s in r.spans.split(",") if s and not s.startswith("literal")] == joined
+    assert sum(r.n_assign + r.n_hex for r in rows) > 10
+    odd = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in S.scan_secrets(odd_docs).collect()}
+    assert odd[8] == [("assign", 0, 21)] and not any(v for k, v in odd.items() if k != 8)
+    assert S.scan_secrets(no_docs).collect() == []
