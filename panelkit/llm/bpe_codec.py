@@ -33,7 +33,8 @@ MEMORY = "200MB"
 LONG_BYTES = 48
 BATCH_BYTES = 1 << 19
 BATCH_TOKENS = 1 << 17
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
+SLICE_CHARS = 1 << 22
 
 # A row's key is its pre-token's number times SEATS plus its seat; a contraction moves the seats behind it up.
 SEATS = 64
@@ -224,7 +225,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value)
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, SLICE_CHARS):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own.encode([t or "" for t in texts]), pa.binary())], ["doc_id", "ids"])
 
     return narrow(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
