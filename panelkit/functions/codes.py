@@ -57,3 +57,8 @@ def normalize_code(code: Column | str = "sheet_name_code") -> Column:
     as_num = F.round(c.try_cast("double"), 1).try_cast("decimal(38,1)").cast("string")
     printed = F.regexp_replace(as_num, r"\.0$", "")
     return F.when(F.length(c) > 5, printed).otherwise(c)
+
+
+def unparsable_code(code: Column | str = "sheet_name_code") -> Column:
+    """True for a code that is set but that :func:`normalize_code` turns into NULL."""
+    return _c(code).isNotNull() & normalize_code(code).isNull()

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.operators.ids import assign_series_ids, label_ids
 from panelkit.operators.micro import clean_counts, microdata_counts
 from panelkit.operators.panel import FAMILIES, LEVELS, build_panel, with_geo
+from panelkit.session import cut_lineage, shared_dir
 from panelkit.sources.register import code_dictionary, geo_dictionary, micro_register
+from panelkit.sources.store import months_path, path_exists, read_panel, reset_panel
 
 
 def rv(c: Column | str) -> Column:
@@ -39,5 +44,23 @@ def panel_geo(spark: SparkSession, sf: str) -> DataFrame:
     return with_geo(panel(spark, sf), geo_dictionary(spark, sf))
 
 
+def prepared_store(spark: SparkSession, sf: str) -> str:
+    """Path of a store that holds the whole panel, written once per Spark application and input folder.
+
+    A reset writes the month list last, so a store without one is built again.
+    """
+    name = hashlib.md5(sf.rstrip("/").encode()).hexdigest()[:12]
+    path = f"{shared_dir(spark)}/prepared-store-{spark.sparkContext.applicationId}-{name}"
+    if not path_exists(spark, months_path(path)):
+        p = cut_lineage(panel_geo(spark, sf))
+        reset_panel(assign_series_ids(p, label_ids(p)), path)
+    return path
+
+
+def stored_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored panel's label, geography, date and value columns; Catalyst prunes what a query leaves out."""
+    return read_panel(spark, prepared_store(spark, sf)).drop("book_id", "sheet_id")
+
+
 def rounded_value(df: DataFrame, col: str = "value") -> DataFrame:
     return df.withColumn(col, rv(col))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions.labels import member_key
 from panelkit.operators import explore as X
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import panel_geo, rounded_value
+from panelkit.registry.common import rounded_value, stored_panel
 from panelkit.schema import LEVEL_DELEGATION, LEVEL_SUBDELEGATION
 from panelkit.session import scratch_path
 from panelkit.sources.register import geo_dictionary
@@ -23,27 +23,27 @@ LEVELS = (LEVEL_DELEGATION, LEVEL_SUBDELEGATION)
 
 
 def q_list_series(spark: SparkSession, sf: str) -> DataFrame:
-    return X.list_series(panel_geo(spark, sf))
+    return X.list_series(stored_panel(spark, sf))
 
 
 def q_list_levels(spark: SparkSession, sf: str) -> DataFrame:
-    return X.list_levels(panel_geo(spark, sf))
+    return X.list_levels(stored_panel(spark, sf))
 
 
 def q_list_members(spark: SparkSession, sf: str) -> DataFrame:
-    return X.list_members(panel_geo(spark, sf))
+    return X.list_members(stored_panel(spark, sf))
 
 
 def q_list_concepts(spark: SparkSession, sf: str) -> DataFrame:
-    return X.list_concepts(panel_geo(spark, sf))
+    return X.list_concepts(stored_panel(spark, sf))
 
 
 def q_list_sheets(spark: SparkSession, sf: str) -> DataFrame:
-    return X.list_sheets(panel_geo(spark, sf))
+    return X.list_sheets(stored_panel(spark, sf))
 
 
 def q_date_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return X.date_bounds(panel_geo(spark, sf))
+    return X.date_bounds(stored_panel(spark, sf))
 
 
 def key_texts(panel: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def key_texts(panel: DataFrame) -> DataFrame:
 
 
 def q_parse_member_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return X.parse_member_keys(key_texts(panel_geo(spark, sf)))
+    return X.parse_member_keys(key_texts(stored_panel(spark, sf)))
 
 
 def member_keys(spark: SparkSession, sf: str, level: str) -> DataFrame:
@@ -72,7 +72,7 @@ def member_keys(spark: SparkSession, sf: str, level: str) -> DataFrame:
 
 def slices(spark: SparkSession, sf: str) -> DataFrame:
     """Default slice at both levels in one pass; every member selected."""
-    p = panel_geo(spark, sf)
+    p = stored_panel(spark, sf)
     keys = member_keys(spark, sf, LEVELS[0]).withColumn("level", F.lit(LEVELS[0]))
     for lv in LEVELS[1:]:
         keys = keys.unionByName(member_keys(spark, sf, lv).withColumn("level", F.lit(lv)))

@@ -12,7 +12,7 @@ from panelkit.operators import review as R
 from panelkit.operators.explore import export_csv
 from panelkit.operators.snapshot import non_empty_report
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import clean, panel, panel_geo, rounded_value, rv
+from panelkit.registry.common import clean, panel, rounded_value, rv, stored_panel
 from panelkit.registry.store import HIST, hist_with_ids, split_history
 from panelkit.schema import LEVEL_DELEGATION, PANEL_COLUMNS
 from panelkit.session import scratch_path
@@ -71,31 +71,31 @@ def q_months_in_common(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_panel_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.panel_stats(panel_geo(spark, sf))
+    return Q.panel_stats(stored_panel(spark, sf))
 
 
 def q_panel_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.panel_coverage(panel_geo(spark, sf))
+    return Q.panel_coverage(stored_panel(spark, sf))
 
 
 def q_panel_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.panel_labels(panel_geo(spark, sf))
+    return Q.panel_labels(stored_panel(spark, sf))
 
 
 def q_review_national(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(R.review_national(panel_geo(spark, sf)))
+    return rounded_value(R.review_national(stored_panel(spark, sf)))
 
 
 def q_review_by_delegation(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(R.review_by_delegation(panel_geo(spark, sf)))
+    return rounded_value(R.review_by_delegation(stored_panel(spark, sf)))
 
 
 def q_national_by_modality(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(R.national_by_modality(panel_geo(spark, sf)))
+    return rounded_value(R.national_by_modality(stored_panel(spark, sf)))
 
 
 def q_employers_since(spark: SparkSession, sf: str) -> DataFrame:
-    df = rounded_value(R.since(panel_geo(spark, sf), "Patrones", LEVEL_DELEGATION, EXPORT_SINCE))
+    df = rounded_value(R.since(stored_panel(spark, sf), "Patrones", LEVEL_DELEGATION, EXPORT_SINCE))
     path = scratch_path(spark, "patrones_delegacional")
     export_csv(df, path)
     return spark.read.schema(df.schema).option("header", True).option("nullValue", "").csv(path)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.functions.codes import normalize_code, unparsable_code
 from panelkit.schema import CODE_DICT, GEO_DICT, MICRO, NATIONAL_CODE
 from panelkit.session import literal_table
 from panelkit.sources.tables import read_table
@@ -119,10 +120,19 @@ CODE_DICTIONARY_ROWS = [
 def read_code_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Code dictionary landed as CSV with a header.  Every column is read as
     text (no inference), then float-artefact codes are repaired."""
-    from panelkit.functions.codes import normalize_code
-
     df = spark.read.schema(CODE_DICT).option("header", True).csv(path)
-    return df.withColumn("sheet_name_code", normalize_code("sheet_name_code"))
+    return repaired_dictionary(df)
+
+
+def repaired_dictionary(raw: DataFrame) -> DataFrame:
+    """Codes repaired; rows of :func:`unparsable_codes` are left out, since a
+    code that became NULL would label the cells *without* a code."""
+    return raw.where(~unparsable_code("sheet_name_code")).withColumn("sheet_name_code", normalize_code("sheet_name_code"))
+
+
+def unparsable_codes(raw: DataFrame) -> DataFrame:
+    """The dictionary rows whose long code is not a number, as landed."""
+    return raw.where(unparsable_code("sheet_name_code"))
 
 
 def read_geo_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -145,16 +155,9 @@ def read_geo_dictionary(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-_DICTS: dict[int, tuple[SparkSession, DataFrame]] = {}
-
-
 def code_dictionary(spark: SparkSession) -> DataFrame:
     """Code → (sheet_name, book_name) per series and disaggregation."""
-    hit = _DICTS.get(id(spark))
-    if hit is None or hit[0] is not spark:
-        hit = (spark, literal_table(spark, CODE_DICTIONARY_ROWS, CODE_DICT))
-        _DICTS[id(spark)] = hit
-    return hit[1]
+    return literal_table(spark, CODE_DICTIONARY_ROWS, CODE_DICT)
 
 
 def geo_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,3 +186,11 @@ def test_revision_diff_statuses_with_null_values_and_ids(spark):
     out = revision_diff(new, stored, key=["book_id", "date", "clave_delegacion"])
     got = {r.clave_delegacion: r.status for r in out.collect()}
     assert got == {1: "missing_new", 2: "changed", 4: "stored_null", 5: "missing_stored"}
+
+
+def test_unparsable_dictionary_codes_are_reported_and_match_nothing(spark):
+    from panelkit.sources.register import repaired_dictionary, unparsable_codes
+
+    raw = spark.createDataFrame([("mas de 1000", "Mas de 1000"), ("10.100000000000001", "M 10.1"), (None, "Sin rango"), ("14", "M 14")], "sheet_name_code string, sheet_name string")
+    assert [r.sheet_name for r in unparsable_codes(raw).collect()] == ["Mas de 1000"]
+    assert {(r.sheet_name_code, r.sheet_name) for r in repaired_dictionary(raw).collect()} == {("10.1", "M 10.1"), (None, "Sin rango"), ("14", "M 14")}
