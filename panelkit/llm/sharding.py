@@ -25,7 +25,7 @@ from panelkit.llm.common import narrow
 from panelkit.session import cut_lineage
 
 ROW_BYTES = 16
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_096
 
 
 def interleaved_shards(docs: DataFrame, shards: int = 40, seed: int = 9, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
