@@ -21,6 +21,7 @@ from panelkit.sources.register import code_dictionary, geo_dictionary
 # Cut-off of the employer export; revision fixture rules.
 EXPORT_SINCE = dt.date(2000, 1, 1)
 REVISED_EVERY, DROPPED_SUBDEL, REVISION_BUMP = 7, 3, 2.0
+BROKEN_DELEGATION, BROKEN_MONTH = 2, 5
 
 OUTLIER_KEY = ["level", "series", "disaggregation", "sheet_name", "book_name", "clave_delegacion", "clave_subdelegacion"]
 
@@ -43,8 +44,14 @@ def q_non_empty_gate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def broken_totals(panel_df: DataFrame) -> DataFrame:
+    """A panel in which one delegation's totals of one calendar month are off by one."""
+    hit = (F.col("level") == LEVEL_DELEGATION) & (F.col("clave_delegacion") == BROKEN_DELEGATION) & (F.month("date") == BROKEN_MONTH)
+    return panel_df.withColumn("value", F.when(hit, F.col("value") + 1).otherwise(F.col("value")))
+
+
 def q_control_totals(spark: SparkSession, sf: str) -> DataFrame:
-    out = Q.control_totals(panel(spark, sf))
+    out = Q.control_totals(broken_totals(panel(spark, sf)))
     return out.withColumns({c: rv(c) for c in ("lower_sum", "upper_value", "upper_value_2")})
 
 
@@ -139,7 +146,8 @@ ORACLE = {
         SELECT 'hist' AS dataset, (SELECT count(*) FROM hist) > 0 AS non_empty
         UNION ALL SELECT 'new', (SELECT count(*) FROM newm) > 0
         UNION ALL SELECT 'empty', (SELECT count(*) FROM newm WHERE false) > 0""",
-    "control_totals": f"""{O.PANEL_BASE}, a AS (SELECT * FROM panel_full WHERE series <> 'Salario'),
+    "control_totals": f"""{O.PANEL_BASE}, a AS (SELECT * REPLACE (CASE WHEN level = 'Delegación' AND clave_delegacion = {BROKEN_DELEGATION}
+            AND month(date) = {BROKEN_MONTH} THEN value + 1 ELSE value END AS value) FROM panel_full WHERE series <> 'Salario'),
         per_del AS (
           SELECT 'delegation' AS "check", {_LK}, clave_delegacion,
             sum(CASE WHEN level = 'Subdelegación' THEN value END) AS lower_sum,
@@ -188,7 +196,8 @@ ORACLE = {
         SELECT 'hist' AS dataset, (SELECT count(*) FROM hist) > 0 AS non_empty
         UNION ALL SELECT 'new', (SELECT count(*) FROM newm) > 0
         UNION ALL SELECT 'empty', (SELECT count(*) FROM newm WHERE false) > 0""",
-    "control_totals": f"""{O.PANEL_BASE}, a AS (SELECT * FROM panel_full WHERE series <> 'Salario'),
+    "control_totals": f"""{O.PANEL_BASE}, a AS (SELECT * REPLACE (CASE WHEN level = 'Delegación' AND clave_delegacion = {BROKEN_DELEGATION}
+            AND month(date) = {BROKEN_MONTH} THEN value + 1 ELSE value END AS value) FROM panel_full WHERE series <> 'Salario'),
         per_del AS (
           SELECT 'delegation' AS "check", {_LK}, clave_delegacion,
             sum(CASE WHEN level = 'Subdelegación' THEN value END) AS lower_sum,

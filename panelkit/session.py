@@ -10,9 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Inline literal tables up to this many rows carry a broadcast hint.
-BROADCAST_MAX_ROWS = 10_000
-
 
 def get_session(master: str | None = None, app: str = "panelkit", shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE, skew handling and UTC time.
@@ -81,12 +78,9 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: StructType) ->
     """A small fixed table as an inline ``VALUES`` relation.
 
     Unlike ``createDataFrame`` (a Python-side RDD with unknown size) this is
-    a local relation with exact size statistics, and its row count is known
-    before anything runs.  Tables up to ``BROADCAST_MAX_ROWS`` rows are
-    hinted for broadcast; that bound is the only broadcast hint the engine
-    places itself.  Every other join side is left to Spark's size-checked
-    planning: ``autoBroadcastJoinThreshold`` on plan statistics and AQE's
-    runtime conversion, with a shuffle join beyond the threshold.
+    a local relation with exact size statistics, from which Spark decides
+    between a broadcast and a shuffle join
+    (``autoBroadcastJoinThreshold``); the engine places no hint.
     """
     names = [f.name for f in schema.fields]
     args: dict[str, object] = {}
@@ -99,4 +93,4 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: StructType) ->
         tuples.append("(" + ", ".join(marks) + ")")
     sql = f"SELECT * FROM VALUES {', '.join(tuples)} AS t({', '.join(names)})"
     df = spark.sql(sql, args=args).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return F.broadcast(df) if len(rows) <= BROADCAST_MAX_ROWS else df
+    return df
