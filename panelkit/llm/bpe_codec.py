@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import WordCache, narrow, slices, space_parts
+from panelkit.llm.common import WordCache, narrow, slices, space_parts, worker_state
 
 MEMORY = "200MB"
 LONG_BYTES = 48
@@ -202,16 +202,14 @@ class DuckCodec:
         return [b"".join(p) for p in parts]
 
 
-_codecs: dict[int, DuckCodec] = {}
-
-
 def codec(packed: tuple[bytes, str]) -> DuckCodec:
     """One codec per Python worker and rank file."""
-    key = zlib.crc32(packed[0] + packed[1].encode())
-    if key not in _codecs:
+
+    def make() -> DuckCodec:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in packed[0].splitlines() if line.strip())}
-        _codecs[key] = DuckCodec(ranks, packed[1])
-    return _codecs[key]
+        return DuckCodec(ranks, packed[1])
+
+    return worker_state(("codec", zlib.crc32(packed[0] + packed[1].encode())), make)
 
 
 def _shared(df: DataFrame, ranks_path: str, pattern: str):
@@ -232,7 +230,10 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str = "") -> DataFrame:
-    """doc_id, ids, decoded (bytes) for every row of ``encoded``; null ids count as none."""
+    """doc_id, ids, decoded (bytes) for every row of ``encoded``; null ids count as none.
+
+    With the encoder's pattern the two share one codec in a worker.
+    """
     shared = _shared(encoded, ranks_path, pattern)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

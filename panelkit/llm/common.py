@@ -19,6 +19,7 @@ import panelkit
 from panelkit.session import cut_lineage
 
 HELD_OUT_REMAINDER = 2
+BATCH_ROWS = 1000
 
 
 def narrow(docs: DataFrame, *cols: str) -> DataFrame:
@@ -28,7 +29,14 @@ def narrow(docs: DataFrame, *cols: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let the executors' Python import this package, once per Spark application (Spark serves the file)."""
+    """Let the executors' Python import this package, once per Spark application (Spark serves the file).
+
+    Rows hold whole texts here, so Arrow batches get BATCH_ROWS rows at most
+    (the session's own setting, if it is smaller).
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
     sc = spark.sparkContext
     if "panelkit.zip" in sc._python_includes:
         return
@@ -51,19 +59,23 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == HELD_OUT_REMAINDER, F.lit(False))
 
 
+def row_slices(batch: pa.RecordBatch, column: int, chars: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows whose text in ``column`` holds about ``chars`` bytes each, or one longer text."""
+    start, total = 0, 0
+    for i, size in enumerate(np.diff(_offsets(batch.column(column))) if batch.num_rows else []):
+        if i > start and total + size > chars:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def slices(batches: Iterable[pa.RecordBatch], chars: int = 1 << 20) -> Iterator[tuple[list, list[str | None]]]:
-    """(first column, second column as text) lists holding about ``chars`` characters each, or one longer text."""
+    """(first column, second column as text) lists holding about ``chars`` bytes each, or one longer text."""
     for batch in batches:
-        ids, col = batch.column(0).to_pylist(), batch.column(1)
-        sizes = np.diff(_offsets(col)) if len(col) else []
-        start, total = 0, 0
-        for i, size in enumerate(sizes):
-            if i > start and total + size > chars:
-                yield ids[start:i], col.slice(start, i - start).to_pylist()
-                start, total = i, 0
-            total += size
-        if start < len(ids):
-            yield ids[start:], col.slice(start).to_pylist()
+        for part in row_slices(batch, 1, chars):
+            yield part.column(0).to_pylist(), part.column(1).to_pylist()
 
 
 def _offsets(col: pa.Array) -> np.ndarray:
@@ -94,6 +106,23 @@ def bitmap_filter(keys: DataFrame, rows: int, max_bits: int = 26):
     return listed
 
 
+_state: list = [None, None]
+
+
+def worker_state(key=None, make=None):
+    """What ``make()`` gave for ``key``, kept in this Python worker until another key is asked for.
+
+    A worker serves one operator after the other, so the caches of the one
+    before go first; without a key they only go.
+    """
+    if _state[0] != key:
+        _state[:] = [None, None]
+        pa.default_memory_pool().release_unused()
+        if make:
+            _state[:] = [key, make()]
+    return _state[1]
+
+
 class WordCache:
     """A bounded map from a word to what was computed for it; the older half goes when it is full.
 

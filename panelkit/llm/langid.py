@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import held_out, narrow, ship_package, slices
+from panelkit.llm.common import held_out, narrow, row_slices, ship_package, slices, worker_state
 
 DIM_BITS = 15
 DIM = 1 << DIM_BITS
@@ -77,6 +77,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sample = labelled.where(F.col("text").isNotNull() & (draw < limit[F.col("lang")])).select("lang", "text")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
         counts: dict[str, np.ndarray] = {}
         for names, texts in slices(batches):
             for lang, text in zip(names, texts, strict=True):
@@ -122,6 +123,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
         for ids, texts in slices(batches):
             langs, scores = score_texts(texts, shared.value)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
@@ -135,15 +137,13 @@ def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def accepted(text):
-        import pandas as pd
+    at = docs.columns.index(text_col)
 
-        langs, scores = [], []
-        for t in text:  # one at a time: memory stays that of one text
-            (lang,), (s,) = score_texts([t], shared.value)
-            langs.append(lang)
-            scores.append(s)
-        return pd.Series([lang != UNKNOWN and s >= min_score for lang, s in zip(langs, scores, strict=True)], dtype=bool)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
+        for batch in batches:
+            for part in row_slices(batch, at):  # whole rows, a bounded number of bytes at a time
+                langs, scores = score_texts(part.column(at).to_pylist(), shared.value)
+                yield part.filter(pa.array([lang != UNKNOWN and s >= min_score for lang, s in zip(langs, scores, strict=True)], pa.bool_()))
 
-    return docs.where(accepted(F.col(f"`{text_col}`")))
+    return docs.mapInArrow(run, docs.schema)

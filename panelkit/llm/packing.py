@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import WordCache, narrow, slices, space_parts
+from panelkit.llm.common import WordCache, narrow, slices, space_parts, worker_state
 
 LENGTH = 2048
 END_ID = 1
@@ -40,7 +40,7 @@ STRIDE = 128
 SENTENCE_PENALTY = 2
 TRUNCATION_PENALTY = 24
 BLOCK = 1 << 20
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 _JOINED = 2_000
 
 
@@ -97,15 +97,9 @@ class CachedEncoder:
         return [first[h] + b"".join(map(later.__getitem__, p)) for h, p in zip(heads, parts, strict=True)]
 
 
-_encoders: dict[int, CachedEncoder] = {}
-
-
 def cached_encoder(spec: bytes) -> CachedEncoder:
     """One encoder, with its cache, per Python worker and vocabulary."""
-    key = zlib.crc32(spec)
-    if key not in _encoders:
-        _encoders[key] = CachedEncoder(spec)
-    return _encoders[key]
+    return worker_state(("packing", zlib.crc32(spec)), lambda: CachedEncoder(spec))
 
 
 def cut_points(ids: np.ndarray, ends_sentence: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:

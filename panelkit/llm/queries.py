@@ -48,7 +48,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    decoded = decode_documents(encoded, path)
+    decoded = decode_documents(encoded, path, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

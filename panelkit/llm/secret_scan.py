@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import narrow, ship_package, slices
+from panelkit.llm.common import narrow, row_slices, ship_package, slices, worker_state
 
 # The base patterns, their minimum lengths and their order.
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -202,15 +202,22 @@ def redact_text(text: str | None, mask: str = "[SECRET]") -> str | None:
 def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """``docs`` with secrets masked in ``text_col``; ``length_col``, if named, gets the new length where the text changed."""
     ship_package(docs.sparkSession)
-
-    @F.pandas_udf("string")
-    def redacted(text):
-        return text.map(redact_text)
-
-    names = [n for n in docs.columns if n != text_col]
-    out = docs.select(*[F.col(f"`{n}`") for n in names], F.struct(F.col(f"`{text_col}`").alias("old"), redacted(F.col(f"`{text_col}`")).alias("new")).alias(text_col))
-    new, old = F.col(f"`{text_col}`.new"), F.col(f"`{text_col}`.old")
-    pick = {text_col: new.alias(text_col)}
-    if length_col in names:
-        pick[length_col] = F.when(new.eqNullSafe(old), F.col(f"`{length_col}`")).otherwise(F.length(new)).cast(docs.schema[length_col].dataType).alias(length_col)
-    return out.select(*[pick.get(n, F.col(f"`{n}`")) for n in docs.columns])
+    at = docs.columns.index(text_col)
+    length_at = docs.columns.index(length_col) if length_col else None
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
+        for batch in batches:
+            for part in row_slices(batch, at):  # whole rows, a bounded number of bytes at a time
+                old = part.column(at).to_pylist()
+                new = [redact_text(t) for t in old]
+                if new != old:
+                    columns = part.columns
+                    columns[at] = pa.array(new, columns[at].type)
+                    if length_at is not None:
+                        lengths = columns[length_at].to_pylist()
+                        columns[length_at] = pa.array([k if a == b else len(b) for k, a, b in zip(lengths, old, new, strict=True)], columns[length_at].type)
+                    part = pa.RecordBatch.from_arrays(columns, schema=part.schema)
+                yield part
+
+    return docs.mapInArrow(run, docs.schema)

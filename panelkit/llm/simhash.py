@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import bitmap_filter, connected_components, find, narrow, slices, union_all
+from panelkit.llm.common import bitmap_filter, connected_components, find, narrow, slices, union_all, worker_state
 from panelkit.session import cut_lineage
 
 SEED = 42
@@ -59,6 +59,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     """doc_id and fp (signed 64-bit) for every row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
         for ids, texts in slices(batches):
             fps = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps)], ["doc_id", "fp"])

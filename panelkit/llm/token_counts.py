@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import WordCache, narrow, slices
+from panelkit.llm.common import WordCache, narrow, slices, worker_state
 
 MARK = "▁"
 LIMIT = 4096
@@ -176,15 +176,9 @@ class TokenCounter:
         return [sum(map(table.__getitem__, own)) for own in units]
 
 
-_counters: dict[int, TokenCounter] = {}
-
-
 def counter(model: bytes) -> TokenCounter:
     """One counter, with its cache, per Python worker and model."""
-    key = zlib.crc32(model)
-    if key not in _counters:
-        _counters[key] = TokenCounter(model)
-    return _counters[key]
+    return worker_state(("counts", zlib.crc32(model)), lambda: TokenCounter(model))
 
 
 def count_tokens(docs: DataFrame, model_path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
