@@ -9,7 +9,15 @@ side that is itself a name is an edge along which constants propagate, so
 literals joined by ``+`` belong to the same target.  A literal is reported
 (kind ``literal``) when the sensitivity of the best name that reaches it,
 times how much it looks like a credential, is at least THRESHOLD, unless a
-base assignment already covers it.
+base assignment already covers it.  A literal of which a base assignment
+covers only the head is always reported whole.
+
+Literals with white space count by their longest run without it, if the name
+is strongly sensitive (pass phrases); values after an authorization scheme
+(``Bearer eyJ...``) count without the scheme; private keys in PEM form count
+in full, quoted or not, over all their lines.  An unquoted word without
+digits is a name, and also a literal where it ends a configuration line, is
+no type and is used nowhere else in the text but as such a value.
 
 Offsets are code points, end exclusive.  Null text counts as empty and has no
 spans.  Repeated rows are each reported; whole texts are read.
@@ -44,6 +52,8 @@ SENSITIVE = {
 }
 PLACEHOLDER = re.compile(r"(?i)^(?:none|null|nil|true|false|undefined|changeme|change_me|example|placeholder|redacted|dummy|test|xxx+|\*+|\.+|<.*>|\[[a-z_]+\]|\$\{.*\}|\{\{.*\}\}|%\(.*\)s|your[_-].*)$")
 THRESHOLD = 0.45
+# Fixed value: from this weight on a name is strongly sensitive.
+STRONG = 0.9
 
 _OPERATOR = re.compile(r"(?<![=:!<>+*/%-])(?:=>|:=|[:=])(?![=:/])")
 _SPACE = " \t"
@@ -51,6 +61,14 @@ _NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 _STRING = re.compile(r'"""(.*?)"""|\'\'\'(.*?)\'\'\'|"((?:[^"\\\n]|\\.)*)"|\'((?:[^\'\\\n]|\\.)*)\'|`([^`]*)`', re.DOTALL)
 _BARE = re.compile(r"[^\s,;\"'(){}\[\]<>`]+")
 _WORD = re.compile(r"[A-Za-z_$][\w.$]*\Z")
+_SCHEME = re.compile(r"\s*(?i:bearer|basic|digest|token|negotiate|apikey)(?:\s+|\Z)")
+_TEMPLATE = re.compile(r"\{\w*\}\Z")
+_PEM_MARK = re.compile(r"-----(?:BEGIN|END) [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+_PEM = re.compile(r"(?:[|>][+-]?\s*|[\"'`]\s*)?(-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----[^-]*(?:-(?!----)[^-]*)*-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----)")
+_LINE_START = re.compile(r"(?:export[ \t]+|-[ \t]+)?[\"']?\Z")
+_LINE_END = re.compile(r"[ \t\r]*(?:#.*)?$", re.MULTILINE)
+_TYPE = re.compile(r"(?i)(?:string|unicode|binary|object|boolean|integer|number|optional|varchar|inherit|required)\Z")
+_IDENTIFIER = re.compile(r"[A-Za-z_]\w*")
 _PLUS = re.compile(r"[ \t]*\+[ \t]*\n?[ \t]*")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
@@ -79,21 +97,37 @@ def _name_before(text: str, at: int) -> str | None:
     return text[start:end] if start < end else None
 
 
-def lex(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str]]]:
-    """(name, spans of its literals, names it refers to) of every assignment."""
+def _ends_line(text: str, at: int, name: str, end: int) -> bool:
+    """Whether nothing but ``name``, the operator at ``at`` and a value up to ``end`` is on the line."""
+    before = text[max(0, at - 200) : at]
+    if "\n" not in before and at > 200:
+        return False
+    before = before[before.rfind("\n") + 1 :].rstrip(" \t\"'")
+    return _LINE_START.match(before[: len(before) - len(name)].lstrip()) is not None and _LINE_END.match(text, end) is not None
+
+
+def lex(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str], list[tuple[int, int]]]]:
+    """(name, spans of its literals, names it refers to, spans of words that may be either) of every assignment."""
     for op in _OPERATOR.finditer(text):
         if not (name := _name_before(text, op.start())):
             continue
-        at, literals, names = op.end(), [], []
+        at, literals, names, words = op.end(), [], [], []
         while at < len(text) and text[at] in _SPACE:
             at += 1
         while at < len(text):
-            if m := _STRING.match(text, at):
+            if m := _PEM.match(text, at):
+                literals.append(m.span(1))
+            elif m := _STRING.match(text, at):
                 literals.append(m.span(m.lastindex))
             elif m := _BARE.match(text, at):
+                if (scheme := _SCHEME.match(text, at)) and "\n" not in scheme.group() and (value := _BARE.match(text, scheme.end())):
+                    names.append(m.group())
+                    m = value  # Authorization: Bearer eyJ...
                 word = _WORD.match(m.group())
                 if word:
                     names.append(m.group())
+                    if _IDENTIFIER.fullmatch(m.group()) and m.start() < op.end() + 200 and _ends_line(text, op.start(), name, m.end()):
+                        words.append(m.span())
                 if not word or any(map(str.isdigit, m.group())):  # configuration files do not quote
                     literals.append(m.span())
             else:
@@ -102,7 +136,7 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str]]]:
                 break
             at = plus.end()
         if literals or names:
-            yield name, literals, names
+            yield name, literals, names, words
 
 
 def _key(name: str) -> str:
@@ -116,29 +150,44 @@ def name_weight(name: str) -> float:
     return max((SENSITIVE.get(p, 0.0) for p in joined), default=0.0)
 
 
-def value_weight(value: str) -> float:
-    """How much a literal looks like a credential: length, mix of classes, entropy; 0 for placeholders and prose."""
+def value_weight(value: str, name: float = 0.0) -> float:
+    """How much a literal under a name of weight ``name`` looks like a credential: length, mix of classes, entropy; 0 for placeholders.
+
+    A PEM private key counts 1; a scheme in front is left out; of a literal
+    with white space the longest run without it counts, 0 if the name is not
+    strongly sensitive.
+    """
+    if _PEM_MARK.search(value):
+        return 1.0
+    if scheme := _SCHEME.match(value):
+        value = value[scheme.end() :]
+    value = value.strip()
+    if PLACEHOLDER.match(value) or _TEMPLATE.match(value):
+        return 0.0
+    if len(runs := value.split()) > 1:
+        value = max(runs, key=len) if name >= STRONG else ""
     n = len(value)
-    if n < 6 or PLACEHOLDER.match(value) or any(map(str.isspace, value)):
+    if n < 6 or PLACEHOLDER.match(value) or _TEMPLATE.match(value):
         return 0.0
     classes = any(map(str.isdigit, value)) + any(map(str.islower, value)) + any(map(str.isupper, value)) + any(not c.isalnum() for c in value)
-    if classes < 2:
-        return 0.0
     entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
     return min(1.0, 0.25 * classes + 0.1 * entropy)
 
 
-def literal_spans(text: str) -> list[Span]:
-    """Literals that a sensitive name reaches, directly or through other names."""
+def literal_spans(text: str, heads: Iterable[int] = ()) -> list[Span]:
+    """Literals that a sensitive name reaches, directly or through other names, and those that start at one of ``heads``."""
     if not _OPERATOR.search(text):
         return []
+    heads = set(heads)
     own: dict[tuple[int, int], float] = {}
     defined: dict[str, list[tuple[int, int]]] = {}
     sources: dict[str, set[str]] = {}
-    for name, literals, names in lex(text):
+    maybe: dict[tuple[int, int], str] = {}
+    for name, literals, names, words in lex(text):
         weight = name_weight(name)
         for span in literals:
             own[span] = max(own.get(span, 0.0), weight)
+        maybe.update(dict.fromkeys(words, _key(name)))
         defined.setdefault(_key(name), []).extend(literals)
         sources.setdefault(_key(name), set()).update(map(_key, names))
     # Names take the weight of the names they are assigned to, until nothing changes.
@@ -153,7 +202,15 @@ def literal_spans(text: str) -> list[Span]:
     for name, spans in defined.items():
         for span in spans:
             own[span] = max(own[span], weight[name])
-    return [("literal", a, b) for (a, b), w in own.items() if w and w * value_weight(text[a:b]) >= THRESHOLD]
+    maybe = {span: name for span, name in maybe.items() if weight[name] >= STRONG and span not in own}
+    if maybe:
+        used = Counter(m.group() for m in _IDENTIFIER.finditer(text))
+        used.subtract(text[a:b] for a, b in maybe)
+        for (a, b), name in maybe.items():
+            word = text[a:b]
+            if not used[word] and word.lower() not in sources and not name_weight(word) and not _TYPE.match(word):
+                own[a, b] = weight[name]
+    return [("literal", a, b) for (a, b), w in own.items() if a in heads or w and w * value_weight(text[a:b], w) >= THRESHOLD]
 
 
 def scan_text(text: str | None) -> list[Span]:
@@ -161,8 +218,9 @@ def scan_text(text: str | None) -> list[Span]:
     text = text or ""
     base = base_spans(text)
     covered = [(a, b) for kind, a, b in base if kind == "assign"]
+    heads = [ASSIGN.match(text, a).start(2) for a, _ in covered]
     more, i = [], 0
-    for span in sorted(literal_spans(text), key=lambda s: s[1:]):
+    for span in sorted(literal_spans(text, heads), key=lambda s: s[1:]):
         while i < len(covered) and covered[i][1] <= span[1]:
             i += 1
         if not (i < len(covered) and covered[i][0] <= span[1] and span[2] <= covered[i][1]):
