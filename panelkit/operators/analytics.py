@@ -6,7 +6,8 @@ months (bounded by the calendar, never by the register size).  Previous
 month / previous year values come from a *range* frame over a month index,
 which finds the value exactly 1 or 12 months earlier and gives NULL across
 a gap, where ``lag`` would silently take the previous *row*; no self join,
-one shuffle.
+one shuffle.  Two codes of one sheet give two rows of a series and month;
+``monthly`` makes them one first, in the same shuffle.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.operators.panel import one_value
+from panelkit.schema import SERIES_WAGE
+
 SERIES_KEY = ["level", "series", "disaggregation", "sheet_name", "book_name", "clave_delegacion", "clave_subdelegacion"]
 ENTITY_KEY = ["level", "clave_delegacion", "clave_subdelegacion"]
 
@@ -23,6 +27,12 @@ def month_index(d: Column | str = "date") -> Column:
     return F.year(c) * 12 + F.month(c)
 
 
+def monthly(panel: DataFrame, key: list[str]) -> DataFrame:
+    """One row per key and month: rows of additive series are summed, several wages of one month raise."""
+    series = F.col("series") if "series" in panel.columns else F.lit(None).cast("string")
+    return panel.repartition(*key).groupBy(*key, "date").agg(one_value(series != SERIES_WAGE))
+
+
 def _value_months_back(key: list[str], months: int) -> Column:
     w = Window.partitionBy(*key).orderBy(month_index()).rangeBetween(-months, -months)
     return F.first("value").over(w)
@@ -35,7 +45,7 @@ def _pct(cur: Column, prev: Column) -> Column:
 def changes(panel: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Month-on-month and year-on-year change of each series value."""
     key = key or SERIES_KEY
-    out = panel.select(
+    out = monthly(panel, key).select(
         *key,
         "date",
         "value",
@@ -68,7 +78,7 @@ def summary(panel: DataFrame, key: list[str] | None = None) -> DataFrame:
     as the aggregate, so Spark reuses one shuffle."""
     key = key or SERIES_KEY
     last = F.max("date").over(Window.partitionBy(*key))
-    p = panel.withColumn("last_date", last)
+    p = monthly(panel, key).withColumn("last_date", last)
     agg = p.groupBy(*key).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_months"),
         F.min("date").alias("first_date"),
@@ -92,7 +102,7 @@ def seasonal_profile(panel: DataFrame, key: list[str] | None = None) -> DataFram
     # shuffle in total instead of one per key).
     same_year = Window.partitionBy(*key).orderBy(F.year("date")).rangeBetween(0, 0)
     year_mean = F.avg("value").over(same_year)
-    r = panel.select(*key, F.month("date").alias("month"), F.try_divide(F.col("value"), year_mean).alias("ratio"))
+    r = monthly(panel, key).select(*key, F.month("date").alias("month"), F.try_divide(F.col("value"), year_mean).alias("ratio"))
     return r.groupBy(*key, "month").agg(
         F.avg("ratio").alias("seasonal_index"), F.count("ratio").cast("bigint").alias("n_years")
     )

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.labels import member_key, member_label
+from panelkit.operators.panel import one_value
+from panelkit.schema import SERIES_WAGE
 
 MEMBER_COLUMNS = ["clave_delegacion", "delegacion", "clave_subdelegacion", "subdelegacion"]
 SLICE_COLUMNS = MEMBER_COLUMNS + ["date", "value"]
@@ -128,16 +130,23 @@ def month_column(d: dt.date) -> str:
 
 
 def to_wide(
-    sliced: DataFrame, months: list[dt.date] | None = None, ids: tuple[str, ...] = (*MEMBER_COLUMNS, "grupo")
+    sliced: DataFrame,
+    months: list[dt.date] | None = None,
+    ids: tuple[str, ...] = (*MEMBER_COLUMNS, "grupo"),
+    series: str | None = None,
 ) -> DataFrame:
     """Long → wide: one column per month, named ``m_YYYY_MM``.
 
+    Several values of one cell are summed if ``series`` (the slice's own, or
+    its ``series`` column) is additive, and raise otherwise.
+
     Passing the month list avoids the extra distinct job; without it the
     (small, bounded) month list of the slice is computed first.
     """
     if months is None:
         months = [r[0] for r in sliced.select("date").distinct().orderBy("date").collect()]
-    wide = sliced.groupBy(*ids).pivot("date", months).agg(F.max("value"))
+    named = F.col("series") if series is None and "series" in sliced.columns else F.lit(series)
+    wide = sliced.groupBy(*ids).pivot("date", months).agg(one_value(named != SERIES_WAGE))
     return wide.select(*ids, *[F.col(f"`{m.isoformat()}`").alias(month_column(m)) for m in months])
 
 

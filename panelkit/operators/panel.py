@@ -128,6 +128,21 @@ def _value() -> Column:
     return F.when(F.col("series") == SERIES_WAGE, wage).otherwise(F.col("sum_v").cast("double"))
 
 
+def one_value(additive: Column) -> Column:
+    """Aggregate of the rows of one cell (entity, sheet and month).
+
+    Two codes of one sheet give two rows: those of an additive series are
+    summed; two wages have no mean without their weights, so they raise.
+    """
+    several = F.raise_error(F.lit("several values of a series that is not additive in one cell: two codes share a sheet"))
+    return (
+        F.when(F.count("value") <= 1, F.max("value"))
+        .when(F.coalesce(F.bool_and(additive), F.lit(False)), F.sum("value"))
+        .otherwise(several.cast("double"))
+        .alias("value")
+    )
+
+
 def family_table(clean: DataFrame, dic: DataFrame, family: str) -> DataFrame:
     """One family at subdelegation level, left-joined to the dictionary.
 

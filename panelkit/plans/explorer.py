@@ -96,9 +96,9 @@ def plot_order(df: DataFrame) -> DataFrame:
     return df.orderBy("grupo", "date")
 
 
-def make_export(df: DataFrame, shape: str = "long", months: list[dt.date] | None = None) -> DataFrame:
-    """Long as is, or wide with one column per month."""
+def make_export(df: DataFrame, shape: str = "long", months: list[dt.date] | None = None, series: str | None = None) -> DataFrame:
+    """Long as is, or wide with one column per month (``series`` says whether values of one cell may be summed)."""
     if shape != "wide":
         return df
     ids = tuple(c for c in df.columns if c not in ("date", "value"))
-    return X.to_wide(df, months, ids=ids)
+    return X.to_wide(df, months, ids=ids, series=series)

@@ -88,7 +88,7 @@ def q_series_slice_total(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_series_wide(spark: SparkSession, sf: str) -> DataFrame:
-    wide = X.to_wide(rounded_value(slices(spark, sf)), SLICE_MONTHS, ids=("level", *X.MEMBER_COLUMNS, "grupo"))
+    wide = X.to_wide(rounded_value(slices(spark, sf)), SLICE_MONTHS, ids=("level", *X.MEMBER_COLUMNS, "grupo"), series=SLICE_SERIES)
     return wide
 
 

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from panelkit.operators.panel import one_value
+from panelkit.schema import SERIES_WAGE
 from panelkit.session import literal_table
 
 # Published workbook titles per (series, disaggregation).
@@ -156,7 +158,10 @@ def month_headers(months: list[dt.date]) -> list[str]:
 
 
 def landed_sheets(panel: DataFrame, sheets: DataFrame, months: list[dt.date] | None = None) -> DataFrame:
-    """All published sheets as one wide table over the month grid."""
+    """All published sheets as one wide table over the month grid.
+
+    A sheet that two codes share holds the sum of an additive series; two
+    wages of one cell raise."""
     months = months or month_grid(panel)
     headers = month_headers(months)
     serial = F.datediff(F.col("date"), F.lit(EXCEL_EPOCH)).cast("string")
@@ -173,8 +178,9 @@ def landed_sheets(panel: DataFrame, sheets: DataFrame, months: list[dt.date] | N
         F.when(sub_level, F.concat(d2, F.lpad(F.col("clave_subdelegacion").cast("string"), 2, "0"))).alias(H_SUB),
         F.when(sub_level, F.col("subdelegacion")).alias(H_SUB_NAME),
         header.alias("header"),
+        "series",
         "value",
     )
     return cells.groupBy("path", "position", H_DEL, H_DEL_NAME, H_SUB, H_SUB_NAME).pivot("header", headers).agg(
-        F.first("value")
+        one_value(F.col("series") != SERIES_WAGE)
     )

@@ -2,10 +2,15 @@
 
 import datetime as dt
 
+import pytest
 from conftest import SF_SMALL
 from panelkit.operators import analytics as A
+from panelkit.operators import explore as X
+from panelkit.operators.panel import build_panel, with_geo
 from panelkit.plans import explorer as P
 from panelkit.registry.common import panel_geo
+from panelkit.schema import CODE_DICT, GEO_DICT
+from panelkit.sources import books as S
 
 
 def test_previous_month_is_null_across_a_gap(spark):
@@ -35,3 +40,45 @@ def test_explorer_flow(spark):
     wide = P.make_export(lines, "wide")
     assert wide.count() == lines.select("grupo").distinct().count()
     assert P.slice_bounds(p, series, level, concept, "no such sheet") == (None, None)
+
+
+@pytest.fixture
+def shared_sheet(spark):
+    """A panel whose dictionary maps the codes 10 and 13 to one sheet: 3 + 5 insured in January, 4 + 7 in February."""
+    cells = [(dt.date(2020, 1, 1), "10", 3), (dt.date(2020, 1, 1), "13", 5), (dt.date(2020, 2, 1), "10", 4), (dt.date(2020, 2, 1), "13", 7)]
+    clean = spark.createDataFrame(
+        [(d, 1, 1, 2, code, n, 1, 100.0 + n, 1, code, "S1") for d, code, n in cells],
+        "date date, ta int, clave_delegacion int, clave_subdelegacion int, cve_modalidad string, asegurados long, patrones long, "
+        "salario double, div_final int, mod string, size_cierre string",
+    )
+    dic = [(s, "Modalidad", c, "Modalidad 10", f"{s} libro") for s in ("Asegurados", "Salario") for c in ("10", "13")]
+    geo = spark.createDataFrame([(1, "Uno", 2, "Dos")], GEO_DICT)
+    panel = with_geo(build_panel(clean, spark.createDataFrame(dic, CODE_DICT)), geo)
+    insured, wages = panel.where("series = 'Asegurados'"), panel.where("series = 'Salario'")
+    assert insured.where("level = 'Subdelegación' AND clave_delegacion = 1").count() == 4  # two rows a month
+    return insured, wages
+
+
+def test_two_codes_of_one_sheet_are_summed(shared_sheet):
+    insured, wages = shared_sheet
+    sub = insured.where("level = 'Subdelegación' AND clave_delegacion = 1")
+    rows = sorted((r.date.month, r.value, r.prev_month_value) for r in A.changes(sub).collect())
+    assert rows == [(1, 8.0, None), (2, 11.0, 8.0)]
+    one = A.summary(sub).collect()
+    assert [(r.n_months, r.last_value, r.prev_value, r.mean_value) for r in one] == [(2, 11.0, 8.0, 9.5)]
+    assert sorted((r.month, r.seasonal_index) for r in A.seasonal_profile(sub).collect()) == [(1, 8 / 9.5), (2, 11 / 9.5)]
+    lines = sub.select(*X.SLICE_COLUMNS, X.member_label().alias("grupo"))
+    wide = P.make_export(lines, "wide", series="Asegurados").collect()
+    assert [(r.m_2020_01, r.m_2020_02) for r in wide] == [(8.0, 11.0)]
+    sheet = S.landed_sheets(sub, S.published_sheets(sub)).collect()
+    assert len(sheet) == 1 and sorted(v for v in sheet[0] if isinstance(v, float)) == [8.0, 11.0]
+    # no series named: nothing is picked or summed
+    with pytest.raises(Exception, match="several values"):
+        X.to_wide(lines).collect()
+
+
+def test_two_wages_of_one_cell_raise(shared_sheet):
+    _, wages = shared_sheet
+    for out in (A.changes(wages), A.anomalies(wages), A.summary(wages), S.landed_sheets(wages, S.published_sheets(wages))):
+        with pytest.raises(Exception, match="several values"):
+            out.collect()
