@@ -16,7 +16,8 @@ bucket still meets once.  Inside, pairs are compared in blocks and only a
 spanning star per class leaves, never the pairs.
 
 Null text counts as empty.  A null doc_id takes part, but never names a
-component: a component without any other id has a null component_id.
+component: a component without any other id has a null component_id (when
+near copies are dropped, one of its rows stays).
 Repeated rows each give a row.
 """
 
@@ -27,10 +28,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import bitmap_filter, connected_components, find, narrow, slices, union_all, worker_state
+from panelkit.llm.common import bitmap_filter, connected_components, find, row_slices, ship_package, union_all, worker_state
 from panelkit.session import cut_lineage
 
 SEED = 42
@@ -55,16 +56,25 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (signed 64-bit) for every row."""
+def text_hash(text_col: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+
+
+def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text", hashed: bool = False) -> DataFrame:
+    """doc_id and fp (signed 64-bit) for every row; with ``hashed`` also text_hash, which tells texts of one id apart."""
+    extra = [text_hash(text_col).alias("text_hash")] if hashed else []
+    kept = ", text_hash long" if hashed else ""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state()
-        for ids, texts in slices(batches):
-            fps = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps)], ["doc_id", "fp"])
+        for batch in batches:
+            for part in row_slices(batch, 1):
+                fps = np.array([fingerprint(t, words) for t in part.column(1).to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps), *part.columns[2:]], ["doc_id", "fp", *part.schema.names[2:]])
 
-    return narrow(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    ship_package(docs.sparkSession)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *extra)
+    return rows.mapInArrow(run, f"doc_id long, fp long{kept}")
 
 
 def covering_masks(radius: int, bits: int = 64, seed: int = 5) -> list[int]:
@@ -125,27 +135,42 @@ def linking_edges(fps: DataFrame, radius: int = 3, bucket_rows: int = BUCKET_ROW
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable by links of at most ``radius`` bits) for every row."""
-    rows = cut_lineage(fingerprints(docs, words, id_col, text_col))
-    classes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    return _with_least(fingerprints(docs, words, id_col, text_col), F.col("doc_id"), radius, bucket_rows)
+
+
+def _with_least(fps: DataFrame, value: Column, radius: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``fps`` and component_id, the least ``value`` of the row's component."""
+    rows = cut_lineage(fps)
+    classes = cut_lineage(rows.groupBy("fp").agg(F.min(value).alias("least")))
     joined = cut_lineage(connected_components(linking_edges(classes, radius, bucket_rows)))
     linked = joined.join(classes, F.col("node") == F.col("fp")).select("fp", "component", "least")
     smallest = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     names = cut_lineage(linked.join(smallest, "component").select(F.col("fp").alias("linked_fp"), "component_id"))
     alone = classes.join(names, F.col("fp") == F.col("linked_fp"), "left_anti").select(F.col("fp").alias("linked_fp"), F.col("least").alias("component_id"))
-    return rows.join(alone.union(names), F.col("fp") == F.col("linked_fp")).select("doc_id", "fp", "component_id")
+    return rows.join(alone.union(names), F.col("fp") == F.col("linked_fp")).select(*rows.columns, "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that are the smallest doc_id of their component.
-
-    Rows with a null doc_id stay.  doc_id must name a row: of rows that
-    repeat one doc_id all stay or all go.  A bounded bitmap of the dropped
-    ids lets most rows pass without a shuffle of their texts.
+    """The rows of ``docs``, all columns, that hold the one kept (doc_id, text) of their component.
+
+    That is the smallest doc_id, of several texts under it the one with the
+    least hash; in a component without an id the hash alone decides, and of
+    equal texts there one row stays.  So a doc_id with two texts loses only
+    the text that is a near copy.  Repeated rows of one doc_id and text all
+    stay or all go.  A bounded bitmap of the dropped rows lets most rows pass
+    without a shuffle of their texts.
     """
-    found = near_duplicates(docs, words, radius, id_col, text_col)
-    dropped = cut_lineage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped_doc_id")).distinct())
-    key = F.xxhash64(F.col(f"`{id_col}`").cast("long"))
-    listed = bitmap_filter(dropped.select(F.xxhash64("dropped_doc_id").alias("fp")), dropped.count())
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("fp"))
-    suspects = whole.where(listed("fp")).join(dropped, F.col("row")[id_col] == F.col("dropped_doc_id"), "left_anti")
-    return whole.where(~listed("fp")).select("row.*").union(suspects.select("row.*"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    found = _with_least(fingerprints(docs, words, id_col, text_col, hashed=True), order, radius)
+    goes = ~F.col("doc_id").eqNullSafe(F.col("component_id.doc_id")) | (F.col("text_hash") != F.col("component_id.text_hash"))
+    dropped = cut_lineage(found.where(goes).select(F.col("doc_id").alias("dropped_doc_id"), F.col("text_hash").alias("dropped_hash")).distinct())
+    doc_id = F.col(f"`{id_col}`").cast("long")
+    listed = bitmap_filter(dropped.select(F.xxhash64("dropped_doc_id", "dropped_hash").alias("fp")), dropped.count())
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), doc_id.alias("doc_id"), text_hash(text_col).alias("text_hash"))
+    whole = whole.withColumn("fp", F.xxhash64("doc_id", "text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("dropped_doc_id")) & (F.col("text_hash") == F.col("dropped_hash"))
+    suspects = whole.where(listed("fp") & F.col("doc_id").isNotNull()).join(dropped, same, "left_anti")
+    # Rows without an id: of equal texts among them one stays, so they move whole.
+    nameless = whole.where("doc_id IS NULL").join(dropped, same, "left_anti").dropDuplicates(["text_hash"])
+    passed = whole.where(~listed("fp") & F.col("doc_id").isNotNull())
+    return passed.select("row.*").union(suspects.select("row.*")).union(nameless.select("row.*"))

@@ -109,6 +109,16 @@ def test_simhash_odd_rows(odd_docs, no_docs):
     assert S.near_duplicates(no_docs).collect() == [] and S.drop_near_duplicates(no_docs).collect() == []
 
 
+def test_dropping_tells_texts_of_one_id_apart_and_reduces_rows_without_id(spark):
+    near, other, alone = "one two three four five six", "seven eight nine ten eleven twelve", "a row that has no like at all"
+    copy = near.upper()  # same fingerprint, another text
+    rows = [(1, near), (5, copy), (5, other), (7, alone), (7, alone)]
+    rows += [(None, "no id here but a long text"), (None, "No id here but a long text"), (None, "No id here but a long text"), (None, near + "")]
+    kept = S.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((r.doc_id or 0, r.text.lower()) for r in kept)
+    assert got == [(0, "no id here but a long text"), (1, near), (5, other), (7, alone), (7, alone)]
+
+
 def brute_vectors(rows, threshold=0.93):
     """n_links and component of each vec_id from all pairs."""
     ok = {i: (label, np.array(v, float)) for i, v, label in rows if i is not None and label is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)}
