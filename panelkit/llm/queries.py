@@ -17,6 +17,7 @@ from panelkit.llm.secret_scan import scan_secrets
 from panelkit.llm.sharding import interleaved_shards
 from panelkit.llm.simhash import near_duplicates
 from panelkit.llm.token_counts import count_tokens
+from panelkit.llm.whitening import whiten_vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +81,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten_vectors(table(spark, sf_dir, "embeddings"), components=8)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_interleaved_shards": op9_interleaved_shards,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
