@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelkit.llm import langid, quality
 from panelkit.llm.bpe_codec import decode_documents, encode_documents
+from panelkit.llm.collocations import collocations
 from panelkit.llm.exact_dedup import exact_duplicates
 from panelkit.llm.lattice_dedup import near_duplicate_vectors
 from panelkit.llm.packing import pack_documents
@@ -81,6 +82,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), min_count=10, max_words=3, covered_percent=50, top=2000)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whiten_vectors(table(spark, sf_dir, "embeddings"), components=8)
     return found.withColumn("deviation", F.col("deviation").cast("long"))
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_interleaved_shards": op9_interleaved_shards,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_collocations": op11_collocations,
     "op13_whitening": op13_whitening,
 }
 
@@ -111,4 +117,43 @@ ORACLE: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ),
+        worded AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+        grams AS (
+            SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS a
+            FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM worded), (VALUES (1), (2), (3)) AS sizes(k)
+            WHERE i + k - 1 <= len(ws)
+            GROUP BY ALL
+        ),
+        totals AS (SELECT lang, sum(a)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+        candidates AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, a FROM grams WHERE k >= 2 AND a >= 10),
+        inside AS (
+            SELECT lang, phrase, max(a) AS longer
+            FROM (
+                SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, a FROM candidates WHERE k = 3
+                UNION ALL
+                SELECT lang, array_to_string(ws[2:3], ' '), a FROM candidates WHERE k = 3
+            )
+            GROUP BY ALL
+        ),
+        kept AS (
+            SELECT c.* FROM candidates c LEFT JOIN inside i ON c.k = 2 AND i.lang = c.lang AND i.phrase = c.phrase
+            WHERE i.longer IS NULL OR 100 * i.longer < 50 * c.a
+        ),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.a, cut, f.a AS l, g.a AS r, 1000000::HUGEINT * c.a * c.a // (f.a::HUGEINT * g.a) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept) c
+            JOIN grams f ON f.lang = c.lang AND f.phrase = array_to_string(c.ws[1:c.cut], ' ')
+            JOIN grams g ON g.lang = c.lang AND g.phrase = array_to_string(c.ws[c.cut + 1:], ' ')
+        ),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+        SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest) JOIN totals USING (lang)
+        WHERE rank <= 2000
+    """,
 }
