@@ -83,12 +83,12 @@ def _offsets(col: pa.Array) -> np.ndarray:
     return np.frombuffer(col.buffers()[1], dtype=kind, count=len(col) + 1, offset=col.offset * np.dtype(kind).itemsize).astype(np.int64)
 
 
-def bitmap_filter(keys: DataFrame, rows: int, max_bits: int = 26):
-    """A boolean function of a 64-bit key column that is false only for keys that ``keys`` (column ``fp``) lacks.
+def key_bitmap(keys: DataFrame, rows: int, max_bits: int = 26) -> tuple[np.ndarray, int]:
+    """(bitmap, bits): a bit for the leading ``bits`` digits of every 64-bit key in ``keys`` (column ``fp``).
 
-    A bit for the leading digits of every key; the bitmap is built by a
-    grouped ``bit_or`` and has at most 2**max_bits bits (8 MB), so collecting
-    and broadcasting it is bounded.  Past that size it lets more keys through.
+    Built by a grouped ``bit_or``; it has at most 2**max_bits bits (26: 8 MB),
+    so collecting and broadcasting it is bounded.  Past that size it lets more
+    keys through.
     """
     bits = min(max_bits, max(12, (64 * rows).bit_length()))
     spot = F.shiftrightunsigned("fp", 64 - bits)
@@ -96,12 +96,23 @@ def bitmap_filter(keys: DataFrame, rows: int, max_bits: int = 26):
     table = keys.groupBy(F.shiftright(spot, 6).alias("word")).agg(mask.alias("mask")).toArrow()
     bitmap = np.zeros(1 << (bits - 6), np.uint64)
     bitmap[table["word"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
+    return bitmap, bits
+
+
+def in_bitmap(bitmap: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
+    """False only for keys (long) that the bitmap's keys lack."""
+    at = keys.astype(np.int64).view(np.uint64) >> np.uint64(64 - bits)
+    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def bitmap_filter(keys: DataFrame, rows: int, max_bits: int = 26):
+    """A boolean function of a 64-bit key column that is false only for keys that ``keys`` (column ``fp``) lacks."""
+    bitmap, bits = key_bitmap(keys, rows, max_bits)
     shared = keys.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
     def listed(fp: pd.Series) -> pd.Series:
-        at = fp.to_numpy().astype(np.int64).view(np.uint64) >> np.uint64(64 - bits)
-        return pd.Series((shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool))
+        return pd.Series(in_bitmap(shared.value, bits, fp.to_numpy()))
 
     return listed
 

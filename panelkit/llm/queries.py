@@ -17,6 +17,7 @@ from panelkit.llm.packing import pack_documents
 from panelkit.llm.secret_scan import scan_secrets
 from panelkit.llm.sharding import interleaved_shards
 from panelkit.llm.simhash import near_duplicates
+from panelkit.llm.suffix_dedup import remove_repeats
 from panelkit.llm.token_counts import count_tokens
 from panelkit.llm.whitening import whiten_vectors
 
@@ -86,6 +87,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), min_count=10, max_words=3, covered_percent=50, top=2000)
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whiten_vectors(table(spark, sf_dir, "embeddings"), components=8)
     return found.withColumn("deviation", F.col("deviation").cast("long"))
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_interleaved_shards": op9_interleaved_shards,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_collocations": op11_collocations,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_whitening": op13_whitening,
 }
 
