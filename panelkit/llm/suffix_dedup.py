@@ -10,20 +10,23 @@ Equal windows must meet in one task, and few others with them:
 1. Each window is named by its anchor, the smallest hash of its stretches of
    ANCHOR bytes.  Equal windows have equal anchors, and neighbouring windows
    mostly share theirs, so a document becomes runs: passages of some windows
-   with one anchor.  Only the anchors move, and only those of several runs, or
-   repeated in a run (``looped``), matter.
-2. Passages of such anchors are grouped by their bytes (SHA-256): the earliest
-   occurrence stays in question, every later one is covered whole.  A group of
-   thousands of copies is one row a task after map-side aggregation.
-3. The different passages of an anchor are sorted into one suffix array in a
-   task: suffixes smaller than their successor are sorted directly, all others
-   are induced by scans over the buckets of first bytes (``suffix_array``).
-   Adjacent common prefixes of ``length`` bytes give the classes of equal
-   windows; all but the earliest of a class are covered.
+   with one anchor.  Only those matter whose anchor opens several runs or
+   occurs twice in its run (``looped``); a bitmap of bounded size lets them
+   through, and what it lets through in error changes nothing.
+2. Runs with equal passages (128-bit BLAKE2) are grouped: the earliest stays in
+   question, every later one is covered whole.  Only hashes and places move,
+   and thousands of copies are one row a task after map-side aggregation.
+3. The different passages of an anchor, each from its earliest place, are
+   sorted into one suffix array in a task: suffixes smaller than their
+   successor are sorted directly, all others are induced by scans over the
+   buckets of first bytes (``suffix_array``).  Adjacent common prefixes of
+   ``length`` bytes give the classes of equal windows; all but the earliest of a
+   class are covered.
 4. An anchor with over HOT different passages (a phrase common to many
    contexts) would not fit a task; its passages are cut into their single
-   windows, which take step 2 again, where nothing is left to compare.
-5. Covered spans go to their documents and are cut out.
+   windows, which are grouped as in step 2 and leave nothing to compare.
+5. Earliest places and covered spans go to their documents, where the runs are
+   found again: those that are not the earliest go, and the spans of 3 and 4.
 
 Documents of one doc_id are ordered by a hash of their texts; rows equal in id
 and text are one document, listed twice: both get its result.  A null id comes
@@ -33,6 +36,7 @@ lose nothing.  No input gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -47,7 +51,8 @@ LENGTH = 100
 ANCHOR = 24
 RUN_WINDOWS = 256
 HOT = 4096
-SEGMENT = 1 << 19
+SEGMENT = 1 << 16
+SLICE = 1 << 20
 BLOCK = 1 << 20
 BITMAP_BITS = 28
 
@@ -224,7 +229,32 @@ def covered_windows(passages: list[bytes], length: int) -> np.ndarray:
 
 
 _SPAN = "doc_id long, th long, a long, b long"
-_PASSAGE = "key long, looped boolean, doc_id long, th long, start long, passage binary"
+_RUN = "key long, d0 long, d1 long, looped boolean, doc_id long, th long, start long"
+_PASSAGE = "key long, doc_id long, th long, start long, passage binary"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _digests(passages: Iterable[bytes]) -> list[pa.Array]:
+    """The two halves of each passage's 128-bit hash."""
+    joined = b"".join(hashlib.blake2b(p, digest_size=16).digest() for p in passages)
+    halves = np.frombuffer(joined, np.int64).reshape(-1, 2)
+    return [pa.array(np.ascontiguousarray(halves[:, k])) for k in (0, 1)]
+
+
+def _runs_of(part: pa.RecordBatch, finder: Anchors, bitmap: tuple) -> Iterator[tuple]:
+    """(first byte in the slice, bytes, anchor, looped, row, start, slice) of the runs of a (doc_id, th, text) slice that the bitmap lets through."""
+    data, offsets = _buffer(part.column(2))
+    for run in finder.runs(data, offsets):
+        first, count, own, looped = (c[in_bitmap(*bitmap, run[2])] for c in run)
+        row = np.searchsorted(offsets, first, "right") - 1
+        yield first, count + finder.length - 1, own, looped, row, first - offsets[row], data
+
+
+def _cut(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> list[bytes]:
+    return [data[a : a + n].tobytes() for a, n in zip(first.tolist(), size.tolist())]
 
 
 def _spans_of_block(rows: list[tuple], length: int) -> pa.RecordBatch:
@@ -257,111 +287,166 @@ def _compared(passages: DataFrame, length: int) -> DataFrame:
             yield _spans_of_block(rows, length)
 
     ordered = passages.repartition("key").sortWithinPartitions("key", "doc_id", "th", "start")
-    return ordered.select("key", "doc_id", "th", "start", "passage").mapInArrow(run, _SPAN)
+    return ordered.select(*_names(_PASSAGE)).mapInArrow(run, _SPAN)
 
 
-def _first_and_later(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The earliest of equal passages with its anchor, and the spans of all later ones.
+def _compared_singly(passages: DataFrame, length: int) -> DataFrame:
+    """Covered spans by grouping the single windows of the passages."""
 
-    ``found`` is a stored table with the columns of _PASSAGE and ``digest``.
-    """
-    first = F.min(F.struct("doc_id", "th", "start", "passage")).alias("first")
-    groups = found.groupBy("key", "digest").agg(first, F.max("looped").alias("looped"), F.count("*").alias("copies"))
-    groups = _stored(groups.select("key", "digest", "copies", "looped", "first.*"), "passage-groups")
-    known = groups.where("copies > 1").select("key", "digest", F.struct("doc_id", "th", "start").alias("first"))
-    places = found.select("key", "digest", "doc_id", "th", F.col("start").alias("a"), (F.col("start") + F.octet_length("passage")).alias("b"))
-    later = places.join(known, ["key", "digest"]).where(~F.struct("doc_id", "th", "a").eqNullSafe(F.col("first"))).select("doc_id", "th", "a", "b")
-    return groups, later
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in row_slices(batch, 3, 1 << 16):
+                cuts = [(i, h, s + o, t[o : o + length]) for i, h, s, t in zip(*[c.to_pylist() for c in part.columns]) for o in range(len(t) - length + 1)]
+                ids, hashes, starts, windows = zip(*cuts)
+                yield pa.RecordBatch.from_arrays([*_digests(windows), *[pa.array(c, pa.int64()) for c in (ids, hashes, starts)]], ["d0", "d1", "doc_id", "th", "a"])
+
+    path = scratch_path(passages.sparkSession, "windows")
+    passages.select("doc_id", "th", "start", "passage").mapInArrow(run, "d0 long, d1 long, doc_id long, th long, a long").write.parquet(path)
+    windows = passages.sparkSession.read.parquet(path)
+    earliest = windows.groupBy("d0", "d1").agg(F.min(F.struct("doc_id", "th", "a")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    # The side of the groups has one row a key: AQE splits a hot window on the other side.
+    later = windows.join(earliest, ["d0", "d1"]).where(~F.struct("doc_id", "th", "a").eqNullSafe(F.col("first")))
+    return later.select("doc_id", "th", "a", (F.col("a") + length).alias("b"))
 
 
-def _single_windows(passages: DataFrame, length: int) -> DataFrame:
-    """Every window of the passages as a passage of its own."""
+def _earliest_runs(texts: DataFrame, length: int, shared) -> DataFrame:
+    """Stored table of the earliest run of each different passage: key, looped, doc_id, th, start."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Anchors(length, SEGMENT)
         for batch in batches:
-            for part in row_slices(batch, 3, 1 << 16):
-                ids, hashes, starts, texts = (c.to_pylist() for c in part.columns)
-                cuts = [(0, False, i, h, s + o, t[o : o + length]) for i, h, s, t in zip(ids, hashes, starts, texts) for o in range(len(t) - length + 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cuts), [pa.int64(), pa.bool_()] + [pa.int64()] * 3 + [pa.binary()])], [c.split()[0] for c in _PASSAGE.split(", ")])
+            for part in row_slices(batch, 2, SLICE):
+                for first, size, own, looped, row, start, data in _runs_of(part, finder, shared.value):
+                    row = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own), *_digests(_cut(data, first, size)), pa.array(looped), part.column(0).take(row), part.column(1).take(row), pa.array(start)], _names(_RUN)
+                    )
+
+    groups = texts.mapInArrow(run, _RUN).groupBy("key", "d0", "d1").agg(F.min(F.struct("doc_id", "th", "start")).alias("first"), F.max("looped").alias("looped"))
+    path = scratch_path(texts.sparkSession, "earliest-runs")
+    groups.select("key", "looped", "first.*").write.parquet(path)
+    return texts.sparkSession.read.parquet(path)
+
+
+def _passages_at(texts: DataFrame, places: DataFrame, length: int, shared) -> DataFrame:
+    """Stored table of the passages of the runs that start at ``places`` (doc_id, th, start, crowded); a bitmap spares the others the way."""
+    listed = _bitmap(_place_keys(places))
 
-    return passages.select("doc_id", "th", "start", "passage").mapInArrow(run, _PASSAGE)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Anchors(length, SEGMENT)
+        for batch in batches:
+            for part in row_slices(batch, 2, SLICE):
+                hashes = part.column(1).to_numpy()
+                for first, size, own, _, row, start, data in _runs_of(part, finder, shared.value):
+                    found = in_bitmap(*listed.value, _place(hashes[row], start))
+                    row = pa.array(row[found])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own[found]), part.column(0).take(row), part.column(1).take(row), pa.array(start[found]), pa.array(_cut(data, first[found], size[found]), pa.binary())], _names(_PASSAGE)
+                    )
 
+    cut = texts.mapInArrow(run, _PASSAGE)
+    at = places.select(F.col("doc_id").alias("own_id"), F.col("th").alias("own_th"), F.col("start").alias("own_start"), "crowded")
+    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("th") == F.col("own_th")) & (F.col("start") == F.col("own_start"))
+    path = scratch_path(texts.sparkSession, "passages")
+    cut.join(at, same).dropDuplicates(["doc_id", "th", "start"]).select(*_names(_PASSAGE), "crowded").write.parquet(path)
+    return texts.sparkSession.read.parquet(path)
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Written into the shared folder and read again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
 
+def _place(th: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of a place in a document."""
+    return _mixed(th.view(np.uint64) + start.astype(np.uint64) * np.uint64(_BASE)).view(np.int64)
+
+
+def _bitmap(keys: DataFrame):
+    """A broadcast bitmap of the 64-bit keys (column ``fp``) of a stored table."""
+    return keys.sparkSession.sparkContext.broadcast(key_bitmap(keys, keys.count(), BITMAP_BITS))
+
+
+def _place_keys(places: DataFrame) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_place(batch.column(0).to_numpy(), batch.column(1).to_numpy()))], ["fp"])
 
-def _digested(passages: DataFrame, name: str) -> DataFrame:
-    return _stored(passages.withColumn("digest", F.unhex(F.sha2("passage", 256))), name)
+    return places.select("th", "start").mapInArrow(run, "fp long")
 
 
-def covered_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """Distinct (doc_id, th, a, b): the bytes a .. b - 1 of that document go. ``texts`` holds doc_id, th and text."""
+def _repeated_anchors(texts: DataFrame, length: int) -> DataFrame:
+    """Checkpointed table (column ``fp``) of the anchors of several runs, and of looped ones."""
 
-    def anchors_only(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Anchors(length, SEGMENT)
         for batch in batches:
-            for part in row_slices(batch, 0, SEGMENT):
+            for part in row_slices(batch, 0, SLICE):
                 for _, _, own, looped in finder.runs(*_buffer(part.column(0))):
                     yield pa.RecordBatch.from_arrays([pa.array(np.append(own, own[looped]))], ["fp"])
 
-    keys = texts.select("text").mapInArrow(anchors_only, "fp long")
-    repeated = cut_lineage(keys.groupBy("fp").count().where("count > 1").select("fp"))
-    shared = texts.sparkSession.sparkContext.broadcast(key_bitmap(repeated, repeated.count(), BITMAP_BITS))
+    return cut_lineage(texts.select("text").mapInArrow(run, "fp long").groupBy("fp").count().where("count > 1").select("fp"))
 
-    def passages(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Anchors(length, SEGMENT)
+
+def _marks(texts: DataFrame, length: int, hot: int, shared) -> DataFrame:
+    """For each document (doc_id, th) the list ``marks`` of (a, b): covered spans, and with null b the starts of the runs that are the earliest."""
+    groups = _earliest_runs(texts, length, shared)
+    kinds = cut_lineage(groups.groupBy(F.col("key").alias("fp")).agg(F.count("*").alias("kinds"), F.max("looped").alias("looped")).where("kinds > 1 OR looped"))
+    several, crowded = _bitmap(kinds), _bitmap(kinds.where(F.col("kinds") > hot))
+
+    def sorted_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in row_slices(batch, 2, SEGMENT):
-                data, offsets = _buffer(part.column(2))
-                for run in finder.runs(data, offsets):
-                    first, count, own, looped = (c[in_bitmap(*shared.value, run[2])] for c in run)
-                    doc = np.searchsorted(offsets, first, "right") - 1
-                    cuts = [data[a : a + n].tobytes() for a, n in zip(first.tolist(), (count + length - 1).tolist())]
-                    ids = part.column(0).take(pa.array(doc))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own), pa.array(looped), ids, part.column(1).take(pa.array(doc)), pa.array(first - offsets[doc]), pa.array(cuts, pa.binary())], [c.split()[0] for c in _PASSAGE.split(", ")]
-                    )
+            keys = batch.column(0).to_numpy()
+            kept = pa.RecordBatch.from_arrays([*batch.columns, pa.array(in_bitmap(*crowded.value, keys))], [*batch.schema.names, "crowded"])
+            yield kept.filter(pa.array(in_bitmap(*several.value, keys)))
+
+    places = cut_lineage(groups.select("key", "doc_id", "th", "start").mapInArrow(sorted_out, "key long, doc_id long, th long, start long, crowded boolean"))
+    passages = _passages_at(texts, places, length, shared)
+    spans = _compared(passages.where("NOT crowded"), length).union(_compared_singly(passages.where("crowded"), length)).distinct()
+    marks = groups.select("doc_id", "th", F.col("start").alias("a"), F.lit(None).cast("long").alias("b")).union(spans)
+    return marks.groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
 
-    found = _digested(texts.select("doc_id", "th", "text").mapInArrow(passages, _PASSAGE), "passages")
-    groups, later = _first_and_later(found)
-    kinds = groups.groupBy("key").agg(F.count("*").alias("kinds"), F.max("looped").alias("any_looped")).where("kinds > 1 OR any_looped")
-    several = groups.join(kinds, "key")
-    compared = _compared(several.where(F.col("kinds") <= hot), length)
-    _, of_hot = _first_and_later(_digested(_single_windows(several.where(F.col("kinds") > hot), length), "windows"))
-    return later.union(compared).union(of_hot).distinct()
+
+_RESULT = "doc_id long, kept binary, n_bytes long, n_removed long, spans array<array<long>>"
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, kept (the bytes that stay), n_bytes, n_removed, spans (maximal removed runs, as [begin, end]) for every row."""
     texts = narrow(docs, id_col, text_col).toDF("doc_id", "text")
     texts = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = covered_spans(texts, length, hot).groupBy(F.col("doc_id").alias("own"), F.col("th").alias("own_th")).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
-    joined = texts.join(spans, F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("th") == F.col("own_th")), "left")
+    shared = _bitmap(_repeated_anchors(texts, length))
+    marks = _marks(texts, length, hot, shared).select(F.col("doc_id").alias("own_id"), F.col("th").alias("own_th"), "marks")
+    joined = texts.join(marks, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("th") == F.col("own_th")), "left")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Anchors(length, SEGMENT)
         for batch in batches:
-            for part in row_slices(batch, 1, SEGMENT):
-                data, offsets = _buffer(part.column("text"))
-                kept, removed, merged = [], [], []
-                for i, found in enumerate(part.column("spans").to_pylist()):
-                    text = data[offsets[i] : offsets[i + 1]]
-                    runs: list[list[int]] = []
-                    for s in found or ():
-                        if runs and s["a"] <= runs[-1][1]:
-                            runs[-1][1] = max(runs[-1][1], s["b"])
-                        else:
-                            runs.append([s["a"], s["b"]])
-                    edges = [0, *[e for r in runs for e in r], len(text)]
-                    kept.append(b"".join(text[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2])))
-                    removed.append(sum(b - a for a, b in runs))
-                    merged.append(runs)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(kept, pa.binary()), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(merged, pa.list_(pa.list_(pa.int64())))],
-                    ["doc_id", "kept", "n_bytes", "n_removed", "spans"],
-                )
-
-    return joined.select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, spans array<array<long>>")
+            for part in row_slices(batch, 2, SLICE):
+                yield _cut_out(part, finder, shared.value)
+
+    return joined.select("doc_id", "th", "text", "marks").mapInArrow(run, _RESULT)
+
+
+def _cut_out(part: pa.RecordBatch, finder: Anchors, bitmap: tuple) -> pa.RecordBatch:
+    """Results of a (doc_id, th, text, marks) slice."""
+    data, offsets = _buffer(part.column(2))
+    marks = part.column(3)
+    base = np.repeat(offsets[:-1], marks.value_lengths().fill_null(0).to_numpy())
+    a, b = (marks.flatten().field(k) for k in (0, 1))
+    earliest = b.is_null().to_numpy(zero_copy_only=False)
+    a = a.to_numpy() + base
+    change = np.zeros(len(data) + 1, np.int32)
+    for first, size, *_ in _runs_of(part, finder, bitmap):
+        later = ~np.isin(first, a[earliest])
+        np.add.at(change, first[later], 1)
+        np.add.at(change, (first + size)[later], -1)
+    np.add.at(change, a[~earliest], 1)
+    np.add.at(change, b.drop_null().to_numpy() + base[~earliest], -1)
+    gone = np.cumsum(change[:-1]) > 0
+    removed = np.concatenate([[0], np.cumsum(gone)])[offsets]
+    kept_at = offsets - removed
+    kept = pa.Array.from_buffers(pa.large_binary(), part.num_rows, [None, pa.py_buffer(kept_at.astype(np.int64).tobytes()), pa.py_buffer(data[~gone].tobytes())])
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    opens = np.flatnonzero(gone & (edge[:-1] | ~np.append(False, gone[:-1])))
+    closes = np.flatnonzero(gone & (edge[1:] | ~np.append(gone[1:], False))) + 1
+    row = np.searchsorted(offsets, opens, "right") - 1
+    pairs = np.stack([opens - offsets[row], closes - offsets[row]], 1).ravel()
+    inner = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * len(opens) + 1, 2, dtype=np.int32)), pa.array(pairs))
+    spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(opens, offsets).astype(np.int32)), inner)
+    return pa.RecordBatch.from_arrays([part.column(0), kept.cast(pa.binary()), pa.array(np.diff(offsets)), pa.array(np.diff(removed)), spans], _names(_RESULT))
