@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as E
@@ -9,7 +10,7 @@ from odd_rows import SF_SMALL, no_docs, odd_docs  # noqa: F401
 from panelkit.llm import collocations as C
 from panelkit.registry.compare import compare, duck
 
-LOWER = str.maketrans(C.UPPER, C.LOWER)
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def brute(rows, min_count, max_words, percent, top):
@@ -59,6 +60,25 @@ def test_generated_texts(spark, max_words, top):
     assert set(got) == brute(rows, 3, max_words, 50, top) and len(got) == len(set(got))
 
 
+@pytest.mark.parametrize("name, value", [("SLICE", 200), ("BLOCK_WINDOWS", 10), ("TASK_WINDOWS", 50), ("HOT_SHARE", 4)])
+def test_small_blocks_and_hot_words(spark, monkeypatch, name, value):
+    """Half the words are one word: blocks, tasks and salts cut its windows in every way."""
+    monkeypatch.setattr(C, name, value)
+    rng = random.Random(5)
+    rows = [(" ".join(rng.choice(["the", rng.choice("abcdefg"), "."]) for _ in range(rng.randint(1, 90))), rng.choice(["en", "fr"])) for _ in range(80)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    got = [tuple(r) for r in C.collocations(docs, 4).collect()]
+    assert set(got) == brute(rows, 4, 3, 50, 2000) and len(got) == len(set(got))
+
+
+def test_unique_rows_of_wide_columns():
+    rng = np.random.default_rng(1)
+    columns = [rng.integers(0, 2**40, 50)[rng.integers(0, 50, 400)] for _ in range(3)]
+    got, n = C.unique_rows(columns, np.ones(400, np.int64))
+    want = Counter(zip(*[c.tolist() for c in columns]))
+    assert dict(zip(zip(*[c.tolist() for c in got]), n.tolist())) == want and list(zip(*[c.tolist() for c in got])) == sorted(want)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(r.text, r.lang) for r in odd_docs.collect()]
     got = [tuple(r) for r in C.collocations(odd_docs, 2).collect()]
