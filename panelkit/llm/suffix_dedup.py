@@ -51,7 +51,7 @@ LENGTH = 100
 ANCHOR = 24
 RUN_WINDOWS = 256
 HOT = 4096
-SEGMENT = 1 << 16
+SEGMENT = 1 << 15
 SLICE = 1 << 20
 BLOCK = 1 << 20
 BITMAP_BITS = 28
@@ -108,8 +108,8 @@ class Anchors:
         own = np.searchsorted(values, lowest[first]) * size + first
         return (count > 1) & (np.searchsorted(listed, own + count + span - 2, "right") - np.searchsorted(listed, own) > 1)
 
-    def runs(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(first window, number of windows, anchor, looped) of the runs in the documents ``data[offsets[i]:offsets[i + 1]]``."""
+    def runs(self, data: np.ndarray, offsets: np.ndarray, loops: bool = True) -> Iterator[tuple[np.ndarray, ...]]:
+        """(first window, number of windows, anchor, and looped if asked for) of the runs in the documents ``data[offsets[i]:offsets[i + 1]]``."""
         for begin in range(0, len(data) - self.length + 1, self.size):
             end = min(len(data), begin + self.size + self.length - 1)
             hashed, keys = self.lowest(data[begin:end])
@@ -127,7 +127,7 @@ class Anchors:
             pieces = -(-count // RUN_WINDOWS)
             nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             first, count = np.repeat(first, pieces) + nth * RUN_WINDOWS, np.minimum(np.repeat(count, pieces) - nth * RUN_WINDOWS, RUN_WINDOWS)
-            yield begin + first, count, _mixed(keys[first]).view(np.int64), self.looped(hashed, keys, first, count)
+            yield begin + first, count, _mixed(keys[first]).view(np.int64), *([self.looped(hashed, keys, first, count)] if loops else [])
 
 
 def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -158,9 +158,11 @@ def _sort_directly(words: np.ndarray, positions: np.ndarray, depth: int) -> np.n
     return out
 
 
-def suffix_array(text: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(text: np.ndarray, words: np.ndarray, depth: int, wanted: np.ndarray) -> np.ndarray:
     """The suffixes of ``text`` in the order of their first ``depth`` bytes, by two-stage sorting.
 
+    Only ``wanted`` ones (a mask) are placed, and those behind them from which
+    they are induced: up to the next suffix smaller than its successor.
     ``words[i]`` holds the bytes i .. i + 7 of the text as a big-endian number.
     The buckets of first bytes hold the suffixes greater than their successor
     before those smaller than it.  Scanned from the left, each entry puts the
@@ -170,17 +172,26 @@ def suffix_array(text: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
     change = np.flatnonzero(text[1:] != text[:-1])
     rises = np.append(text[change + 1] > text[change], False)
     smaller = np.repeat(rises, np.diff(np.concatenate([[-1], change, [n - 1]])))
-    total, greater = np.bincount(text, minlength=256), np.bincount(text[~smaller], minlength=256)
+    # Behind each greater suffix comes the chain that induces it; the last of a chain is sorted directly, or ends the text.
+    stop = np.flatnonzero(smaller | (np.arange(n) == n - 1))
+    last = np.flatnonzero(wanted & ~np.append(wanted[1:], False))
+    placed = wanted.copy()
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, last, 1)
+    np.add.at(change, stop[np.searchsorted(stop, last)] + 1, -1)
+    placed |= np.cumsum(change[:-1]) > 0
+    follows = placed & ~smaller
+    total, greater = np.bincount(text[placed], minlength=256), np.bincount(text[follows], minlength=256)
     head = np.cumsum(total) - total
     middle, end = head + greater, head + total
-    out = np.empty(n, np.int64)
-    direct = _sort_directly(words, np.flatnonzero(smaller), depth)
+    out = np.empty(total.sum(), np.int64)
+    direct = _sort_directly(words, np.flatnonzero(placed & smaller), depth)
     number = total - greater
     out[np.repeat(middle - (np.cumsum(number) - number), number) + np.arange(len(direct))] = direct
 
     def induce(scanned: np.ndarray) -> None:
         longer = scanned[scanned > 0] - 1
-        longer = longer[~smaller[longer]]
+        longer = longer[follows[longer]]
         if not len(longer):
             return
         order = np.argsort(text[longer], kind="stable")
@@ -217,9 +228,9 @@ def covered_windows(passages: list[bytes], length: int) -> np.ndarray:
     words = np.ndarray(len(text), ">u8", joined + bytes(length + 8), strides=(1,))
     ends = np.cumsum([len(p) for p in passages])
     room = np.repeat(ends, [len(p) for p in passages]) - np.arange(len(joined))
-    ordered = suffix_array(text, words, length)
-    ordered = ordered[ordered < len(joined)]
-    ordered = ordered[room[ordered] >= length]
+    wanted = np.append(room >= length, np.zeros(length, bool))
+    ordered = suffix_array(text, words, length, wanted)
+    ordered = ordered[wanted[ordered]]
     if not len(ordered):
         return ordered
     equal = common_prefixes(words, ordered[:-1], ordered[1:], length) == length
@@ -244,13 +255,13 @@ def _digests(passages: Iterable[bytes]) -> list[pa.Array]:
     return [pa.array(np.ascontiguousarray(halves[:, k])) for k in (0, 1)]
 
 
-def _runs_of(part: pa.RecordBatch, finder: Anchors, bitmap: tuple) -> Iterator[tuple]:
-    """(first byte in the slice, bytes, anchor, looped, row, start, slice) of the runs of a (doc_id, th, text) slice that the bitmap lets through."""
+def _runs_of(part: pa.RecordBatch, finder: Anchors, bitmap: tuple, loops: bool = False) -> Iterator[tuple]:
+    """(slice, first byte in it, bytes, row, start, anchor, and looped if asked for) of the runs of a (doc_id, th, text) slice that the bitmap lets through."""
     data, offsets = _buffer(part.column(2))
-    for run in finder.runs(data, offsets):
-        first, count, own, looped = (c[in_bitmap(*bitmap, run[2])] for c in run)
+    for run in finder.runs(data, offsets, loops):
+        first, count, *rest = (c[in_bitmap(*bitmap, run[2])] for c in run)
         row = np.searchsorted(offsets, first, "right") - 1
-        yield first, count + finder.length - 1, own, looped, row, first - offsets[row], data
+        yield data, first, count + finder.length - 1, row, first - offsets[row], *rest
 
 
 def _cut(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> list[bytes]:
@@ -316,7 +327,7 @@ def _earliest_runs(texts: DataFrame, length: int, shared) -> DataFrame:
         finder = Anchors(length, SEGMENT)
         for batch in batches:
             for part in row_slices(batch, 2, SLICE):
-                for first, size, own, looped, row, start, data in _runs_of(part, finder, shared.value):
+                for data, first, size, row, start, own, looped in _runs_of(part, finder, shared.value, loops=True):
                     row = pa.array(row)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(own), *_digests(_cut(data, first, size)), pa.array(looped), part.column(0).take(row), part.column(1).take(row), pa.array(start)], _names(_RUN)
@@ -337,7 +348,7 @@ def _passages_at(texts: DataFrame, places: DataFrame, length: int, shared) -> Da
         for batch in batches:
             for part in row_slices(batch, 2, SLICE):
                 hashes = part.column(1).to_numpy()
-                for first, size, own, _, row, start, data in _runs_of(part, finder, shared.value):
+                for data, first, size, row, start, own in _runs_of(part, finder, shared.value):
                     found = in_bitmap(*listed.value, _place(hashes[row], start))
                     row = pa.array(row[found])
                     yield pa.RecordBatch.from_arrays(
@@ -431,7 +442,7 @@ def _cut_out(part: pa.RecordBatch, finder: Anchors, bitmap: tuple) -> pa.RecordB
     earliest = b.is_null().to_numpy(zero_copy_only=False)
     a = a.to_numpy() + base
     change = np.zeros(len(data) + 1, np.int32)
-    for first, size, *_ in _runs_of(part, finder, bitmap):
+    for _, first, size, *_ in _runs_of(part, finder, bitmap):
         later = ~np.isin(first, a[earliest])
         np.add.at(change, first[later], 1)
         np.add.at(change, (first + size)[later], -1)

@@ -100,8 +100,12 @@ def test_suffix_array_and_common_prefixes(seed):
     text = rng.integers(0, [2, 3, 256, 256, 4, 1][seed] or 1, 900).astype(np.uint8) if seed != 5 else np.full(900, 7, np.uint8)
     raw = text.tobytes() + bytes(100)
     words = np.ndarray(len(raw), ">u8", raw + bytes(16), strides=(1,))
-    order = S.suffix_array(np.frombuffer(raw, np.uint8), words, 100)
+    order = S.suffix_array(np.frombuffer(raw, np.uint8), words, 100, np.ones(1000, bool))
     assert sorted(order.tolist()) == list(range(1000))
+    wanted = np.append(rng.random(900) < 0.2, np.zeros(100, bool))
+    some = S.suffix_array(np.frombuffer(raw, np.uint8), words, 100, wanted)
+    cut = [raw[i : i + 100] for i in some.tolist() if wanted[i]]
+    assert cut == sorted(cut) and len(cut) == wanted.sum() and len(set(some.tolist())) == len(some)
     cut = [raw[i : i + 100] for i in order.tolist() if i < 900]
     assert cut == sorted(cut)
     inner = order[order < 900]
