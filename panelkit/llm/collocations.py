@@ -51,8 +51,8 @@ COVERED_PERCENT = 50
 TOP = 2000
 SCALE = 1_000_000
 SALTS = 16
-SLICE = 1 << 23
-BLOCK_WINDOWS = 1 << 20
+SLICE = 1 << 22
+BLOCK_WINDOWS = 1 << 19
 TASK_WINDOWS = 1 << 21
 HOT_SHARE = 1024
 HOT_SALTS = 64
