@@ -55,6 +55,7 @@ SEGMENT = 1 << 15
 SLICE = 1 << 20
 BLOCK = 1 << 20
 BITMAP_BITS = 28
+SEEN = 100_000
 
 _BASE = 0x9E3779B97F4A7C15
 _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -239,7 +240,7 @@ def covered_windows(passages: list[bytes], length: int) -> np.ndarray:
     return np.sort(ordered[ordered != earliest])
 
 
-_SPAN = "doc_id long, th long, a long, b long"
+_COVERED = "d0 long, d1 long, doc_id long, th long, a long, b long"
 _RUN = "key long, d0 long, d1 long, looped boolean, doc_id long, th long, start long"
 _PASSAGE = "key long, doc_id long, th long, start long, passage binary"
 
@@ -277,46 +278,67 @@ def _spans_of_block(rows: list[tuple], length: int) -> pa.RecordBatch:
     last = np.append(opens[1:], len(hits)) - 1 if len(hits) else hits
     picked = [rows[k] for k in own[opens].tolist()]
     shift = np.array([r[2] for r in picked], np.int64) - bases[own[opens]]
-    return pa.RecordBatch.from_pydict({"doc_id": pa.array([r[0] for r in picked], pa.int64()), "th": pa.array([r[1] for r in picked], pa.int64()), "a": hits[opens] + shift, "b": hits[last] + length + shift})
+    none = pa.nulls(len(picked), pa.int64())
+    return pa.RecordBatch.from_arrays([none, none, *[pa.array([r[k] for r in picked], pa.int64()) for k in (0, 1)], pa.array(hits[opens] + shift), pa.array(hits[last] + length + shift)], _names(_COVERED))
 
 
-def _compared(passages: DataFrame, length: int) -> DataFrame:
-    """Covered spans of the different passages of each anchor; whole anchors are sorted together, BLOCK bytes or one anchor at a time."""
+def _windows_of(rows: list[tuple], length: int) -> pa.RecordBatch:
+    """The hash and place of every window of (doc_id, th, start, passage) rows."""
+    cuts = [(i, h, s + o, t[o : o + length]) for i, h, s, t in rows for o in range(len(t) - length + 1)]
+    *places, windows = zip(*cuts)
+    return pa.RecordBatch.from_arrays([*_digests(windows), *[pa.array(c, pa.int64()) for c in places], pa.nulls(len(cuts), pa.int64())], _names(_COVERED))
+
+
+def _compared(rows: DataFrame, length: int, crowded) -> DataFrame:
+    """Stored table of what the places' passages cover.
+
+    ``rows`` are places (null passage) and passages; only a passage at a listed
+    place counts, once.  The passages of an anchor give covered spans (a, b);
+    whole anchors are sorted together, BLOCK bytes or one anchor at a time.
+    Those of a crowded anchor give the hashes (d0, d1) of their windows at a.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
+        listed, rows, singles = None, [], []
         size, key = 0, None
         for batch in batches:
-            for k, *row in zip(*[c.to_pylist() for c in batch.columns]):
+            many = in_bitmap(*crowded.value, batch.column(0).to_numpy()).tolist()
+            for crowd, k, doc_id, th, start, passage in zip(many, *[c.to_pylist() for c in batch.columns]):
+                if passage is None:
+                    listed = (k, doc_id, th, start)
+                    continue
+                if listed != (k, doc_id, th, start):
+                    continue
+                listed = None
+                if crowd:
+                    singles.append((doc_id, th, start, passage))
+                    if len(singles) == 1000:
+                        yield _windows_of(singles, length)
+                        singles = []
+                    continue
                 if size >= BLOCK and k != key:
                     yield _spans_of_block(rows, length)
                     rows, size = [], 0
                 key = k
-                rows.append(tuple(row))
-                size += len(row[3])
+                rows.append((doc_id, th, start, passage))
+                size += len(passage)
+        if singles:
+            yield _windows_of(singles, length)
         if rows:
             yield _spans_of_block(rows, length)
 
-    ordered = passages.repartition("key").sortWithinPartitions("key", "doc_id", "th", "start")
-    return ordered.select(*_names(_PASSAGE)).mapInArrow(run, _SPAN)
-
+    # Places sort before their passages.
+    ordered = rows.repartition("key", "salt").sortWithinPartitions("key", "doc_id", "th", "start", F.col("passage").isNotNull())
+    path = scratch_path(rows.sparkSession, "covered")
+    ordered.select(*_names(_PASSAGE)).mapInArrow(run, _COVERED).write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
-def _compared_singly(passages: DataFrame, length: int) -> DataFrame:
-    """Covered spans by grouping the single windows of the passages."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in row_slices(batch, 3, 1 << 16):
-                cuts = [(i, h, s + o, t[o : o + length]) for i, h, s, t in zip(*[c.to_pylist() for c in part.columns]) for o in range(len(t) - length + 1)]
-                ids, hashes, starts, windows = zip(*cuts)
-                yield pa.RecordBatch.from_arrays([*_digests(windows), *[pa.array(c, pa.int64()) for c in (ids, hashes, starts)]], ["d0", "d1", "doc_id", "th", "a"])
-
-    path = scratch_path(passages.sparkSession, "windows")
-    passages.select("doc_id", "th", "start", "passage").mapInArrow(run, "d0 long, d1 long, doc_id long, th long, a long").write.parquet(path)
-    windows = passages.sparkSession.read.parquet(path)
+def _later_windows(windows: DataFrame, length: int) -> DataFrame:
+    """Spans of the windows (d0, d1 at a) that are not the earliest of their hash."""
     earliest = windows.groupBy("d0", "d1").agg(F.min(F.struct("doc_id", "th", "a")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
     # The side of the groups has one row a key: AQE splits a hot window on the other side.
-    later = windows.join(earliest, ["d0", "d1"]).where(~F.struct("doc_id", "th", "a").eqNullSafe(F.col("first")))
+    later = windows.drop("b").join(earliest, ["d0", "d1"]).where(~F.struct("doc_id", "th", "a").eqNullSafe(F.col("first")))
     return later.select("doc_id", "th", "a", (F.col("a") + length).alias("b"))
 
 
@@ -340,13 +362,21 @@ def _earliest_runs(texts: DataFrame, length: int, shared) -> DataFrame:
 
 
 def _passages_at(texts: DataFrame, places: DataFrame, length: int, shared) -> DataFrame:
-    """Stored table of the passages of the runs that start at ``places`` (doc_id, th, start, crowded); a bitmap spares the others the way."""
+    """The passages of the runs that start at ``places`` (th, start); a bitmap spares most others the way."""
     listed = _bitmap(_place_keys(places))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Anchors(length, SEGMENT)
+        seen: set = set()
         for batch in batches:
-            for part in row_slices(batch, 2, SLICE):
+            # A document that is listed many times sends its passages about once a task.
+            new = []
+            for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                new.append(pair not in seen)
+                seen.add(pair)
+            if len(seen) > SEEN:
+                seen.clear()
+            for part in row_slices(batch.filter(pa.array(new)), 2, SLICE):
                 hashes = part.column(1).to_numpy()
                 for data, first, size, row, start, own in _runs_of(part, finder, shared.value):
                     found = in_bitmap(*listed.value, _place(hashes[row], start))
@@ -355,12 +385,7 @@ def _passages_at(texts: DataFrame, places: DataFrame, length: int, shared) -> Da
                         [pa.array(own[found]), part.column(0).take(row), part.column(1).take(row), pa.array(start[found]), pa.array(_cut(data, first[found], size[found]), pa.binary())], _names(_PASSAGE)
                     )
 
-    cut = texts.mapInArrow(run, _PASSAGE)
-    at = places.select(F.col("doc_id").alias("own_id"), F.col("th").alias("own_th"), F.col("start").alias("own_start"), "crowded")
-    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("th") == F.col("own_th")) & (F.col("start") == F.col("own_start"))
-    path = scratch_path(texts.sparkSession, "passages")
-    cut.join(at, same).dropDuplicates(["doc_id", "th", "start"]).select(*_names(_PASSAGE), "crowded").write.parquet(path)
-    return texts.sparkSession.read.parquet(path)
+    return texts.mapInArrow(run, _PASSAGE)
 
 
 def _place(th: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -402,14 +427,20 @@ def _marks(texts: DataFrame, length: int, hot: int, shared) -> DataFrame:
 
     def sorted_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            kept = pa.RecordBatch.from_arrays([*batch.columns, pa.array(in_bitmap(*crowded.value, keys))], [*batch.schema.names, "crowded"])
-            yield kept.filter(pa.array(in_bitmap(*several.value, keys)))
-
-    places = cut_lineage(groups.select("key", "doc_id", "th", "start").mapInArrow(sorted_out, "key long, doc_id long, th long, start long, crowded boolean"))
-    passages = _passages_at(texts, places, length, shared)
-    spans = _compared(passages.where("NOT crowded"), length).union(_compared_singly(passages.where("crowded"), length)).distinct()
-    marks = groups.select("doc_id", "th", F.col("start").alias("a"), F.lit(None).cast("long").alias("b")).union(spans)
+            yield batch.filter(pa.array(in_bitmap(*several.value, batch.column(0).to_numpy())))
+
+    def salted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spread = _place(batch.column(2).to_numpy(), batch.column(3).to_numpy())
+            salt = np.where(in_bitmap(*crowded.value, batch.column(0).to_numpy()), spread, 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(salt)], [*_names(_PASSAGE), "salt"])
+
+    schema = "key long, doc_id long, th long, start long"
+    places = cut_lineage(groups.select(*_names(schema)).mapInArrow(sorted_out, schema))
+    rows = places.withColumn("passage", F.lit(None).cast("binary")).union(_passages_at(texts, places, length, shared))
+    covered = _compared(rows.mapInArrow(salted, f"{_PASSAGE}, salt long"), length, crowded)
+    spans = covered.where("b IS NOT NULL").select("doc_id", "th", "a", "b").union(_later_windows(covered.where("b IS NULL"), length))
+    marks = groups.select("doc_id", "th", F.col("start").alias("a"), F.lit(None).cast("long").alias("b")).union(spans.distinct())
     return marks.groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
 
 
