@@ -133,21 +133,25 @@ def months_in_common(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select("date").distinct().intersect(b.select("date").distinct())
 
 
-def revision_diff(new: DataFrame, stored: DataFrame, tol: float = REVISION_TOLERANCE, key: list[str] | None = None) -> DataFrame:
+def revision_diff(
+    new: DataFrame, stored: DataFrame, tol: float = REVISION_TOLERANCE, key: list[str] | None = None, common_months: bool = True
+) -> DataFrame:
     """Compare a recomputation with the stored panel over their common months.
 
-    Both sides are first cut to the months they share (a small broadcast
-    month list), then full-outer joined null-safe on the panel key.  Rows
+    Both sides are first cut to the months they share (a small month list;
+    not with ``common_months=False``, where the caller has done it), then full-outer joined null-safe on the panel key.  Rows
     reported: ``changed`` (|new − stored| > tol), ``missing_new``,
     ``missing_stored`` and ``stored_null``.  Each input is read twice (its
     months, its rows): pass stored tables or checkpointed frames.
     """
     key = key or [k for k in REVISION_KEY if k in new.columns and k in stored.columns]
-    common = months_in_common(new, stored)
-    n = new.join(common, "date", "left_semi").select(
+    if common_months:
+        common = months_in_common(new, stored)
+        new, stored = (side.join(common, "date", "left_semi") for side in (new, stored))
+    n = new.select(
         *[F.col(k).alias(f"n_{k}") for k in key], F.col("value").alias("new_value"), F.lit(True).alias("n_present")
     )
-    s = stored.join(common, "date", "left_semi").select(
+    s = stored.select(
         *[F.col(k).alias(f"s_{k}") for k in key], F.col("value").alias("stored_value"), F.lit(True).alias("s_present")
     )
     cond = None

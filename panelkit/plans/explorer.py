@@ -22,18 +22,23 @@ def open_panel(spark: SparkSession, store_path: str) -> DataFrame:
     return read_panel(spark, store_path, EXPLORER_COLUMNS)
 
 
+ID_LIMIT = 1000
+
+
 def pruned_slice(spark: SparkSession, path: str, series: str, disaggregation: str, sheet_name: str) -> DataFrame:
-    """One sheet's rows from the store, reading only that sheet's folders.
+    """One sheet's rows from the store, reading only that sheet's row groups.
 
-    The names resolve to (book_id, sheet_id) in the store's small id table;
-    the join on the partition columns lets dynamic partition pruning skip
-    every other series' directory at scan time.
+    The names resolve to (book_id, sheet_id) in the store's small id table, a
+    handful of rows.  As literals the ids reach the scan, whose files are
+    sorted by them, so the statistics skip every other series; over ID_LIMIT
+    ids only the names are pushed.
     """
     named = (F.col("series") == series) & (F.col("disaggregation") == disaggregation) & (F.col("sheet_name") == sheet_name)
     store = read_panel(spark, path).where(named)  # one id can hold several disaggregations of a level's book and sheet
-    ids = store_ids(spark, path).where(named).select(F.col("book_id").alias("b"), F.col("sheet_id").alias("s")).distinct()
-    same = F.col("book_id").eqNullSafe(F.col("b")) & F.col("sheet_id").eqNullSafe(F.col("s"))
-    return store.join(ids, same, "left_semi").select(*EXPLORER_COLUMNS)
+    ids = store_ids(spark, path).where(named).select("book_id", "sheet_id").distinct().limit(ID_LIMIT + 1).collect()
+    if len(ids) <= ID_LIMIT and all(r.book_id is not None and r.sheet_id is not None for r in ids):
+        store = store.where(F.col("book_id").isin(sorted({r.book_id for r in ids})) & F.col("sheet_id").isin(sorted({r.sheet_id for r in ids})))
+    return store.select(*EXPLORER_COLUMNS)
 
 
 def series_choices(panel: DataFrame) -> DataFrame:

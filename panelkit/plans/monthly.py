@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.operators.continuity import require_continuity
+from panelkit.operators.digests import block_digests, differing_blocks, revision_diff_of_blocks
 from panelkit.operators.ids import ID_COLUMNS, assign_series_ids, extend_ids, stored_ids
 from panelkit.operators.micro import clean_counts, microdata_counts
 from panelkit.operators.panel import build_panel, with_geo
-from panelkit.operators.quality import require_unique_dictionary
+from panelkit.operators.quality import REVISION_TOLERANCE, require_unique_dictionary
 from panelkit.operators.snapshot import require_non_empty
 from panelkit.session import cut_lineage
-from panelkit.sources.store import append_ids, append_months, append_panel, read_panel, replace_month, store_ids, store_months
+from panelkit.sources.store import append_ids, append_months, append_panel, overwrite_months, read_panel, store_digests, store_ids, store_months
 
 
 def new_month_panel(micro: DataFrame, dic: DataFrame, geo: DataFrame, month: dt.date | str | None = None) -> DataFrame:
@@ -54,20 +55,51 @@ def update_store(spark: SparkSession, store_path: str, new: DataFrame, resume: b
         stored = stored.join(new_ids.select("date").distinct(), "date", "left_anti")
     month = require_continuity(stored, new_ids.select("date"))
     # The month list is written after the data; if a run died in between,
-    # the list lags.  A pushed-down probe of the store (row-group statistics
-    # skip every other month) makes a second append of the month impossible.
+    # the list lags.  A probe of the month's own folder makes a second append
+    # of the month impossible.
     held = not read_panel(spark, store_path, ["date"]).where(F.col("date") == F.lit(month)).isEmpty()
     if held and not resume:
         raise ValueError(f"month {month} is already in the store")
     append_ids(spark, new_ids, store_path)
     if held:
-        replace_month(spark, store_path, new_ids)
+        overwrite_months(new_ids, store_path)
     else:
         append_panel(new_ids, store_path)
     append_months(new_ids, store_path)
     return read_panel(spark, store_path)
 
 
+def replace_month(spark: SparkSession, store_path: str, new: DataFrame) -> None:
+    """Publish ``new`` in place of what the store holds for its months.
+
+    Every month must be stored already.  Labels get their stored ids, new
+    ones the next free numbers, written before the data; then each month's
+    folder is replaced as a whole, so a series that ``new`` lacks leaves the
+    month.  No other month is read or written, and running it again gives the
+    same store.
+    """
+    old_ids = cut_lineage(store_ids(spark, store_path))
+    new_ids = cut_lineage(assign_series_ids(new, extend_ids(old_ids.select(*ID_COLUMNS), new)))
+    months = cut_lineage(new_ids.select("date").distinct())
+    if months.isEmpty():
+        raise ValueError("the revision holds no rows")
+    unknown = months.join(store_months(spark, store_path), "date", "left_anti")
+    if not unknown.isEmpty():
+        raise ValueError(f"the store lacks months of the revision: {unknown.limit(20).collect()}")
+    append_ids(spark, new_ids, store_path)
+    overwrite_months(new_ids, store_path)
+
+
+def stored_revision_diff(spark: SparkSession, store_path: str, new: DataFrame, tol: float = REVISION_TOLERANCE) -> DataFrame:
+    """``revision_diff`` of a recomputation (a checkpointed frame) against the store.
+
+    The digests of both sides tell which series and months differ; only their
+    rows are joined, and only their months' folders are read.
+    """
+    blocks = cut_lineage(differing_blocks(block_digests(new), store_digests(spark, store_path)))
+    return revision_diff_of_blocks(new, read_panel(spark, store_path), blocks, tol=tol)
+
+
 def run_month(
     spark: SparkSession, micro: DataFrame, dic: DataFrame, geo: DataFrame, store_path: str, month: dt.date | str
 ) -> DataFrame:

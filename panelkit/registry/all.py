@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["core", "store", "explore", "quality", "analytics", "books"]
+MODULES = ["core", "cube", "store", "explore", "quality", "analytics", "books"]
 
 
 def _mods():

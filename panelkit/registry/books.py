@@ -133,6 +133,7 @@ def q_historical_panel(spark: SparkSession, sf: str) -> DataFrame:
 # (book names differ by construction, so they are not part of the key).
 REVISED_EVERY, REVISED_MONTH, REVISION = 3, 3, 5.0
 XV_KEY = ["level", "date", "clave_delegacion", "clave_subdelegacion", "series", "disaggregation", "sheet_name"]
+XV_BLOCK = ["date", "level", "series", "disaggregation", "sheet_name"]
 
 
 def revised(panel: DataFrame) -> DataFrame:
@@ -146,7 +147,7 @@ def q_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
     more than the tolerance, and series present on one side only.  Both sides
     carry canonical labels and no NULL values, which are cells that were
     never published."""
-    from panelkit.operators.quality import revision_diff
+    from panelkit.operators.digests import block_digests, differing_blocks, revision_diff_of_blocks
 
     p, sh = published(spark, sf)
     # Materialised once: the comparison reads it for the months and the rows.
@@ -155,7 +156,9 @@ def q_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
             S.book_catalogue(spark, sh), _index(sh), S.book_tabs(sh), S.landed_sheets(p, sh), geo_dictionary(spark, sf)
         ).where("value IS NOT NULL")
     )
-    out = revision_diff(revised(B.clean_labels(p)).where("value IS NOT NULL"), official, key=XV_KEY)
+    computed = cut_lineage(revised(B.clean_labels(p)).where("value IS NOT NULL"))
+    digests = [block_digests(side, XV_BLOCK, XV_KEY) for side in (computed, official)]
+    out = revision_diff_of_blocks(computed, official, cut_lineage(differing_blocks(*digests, XV_BLOCK)), XV_BLOCK, key=XV_KEY)
     return out.withColumns({c: rv(c) for c in ("new_value", "stored_value", "diff")})
 
 

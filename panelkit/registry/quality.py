@@ -15,8 +15,10 @@ from panelkit.registry import oracle_base as O
 from panelkit.registry.common import clean, panel, rounded_value, rv, stored_panel
 from panelkit.registry.store import HIST, hist_with_ids, split_history
 from panelkit.schema import LEVEL_DELEGATION, PANEL_COLUMNS
-from panelkit.session import scratch_path
+from panelkit.plans.monthly import stored_revision_diff
+from panelkit.session import cut_lineage, scratch_path
 from panelkit.sources.register import code_dictionary, geo_dictionary
+from panelkit.sources.store import reset_panel
 
 # Cut-off of the employer export; revision fixture rules.
 EXPORT_SINCE = dt.date(2000, 1, 1)
@@ -62,8 +64,11 @@ def q_referential_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_revision_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """The recomputed history against a store that holds the published one."""
     h, _, _, _ = hist_with_ids(spark, sf)
-    out = Q.revision_diff(revised_history(h), h)
+    path = scratch_path(spark, "panel-store")
+    reset_panel(h, path)
+    out = stored_revision_diff(spark, path, cut_lineage(revised_history(h)))
     return out.withColumns({c: rv(c) for c in ("new_value", "stored_value", "diff")})
 
 

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from panelkit.operators.continuity import continuity_report, month_gaps
 from panelkit.operators.ids import assign_series_ids, label_ids
-from panelkit.plans.monthly import update_store
+from panelkit.plans.monthly import replace_month, update_store
 from panelkit.registry import oracle_base as O
 from panelkit.registry.common import panel, panel_geo, rounded_value
 from panelkit.schema import EXPLORER_COLUMNS, PANEL_COLUMNS
 from panelkit.session import cut_lineage, scratch_path
 from panelkit.plans.explorer import pruned_slice
-from panelkit.sources.store import compact_store, read_panel, replace_month, reset_panel
+from panelkit.sources.store import compact_store, read_panel, reset_panel
 
 # The slice used by the pruning scan.
 SLICE = {"series": "Asegurados", "disaggregation": "Modalidad", "sheet_name": "Modalidad 10.1"}
@@ -129,19 +129,30 @@ def q_pruned_slice_new_series(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_panel_replace_month(spark: SparkSession, sf: str) -> DataFrame:
     """The stored last month is published again, revised and without one series."""
-    h, ids, new, _ = hist_with_ids(spark, sf)
+    h, _, new, _ = hist_with_ids(spark, sf)
     path = _fresh_store(spark, h)
     update_store(spark, path, new)
     revised = new.where(F.col("sheet_name") != DROPPED_SHEET).withColumn("value", F.col("value") + 1)
-    replace_month(spark, path, assign_series_ids(revised, ids))
+    replace_month(spark, path, revised)
     compact_store(spark, path)
     return rounded_value(read_panel(spark, path))
 
 
+def q_panel_replace_month_new_series(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored last month is published again with a series the store did not know, then once more, revised."""
+    h, _, new, _ = hist_with_ids(spark, sf)
+    path = _fresh_store(spark, h)
+    update_store(spark, path, new)
+    replace_month(spark, path, with_new_series(new))
+    replace_month(spark, path, with_new_series(new).withColumn("value", F.col("value") + 1))
+    return rounded_value(read_panel(spark, path))
+
+
 QUERIES = {
     "panel_update_new_series": q_panel_update_new_series,
     "pruned_slice_new_series": q_pruned_slice_new_series,
     "panel_replace_month": q_panel_replace_month,
+    "panel_replace_month_new_series": q_panel_replace_month_new_series,
     "monthly_stream_update": q_monthly_stream_update,
     "assign_series_ids": q_assign_series_ids,
     "month_continuity": q_month_continuity,
@@ -202,6 +213,8 @@ _GKEY = "level, series, disaggregation, sheet_name, book_name, clave_delegacion,
 ORACLE = {
     "panel_update_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_COLS}, {O.rv('value')} AS value FROM
         (SELECT {_COLS}, value FROM hist_ids UNION ALL SELECT {_COLS}, value FROM new2_ids) u""",
+    "panel_replace_month_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_COLS}, {O.rv('value')} AS value FROM
+        (SELECT {_COLS}, value FROM hist_ids UNION ALL SELECT {_COLS}, value + 1 AS value FROM new2_ids) u""",
     "pruned_slice_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_XCOLS}, {O.rv('value')} AS value FROM new2_ids
         WHERE series = 'Asegurados' AND disaggregation = 'Modalidad' AND sheet_name = 'Modalidad nueva'""",
     "panel_replace_month": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM

@@ -1,18 +1,24 @@
-"""The panel store: Hive-partitioned Parquet by (book_id, sheet_id).
-
-Writes repartition by the partition columns (plus year, so one hot series
-never lands in a single task) and sort inside partitions, so each task
-writes few, ordered files.  Monthly updates *append* the new month; a full
-reset overwrites statically and refuses to read its own target.
-
-Next to the store sit two small tables: its id dimension (``<store>_ids``,
-one row per series label with its (book_id, sheet_id)) and its month list
-(``<store>_months``).  Updates, the continuity gate and name-based slices
-read those instead of scanning a history that grows by one file per series
-and month.  A side table that was never written is rebuilt from the store;
-only a missing path counts as "never written", every other error is raised.
-``replace_month`` publishes a revised month and ``compact_store`` rewrites
-the small files of many updates.
+"""The panel store: Parquet with one folder a month, ordered by series inside.
+
+The month is the partition column (``date=2001-07-01``), so an update writes,
+a revision replaces and the double-append probe reads one folder, whatever
+the history holds.  Inside a month, files are dealt by book and sorted by
+(book_id, sheet_id, codes), so that row-group statistics find a series.
+A full reset overwrites statically and refuses to read its own target.
+
+Next to the store sit three small tables: its id dimension (``<store>_ids``,
+one row per series label with its (book_id, sheet_id)), its month list
+(``<store>_months``) and a digest of every series and month
+(``<store>_digests``, see ``operators/digests.py``).  Updates, the continuity
+gate, name-based slices and revision checks read those instead of scanning the
+history.  A side table that was never written is rebuilt from the store; only
+a missing path counts as "never written", every other error is raised.
+``compact_store`` rewrites the files of several updates of one month.
+
+A month is replaced by one dynamic partition overwrite: the new files are
+complete before the old folder goes.  A reader that lists the folder in the
+moment of the swap may miss the month; one that has listed it already fails on
+the missing files and can run again.
 """
 
 from __future__ import annotations
@@ -20,12 +26,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.operators.digests import DIGESTS, block_digests
 from panelkit.schema import PANEL, PANEL_COLUMNS
 from panelkit.session import cut_lineage
 
-PARTITION_COLUMNS = ["book_id", "sheet_id"]
+PARTITION_COLUMN = "date"
 ID_TABLE_COLUMNS = ["book_id", "sheet_id", "book_name", "sheet_name", "level", "series", "disaggregation"]
-SORT_COLUMNS = ["date", "clave_delegacion", "clave_subdelegacion"]
+SORT_COLUMNS = ["book_id", "sheet_id", "clave_delegacion", "clave_subdelegacion"]
 
 
 def read_panel(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -100,54 +107,50 @@ def append_ids(spark: SparkSession, ids: DataFrame, path: str) -> None:
     whole.write.parquet(ids_path(path))
 
 
-def _layout(df: DataFrame) -> DataFrame:
-    return (
-        df.select(*PANEL_COLUMNS)
-        .repartition(*PARTITION_COLUMNS, F.year("date"))
-        .sortWithinPartitions(*SORT_COLUMNS)
-    )
+def digests_path(path: str) -> str:
+    return path.rstrip("/") + "_digests"
 
 
-def append_panel(df: DataFrame, path: str) -> None:
-    """Append rows (used behind the continuity gate)."""
-    _layout(df).write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
+def store_digests(spark: SparkSession, path: str) -> DataFrame:
+    """The digest of every stored series and month, from the store itself if the table was never written."""
+    if path_exists(spark, digests_path(path)):
+        return spark.read.schema(DIGESTS).parquet(digests_path(path))
+    return block_digests(read_panel(spark, path))
 
 
-def overwrite_partitions(df: DataFrame, path: str) -> None:
-    """Replace only the (book_id, sheet_id) partitions present in ``df``."""
-    (
-        _layout(df)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS)
-        .parquet(path)
-    )
+def _write_digests(df: DataFrame, path: str) -> None:
+    """Put the digests of the months of ``df`` in place of what the table holds for them."""
+    block_digests(df).repartition(PARTITION_COLUMN).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN).parquet(digests_path(path))
+
+
+def _layout(df: DataFrame) -> DataFrame:
+    return df.select(*PANEL_COLUMNS).repartition(PARTITION_COLUMN, "book_id").sortWithinPartitions(PARTITION_COLUMN, *SORT_COLUMNS)
+
+
+def append_panel(df: DataFrame, path: str) -> None:
+    """Append whole months (used behind the continuity gate), then their digests."""
+    _layout(df).write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
+    if path_exists(df.sparkSession, digests_path(path)):
+        _write_digests(df, path)
 
 
-def replace_month(spark: SparkSession, path: str, new: DataFrame) -> None:
-    """Publish ``new`` (with ids) in place of what the store holds for its months.
+def overwrite_months(df: DataFrame, path: str) -> None:
+    """Replace the months present in ``df`` (a checkpointed frame) as a whole.
 
-    The affected (book_id, sheet_id) partitions, old and new, are written
-    anew from a checkpoint and swapped in by one dynamic partition overwrite;
-    a partition that only held the replaced months is removed by an empty
-    rewrite of its rows.  Running it again gives the same store.
+    Rows without ids or month are refused: they would start a folder that no
+    later update replaces.  The digests are written first; if a run dies in
+    between, running it again gives the same store.
     """
-    months = cut_lineage(new.select("date").distinct())
-    store = read_panel(spark, path)
-    held = store.join(months, "date", "left_semi").select(*PARTITION_COLUMNS)
-    affected = cut_lineage(held.union(new.select(*PARTITION_COLUMNS)).distinct())
-    kept = store.join(affected, PARTITION_COLUMNS, "left_semi").join(months, "date", "left_anti")
-    whole = cut_lineage(kept.select(*PANEL_COLUMNS).unionByName(new.select(*PANEL_COLUMNS)))
-    emptied = affected.join(whole.select(*PARTITION_COLUMNS).distinct(), PARTITION_COLUMNS, "left_anti").collect()
-    overwrite_partitions(whole, path)
-    for r in emptied:  # folders of series that lost their only month: bounded by the id table
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/book_id={r.book_id}/sheet_id={r.sheet_id}")
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if not df.where(F.col("book_id").isNull() | F.col("sheet_id").isNull() | F.col("date").isNull()).isEmpty():
+        raise ValueError("rows without ids or month cannot replace a month")
+    if path_exists(df.sparkSession, digests_path(path)):
+        _write_digests(df, path)
+    _layout(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN).parquet(path)
 
 
 def compact_store(spark: SparkSession, path: str) -> None:
-    """Rewrite every partition's many small monthly files as few ordered ones; the rows stay the same."""
-    overwrite_partitions(cut_lineage(read_panel(spark, path)), path)
+    """Rewrite every month's files as few ordered ones; the rows stay the same."""
+    _layout(cut_lineage(read_panel(spark, path))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN).parquet(path)
 
 
 def _input_roots(df: DataFrame) -> list[str]:
@@ -179,19 +182,21 @@ def reset_panel(df: DataFrame, path: str) -> None:
         _layout(df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
-        .partitionBy(*PARTITION_COLUMNS)
+        .partitionBy(PARTITION_COLUMN)
         .parquet(path)
     )
     stored = read_panel(df.sparkSession, path)
     _ids_of(stored).write.mode("overwrite").parquet(ids_path(path))
+    block_digests(stored).repartition(PARTITION_COLUMN).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PARTITION_COLUMN).parquet(digests_path(path))
     stored.select("date").distinct().write.mode("overwrite").parquet(months_path(path))
 
 
 def backup_store(spark: SparkSession, path: str, dest: str) -> None:
     """Copy the store to a dated backup folder (read → write, same layout)."""
-    _layout(read_panel(spark, path)).write.mode("errorifexists").partitionBy(*PARTITION_COLUMNS).parquet(dest)
+    _layout(read_panel(spark, path)).write.mode("errorifexists").partitionBy(PARTITION_COLUMN).parquet(dest)
     store_ids(spark, path).write.mode("errorifexists").parquet(ids_path(dest))
     store_months(spark, path).write.mode("errorifexists").parquet(months_path(dest))
+    store_digests(spark, path).repartition(PARTITION_COLUMN).write.mode("errorifexists").partitionBy(PARTITION_COLUMN).parquet(digests_path(dest))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -205,7 +210,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def display_order(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Presentation order of the reference: ids, date, codes; NULL last."""
-    cols = columns or ["book_id", "sheet_id", *SORT_COLUMNS]
+    cols = columns or ["book_id", "sheet_id", "date", "clave_delegacion", "clave_subdelegacion"]
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols if c in df.columns])
 
 

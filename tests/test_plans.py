@@ -107,6 +107,6 @@ def test_explorer_keys_read_the_store_only(spark):
 
     text = slices(spark, SF_SMALL)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "lineitem" not in text and "prepared-store" in text
-    assert "EqualTo(series,Asegurados)" in text and "GreaterThanOrEqual(date" in text
+    assert "EqualTo(series,Asegurados)" in text and "PartitionFilters: [isnotnull(date" in text
     schemas = [ln for ln in text.splitlines() if ln.strip().startswith("ReadSchema:")]
     assert schemas and all("book_name" not in ln for ln in schemas)
