@@ -4,16 +4,22 @@ Encoding: a task cuts its texts by the pre-token pattern and hands the
 distinct pre-tokens it has not met lately to an in-process DuckDB.  There a
 recursive query holds one row per token position; each step joins neighbouring
 positions with the merge table and contracts, in every pre-token, the leftmost
-pair of minimum rank, until no pair of it merges (the fixpoint).  Pre-tokens
-of more than LONG_BYTES bytes take a step that contracts all pairs of the
-minimum rank at once where that is proven to give the same, statement by
-statement, so that only one step's rows exist.
+pair of minimum rank, until no pair of it merges (the fixpoint).
+
+The rows of all steps grow with the square of a pre-token's length, so one of
+more than WINDOW bytes is cut into windows that overlap by half, and each goes
+through the same query.  A sequence of tokens is the encoding of its bytes if
+every two neighbours are the encoding of theirs.  So where two windows share a
+token (same begin, same end), the left one's tokens up to it and the right
+one's from it on are the encoding of both together.  If two windows share none,
+the pre-token is cut again into windows twice as long.
 
 Decoding: token rows join the vocabulary and an aggregation ordered by
 position puts each document's bytes together again.
 
-Each task's DuckDB has one thread and MEMORY; what it gets at once is bounded
-by BATCH_BYTES and BATCH_TOKENS.  Null text counts as empty and has no token.
+Each task's DuckDB has one thread, MEMORY and no spill folder; what it gets at
+once is bounded by BATCH_ROWS and BATCH_TOKENS.  What a worker remembers is
+bounded by CACHE_BYTES.  Null text counts as empty and has no token.
 """
 
 from __future__ import annotations
@@ -27,68 +33,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import WordCache, narrow, slices, space_parts, worker_state
+from panelkit.llm.common import IdCache, encode_cached, narrow, row_slices, text_blocks, worker_state
 
 MEMORY = "200MB"
-LONG_BYTES = 48
-BATCH_BYTES = 1 << 19
+WINDOW = 96
+BATCH_ROWS = 1 << 21
 BATCH_TOKENS = 1 << 17
-CACHE_WORDS = 600_000
-SLICE_CHARS = 1 << 22
+CACHE_BYTES = 64 << 20
+SLICE = 1 << 23
 
-# A row's key is its pre-token's number times SEATS plus its seat; a contraction moves the seats behind it up.
-SEATS = 64
-_ENCODE = f"""
+# A row's key is its piece's number times the seats plus its seat; a contraction moves the seats behind it up.
+_ENCODE = """
 WITH RECURSIVE state AS (
-    SELECT w::BIGINT * {SEATS} + pos AS k, id, false AS done FROM spelled
+    SELECT w::BIGINT * {seats} + pos AS k, id, false AS done FROM spelled
     UNION ALL
     (
         WITH pairs AS MATERIALIZED (
-            SELECT a.k, a.id, m.merged, m.rank * {SEATS} + a.k % {SEATS} AS own
+            SELECT a.k, a.id, m.merged, m.rank * {seats} + a.k % {seats} AS own
             FROM state a
             LEFT JOIN state b ON b.k = a.k + 1
             LEFT JOIN merges m ON m.l = a.id AND m.r = b.id
             WHERE NOT a.done
         ),
         lowest AS (
-            SELECT k // {SEATS} AS w, min(own) AS best, min(own) % {SEATS} AS seat FROM pairs GROUP BY k // {SEATS}
-        )
-        SELECT CASE WHEN p.k % {SEATS} > l.seat THEN p.k - 1 ELSE p.k END, CASE WHEN p.own = l.best THEN p.merged ELSE p.id END, l.best IS NULL
-        FROM pairs p JOIN lowest l ON p.k // {SEATS} = l.w
-        WHERE l.best IS NULL OR p.k % {SEATS} <> l.seat + 1
-    )
-)
-SELECT k // {SEATS} AS w, id FROM state WHERE done ORDER BY k
-"""
-
-# One step for long pre-tokens: of the overlapping pairs of minimum rank every second one, from the left.
-_LONG_STEP = """
-CREATE TABLE stepped AS
-SELECT w, pos, CASE WHEN taken THEN merged ELSE id END AS id, best IS NULL AS done
-FROM (
-    SELECT *, lag(taken) OVER (PARTITION BY w ORDER BY pos) AS gone
-    FROM (
-        SELECT *, hit AND (k = 1 OR (safe AND (row_number() OVER (PARTITION BY w, hit, seat - k ORDER BY pos)) % 2 = 1)) AS taken
-        FROM (
-            SELECT *, row_number() OVER (PARTITION BY w, hit ORDER BY pos) AS k
-            FROM (
-                SELECT *, coalesce(rank = best, false) AS hit
-                FROM (
-                    SELECT *, min(rank) OVER (PARTITION BY w) AS best
-                    FROM (
-                        SELECT p.*, m.merged, m.rank, m.safe
-                        FROM (
-                            SELECT w, pos, id, lead(id) OVER (PARTITION BY w ORDER BY pos) AS next, row_number() OVER (PARTITION BY w ORDER BY pos) AS seat
-                            FROM spelled
-                        ) p
-                        LEFT JOIN merges m ON m.l = p.id AND m.r = p.next
-                    )
-                )
-            )
+            SELECT k // {seats} AS w, min(own) AS best, min(own) % {seats} AS seat FROM pairs GROUP BY k // {seats}
         )
+        SELECT CASE WHEN p.k % {seats} > l.seat THEN p.k - 1 ELSE p.k END, CASE WHEN p.own = l.best THEN p.merged ELSE p.id END, l.best IS NULL
+        FROM pairs p JOIN lowest l ON p.k // {seats} = l.w
+        WHERE l.best IS NULL OR p.k % {seats} <> l.seat + 1
     )
 )
-WHERE gone IS NOT TRUE
+SELECT k // {seats} AS w, id FROM state WHERE done ORDER BY k
 """
 
 _DECODE = """
@@ -104,15 +79,45 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def pieces_of(word: bytes, window: int) -> list[tuple[int, bytes]]:
+    """(begin, bytes) of the windows of a word: all of it, or windows that overlap by half."""
+    if len(word) <= window:
+        return [(0, word)]
+    return [(at, word[at : at + window]) for at in range(0, len(word) - window // 2, window // 2)]
+
+
+def stitched(windows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray | None:
+    """The ids of a word from the (ids, begins, ends) of its windows in order; None if two neighbours share no token."""
+    out, begin = [], 0
+    for i, (ids, begins, ends) in enumerate(windows):
+        if i + 1 == len(windows):
+            out.append(ids[np.searchsorted(begins, begin) :])
+            break
+        _, next_begins, next_ends = windows[i + 1]
+        _, own, other = np.intersect1d(begins, next_begins, assume_unique=True, return_indices=True)
+        shared = begins[own][ends[own] == next_ends[other]]
+        if not len(shared):
+            return None
+        # Up to the shared token from this window, from it on from the next.
+        out.append(ids[np.searchsorted(begins, begin) : np.searchsorted(begins, shared[0])])
+        begin = shared[0]
+    return np.concatenate(out)
+
+
 class DuckCodec:
-    """One DuckDB with the merge table and vocabulary of a rank file, and a bounded cache."""
+    """One DuckDB with the merge table and vocabulary of a rank file, and a cache bounded in bytes.
+
+    The cache holds parts, which stand behind a space, and pre-tokens.  A
+    pre-token that begins with a space has the key of the part behind it, any
+    other the key " x" + pre-token, with which no part begins.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import duckdb
         import regex
 
         self.pattern = regex.compile(pattern)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         self.spell = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         rows = []
         for token, rank in ranks.items():
@@ -120,70 +125,99 @@ class DuckCodec:
                 if (left := ranks.get(token[:cut])) is not None and (right := ranks.get(token[cut:])) is not None:
                     rows.append((left, right, rank))
         left, right, rank = (np.array(c, np.int64) for c in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 3
-        # A merge is safe if every pair with its result on either side has a higher rank.
-        least = np.full(max(ranks.values()) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, left, rank)
-        np.minimum.at(least, right, rank)
-        self._table("merges", l=left.astype(np.int32), r=right.astype(np.int32), rank=rank, merged=rank.astype(np.int32), safe=least[rank] > rank)
+        self._table("merges", l=left.astype(np.int32), r=right.astype(np.int32), rank=rank, merged=rank.astype(np.int32))
         self._table("vocab", id=np.array(list(ranks.values()), np.int32), hex=[t.hex() for t in ranks])
-        self.words = WordCache(CACHE_WORDS)
-        self.parts = WordCache(CACHE_WORDS)
+        self.size_of = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.size_of[list(ranks.values())] = [len(t) for t in ranks]
+        self.cache = IdCache(CACHE_BYTES)
 
     def _table(self, name: str, **columns) -> None:
         self.db.register("given", pa.table(columns))
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def _merge(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each pre-token, as little-endian unsigned 32-bit integers."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        w = np.repeat(np.arange(len(words)), sizes)
+    def _contract(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """The ids of each piece, by the recursive query."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        w = np.repeat(np.arange(len(pieces)), sizes)
         pos = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self._table("spelled", w=w.astype(np.int32), pos=pos.astype(np.int32), id=self.spell[np.frombuffer(b"".join(words), np.uint8)])
-        if sizes.max(initial=0) <= LONG_BYTES:
-            found = self.db.execute(_ENCODE).fetchnumpy()
-        else:
-            self.db.execute("CREATE OR REPLACE TABLE finished AS SELECT w, pos, id FROM spelled LIMIT 0")
-            while self.db.execute("SELECT count(*) FROM spelled").fetchall()[0][0]:
-                self.db.execute(_LONG_STEP)
-                self.db.execute("INSERT INTO finished SELECT w, pos, id FROM stepped WHERE done")
-                self.db.execute("CREATE OR REPLACE TABLE spelled AS SELECT w, pos, id FROM stepped WHERE NOT done")
-                self.db.execute("DROP TABLE stepped")
-            found = self.db.execute("SELECT w, id FROM finished ORDER BY w, pos").fetchnumpy()
-        edges = 4 * np.searchsorted(found["w"], np.arange(len(words) + 1))
-        raw = found["id"].astype("<u4").tobytes()
-        return [raw[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Distinct pre-tokens, in bounded batches; long ones apart."""
-        raw = [w.encode("utf-8", "replace") for w in words]
-        out: list[bytes] = [b""] * len(raw)
-        for long in (False, True):
-            batch: list[int] = []
-            size = 0
-            own = [i for i, b in enumerate(raw) if (len(b) > LONG_BYTES) == long]
-            for n, i in enumerate(own):
-                batch.append(i)
-                size += len(raw[i])
-                if size >= BATCH_BYTES or n == len(own) - 1:
-                    for j, ids in zip(batch, self._merge([raw[j] for j in batch]), strict=True):
-                        out[j] = ids
-                    batch, size = [], 0
+        self._table("spelled", w=w.astype(np.int32), pos=pos.astype(np.int32), id=self.spell[np.frombuffer(b"".join(pieces), np.uint8)])
+        found = self.db.execute(_ENCODE.format(seats=1 << int(sizes.max(initial=1)).bit_length())).fetchnumpy()
+        return np.split(found["id"], np.searchsorted(found["w"], np.arange(1, len(pieces))))
+
+    def _contract_all(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """The same in batches: a query's rows go with the square of the pieces' lengths."""
+        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+        out: list[np.ndarray] = [None] * len(pieces)
+        batch: list[int] = []
+        rows = 0
+        for n, i in enumerate(order):
+            batch.append(i)
+            rows += (len(pieces[i]) + 1) ** 2 // 2
+            if rows >= BATCH_ROWS or n == len(order) - 1:
+                for j, ids in zip(batch, self._contract([pieces[j] for j in batch]), strict=True):
+                    out[j] = ids
+                batch, rows = [], 0
         return out
 
-    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+    def merge(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of each pre-token, whatever its length."""
+        out: list[np.ndarray] = [None] * len(words)
+        todo, window = list(range(len(words))), WINDOW
+        while todo:
+            cut = [pieces_of(words[i], window) for i in todo]
+            found = iter(self._contract_all([p for pieces in cut for _, p in pieces]))
+            again = []
+            for i, pieces in zip(todo, cut, strict=True):
+                windows = []
+                for begin, _ in pieces:
+                    ids = next(found)
+                    ends = begin + np.cumsum(self.size_of[ids])
+                    windows.append((ids, ends - self.size_of[ids], ends))
+                out[i] = windows[0][0] if len(windows) == 1 else stitched(windows)
+                if out[i] is None:
+                    again.append(i)
+            todo, window = again, window * 2
+        return out
+
+    def _entries(self, pretokens: set[str], held: dict[str, int]) -> dict[str, int]:
+        """The cache's entry of every pre-token, after adding those it lacks."""
+        key_of = {t: t[1:] if t[0] == " " else f" x{t}" for t in pretokens}
+        entries = {t: e for t, k in key_of.items() if (e := held.get(k)) is not None}
+        rest = sorted(pretokens.difference(entries))
+        if rest:
+            entries |= {t: e for t, e in zip(rest, self.cache.numbers(pa.array([key_of[t] for t in rest], pa.large_string())).tolist()) if e >= 0}
+            new = [t for t in rest if t not in entries]
+            if new:
+                ids = self.merge([t.encode("utf-8", "replace") for t in new])
+                first = len(self.cache.words)
+                self.cache.add([key_of[t] for t in new], np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
+                entries |= dict(zip(new, range(first, first + len(new))))
+        return entries
+
+    def _joined(self, lists: list[list[str]], entries: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of lists of pre-tokens one after the other, and how many each list has."""
+        ids, sizes = self.cache.gather(np.array([entries[t] for own in lists for t in own], np.int64))
+        ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum([len(own) for own in lists], dtype=np.int64))]
+        return ids, np.diff(ends)
+
+    def _encode_heads(self, heads: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [self.pattern.findall(h) for h in heads]
+        return self._joined(lists, self._entries(set().union(*lists), {}))
+
+    def _add_missing(self, parts: list[str], held: dict[str, int]) -> None:
         """Ids of " " + part: one pre-token if the part is all letters, else by the pattern."""
-        split = [[f" {p}"] if p.isalpha() and p.isascii() else self.pattern.findall(f" {p}") for p in parts]
-        table = self.words.table(split, self._encode_words)
-        return [b"".join(map(table.__getitem__, own)) for own in split]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each whole text. Its pre-tokens never reach over a lone space, so parts between such spaces are cached."""
-        cut = [space_parts(t) for t in texts]
-        heads = [self.pattern.findall(p.pop(0)) for p in cut]
-        later = self.parts.table(cut, self._encode_parts)
-        first = self.words.table(heads, self._encode_words)
-        return [b"".join(map(first.__getitem__, own)) + b"".join(map(later.__getitem__, p)) for own, p in zip(heads, cut, strict=True)]
+        lists = [[f" {p}"] if p.isalpha() and p.isascii() else self.pattern.findall(f" {p}") for p in parts]
+        entries = self._entries(set().union(*lists), held)
+        several = [k for k, own in enumerate(lists) if len(own) > 1]
+        self.cache.add([parts[k] for k in several], *self._joined([lists[k] for k in several], entries))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and where each text's begin.
+
+        Pre-tokens never reach over a lone space, so the parts between such spaces are cached.
+        """
+        return encode_cached(texts, self.cache, ".,;:!?", self._encode_heads, self._add_missing)
 
     def decode(self, encoded: list[bytes]) -> list[bytes]:
         """The bytes that the ids stand for; an unknown id is an error."""
@@ -191,11 +225,11 @@ class DuckCodec:
         flat = np.frombuffer(b"".join(encoded), "<u4")
         doc = np.repeat(np.arange(len(encoded)), sizes)
         parts: list[list[bytes]] = [[] for _ in encoded]
-        highest = self.db.execute("SELECT max(id) FROM vocab").fetchall()[0][0]
         for at in range(0, len(flat), BATCH_TOKENS):
             ids, own = flat[at : at + BATCH_TOKENS], doc[at : at + BATCH_TOKENS]
-            if len(ids) and ids.max() > highest:
-                raise ValueError(f"id {ids.max()} is not in the vocabulary")
+            unknown = ids[(ids >= len(self.size_of)) | (self.size_of[np.minimum(ids, len(self.size_of) - 1)] == 0)]
+            if len(unknown):
+                raise ValueError(f"id {unknown[0]} is not in the vocabulary")
             self._table("tokens", d=own, pos=np.arange(len(ids), dtype=np.int32), id=ids.astype(np.int32))
             for d, text in self.db.execute(_DECODE).fetchall():
                 parts[d].append(bytes.fromhex(text))
@@ -223,8 +257,10 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value)
-        for ids, texts in slices(batches, SLICE_CHARS):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own.encode([t or "" for t in texts]), pa.binary())], ["doc_id", "ids"])
+        for block in text_blocks(batches, 1, SLICE):
+            ids, begins = own.encode(block.column(1))
+            packed = pa.Array.from_buffers(pa.large_binary(), block.num_rows, [None, pa.py_buffer(4 * begins), pa.py_buffer(ids.astype("<u4"))])
+            yield pa.RecordBatch.from_arrays([block.column(0), packed.cast(pa.binary())], ["doc_id", "ids"])
 
     return narrow(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
 
@@ -239,8 +275,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str = "") ->
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for part in row_slices(batch, 1, 4 * BATCH_TOKENS):
                 decoded = own.decode([b or b"" for b in part.column("ids").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
 

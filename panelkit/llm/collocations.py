@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import narrow, row_slices
+from panelkit.llm.common import narrow, text_blocks
 from panelkit.session import scratch_path
 
 MIN_COUNT = 10
@@ -104,21 +104,6 @@ def unique_rows(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.
     return [c[order[opens]] for c in columns], np.add.reduceat(counts[order], opens) if len(opens) else counts[:0]
 
 
-def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, lang) rows, SLICE bytes of text or one longer text at a time."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        for part in row_slices(batch, 0, SLICE):
-            if size + part.column(0).nbytes > SLICE and held:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, size = [], 0
-            held.append(part)
-            size += part.column(0).nbytes
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _leads(code: np.ndarray, same: np.ndarray, max_words: int) -> list[np.ndarray]:
     """The lead columns of every word: codes counted from 1, and 0 behind the end of the piece."""
     columns, goes_on = [code + 1], np.ones(len(code), bool)
@@ -132,7 +117,7 @@ def hot_words(texts: DataFrame) -> tuple[int, set[tuple[str, str]]]:
     """The number of all words, and the (lang, word) pairs with over 1 / (2 * HOT_SHARE) of them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
+        for block in text_blocks(batches, 0, SLICE):
             words, row, _ = words_of(block.column(0))
             langs = block.column(1).dictionary_encode()
             (lang, code), n = unique_rows([langs.indices.to_numpy()[row], words.indices.to_numpy()], np.ones(len(words), np.int64))
@@ -158,7 +143,7 @@ def _sent_windows(texts: DataFrame, max_words: int, hot: set[tuple[str, str]]) -
     shared = texts.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
+        for block in text_blocks(batches, 0, SLICE):
             words, row, same = words_of(block.column(0))
             if not len(words):
                 continue

@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -169,6 +170,155 @@ class WordCache:
         return young
 
 
+class IdCache:
+    """The token ids of words: words in one Arrow array, ids in one arena with an offset index.
+
+    Entry i is word i with the ids ``arena[offsets[i] : offsets[i + 1]]``;
+    lookups are Arrow's.  Past ``limit`` bytes (words, offsets and ids) the
+    entries that were not asked for lately go, about half of all.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.round = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.offsets = np.zeros(1, np.int64)
+        self.used = np.zeros(0, np.int32)
+        self.arena = np.zeros(0, np.uint32)
+
+    @property
+    def size(self) -> int:
+        return self.words.nbytes + 12 * len(self.used) + 4 * len(self.arena)
+
+    def trim(self) -> None:
+        """Start a round; entries of earlier rounds may go here and only here."""
+        self.round += 1
+        if self.size <= self.limit:
+            return
+        kept = np.flatnonzero(self.used > np.partition(self.used, len(self.used) // 2)[len(self.used) // 2])
+        words, used, (ids, sizes) = self.words.take(pa.array(kept)), self.used[kept], self.gather(kept)
+        self._clear()
+        self.add(words, ids, sizes)
+        self.used = used
+
+    def add(self, words: pa.Array | list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New words with their ids, one after the other in ``ids``, ``sizes`` of each."""
+        words = pa.array(words, pa.large_string()) if isinstance(words, list) else words
+        self.words = pa.concat_arrays([self.words, words])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes, dtype=np.int64)])
+        self.used = np.concatenate([self.used, np.full(len(words), self.round, np.int32)])
+        self.arena = np.concatenate([self.arena, ids.astype(np.uint32)])
+
+    def numbers(self, words: pa.Array, first: int = 0) -> np.ndarray:
+        """The entry, from ``first`` on, of each word; -1 for one that is not held.  Every call reads all those entries."""
+        found = pc.index_in(words, value_set=self.words[first:]).to_numpy(zero_copy_only=False)
+        found = np.where(np.isnan(found), -1, found + first).astype(np.int64) if found.dtype.kind == "f" else found + np.int64(first)
+        self.used[found[found >= 0]] = self.round
+        return found
+
+    def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the entries one after the other, and how many each has."""
+        begins = self.offsets[entries]
+        sizes = self.offsets[entries + 1] - begins
+        return self.arena[ranges(begins, sizes)], sizes
+
+
+def ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begins[0], begins[0] + 1, ... of ``sizes[0]`` numbers, then those of the next."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def lone_spaces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Places of spaces with a character that is not white space on either side, within one text.
+
+    Where the neighbour is a character that begins with a byte under which
+    Unicode has white space (U+0080-00BF, U+1000-3FFF), the space is not
+    listed, to be on the safe side.
+    """
+    padded = np.concatenate([np.full(3, 0x20, np.uint8), data, np.full(1, 0x20, np.uint8)])
+    space = padded == 0x20
+    plain = ((padded > 0x20) & (padded < 0x7F)) | (padded >= 0x80)
+    doubtful = (padded == 0xC2) | ((padded >= 0xE1) & (padded <= 0xE3))
+    n = len(data)
+    lone = space[3 : n + 3] & plain[2 : n + 2] & plain[4 : n + 4] & ~doubtful[4 : n + 4] & ~(doubtful[1 : n + 1] & (padded[2 : n + 2] >= 0x80)) & ~(doubtful[:n] & (padded[2 : n + 2] >= 0x80))
+    inner = offsets[(offsets > 0) & (offsets < n)]
+    lone[inner] = False
+    lone[inner - 1] = False
+    return np.flatnonzero(lone)
+
+
+def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts (null: none), and where each text's begin."""
+    texts = texts.fill_null("").cast(pa.large_string()) if texts.null_count else texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def text_blocks(batches: Iterable[pa.RecordBatch], column: int, chars: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows whose text in ``column`` holds up to ``chars`` bytes, or one longer text; batches are joined."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in row_slices(batch, column, chars):
+            if held and size + part.column(column).nbytes > chars:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            held.append(part)
+            size += part.column(column).nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def stems(words: pa.Array, ends: str) -> pa.Array:
+    """The different words without their last character, of those that end with one of ``ends``."""
+    ending = pc.match_substring_regex(words, f"[{re.escape(ends)}]$")
+    return pc.unique(pc.utf8_slice_codeunits(words.filter(ending), 0, -1))
+
+
+def encode_cached(texts: pa.Array, cache: IdCache, ends: str, encode_heads, add_missing) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after the other, and where each text's begin.
+
+    Texts are cut at lone spaces.  ``encode_heads(list)`` gives (ids, sizes) of
+    the parts without a space in front; ``add_missing(list, held)`` puts the
+    ids of " " + part for parts that the cache lacks into it.  ``held`` has the
+    entries of the parts' stems that the cache knows, where the part ends with
+    one of ``ends``.
+    """
+    data, offsets = text_buffer(texts)
+    spaces = lone_spaces(data, offsets)
+    head_ends = np.append(spaces, len(data))[np.searchsorted(spaces, offsets[:-1])]
+    head_ends = np.minimum(head_ends, offsets[1:])
+    heads = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1].tolist(), head_ends.tolist())]
+    head_ids, head_sizes = encode_heads(heads)
+    # The parts behind the spaces, as one Arrow array over the bytes they cover.
+    part_ends = np.minimum(np.append(spaces[1:], len(data)), offsets[np.searchsorted(offsets, spaces, "right")])
+    begins, sizes = spaces + 1, part_ends - spaces - 1
+    parts = pa.LargeStringArray.from_buffers(len(spaces), pa.py_buffer(np.append(0, np.cumsum(sizes))), pa.py_buffer(data[ranges(begins, sizes)])).dictionary_encode()
+    cache.trim()
+    known = len(cache.words)
+    roots = stems(parts.dictionary, ends)
+    entries = cache.numbers(pa.concat_arrays([parts.dictionary, roots]))
+    entries, of_roots = entries[: len(parts.dictionary)], entries[len(parts.dictionary) :]
+    if len(missing := np.flatnonzero(entries < 0)):
+        lacking = parts.dictionary.take(pa.array(missing))
+        held = np.flatnonzero(of_roots >= 0)
+        add_missing(lacking.to_pylist(), dict(zip(roots.take(pa.array(held)).to_pylist(), of_roots[held].tolist())))
+        entries[missing] = cache.numbers(lacking, known)
+    ids, counts = cache.gather(entries[parts.indices.to_numpy()])
+    # Each text: its head, then its parts.
+    per_text = np.append(0, np.cumsum(counts))[np.searchsorted(spaces, offsets)]
+    begins = np.append(0, np.cumsum(head_sizes + np.diff(per_text)))
+    out = np.empty(int(begins[-1]), np.uint32)
+    out[ranges(begins[:-1], head_sizes)] = head_ids
+    out[ranges(begins[:-1] + head_sizes, np.diff(per_text))] = ids
+    return out, begins
+
+
 #: All other white space, as plain characters.
 _WHITE = [chr(c) for c in range(1, 0x3001) if chr(c).isspace() and c != 0x20]
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")

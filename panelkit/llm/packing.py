@@ -25,6 +25,7 @@ import os
 import zlib
 from collections import deque
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import WordCache, narrow, slices, space_parts, worker_state
+from panelkit.llm.common import IdCache, encode_cached, narrow, text_blocks, worker_state
 
 LENGTH = 2048
 END_ID = 1
@@ -40,12 +41,13 @@ STRIDE = 128
 SENTENCE_PENALTY = 2
 TRUNCATION_PENALTY = 24
 BLOCK = 1 << 20
-CACHE_WORDS = 500_000
+CACHE_BYTES = 64 << 20
+SLICE = 1 << 23
 _JOINED = 2_000
 
 
 class CachedEncoder:
-    """Token ids of whole texts by a ``tokenizers`` byte-level BPE, word by word with a bounded cache.
+    """Token ids of whole texts by a ``tokenizers`` byte-level BPE, word by word with a cache bounded in bytes.
 
     Its pre-tokens never hold a space behind their first character, so a text
     can be cut at every space between two characters that are not white
@@ -60,41 +62,47 @@ class CachedEncoder:
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.opens = np.array([n.startswith("Ġ") for n in names])
         self.ends_sentence = np.array([n.endswith((".", "!", "?")) or "Ċ" in n for n in names])
-        self.stops = dict(zip(".,", self.encode_all([".", ","]), strict=True))
-        self.first = WordCache(CACHE_WORDS // 8)
-        self.later = WordCache(CACHE_WORDS)
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def _encode_later(self, words: list[str]) -> list[bytes]:
-        """Ids of " " + word; plain words are encoded many at a time and told apart by their leading space."""
-        out: dict[str, bytes] = {}
-        # A Latin word and the full stop or comma behind it are two pre-tokens: only the word needs encoding.
-        stems = {w: w[:-1] for w in words if w[-1:] in self.stops and w[:-1].isalpha() and max(w) < "\u0250"}
-        out.update((s, known) for s in stems.values() if (known := self.later.get(s)))
-        plain = [w for w in {*words, *stems.values()}.difference(stems, out) if w and " " not in w and not w[0].isspace() and not w[-1].isspace()]
+        self.stops = {c: int(self.encode_all([c])[0][0]) for c in ".,"}
+        self.cache = IdCache(CACHE_BYTES)
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _add_encoded(self, words: list[str]) -> dict[str, int]:
+        """Put in the ids of " " + word, and return the entries; plain words are encoded many at a time and told apart by their leading space."""
+        done, ids_of, sizes_of = [], [], []
+        plain = [w for w in words if w and " " not in w and not w[0].isspace() and not w[-1].isspace()]
+        rest = set(words).difference(plain) if len(plain) < len(words) else set()
         for at in range(0, len(plain), _JOINED):
             part = plain[at : at + _JOINED]
-            ids = np.frombuffer(self.encode_all([" " + " ".join(part)])[0], "<u4")
+            ids, _ = self.encode_all([" " + " ".join(part)])
             starts = np.flatnonzero(self.opens[ids])
             if len(starts) == len(part):
-                raw, edges = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
-                out.update((w, raw[a:b]) for w, a, b in zip(part, edges, edges[1:]))
-        for w in words:
-            if w not in out:
-                stem = stems.get(w)
-                out[w] = out[stem] + self.stops[w[-1]] if stem in out else self.encode_all([" " + w])[0]
-        return [out[w] for w in words]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        parts = [space_parts(t) for t in texts]
-        heads = [p.pop(0) for p in parts]
-        first = self.first.table([heads], self.encode_all)
-        later = self.later.table(parts, self._encode_later)
-        return [first[h] + b"".join(map(later.__getitem__, p)) for h, p in zip(heads, parts, strict=True)]
+                done += part
+                ids_of.append(ids)
+                sizes_of.append(np.diff(np.append(starts, len(ids))))
+            else:
+                rest.update(part)
+        others = sorted(rest)
+        ids, sizes = self.encode_all([" " + w for w in others])
+        first = len(self.cache.words)
+        self.cache.add(done + others, np.concatenate([*ids_of, ids]), np.concatenate([*sizes_of, sizes]))
+        return dict(zip(done + others, range(first, len(self.cache.words))))
+
+    def _add_missing(self, words: list[str], held: dict[str, int]) -> None:
+        # A Latin word and the full stop or comma behind it are two pre-tokens: only the word needs encoding.
+        stemmed = [w for w in words if w[-1:] in self.stops and w[:-1].isalpha() and max(w) < "\u0250"]
+        whole = set(words).difference(stemmed)
+        held = held | self._add_encoded(list(whole.union(w[:-1] for w in stemmed if w[:-1] not in held)))
+        if stemmed:
+            ids, sizes = self.cache.gather(np.array([held[w[:-1]] for w in stemmed]))
+            self.cache.add(stemmed, np.insert(ids, np.cumsum(sizes), [self.stops[w[-1]] for w in stemmed]), sizes + 1)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and where each text's begin."""
+        return encode_cached(texts, self.cache, "".join(self.stops), self.encode_all, self._add_missing)
 
 
 def cached_encoder(spec: bytes) -> CachedEncoder:
@@ -198,16 +206,16 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, e
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     fields = pa.schema([(c.split()[0], pa.int64()) for c in schema.split(", ")])
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = cached_encoder(spec.value)
         stream = _Stream(encoder.ends_sentence, length, TaskContext.get().partitionId() << 40)
-        for ids, texts in slices(batches):
-            for doc_id, raw in zip(ids, encoder.encode([t or "" for t in texts]), strict=True):
-                stream.add(doc_id, np.frombuffer(raw + end, "<u4"))
-            if stream.waiting >= block:
-                yield pa.RecordBatch.from_pydict(stream.pack(last=False), schema=fields)
+        for part in text_blocks(batches, 1, SLICE):
+            ids, begins = encoder.encode(part.column(1))
+            for doc_id, a, b in zip(part.column(0).to_pylist(), begins.tolist(), begins[1:].tolist()):
+                stream.add(doc_id, np.append(ids[a:b], np.uint32(end_id)))
+                if stream.waiting >= block:
+                    yield pa.RecordBatch.from_pydict(stream.pack(last=False), schema=fields)
         yield pa.RecordBatch.from_pydict(stream.pack(last=True), schema=fields)
 
     return narrow(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

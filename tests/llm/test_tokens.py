@@ -1,9 +1,11 @@
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -44,13 +46,67 @@ def ranks():
 def test_codec_matches_the_library(ranks):
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     codec = bpe_codec.DuckCodec(ranks, P.PATTERN)
-    encoded = codec.encode(TEXTS)
+    ids, begins = codec.encode(pa.array(TEXTS))
+    encoded = [ids[a:b].astype("<u4").tobytes() for a, b in zip(begins, begins[1:])]
     assert encoded == [np.array(library.encode_ordinary(t), "<u4").tobytes() for t in TEXTS]
     assert [b.decode() for b in codec.decode(encoded)] == TEXTS
     with pytest.raises(ValueError):
         codec.decode([np.array([60_000], "<u4").tobytes()])
 
 
+LONG_RUNS = {
+    "letters": "".join(_rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000)),
+    "cjk": "".join(chr(_rnd.randint(0x4E00, 0x9FFF)) for _ in range(33_000)),
+    "mixed": "".join(_rnd.choice(["a", "the", "é", "漢", "字", "😀", "и", "-", "1"]) * _rnd.randint(1, 9) for _ in range(20_000)),
+    "one letter": "x" * 100_000,
+    "one sign": "漢" * 20_000 + "=" * 30_000,
+    "white": " " * 5_000 + "\n" * 3_000,
+}
+
+
+@pytest.mark.parametrize("kind", sorted(LONG_RUNS))
+def test_long_runs_without_a_space(ranks, kind):
+    """One method for all lengths, in time that grows with the length."""
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe_codec.DuckCodec(ranks, P.PATTERN)
+    start = time.process_time()
+    ids, _ = codec.encode(pa.array([LONG_RUNS[kind]]))
+    assert time.process_time() - start < 60
+    assert ids.tolist() == library.encode_ordinary(LONG_RUNS[kind])
+
+
+def test_windows_share_tokens_or_grow(ranks, monkeypatch):
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(bpe_codec, "WINDOW", 8)
+    monkeypatch.setattr(bpe_codec, "BATCH_ROWS", 500)
+    ids, begins = bpe_codec.DuckCodec(ranks, P.PATTERN).encode(pa.array(TEXTS))
+    assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == [library.encode_ordinary(t) for t in TEXTS]
+
+
+def test_cache_drops_what_is_old_and_stays_right(ranks, monkeypatch):
+    monkeypatch.setattr(bpe_codec, "CACHE_BYTES", 3000)
+    monkeypatch.setattr(packing, "CACHE_BYTES", 3000)
+    path = P.path("byte_bpe_50k.json")
+    pairs = [
+        (bpe_codec.DuckCodec(ranks, P.PATTERN), tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary),
+        (packing.CachedEncoder(open(path, "rb").read()), lambda t: Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids),
+    ]
+    words = [f"w{i} the, and. é{i}" for i in range(60)]
+    texts = [" ".join(_rnd.choice(words) for _ in range(40)) for _ in range(12)]
+    for own, encode in pairs:
+        for at in range(0, 12, 2):
+            ids, begins = own.encode(pa.array(texts[at : at + 2]))
+            assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == [encode(t) for t in texts[at : at + 2]]
+            own.cache.trim()
+            assert own.cache.size <= 3000 or len(own.cache.words) < 200
+
+
+def test_unknown_ids_are_refused(ranks):
+    gap = {k: v if v < 50_000 else v + 10 for k, v in ranks.items()}
+    with pytest.raises(ValueError, match="50005"):
+        bpe_codec.DuckCodec(gap, P.PATTERN).decode([np.array([1, 50_005], "<u4").tobytes()])
+
+
 def test_codec_query(spark, odd_docs, no_docs, ranks):
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
@@ -70,7 +126,8 @@ def test_packing_encoder_matches_the_library():
     path = P.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
     own = packing.CachedEncoder(open(path, "rb").read())
-    assert own.encode(TEXTS) == [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(TEXTS, add_special_tokens=False)]
+    ids, begins = own.encode(pa.array(TEXTS))
+    assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == [e.ids for e in library.encode_batch(TEXTS, add_special_tokens=False)]
 
 
 def test_windows_are_optimal():
