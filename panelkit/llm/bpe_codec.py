@@ -33,14 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import IdCache, encode_cached, narrow, row_slices, text_blocks, worker_state
+from panelkit.llm.common import IdCache, encode_cached, narrow, ranges, row_slices, text_blocks, worker_state
 
 MEMORY = "200MB"
 WINDOW = 96
-BATCH_ROWS = 1 << 21
+BATCH_ROWS = 1 << 20
 BATCH_TOKENS = 1 << 17
-CACHE_BYTES = 64 << 20
-SLICE = 1 << 23
+CACHE_BYTES = 48 << 20
+SLICE = 1 << 22
+ROWS_OUT = 128
 
 # A row's key is its piece's number times the seats plus its seat; a contraction moves the seats behind it up.
 _ENCODE = """
@@ -136,62 +137,58 @@ class DuckCodec:
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def _contract(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """The ids of each piece, by the recursive query."""
+    def _contract(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces one after the other, and how many each has, by the recursive query."""
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        w = np.repeat(np.arange(len(pieces)), sizes)
-        pos = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self._table("spelled", w=w.astype(np.int32), pos=pos.astype(np.int32), id=self.spell[np.frombuffer(b"".join(pieces), np.uint8)])
+        w = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+        pos = ranges(np.zeros(len(pieces), np.int64), sizes).astype(np.int32)
+        self._table("spelled", w=w, pos=pos, id=self.spell[np.frombuffer(b"".join(pieces), np.uint8)])
         found = self.db.execute(_ENCODE.format(seats=1 << int(sizes.max(initial=1)).bit_length())).fetchnumpy()
-        return np.split(found["id"], np.searchsorted(found["w"], np.arange(1, len(pieces))))
+        return found["id"], np.bincount(found["w"], minlength=len(pieces))
 
-    def _contract_all(self, pieces: list[bytes]) -> list[np.ndarray]:
+    def _contract_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The same in batches: a query's rows go with the square of the pieces' lengths."""
-        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
-        out: list[np.ndarray] = [None] * len(pieces)
-        batch: list[int] = []
-        rows = 0
-        for n, i in enumerate(order):
-            batch.append(i)
-            rows += (len(pieces[i]) + 1) ** 2 // 2
-            if rows >= BATCH_ROWS or n == len(order) - 1:
-                for j, ids in zip(batch, self._contract([pieces[j] for j in batch]), strict=True):
-                    out[j] = ids
-                batch, rows = [], 0
-        return out
-
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each pre-token, whatever its length."""
-        out: list[np.ndarray] = [None] * len(words)
-        todo, window = list(range(len(words))), WINDOW
-        while todo:
-            cut = [pieces_of(words[i], window) for i in todo]
-            found = iter(self._contract_all([p for pieces in cut for _, p in pieces]))
-            again = []
-            for i, pieces in zip(todo, cut, strict=True):
-                windows = []
-                for begin, _ in pieces:
-                    ids = next(found)
-                    ends = begin + np.cumsum(self.size_of[ids])
-                    windows.append((ids, ends - self.size_of[ids], ends))
-                out[i] = windows[0][0] if len(windows) == 1 else stitched(windows)
-                if out[i] is None:
-                    again.append(i)
-            todo, window = again, window * 2
-        return out
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        order = np.argsort(lengths, kind="stable")
+        batch = np.cumsum((lengths[order] + 1) ** 2 // 2) // BATCH_ROWS
+        found = [self._contract([pieces[i] for i in part.tolist()]) for part in np.split(order, np.flatnonzero(np.diff(batch)) + 1) if len(part)]
+        ids, sizes = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int32) for k in (0, 1))
+        # Back to the order of the pieces.
+        place = np.argsort(order, kind="stable")
+        begins = np.cumsum(sizes) - sizes
+        return ids[ranges(begins[place], sizes[place])], sizes[place]
+
+    def merge(self, words: list[bytes], window: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pre-tokens one after the other, and how many each has, whatever their length."""
+        window = window or WINDOW
+        cut = [pieces_of(w, window) if len(w) > window else None for w in words]
+        ids, sizes = self._contract_all([p for w, pieces in zip(words, cut) for _, p in (pieces or [(0, w)])])
+        if not any(cut):
+            return ids, sizes
+        ends = np.cumsum(sizes)
+        out, n = [], 0
+        for w, pieces in zip(words, cut, strict=True):
+            windows = []
+            for begin, _ in pieces or [(0, w)]:
+                own = ids[ends[n] - sizes[n] : ends[n]]
+                upto = begin + np.cumsum(self.size_of[own])
+                windows.append((own, upto - self.size_of[own], upto))
+                n += 1
+            whole = stitched(windows)
+            out.append(self.merge([w], 2 * window)[0] if whole is None else whole)
+        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
 
     def _entries(self, pretokens: set[str], held: dict[str, int]) -> dict[str, int]:
-        """The cache's entry of every pre-token, after adding those it lacks."""
+        """An entry of the cache for every pre-token: that of ``held``, or a new one."""
         key_of = {t: t[1:] if t[0] == " " else f" x{t}" for t in pretokens}
         entries = {t: e for t, k in key_of.items() if (e := held.get(k)) is not None}
-        rest = sorted(pretokens.difference(entries))
-        if rest:
-            entries |= {t: e for t, e in zip(rest, self.cache.numbers(pa.array([key_of[t] for t in rest], pa.large_string())).tolist()) if e >= 0}
-            new = [t for t in rest if t not in entries]
+        # The others are contracted again rather than looked up among all entries; of equal keys the first counts.
+        raw = {t: t.encode("utf-8", "replace") for t in pretokens.difference(entries)}
+        plain = sorted(t for t, w in raw.items() if len(w) <= WINDOW)
+        for new in (plain, sorted(raw.keys() - set(plain)) if len(plain) < len(raw) else []):  # long ones apart
             if new:
-                ids = self.merge([t.encode("utf-8", "replace") for t in new])
                 first = len(self.cache.words)
-                self.cache.add([key_of[t] for t in new], np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
+                self.cache.add([key_of[t] for t in new], *self.merge([raw[t] for t in new]))
                 entries |= dict(zip(new, range(first, first + len(new))))
         return entries
 
@@ -260,7 +257,10 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
         for block in text_blocks(batches, 1, SLICE):
             ids, begins = own.encode(block.column(1))
             packed = pa.Array.from_buffers(pa.large_binary(), block.num_rows, [None, pa.py_buffer(4 * begins), pa.py_buffer(ids.astype("<u4"))])
-            yield pa.RecordBatch.from_arrays([block.column(0), packed.cast(pa.binary())], ["doc_id", "ids"])
+            done = pa.RecordBatch.from_arrays([block.column(0), packed.cast(pa.binary())], ["doc_id", "ids"])
+            for at in range(0, done.num_rows, ROWS_OUT):
+                yield done.slice(at, ROWS_OUT)
+            pa.default_memory_pool().release_unused()
 
     return narrow(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
 
