@@ -97,20 +97,32 @@ def _name_before(text: str, at: int) -> str | None:
     return text[start:end] if start < end else None
 
 
-def _ends_line(text: str, at: int, name: str, end: int) -> bool:
-    """Whether nothing but ``name``, the operator at ``at`` and a value up to ``end`` is on the line."""
-    before = text[max(0, at - 200) : at]
-    if "\n" not in before and at > 200:
-        return False
-    before = before[before.rfind("\n") + 1 :].rstrip(" \t\"'")
+def _alone(text: str, line: int, at: int, name: str, end: int) -> bool:
+    """Whether nothing but ``name``, the line's first operator at ``at`` and a value up to ``end`` is on the line that begins at ``line``."""
+    before = text[line:at].rstrip(" \t\"'")
     return _LINE_START.match(before[: len(before) - len(name)].lstrip()) is not None and _LINE_END.match(text, end) is not None
 
 
 def lex(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str], list[tuple[int, int]]]]:
-    """(name, spans of its literals, names it refers to, spans of words that may be either) of every assignment."""
+    """(name, spans of its literals, names it refers to, spans of words that may be either) of every assignment.
+
+    An unquoted value runs to the next delimiter, over any operator inside
+    (``url=http://h/?token=x``).  Of the assignments inside, the first one to a
+    sensitive name has a literal of its own, which holds all later ones; so
+    every character is read a bounded number of times.
+    """
+    line, seen, run_end, inner = 0, -1, 0, False
     for op in _OPERATOR.finditer(text):
+        newline = text.rfind("\n", max(seen, 0), op.start())
+        first_on_line = newline >= 0 or seen < 0
+        line = newline + 1 if newline >= 0 else line
+        seen = op.start()
         if not (name := _name_before(text, op.start())):
             continue
+        if op.start() < run_end:
+            if inner or not name_weight(name):
+                continue
+            inner = True
         at, literals, names, words = op.end(), [], [], []
         while at < len(text) and text[at] in _SPACE:
             at += 1
@@ -123,10 +135,12 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str], list
                 if (scheme := _SCHEME.match(text, at)) and "\n" not in scheme.group() and (value := _BARE.match(text, scheme.end())):
                     names.append(m.group())
                     m = value  # Authorization: Bearer eyJ...
+                if m.end() > run_end:
+                    run_end, inner = m.end(), False
                 word = _WORD.match(m.group())
                 if word:
                     names.append(m.group())
-                    if _IDENTIFIER.fullmatch(m.group()) and m.start() < op.end() + 200 and _ends_line(text, op.start(), name, m.end()):
+                    if first_on_line and _IDENTIFIER.fullmatch(m.group()) and _alone(text, line, op.start(), name, m.end()):
                         words.append(m.span())
                 if not word or any(map(str.isdigit, m.group())):  # configuration files do not quote
                     literals.append(m.span())
@@ -139,8 +153,19 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str], list
             yield name, literals, names, words
 
 
-def _key(name: str) -> str:
-    return name.rsplit(".", 1)[-1].lower()
+class Scope:
+    """Assigned names, by their full dotted form; a reference that none has means the only one with its last part."""
+
+    def __init__(self, names: Iterable[str]):
+        self.full = set(names)
+        self.last: dict[str, str | None] = {}
+        for name in sorted(self.full):
+            part = name.rsplit(".", 1)[-1]
+            self.last[part] = None if part in self.last else name
+
+    def find(self, name: str) -> str | None:
+        name = name.lower()
+        return name if name in self.full else self.last.get(name.rsplit(".", 1)[-1])
 
 
 def name_weight(name: str) -> float:
@@ -183,20 +208,22 @@ def literal_spans(text: str, heads: Iterable[int] = ()) -> list[Span]:
     defined: dict[str, list[tuple[int, int]]] = {}
     sources: dict[str, set[str]] = {}
     maybe: dict[tuple[int, int], str] = {}
+    weight: dict[str, float] = {}
     for name, literals, names, words in lex(text):
-        weight = name_weight(name)
+        own_weight = name_weight(name)
         for span in literals:
-            own[span] = max(own.get(span, 0.0), weight)
-        maybe.update(dict.fromkeys(words, _key(name)))
-        defined.setdefault(_key(name), []).extend(literals)
-        sources.setdefault(_key(name), set()).update(map(_key, names))
+            own[span] = max(own.get(span, 0.0), own_weight)
+        maybe.update(dict.fromkeys(words, name.lower()))
+        defined.setdefault(name.lower(), []).extend(literals)
+        sources.setdefault(name.lower(), set()).update(names)
+        weight[name.lower()] = max(weight.get(name.lower(), 0.0), own_weight)
     # Names take the weight of the names they are assigned to, until nothing changes.
-    weight = {name: name_weight(name) for name in sources}
+    scope = Scope(sources)
     todo = [name for name, w in weight.items() if w]
     while todo:
         target = todo.pop()
-        for source in sources[target]:
-            if source in sources and weight[source] < weight[target]:
+        for source in map(scope.find, sources[target]):
+            if source and weight[source] < weight[target]:
                 weight[source] = weight[target]
                 todo.append(source)
     for name, spans in defined.items():
@@ -208,7 +235,7 @@ def literal_spans(text: str, heads: Iterable[int] = ()) -> list[Span]:
         used.subtract(text[a:b] for a, b in maybe)
         for (a, b), name in maybe.items():
             word = text[a:b]
-            if not used[word] and word.lower() not in sources and not name_weight(word) and not _TYPE.match(word):
+            if not used[word] and not scope.find(word) and not name_weight(word) and not _TYPE.match(word):
                 own[a, b] = weight[name]
     return [("literal", a, b) for (a, b), w in own.items() if a in heads or w and w * value_weight(text[a:b], w) >= THRESHOLD]
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -173,6 +174,63 @@ def test_literals_of_every_kind_that_the_names_promise():
     assert literals('token_x = "Bearer " + value') == [] == literals('auth_help = "see the handbook of 2024"')
 
 
+def test_no_span_is_lost_by_length():
+    for gap in (1, 205, 5000):
+        assert literals(f"passphrase:{' ' * gap}hunterhunter") == ["hunterhunter"]
+    for size in (10, 233, 5000):
+        assert literals(f"{'a' * size}_passphrase: hunterhunter") == ["hunterhunter"]
+        assert literals(f"{' ' * size}passphrase: hunterhunter") == ["hunterhunter"]
+    assert literals("x: 1, passphrase: hunterhunter") == []  # not alone on its line
+
+
+def test_inner_assignments_of_unquoted_values():
+    assert literals("url=http://h/?page=1&credential=aB3-aB3-aB3x&x=1")[-1] == "aB3-aB3-aB3x&x=1"
+    assert literals("a:b:c:d") == []
+
+
+@pytest.mark.parametrize("unit", ["a:b:", "p=a+", "a:b-", 'x:"a"+', "secret:", "pwd=`", "password='", 'k="""', "a: ", "-----BEGIN PRIVATE KEY-----"])
+def test_lexer_is_linear(unit):
+    def seconds(n):
+        start = time.process_time()
+        S.scan_text(unit * n)
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(40_000) < 30 * max(seconds(4_000), 0.01)
+
+
+def test_names_have_a_scope():
+    value = "Abc9-def8-Ghi7"
+    assert literals(f'x.A = "{value}"\ny.A = "public-name-9A"\nsecret_key_x = x.A\n') == [value]
+    assert literals(f'A = "{value}"\nsecret_key_x = conf.A\n') == [value]  # the only A there is
+    assert literals(f'x.A = "{value}"\ny.A = "public-name-9A"\nsecret_key_x = A\n') == []  # which one is unknown
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_propagation_against_brute_force(seed):
+    """Random assignments: a literal is found if a sensitive name reaches it over names, in any order of the lines."""
+    rng = random.Random(seed)
+    names = [f"n{k}" for k in range(14)] + ["password_x", "secret_key_y"]
+    lines, edges, own = [], {}, {}
+    for k in range(30):
+        target = rng.choice(names)
+        if rng.random() < 0.5:
+            value = f"Zx{k}-{rng.randrange(10**6):06d}-Qw"
+            lines.append(f'{target} = "{value}"')
+            own.setdefault(target, []).append(value)
+        else:
+            source = rng.choice(names)
+            lines.append(f"{target} = {source}")
+            edges.setdefault(target, set()).add(source)
+    reached, todo = set(), ["password_x", "secret_key_y"]
+    while todo:
+        if (name := todo.pop()) not in reached:
+            reached.add(name)
+            todo += edges.get(name, ())
+    text = "\n".join(lines)
+    assert sorted(literals(text)) == sorted(v for n in reached for v in own.get(n, ()))
+
+
 def test_redaction_masks_whole_literals():
     for text, clean in [
         ('password = "correct horse battery"', 'password = "[SECRET]"'),
