@@ -12,7 +12,9 @@ The same is done for the global order, by leading digits of the fractional
 rank.
 
 A null source is a source of its own; null text has zero bytes and a null
-doc_id is hashed as empty text.  Repeated rows each get a place.  Groups of
+doc_id is hashed as empty text.  The hash takes the id, size and checksum, so
+one id with many texts fills no bucket; rows equal in all three share one.
+Repeated rows each get a place.  Groups of
 equal texts are not held together: one may be larger than a shard.
 """
 
@@ -36,8 +38,10 @@ def interleaved_shards(docs: DataFrame, shards: int = 40, seed: int = 9, id_col:
         "source",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("draw"),
     )
+    # Id, size and checksum, so that the different texts of one id are dealt apart.
+    drawn = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size", "text_crc32")
+    rows = rows.withColumn("draw", F.md5(drawn.cast("binary")))
     sources = narrow(docs, source_col).toDF("source").groupBy("source").agg(F.count("*").alias("source_rows"))
     sources = cut_lineage(sources)
     total = sources.agg(F.sum("source_rows")).first()[0] or 0

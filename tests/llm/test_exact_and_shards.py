@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from odd_rows import SF_SMALL, no_docs, odd_docs  # noqa: F401
@@ -84,8 +85,8 @@ def check_shards(docs, rows, shards, order):
 
 
 def draw(d, seed=9):
-    text = "" if d["doc_id"] is None else str(d["doc_id"])
-    return (hashlib.md5(f"{seed}:{text}".encode()).hexdigest(), d["doc_id"] or 0)
+    name, raw = "" if d["doc_id"] is None else str(d["doc_id"]), (d["text"] or "").encode()
+    return (hashlib.md5(f"{seed}:{name}:{len(raw) + 16}:{zlib.crc32(raw)}".encode()).hexdigest(), d["doc_id"] or 0)
 
 
 def test_shards_against_brute_force(spark):
@@ -105,6 +106,13 @@ def test_every_shard_matches_the_mixture(spark):
     assert all(abs(r["count"] - 400 * share[r.source]) <= 2 for r in got)
 
 
+def test_one_id_on_a_third_of_the_rows_fills_no_bucket(spark):
+    docs = spark.range(6000).selectExpr("if(id % 3 = 0, 7, id) AS doc_id", "concat('t', id) AS text", "'s' AS source")
+    sized = interleaved_shards(docs, 4, bucket_rows=100).withColumn("bucket", F.expr("source_rank div 100"))
+    hot = sized.where("doc_id = 7").groupBy("bucket").count().agg(F.max("count")).first()[0]
+    assert sized.count() == 6000 and hot < 60  # a third of 100, give or take
+
+
 def test_shards_odd_rows(odd_docs, no_docs):
     rows = [r.asDict() for r in interleaved_shards(odd_docs, 3, bucket_rows=2).collect()]
     check_shards([r.asDict() for r in odd_docs.collect()], rows, 3, draw)
