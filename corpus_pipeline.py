@@ -27,8 +27,11 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognised language go."""
-    return langid.keep_identified(docs, langid.train(docs), MIN_LANGUAGE_SCORE)
+    """Documents without a recognised language go.  Documents of which none can be learnt from are an error."""
+    model = langid.train(docs)
+    if not model.langs and not docs.isEmpty():
+        raise ValueError("no document with text and language to learn from: every document would go")
+    return langid.keep_identified(docs, model, MIN_LANGUAGE_SCORE)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
