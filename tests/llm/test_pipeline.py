@@ -52,3 +52,11 @@ def test_stages_keep_the_columns_and_stand_odd_rows(spark, odd_docs, no_docs):
     expected = expected_texts(spark, odd_docs)
     check_pieces(docs.collect(), expected, Tokenizer.from_file(P.path("byte_bpe_50k.json")), 2048)
     assert empty.collect() == []
+
+
+def test_documents_without_any_language_are_an_error(spark, odd_docs):
+    import pytest
+    from pyspark.sql import functions as F
+
+    with pytest.raises(ValueError, match="learn from"):
+        C.language_id(spark, odd_docs.withColumn("lang", F.lit(None).cast("string")), SF_SMALL)
