@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import IdCache, encode_cached, narrow, ranges, row_slices, text_blocks, worker_state
+from panelkit.llm.common import IdCache, encode_cached, give_back, narrow, ranges, row_slices, text_blocks, worker_state
 
 MEMORY = "200MB"
 WINDOW = 96
@@ -260,7 +260,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
             done = pa.RecordBatch.from_arrays([block.column(0), packed.cast(pa.binary())], ["doc_id", "ids"])
             for at in range(0, done.num_rows, ROWS_OUT):
                 yield done.slice(at, ROWS_OUT)
-            pa.default_memory_pool().release_unused()
+        give_back()
 
     return narrow(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
 

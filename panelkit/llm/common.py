@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import tempfile
@@ -121,6 +123,14 @@ def bitmap_filter(keys: DataFrame, rows: int, max_bits: int = 26):
 _state: list = [None, None]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on, and may idle, while other stages run."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def worker_state(key=None, make=None):
     """What ``make()`` gave for ``key``, kept in this Python worker until another key is asked for.
 
@@ -129,7 +139,7 @@ def worker_state(key=None, make=None):
     """
     if _state[0] != key:
         _state[:] = [None, None]
-        pa.default_memory_pool().release_unused()
+        give_back()
         if make:
             _state[:] = [key, make()]
     return _state[1]
@@ -297,8 +307,13 @@ def encode_cached(texts: pa.Array, cache: IdCache, ends: str, encode_heads, add_
     head_ids, head_sizes = encode_heads(heads)
     # The parts behind the spaces, as one Arrow array over the bytes they cover.
     part_ends = np.minimum(np.append(spaces[1:], len(data)), offsets[np.searchsorted(offsets, spaces, "right")])
-    begins, sizes = spaces + 1, part_ends - spaces - 1
-    parts = pa.LargeStringArray.from_buffers(len(spaces), pa.py_buffer(np.append(0, np.cumsum(sizes))), pa.py_buffer(data[ranges(begins, sizes)])).dictionary_encode()
+    inside = np.ones(len(data), bool)
+    inside[spaces] = False
+    for a, b in zip(offsets[:-1].tolist(), head_ends.tolist()):
+        inside[a:b] = False
+    edges = np.append(0, np.cumsum(part_ends - spaces - 1))
+    parts = pa.LargeStringArray.from_buffers(len(spaces), pa.py_buffer(edges), pa.py_buffer(data[inside])).dictionary_encode()
+    del inside, edges, part_ends
     cache.trim()
     known = len(cache.words)
     roots = stems(parts.dictionary, ends)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import IdCache, encode_cached, narrow, text_blocks, worker_state
+from panelkit.llm.common import IdCache, encode_cached, give_back, narrow, text_blocks, worker_state
 
 LENGTH = 2048
 END_ID = 1
@@ -41,8 +41,8 @@ STRIDE = 128
 SENTENCE_PENALTY = 2
 TRUNCATION_PENALTY = 24
 BLOCK = 1 << 20
-CACHE_BYTES = 64 << 20
-SLICE = 1 << 23
+CACHE_BYTES = 48 << 20
+SLICE = 1 << 22
 _JOINED = 2_000
 
 
@@ -217,5 +217,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, e
                 if stream.waiting >= block:
                     yield pa.RecordBatch.from_pydict(stream.pack(last=False), schema=fields)
         yield pa.RecordBatch.from_pydict(stream.pack(last=True), schema=fields)
+        del stream
+        give_back()
 
     return narrow(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
