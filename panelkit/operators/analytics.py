@@ -140,3 +140,59 @@ def series_correlation(
     ok = (F.col("n_months") >= min_months) & (F.col("sd_v") > 0) & (F.col("sd_r") > 0)
     corr = F.try_divide(F.col("cov"), F.col("sd_v") * F.col("sd_r"))
     return agg.select(*key, "n_months", F.when(ok, corr).alias("correlation"))
+
+
+SHEET = ["series", "disaggregation", "sheet_name"]
+MOMENTS = ["n_months", "mean_a", "mean_b", "m_aa", "m_bb", "m_ab"]
+
+
+def _pair_key(entity: list[str]) -> list[str]:
+    return [*entity, *[f"{c}_{side}" for side in "ab" for c in SHEET]]
+
+
+def pair_moments(panel: DataFrame, entity: list[str] | None = None) -> DataFrame:
+    """Central co-moments over time of every two sheets of an entity: n_months, means and summed (cross) products of deviations.
+
+    The sheets of an entity's month come together first (rows of additive
+    series are summed, two wages raise), then each pair of them gives one
+    row: the square of the dictionary per entity and month, whatever the
+    register holds.  NULL values take no part.
+    """
+    entity = entity or ENTITY_KEY
+    cells = monthly(panel.where(F.col("value").isNotNull()), [*entity, *SHEET])
+    own = F.sort_array(F.collect_list(F.struct(*SHEET, "value"))).alias("sheets")
+    sheets = cells.groupBy(*entity, "date").agg(own)
+    firsts = sheets.select(*entity, "date", "sheets", F.posexplode("sheets").alias("i", "a"))
+    rest = F.slice("sheets", F.col("i") + 2, F.size("sheets"))
+    pairs = firsts.select(*entity, "a", F.explode(rest).alias("b"))
+    names = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in SHEET]
+    x, y, n = F.col("a.value"), F.col("b.value"), F.count(F.lit(1))
+    flat = pairs.select(*entity, *names, x.alias("x"), y.alias("y"))
+    return flat.groupBy(*_pair_key(entity)).agg(
+        n.cast("bigint").alias("n_months"), F.avg("x").alias("mean_a"), F.avg("y").alias("mean_b"),
+        (F.var_pop("x") * n).alias("m_aa"), (F.var_pop("y") * n).alias("m_bb"), (F.covar_pop("x", "y") * n).alias("m_ab"),
+    )
+
+
+def merge_pair_moments(parts: DataFrame, entity: list[str] | None = None) -> DataFrame:
+    """One row per pair from the moments of disjoint months, so a new month needs no history."""
+    entity = entity or ENTITY_KEY
+    n = F.sum("n_months")
+
+    def mean(side: str) -> Column:
+        return F.sum(F.col("n_months") * F.col(f"mean_{side}")) / n
+
+    def moment(a: str, b: str) -> Column:
+        between = F.sum(F.col("n_months") * F.col(f"mean_{a}") * F.col(f"mean_{b}")) - n * mean(a) * mean(b)
+        return F.sum(f"m_{a}{b}") + between
+
+    return parts.groupBy(*_pair_key(entity)).agg(
+        n.cast("bigint").alias("n_months"), mean("a").alias("mean_a"), mean("b").alias("mean_b"),
+        moment("a", "a").alias("m_aa"), moment("b", "b").alias("m_bb"), moment("a", "b").alias("m_ab"),
+    )
+
+
+def pair_correlation(moments: DataFrame, entity: list[str] | None = None, min_months: int = 3) -> DataFrame:
+    """Correlation of every two sheets of an entity; NULL for fewer than ``min_months`` common months or a constant side."""
+    ok = (F.col("n_months") >= min_months) & (F.col("m_aa") > 0) & (F.col("m_bb") > 0)
+    return moments.select(*_pair_key(entity or ENTITY_KEY), "n_months", F.when(ok, F.col("m_ab") / (F.sqrt("m_aa") * F.sqrt("m_bb"))).alias("correlation"))

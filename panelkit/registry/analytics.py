@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelkit.operators import analytics as A
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import panel, rv
+from panelkit.registry.common import rv, stored_panel
 
+# Fixed value: where the months are cut into two parts.
+SPLIT = "1998-06-01"
 K = ", ".join(A.SERIES_KEY)
 E = ", ".join(A.ENTITY_KEY)
 
 
 def _input(spark: SparkSession, sf: str) -> DataFrame:
-    return panel(spark, sf)
+    return stored_panel(spark, sf)
 
 
 def _round(df: DataFrame, cols) -> DataFrame:
@@ -42,7 +44,15 @@ def q_series_correlation(spark: SparkSession, sf: str) -> DataFrame:
     return _round(A.series_correlation(_input(spark, sf)), ["correlation"])
 
 
+def q_series_pair_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    """Moments of the years before and from 1998 on, merged."""
+    p = _input(spark, sf)
+    halves = [A.pair_moments(p.where(f"date {side} DATE '{SPLIT}'")) for side in ("<", ">=")]
+    return _round(A.pair_correlation(A.merge_pair_moments(halves[0].unionByName(halves[1]))), ["correlation"])
+
+
 QUERIES = {
+    "series_pair_correlation": q_series_pair_correlation,
     "mom_yoy_change": q_mom_yoy_change,
     "series_anomalies": q_series_anomalies,
     "series_summary": q_series_summary,
@@ -70,6 +80,17 @@ def _r(*cols: str) -> str:
 
 
 ORACLE = {
+    "series_pair_correlation": f"""{O.PANEL_BASE}{INPUT},
+        c AS (SELECT {E}, date, series, disaggregation, sheet_name, sum(value) AS v FROM a WHERE value IS NOT NULL
+          GROUP BY {E}, date, series, disaggregation, sheet_name),
+        g AS (SELECT x.level, x.clave_delegacion, x.clave_subdelegacion, x.series AS series_a, x.disaggregation AS disaggregation_a,
+            x.sheet_name AS sheet_name_a, y.series AS series_b, y.disaggregation AS disaggregation_b, y.sheet_name AS sheet_name_b,
+            CAST(count(*) AS BIGINT) AS n_months, corr(x.v, y.v) AS r, stddev_pop(x.v) AS sd_x, stddev_pop(y.v) AS sd_y
+          FROM c x JOIN c y ON x.level = y.level AND x.clave_delegacion IS NOT DISTINCT FROM y.clave_delegacion
+            AND x.clave_subdelegacion IS NOT DISTINCT FROM y.clave_subdelegacion AND x.date = y.date
+            AND (x.series, x.disaggregation, x.sheet_name) < (y.series, y.disaggregation, y.sheet_name)
+          GROUP BY ALL)
+        SELECT * EXCLUDE (r, sd_x, sd_y), {O.rv('CASE WHEN n_months >= 3 AND sd_x > 0 AND sd_y > 0 THEN r END')} AS correlation FROM g""",
     "mom_yoy_change": f"""{O.PANEL_BASE}{INPUT}{CHANGES}
         SELECT {K}, date, {_r('value', 'prev_month_value', 'prev_year_value', 'mom_change', 'mom_pct', 'yoy_change', 'yoy_pct')} FROM ch2""",
     "series_anomalies": f"""{O.PANEL_BASE}{INPUT}{CHANGES},

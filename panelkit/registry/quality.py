@@ -73,7 +73,7 @@ def q_revision_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_range_outliers(spark: SparkSession, sf: str) -> DataFrame:
-    out = Q.range_outliers(panel(spark, sf), OUTLIER_KEY)
+    out = Q.range_outliers(stored_panel(spark, sf), OUTLIER_KEY)
     return out.withColumns({c: rv(c) for c in ("value", "trailing_mean", "trailing_sd")})
 
 

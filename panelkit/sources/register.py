@@ -120,8 +120,12 @@ CODE_DICTIONARY_ROWS = [
 def read_code_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Code dictionary landed as CSV with a header.  Every column is read as
     text (no inference), then float-artefact codes are repaired."""
-    df = spark.read.schema(CODE_DICT).option("header", True).csv(path)
-    return repaired_dictionary(df)
+    return repaired_dictionary(read_landed_dictionary(spark, path))
+
+
+def read_landed_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """The code dictionary as landed, all text; :func:`unparsable_codes` reports on it."""
+    return spark.read.schema(CODE_DICT).option("header", True).csv(path)
 
 
 def repaired_dictionary(raw: DataFrame) -> DataFrame:

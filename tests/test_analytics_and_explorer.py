@@ -82,3 +82,39 @@ def test_two_wages_of_one_cell_raise(shared_sheet):
     for out in (A.changes(wages), A.anomalies(wages), A.summary(wages), S.landed_sheets(wages, S.published_sheets(wages))):
         with pytest.raises(Exception, match="several values"):
             out.collect()
+
+
+def test_pair_moments_merge_and_match_numpy(spark):
+    import datetime as dt
+
+    import numpy as np
+
+    from panelkit.operators import analytics as A
+
+    rng = np.random.default_rng(2)
+    rows = []
+    for e in (1, None):
+        for m in range(24):
+            for s in "abcd":
+                if rng.random() < 0.8:
+                    value = 7.0 if s == "d" else float(rng.normal() + 1e6)
+                    rows.append(("L", e, 1, "Asegurados", "Modalidad", s, dt.date(2000 + m // 12, m % 12 + 1, 1), value if rng.random() < 0.9 else None))
+    rows.append((*rows[0][:-1], 5.0))  # a second code of one sheet
+    df = spark.createDataFrame(rows, "level string, clave_delegacion int, clave_subdelegacion int, series string, disaggregation string, sheet_name string, date date, value double")
+    thirds = [A.pair_moments(df.where(f"month(date) % 3 = {k}")) for k in range(3)]
+    merged = A.pair_correlation(A.merge_pair_moments(thirds[0].unionByName(thirds[1]).unionByName(thirds[2]))).collect()
+    whole = {tuple(r)[:-1]: r.correlation for r in A.pair_correlation(A.pair_moments(df)).collect()}
+    cells = {}
+    for *_, e, _one, _s, _d, s, day, v in [(r[0], *r[1:]) for r in rows]:
+        if v is not None:
+            cells.setdefault((e, s), {}).setdefault(day, []).append(v)
+    assert len(whole) == len(merged) == 12
+    for r in merged:
+        a, b = (cells[r.clave_delegacion, s] for s in (r.sheet_name_a, r.sheet_name_b))
+        days = sorted(set(a) & set(b))
+        assert r.n_months == len(days)
+        if "d" in (r.sheet_name_a, r.sheet_name_b):
+            assert r.correlation is None and whole[tuple(r)[:-1]] is None
+        else:
+            want = np.corrcoef([sum(a[d]) for d in days], [sum(b[d]) for d in days])[0, 1]
+            assert abs(whole[tuple(r)[:-1]] - want) < 1e-9 and abs(r.correlation - want) < 1e-3
