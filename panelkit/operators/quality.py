@@ -189,9 +189,10 @@ def range_outliers(panel: DataFrame, key: list[str], window_rows: int = 12, k_sd
     return out.where(F.abs(F.col("value") - F.col("trailing_mean")) > F.lit(k_sd) * F.col("trailing_sd"))
 
 
-def panel_stats(panel: DataFrame) -> DataFrame:
+def panel_stats(panel: DataFrame, rows: str | None = None) -> DataFrame:
+    """Rows, months and series of a panel, or of a label table whose column ``rows`` counts the panel's rows."""
     return panel.agg(
-        F.count(F.lit(1)).alias("n_rows"),
+        (F.coalesce(F.sum(rows), F.lit(0)).cast("bigint") if rows else F.count(F.lit(1))).alias("n_rows"),
         F.min("date").alias("min_date"),
         F.max("date").alias("max_date"),
         F.count_distinct(F.concat_ws(" ", F.coalesce("series", F.lit("NA")), F.coalesce("disaggregation", F.lit("NA"))))

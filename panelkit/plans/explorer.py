@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators import explore as X
 from panelkit.schema import EXPLORER_COLUMNS
-from panelkit.sources.store import read_panel, store_ids
+from panelkit.sources.store import read_panel, store_digests, store_ids
 
 
 def open_panel(spark: SparkSession, store_path: str) -> DataFrame:
@@ -22,6 +22,16 @@ def open_panel(spark: SparkSession, store_path: str) -> DataFrame:
     return read_panel(spark, store_path, EXPLORER_COLUMNS)
 
 
+def open_labels(spark: SparkSession, store_path: str) -> DataFrame:
+    """The labels the store holds, month by month, with their row counts (``n_rows``).
+
+    The digest table next to the store: one row per series and month, written
+    anew for a month with each update and revision.  Every choice list, date
+    bound and row count comes from it without reading the store.
+    """
+    return store_digests(spark, store_path)
+
+
 ID_LIMIT = 1000
 
 

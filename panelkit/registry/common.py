@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.operators.ids import assign_series_ids, label_ids
 from panelkit.operators.micro import clean_counts, microdata_counts
 from panelkit.operators.panel import FAMILIES, LEVELS, build_panel, with_geo
+from panelkit.plans.explorer import open_labels
 from panelkit.session import cut_lineage, shared_dir
 from panelkit.sources.register import code_dictionary, geo_dictionary, micro_register
 from panelkit.sources.store import months_path, path_exists, read_panel, reset_panel
@@ -62,5 +63,10 @@ def stored_panel(spark: SparkSession, sf: str) -> DataFrame:
     return read_panel(spark, prepared_store(spark, sf)).drop("book_id", "sheet_id")
 
 
+def stored_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """The prepared store's table of labels, months and row counts."""
+    return open_labels(spark, prepared_store(spark, sf))
+
+
 def rounded_value(df: DataFrame, col: str = "value") -> DataFrame:
     return df.withColumn(col, rv(col))

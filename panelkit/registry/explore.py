@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions.labels import member_key
 from panelkit.operators import explore as X
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import rounded_value, stored_panel
+from panelkit.registry.common import rounded_value, stored_labels, stored_panel
 from panelkit.schema import LEVEL_DELEGATION, LEVEL_SUBDELEGATION
 from panelkit.session import scratch_path
 from panelkit.sources.register import geo_dictionary
@@ -23,11 +23,11 @@ LEVELS = (LEVEL_DELEGATION, LEVEL_SUBDELEGATION)
 
 
 def q_list_series(spark: SparkSession, sf: str) -> DataFrame:
-    return X.list_series(stored_panel(spark, sf))
+    return X.list_series(stored_labels(spark, sf))
 
 
 def q_list_levels(spark: SparkSession, sf: str) -> DataFrame:
-    return X.list_levels(stored_panel(spark, sf))
+    return X.list_levels(stored_labels(spark, sf))
 
 
 def q_list_members(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,15 +35,15 @@ def q_list_members(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_list_concepts(spark: SparkSession, sf: str) -> DataFrame:
-    return X.list_concepts(stored_panel(spark, sf))
+    return X.list_concepts(stored_labels(spark, sf))
 
 
 def q_list_sheets(spark: SparkSession, sf: str) -> DataFrame:
-    return X.list_sheets(stored_panel(spark, sf))
+    return X.list_sheets(stored_labels(spark, sf))
 
 
 def q_date_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return X.date_bounds(stored_panel(spark, sf))
+    return X.date_bounds(stored_labels(spark, sf))
 
 
 def key_texts(panel: DataFrame) -> DataFrame:

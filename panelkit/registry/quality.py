@@ -12,7 +12,7 @@ from panelkit.operators import review as R
 from panelkit.operators.explore import export_csv
 from panelkit.operators.snapshot import non_empty_report
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import clean, panel, rounded_value, rv, stored_panel
+from panelkit.registry.common import clean, panel, rounded_value, rv, stored_labels, stored_panel
 from panelkit.registry.store import HIST, hist_with_ids, split_history
 from panelkit.schema import LEVEL_DELEGATION, PANEL_COLUMNS
 from panelkit.plans.monthly import stored_revision_diff
@@ -83,15 +83,15 @@ def q_months_in_common(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_panel_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.panel_stats(stored_panel(spark, sf))
+    return Q.panel_stats(stored_labels(spark, sf), "n_rows")
 
 
 def q_panel_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.panel_coverage(stored_panel(spark, sf))
+    return Q.panel_coverage(stored_labels(spark, sf))
 
 
 def q_panel_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.panel_labels(stored_panel(spark, sf))
+    return Q.panel_labels(stored_labels(spark, sf))
 
 
 def q_review_national(spark: SparkSession, sf: str) -> DataFrame:

@@ -189,5 +189,34 @@ def test_late_records_touch_their_months_only_and_repeat_safely(spark):
         C.add_records(late, path, "../x")
 
 
+def test_choice_lists_follow_updates_and_revisions(spark, months):
+    """Lists, bounds and statistics from the label table equal those of the panel, also where a revision drops and adds series."""
+    from panelkit.operators import explore as X
+    from panelkit.operators import quality as Q
+    from panelkit.plans.explorer import open_labels
+
+    panel, dates = months
+    panel = panel.where(F.col("date") >= F.lit(dates[-4]))
+    path = fresh(spark, panel.where(F.col("date") < F.lit(dates[-1])))
+    new = panel.where(F.col("date") == F.lit(dates[-1]))
+    update_store(spark, path, new)
+    name = new.agg(F.min("sheet_name")).first()[0]
+    revised = new.withColumn("sheet_name", F.when(F.col("sheet_name") == name, F.lit("renamed")).otherwise(F.col("sheet_name")))
+    replace_month(spark, path, revised.where("disaggregation <> 'Modalidad' or sheet_name = 'renamed'"))
+    stored, labels = S.read_panel(spark, path), open_labels(spark, path)
+    for f in (X.list_series, X.list_levels, X.list_concepts, X.list_sheets, X.date_bounds, Q.panel_coverage, Q.panel_labels):
+        assert rows(f(labels)) == rows(f(stored)), f.__name__
+    assert Q.panel_stats(labels, "n_rows").collect() == Q.panel_stats(stored).collect()
+
+
+@pytest.mark.parametrize("key", ["list_series", "list_levels", "list_concepts", "list_sheets", "date_bounds", "panel_stats", "panel_coverage", "panel_labels"])
+def test_list_keys_read_the_label_table_only(spark, key):
+    from panelkit.registry.all import all_queries
+
+    plan = all_queries()[key](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().collectLeaves()
+    roots = [str(plan.apply(i).relation().location().rootPaths().apply(0)) for i in range(plan.size())]
+    assert roots and all(r.endswith("_digests") for r in roots)
+
+
 def files_of_cube(path):
     return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{local(path)}/date=*/batch=*/*.parquet")}
