@@ -219,6 +219,43 @@ def unpivot_sheets(wide: DataFrame, keys: list[str], drop_missing: bool = True)
     return drop_incomplete(long) if drop_missing else long
 
 
+SHEET_KEYS = ["clave_delegacion", "delegacion", "clave_subdelegacion", "subdelegacion"]
+
+
+def clean_header(header: Column) -> Column:
+    """:func:`snake_case` of a header cell."""
+    plain = F.lower(F.trim(F.translate(header, "áéíóúüñÁÉÍÓÚÜÑ", "aeiouunAEIOUUN")))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(plain, "[^0-9a-z]+", "_"), "^_+|_+$", ""), "clave_del$", "clave_delegacion")
+
+
+def unpivot_rows(rows: DataFrame, drop_missing: bool = True) -> DataFrame:
+    """Landed sheet rows → long, for books that each have their own columns.
+
+    A row holds its sheet (path, position) and ``cells``, the (header, cell)
+    pairs of its line in the sheet's order.  Headers with a digit are the
+    sheet's own months, numbered as they stand; the columns of SHEET_KEYS are
+    found by their cleaned headers wherever they stand, and are NULL where the
+    sheet has none; others (notes) are left out.  No column list is needed when
+    the query is planned, so a new month or layout changes nothing.
+    """
+    dated = F.filter("cells", lambda c: c["header"].rlike(r"\d"))
+
+    def key(name: str) -> Column:
+        return F.get(F.filter("cells", lambda c: ~c["header"].rlike(r"\d") & (clean_header(c["header"]) == name)), F.lit(0))["cell"].alias(name)
+
+    long = rows.select("path", "position", *[key(k) for k in SHEET_KEYS], F.posexplode(dated).alias("place", "month"))
+    long = long.select(
+        "path",
+        "position",
+        *SHEET_KEYS,
+        (F.col("place") + 1).alias("col_pos"),
+        F.col("month.header").alias("header"),
+        excel_serial_to_date(F.regexp_replace("month.header", "^m", "")).alias("date"),
+        F.col("month.cell").try_cast("double").alias("value"),
+    )
+    return drop_incomplete(long) if drop_missing else long
+
+
 def drop_incomplete(long: DataFrame) -> DataFrame:
     """Drop rows with a missing cell.  Sheets of both layouts share one
     landed table, so the subdelegation columns count only where the sheet

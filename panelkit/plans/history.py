@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators import books as B
 from panelkit.operators.panel import with_geo
+from panelkit.session import cut_lineage
 
 SHEET = ["path", "position"]
 ENTITY = ["clave_delegacion", "clave_subdelegacion"]
@@ -23,9 +24,14 @@ def indexed_sheets(catalogue: DataFrame, index: DataFrame, tabs: DataFrame, chec
 
 
 def repaired_long(wide: DataFrame) -> DataFrame:
-    """Unpivot every sheet, repair undecodable months, drop empty cells."""
-    long = B.unpivot_sheets(wide, SHEET, drop_missing=False)
-    return B.drop_incomplete(B.repair_dates(long, SHEET))
+    """Unpivot every sheet, repair undecodable months, drop empty cells.
+
+    ``wide`` is one table over a common month grid, or landed rows with a
+    ``cells`` column, each book with its own columns.  The cells are
+    checkpointed: the repair reads them for its report and for the rows.
+    """
+    long = B.unpivot_rows(wide, drop_missing=False) if "cells" in wide.columns else B.unpivot_sheets(wide, SHEET, drop_missing=False)
+    return B.drop_incomplete(B.repair_dates(cut_lineage(long), SHEET))
 
 
 def historical_panel(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["core", "dictionary", "cube", "store", "explore", "quality", "analytics", "books"]
+MODULES = ["core", "dictionary", "cube", "store", "explore", "quality", "analytics", "books", "mixed_books"]
 
 
 def _mods():

@@ -115,3 +115,36 @@ def test_sheet_ordinals_come_from_the_tab_list(spark):
     lists = spark.createDataFrame([("b", ["Contenido", "1", "Notas", "3"])], "path string, tabs array<string>")
     got = [(r.position, r.hoja) for r in B.sheet_positions(B.explode_tabs(lists)).collect()]
     assert got == [(2, 1), (4, 3)]
+
+
+def test_rows_of_any_layout_are_unpivoted(spark):
+    rows = [
+        ("a", 1, [("Clave Del", "01"), ("Delegación", "Norte"), ("43831", "1"), ("Notas", "7"), ("43862", "N/D")]),
+        ("a", 1, [("Clave Del", "02"), ("Delegación", None), ("43831", "4"), ("Notas", "7"), ("43862", "5")]),
+        ("b", 2, [("43891", "9"), (" DELEGACIÓN ", "Sur"), ("CLAVE DEL", "03"), ("43922", None), ("x5", "8")]),
+        ("c", 3, []),
+        ("d", 4, None),
+    ]
+    df = spark.createDataFrame(rows, "path string, position int, cells array<struct<header: string, cell: string>>")
+    whole = [(r.path, r.clave_delegacion, r.delegacion, r.col_pos, str(r.date), r.value) for r in B.unpivot_rows(df, drop_missing=False).collect()]
+    assert sorted(whole, key=str) == sorted([
+        ("a", "01", "Norte", 1, "2020-01-01", 1.0), ("a", "01", "Norte", 2, "2020-02-01", None),
+        ("a", "02", None, 1, "2020-01-01", 4.0), ("a", "02", None, 2, "2020-02-01", 5.0),
+        ("b", "03", "Sur", 1, "2020-03-01", 9.0), ("b", "03", "Sur", 2, "2020-04-01", None), ("b", "03", "Sur", 3, "None", 8.0),
+    ], key=str)
+    assert {(r.path, r.value) for r in B.unpivot_rows(df).collect()} == {("a", 1.0), ("b", 9.0)}
+    assert {(r.path, str(r.date), r.value) for r in H.repaired_long(df).collect()} == {("a", "2020-01-01", 1.0), ("b", "2020-03-01", 9.0), ("b", "2020-05-01", 8.0)}
+
+
+def test_wide_and_landed_rows_give_the_same_long_table(spark):
+    from panelkit.registry import mixed_books as M
+
+    p = panel_geo(spark, SF_SMALL)
+    sh = S.published_sheets(p)
+    long = H.repaired_long(M.landed_rows(p, sh))
+    grid = S.month_grid(p)
+    sub, employers = F.col("path").contains(M.SUB_FOLDER), F.col("path").contains(M.EMPLOYER_FOLDER)
+    inside = (~sub | (F.col("date") >= F.lit(grid[M.LATE]))) & (~employers | (F.col("date") <= F.lit(grid[-M.EARLY - 1])))
+    cols = ["path", "position", *B.SHEET_KEYS, "date", "value"]
+    want = H.repaired_long(S.landed_sheets(p, sh)).where(inside).select(cols)
+    assert want.exceptAll(long.select(cols)).isEmpty() and long.select(cols).exceptAll(want).isEmpty()
