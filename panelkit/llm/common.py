@@ -334,22 +334,6 @@ def encode_cached(texts: pa.Array, cache: IdCache, ends: str, encode_heads, add_
     return out, begins
 
 
-#: All other white space, as plain characters.
-_WHITE = [chr(c) for c in range(1, 0x3001) if chr(c).isspace() and c != 0x20]
-_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-
-
-def space_parts(text: str) -> list[str]:
-    """The text cut at its spaces between two characters that are not white space.
-
-    Where the text has no other spaces, that is a plain split.  Joining the
-    parts with a space gives the text back.
-    """
-    if "  " in text or any(w in text and (f" {w}" in text or f"{w} " in text) for w in _WHITE):
-        return _LONE_SPACE.split(text)
-    return text.split(" ")
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the undirected ``edges`` (a, b): component is the smallest node reachable.
 
