@@ -3,23 +3,21 @@
 A finished cube holds wage means, which cannot be added up.  Its state holds
 what the measures are made of (workers, wages counted, wage sum, employers), so
 the states of parts of a register merge into the state of the whole, in any
-order and grouping.  Wage sums are decimals of WAGE_SCALE places: exact, and
-the same whatever the order of the rows.
+order and grouping.  Wage sums are decimals: exact, and the same whatever the
+order of the rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
+from panelkit.functions.means import AMOUNT_SUM, amount, exact_mean
 from panelkit.schema import CUBE_KEYS, MICRO
 
-WAGE_SCALE = 6
-_WAGE = DecimalType(20, WAGE_SCALE)
-_SUM = DecimalType(38, WAGE_SCALE)
 MEASURES = ["n_workers", "n_wages", "wage_sum", "employers"]
-CUBE_STATE = StructType([MICRO[k] for k in CUBE_KEYS] + [StructField("n_workers", LongType()), StructField("n_wages", LongType()), StructField("wage_sum", _SUM), StructField("employers", LongType())])
+CUBE_STATE = StructType([MICRO[k] for k in CUBE_KEYS] + [StructField("n_workers", LongType()), StructField("n_wages", LongType()), StructField("wage_sum", AMOUNT_SUM), StructField("employers", LongType())])
 
 
 def cube_state(micro: DataFrame) -> DataFrame:
@@ -28,7 +26,7 @@ def cube_state(micro: DataFrame) -> DataFrame:
     return insured.groupBy(*CUBE_KEYS).agg(
         F.count("nss").alias("n_workers"),
         F.count("sal_cierre").alias("n_wages"),
-        F.sum(F.col("sal_cierre").cast(_WAGE)).cast(_SUM).alias("wage_sum"),
+        F.sum(amount("sal_cierre")).cast(AMOUNT_SUM).alias("wage_sum"),
         F.sum("empresas3").cast("bigint").alias("employers"),
     )
 
@@ -40,5 +38,5 @@ def merge_states(states: DataFrame) -> DataFrame:
 
 def finished_cube(state: DataFrame) -> DataFrame:
     """The count cube of a merged state: workers, mean wage, employers."""
-    mean = F.try_divide(F.col("wage_sum").cast("double"), F.col("n_wages"))
+    mean = exact_mean(F.col("wage_sum"), F.col("n_wages"))
     return state.select(*CUBE_KEYS, F.col("n_workers").alias("asegurados"), mean.alias("salario"), F.col("employers").alias("patrones"))

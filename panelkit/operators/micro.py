@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.codes import modality_code, size_label
+from panelkit.functions.means import amount, exact_mean
 from panelkit.schema import CUBE_KEYS
 
 
@@ -15,18 +16,19 @@ def microdata_counts(micro: DataFrame, keys: list[str] | None = None, sort: bool
     """Aggregate the register into the count cube.
 
     Only records with both insured flags set count.  Per cell: non-NULL
-    worker ids (``count``, not distinct), mean wage and summed employer
-    flags.  NULL keys form their own groups.  The hash aggregate runs a
+    worker ids (``count``, not distinct), mean wage (exact, see
+    ``functions/means.py``) and summed employer flags.  NULL keys form their own groups.  The hash aggregate runs a
     partial (map-side) pass first, so a hot cell costs one row per task
     before the shuffle, whatever its size.
     """
     keys = keys or CUBE_KEYS
+    wage = amount("sal_cierre")
     cube = (
         micro.where((F.col("aseg_cierre") == 1) & (F.col("aseg") == 1))
         .groupBy(*keys)
         .agg(
             F.count("nss").alias("asegurados"),
-            F.avg("sal_cierre").alias("salario"),
+            exact_mean(F.sum(wage), F.count(wage)).alias("salario"),
             F.sum("empresas3").cast("bigint").alias("patrones"),
         )
     )

@@ -10,8 +10,9 @@ one pass over the cube:
 2. one join with the small code dictionary, broadcast by the planner (null-safe on the
    code, so a NULL size range can match a NULL dictionary code);
 3. one ``GROUPING SETS`` aggregation produces the three levels at once.
-   Wages carry ``Σ wage·weight`` and ``Σ weight`` so each level's mean is
-   recomputed from the cube, never averaged from the level below;
+   Wages carry ``Σ wage·weight`` (an exact decimal) and ``Σ weight`` so each
+   level's mean is recomputed from the cube, never averaged from the level
+   below, and does not depend on the order of the rows;
 4. national rows are emitted once per level label with ``inline``.
 
 Two shuffles in total (cube, panel), independent of the number of families.
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.codes import code_text, employer_modality_code
+from panelkit.functions.means import exact_mean, weighted
 from panelkit.schema import (
     DIS_MODALITY,
     DIS_SECTOR,
@@ -56,25 +58,26 @@ def _family_struct(name: str) -> Column:
     n = F.col("asegurados").cast("bigint")
     p = F.coalesce(F.col("patrones").cast("bigint"), F.lit(0).cast("bigint"))
     s = F.col("salario").cast("double")
+    worth = weighted(s, n)
     null_long = F.lit(None).cast("bigint")
-    null_dbl = F.lit(None).cast("double")
+    no_worth = F.lit(None).cast("decimal(37,8)")
     true = F.lit(True)
     if name == "insured_modality":
-        spec = (SERIES_INSURED, DIS_MODALITY, F.col("cve_modalidad"), n, null_dbl, null_long, true)
+        spec = (SERIES_INSURED, DIS_MODALITY, F.col("cve_modalidad"), n, no_worth, null_long, true)
     elif name == "insured_sector":
         spec = (
-            SERIES_INSURED, DIS_SECTOR, code_text("div_final"), n, null_dbl, null_long,
+            SERIES_INSURED, DIS_SECTOR, code_text("div_final"), n, no_worth, null_long,
             F.col("div_final").isNotNull(),
         )
     elif name == "employers_modality":
-        spec = (SERIES_EMPLOYERS, DIS_MODALITY, employer_modality_code("mod"), p, null_dbl, null_long, true)
+        spec = (SERIES_EMPLOYERS, DIS_MODALITY, employer_modality_code("mod"), p, no_worth, null_long, true)
     elif name == "employers_size":
-        spec = (SERIES_EMPLOYERS, DIS_SIZE, F.col("size_cierre"), p, null_dbl, null_long, true)
+        spec = (SERIES_EMPLOYERS, DIS_SIZE, F.col("size_cierre"), p, no_worth, null_long, true)
     elif name == "wage_modality":
         # Rows without a wage drop out of numerator and denominator alike.
         spec = (
             SERIES_WAGE, DIS_MODALITY, F.col("cve_modalidad"), null_long,
-            s * n.cast("double"), F.when(s.isNotNull(), n), true,
+            worth, F.when(s.isNotNull(), n), true,
         )
     else:
         raise ValueError(f"unknown family {name!r}")
@@ -124,7 +127,7 @@ def _join_dictionary(rows: DataFrame, dic: DataFrame, how: str = "inner") -> Dat
 
 
 def _value() -> Column:
-    wage = F.try_divide(F.col("sum_wn"), F.col("sum_wd").cast("double"))
+    wage = exact_mean(F.col("sum_wn"), F.col("sum_wd"))
     return F.when(F.col("series") == SERIES_WAGE, wage).otherwise(F.col("sum_v").cast("double"))
 
 

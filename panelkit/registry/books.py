@@ -10,7 +10,7 @@ from panelkit.functions.text import ACCENTED, PLAIN
 from panelkit.operators import books as B
 from panelkit.plans import history as H
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import panel_geo, rounded_value, rv
+from panelkit.registry.common import panel_geo
 from panelkit.session import cut_lineage, literal_table, scratch_path
 from panelkit.sources.store import write_table
 from panelkit.sources import books as S
@@ -94,11 +94,11 @@ def _wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sheet_unpivot(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(B.unpivot_sheets(_wide(spark, sf), H.SHEET))
+    return B.unpivot_sheets(_wide(spark, sf), H.SHEET)
 
 
 def q_date_repair(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(H.repaired_long(_wide(spark, sf)))
+    return H.repaired_long(_wide(spark, sf))
 
 
 def q_bad_date_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,7 +126,7 @@ def q_historical_panel(spark: SparkSession, sf: str) -> DataFrame:
     out = H.historical_panel(
         S.book_catalogue(spark, sh), _index(sh), S.book_tabs(sh), S.landed_sheets(p, sh), geo_dictionary(spark, sf)
     )
-    return rounded_value(out)
+    return out
 
 
 # Series and geography key shared by the computed and the published panel
@@ -158,8 +158,7 @@ def q_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
     )
     computed = cut_lineage(revised(B.clean_labels(p)).where("value IS NOT NULL"))
     digests = [block_digests(side, XV_BLOCK, XV_KEY) for side in (computed, official)]
-    out = revision_diff_of_blocks(computed, official, cut_lineage(differing_blocks(*digests, XV_BLOCK)), XV_BLOCK, key=XV_KEY)
-    return out.withColumns({c: rv(c) for c in ("new_value", "stored_value", "diff")})
+    return revision_diff_of_blocks(computed, official, cut_lineage(differing_blocks(*digests, XV_BLOCK)), XV_BLOCK, key=XV_KEY)
 
 
 QUERIES = {
@@ -331,9 +330,9 @@ ORACLE = {
     "assign_book_sheet_ids": f"""{O.PANEL_BASE}{PUB}{SHEETS}
         SELECT path, book_id, sheet_id, hoja, contenido, position, sheet_name FROM sheets""",
     "sheet_unpivot": f"""{O.PANEL_BASE}{PUB}{GRID}
-        SELECT {LONG_COLS}, {O.rv('value')} AS value FROM long WHERE {COMPLETE}""",
+        SELECT {LONG_COLS}, value FROM long WHERE {COMPLETE}""",
     "date_repair": f"""{O.PANEL_BASE}{PUB}{GRID}
-        SELECT {LONG_COLS}, {O.rv('value')} AS value FROM rep WHERE {COMPLETE}""",
+        SELECT {LONG_COLS}, value FROM rep WHERE {COMPLETE}""",
     "bad_date_report": f"""{O.PANEL_BASE}{PUB}{GRID}
         SELECT path, position, bad_headers, bad_cells, anchor_pos, anchor_date FROM badh""",
     "sheet_label_clean": f"""{O.PANEL_BASE}{PUB}{SHEETS},
@@ -352,7 +351,7 @@ ORACLE = {
         hp AS (SELECT l.book_id, l.sheet_id, l.book_name, l.sheet_name, l.level, d.date, d.clave_delegacion, d.clave_subdelegacion,
           l.series, l.disaggregation, d.value FROM data d JOIN lab l ON d.path = l.path AND d.position = l.position)
         SELECT hp.book_id, hp.sheet_id, hp.book_name, hp.sheet_name, hp.level, hp.date, hp.clave_delegacion, hp.clave_subdelegacion,
-          dl.delegacion, s.subdelegacion, hp.series, hp.disaggregation, {O.rv('hp.value')} AS value
+          dl.delegacion, s.subdelegacion, hp.series, hp.disaggregation, hp.value
         FROM hp
         LEFT JOIN (SELECT DISTINCT clave_delegacion, clave_subdelegacion, subdelegacion FROM f_geo) s
           ON hp.clave_delegacion IS NOT DISTINCT FROM s.clave_delegacion AND hp.clave_subdelegacion IS NOT DISTINCT FROM s.clave_subdelegacion
@@ -378,7 +377,7 @@ j AS (SELECT {sel}, n.value AS new_value, s.value AS stored_value, n.value - s.v
        WHEN s.value IS NULL THEN 'stored_null'
        WHEN abs(n.value - s.value) > 1.0 THEN 'changed' END AS status
   FROM n FULL OUTER JOIN s ON {join})
-SELECT {', '.join(key)}, {O.rv('new_value')} AS new_value, {O.rv('stored_value')} AS stored_value, {O.rv('diff')} AS diff, status
+SELECT {', '.join(key)}, new_value, stored_value, diff, status
 FROM j WHERE status IS NOT NULL"""
 
 

@@ -17,11 +17,12 @@ from panelkit.sources.store import months_path, path_exists, read_panel, reset_p
 
 
 def rv(c: Column | str) -> Column:
-    """Rounding applied to non-integral doubles in query wrappers only.
+    """Rounding of statistics (ratios, deviations, correlations) in query wrappers only.
 
-    Means of cents land on exact decimal ties; a tiny offset before rounding
-    to 4 places makes both engines agree.  Engine operators return the
-    unrounded double.
+    Panel values and cube means are exact and compared as they are.  A
+    statistic of doubles depends on the order of its rows and may land on a
+    decimal tie; a tiny offset before rounding to 4 places makes both engines
+    agree.  Engine operators return the unrounded double.
     """
     c = F.col(c) if isinstance(c, str) else c
     return F.round(c + F.lit(0.0000037), 4) + F.lit(0.0)
@@ -67,6 +68,3 @@ def stored_labels(spark: SparkSession, sf: str) -> DataFrame:
     """The prepared store's table of labels, months and row counts."""
     return open_labels(spark, prepared_store(spark, sf))
 
-
-def rounded_value(df: DataFrame, col: str = "value") -> DataFrame:
-    return df.withColumn(col, rv(col))

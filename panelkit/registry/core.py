@@ -13,7 +13,7 @@ from panelkit.functions.dates import reference_month
 from panelkit.operators.panel import ADDITIVE_FAMILIES, family_table
 from panelkit.operators.snapshot import latest_snapshot
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import clean, cube, panel, panel_geo, rounded_value
+from panelkit.registry.common import clean, cube, panel, panel_geo
 from panelkit.session import literal_table
 from panelkit.sources.register import code_dictionary
 from panelkit.sources.tables import read_table
@@ -25,11 +25,11 @@ SUPERSEDED_PATH = "/data/pafinalmes209912ant.sas7bdat"
 
 
 def q_microdata_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(cube(spark, sf), "salario")
+    return cube(spark, sf)
 
 
 def q_clean_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(clean(spark, sf), "salario")
+    return clean(spark, sf)
 
 
 def code_candidates(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,10 +75,9 @@ def q_latest_period_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return latest_snapshot(snapshot_listing(spark, sf))
 
 
-def _family(name: str, rounded: bool = False):
+def _family(name: str):
     def q(spark: SparkSession, sf: str) -> DataFrame:
-        df = family_table(clean(spark, sf), code_dictionary(spark), name)
-        return rounded_value(df) if rounded else df
+        return family_table(clean(spark, sf), code_dictionary(spark), name)
 
     return q
 
@@ -91,7 +90,7 @@ def _panel(levels, families=None, geo=False):
             df = panel(spark, sf, levels)
         else:
             df = panel(spark, sf, levels, families)
-        return rounded_value(df)
+        return df
 
     return q
 
@@ -106,7 +105,7 @@ QUERIES = {
     "insured_by_sector": _family("insured_sector"),
     "employers_by_modality": _family("employers_modality"),
     "employers_by_size": _family("employers_size"),
-    "wage_by_modality": _family("wage_modality", rounded=True),
+    "wage_by_modality": _family("wage_modality"),
     "panel_subdelegation": _panel(("subdelegation",)),
     "panel_delegation": _panel(("delegation",), ADDITIVE_FAMILIES),
     "wage_delegation": _panel(("delegation",), ("wage_modality",)),
@@ -120,20 +119,19 @@ _PCOLS = "date, level, clave_delegacion, clave_subdelegacion, series, disaggrega
 _FCOLS = "date, clave_delegacion, clave_subdelegacion, series, disaggregation, sheet_name, book_name"
 
 
-def _fam_sql(cte: str, rounded: bool = False) -> str:
-    val = O.rv("value") if rounded else "value"
-    return f"{O.PANEL_BASE} SELECT {_FCOLS}, {val} AS value FROM ({O.family_joined(cte)}) f"
+def _fam_sql(cte: str) -> str:
+    return f"{O.PANEL_BASE} SELECT {_FCOLS}, value FROM ({O.family_joined(cte)}) f"
 
 
 def _panel_sql(src: str, where: str = "TRUE") -> str:
-    return f"{O.PANEL_BASE} SELECT {_PCOLS}, {O.rv('value')} AS value FROM {src} WHERE {where}"
+    return f"{O.PANEL_BASE} SELECT {_PCOLS}, value FROM {src} WHERE {where}"
 
 
 ORACLE = {
     "microdata_counts": f"""{O.BASE} SELECT date, ta, cve_del_final, cve_subdel_final, mod, tipotrc, div_final, size_cierre,
-        asegurados, {O.rv('salario')} AS salario, patrones FROM cube""",
+        asegurados, salario, patrones FROM cube""",
     "clean_counts": f"""{O.BASE} SELECT date, ta, clave_delegacion, clave_subdelegacion, mod, tipotrc, div_final, size_cierre,
-        cve_modalidad, asegurados, {O.rv('salario')} AS salario, patrones FROM clean""",
+        cve_modalidad, asegurados, salario, patrones FROM clean""",
     "dictionary_code_normalize": f"""{O.BASE}, codes AS (
         SELECT cve_modalidad AS raw FROM clean UNION ALL SELECT cve_modalidad || '00000000000001' FROM clean
         UNION ALL SELECT CAST(asegurados * 1000 + 1000000 AS VARCHAR) FROM clean
@@ -158,12 +156,12 @@ ORACLE = {
     "insured_by_sector": _fam_sql("fam_aseg_sector"),
     "employers_by_modality": _fam_sql("fam_pat_mod"),
     "employers_by_size": _fam_sql("fam_pat_size"),
-    "wage_by_modality": _fam_sql("fam_wage", rounded=True),
+    "wage_by_modality": _fam_sql("fam_wage"),
     "panel_subdelegation": _panel_sql("sheets_new", "level = 'Subdelegación'"),
     "panel_delegation": _panel_sql("sheets_new", "level = 'Delegación' AND series <> 'Salario'"),
     "wage_delegation": _panel_sql("sheets_new", "level = 'Delegación' AND series = 'Salario'"),
     "panel_national": _panel_sql("nat_add"),
     "wage_national": _panel_sql("wage_nat"),
     "panel_full": _panel_sql("panel_full"),
-    "panel_with_geo": f"""{O.PANEL_BASE} SELECT {_PCOLS}, delegacion, subdelegacion, {O.rv('value')} AS value FROM panel_geo""",
+    "panel_with_geo": f"""{O.PANEL_BASE} SELECT {_PCOLS}, delegacion, subdelegacion, value FROM panel_geo""",
 }

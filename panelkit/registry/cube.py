@@ -9,7 +9,6 @@ from panelkit.operators.micro import clean_counts, microdata_counts
 from panelkit.operators.panel import build_panel
 from panelkit.registry import core
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import rounded_value
 from panelkit.schema import CUBE_KEYS
 from panelkit.session import scratch_path
 from panelkit.sources.cube_store import add_records, compact_cube, read_cube
@@ -33,14 +32,14 @@ def late_cube(spark: SparkSession, sf: str) -> str:
 
 
 def q_cube_merge_late(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(read_cube(spark, late_cube(spark, sf)), "salario")
+    return read_cube(spark, late_cube(spark, sf))
 
 
 def q_panel_from_merged_cube(spark: SparkSession, sf: str) -> DataFrame:
     """The whole panel from a compacted cube: wage means are never averaged."""
     dest = scratch_path(spark, "cube-compacted")
     compact_cube(spark, late_cube(spark, sf), dest)
-    return rounded_value(build_panel(clean_counts(read_cube(spark, dest)), code_dictionary(spark)))
+    return build_panel(clean_counts(read_cube(spark, dest)), code_dictionary(spark))
 
 
 def q_cube_ordered(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +48,7 @@ def q_cube_ordered(spark: SparkSession, sf: str) -> DataFrame:
 
     ordered = microdata_counts(micro_register(spark, sf), sort=True)
     place = F.row_number().over(Window.partitionBy("date").orderBy(*[F.col(k).asc_nulls_first() for k in CUBE_KEYS[1:]]))
-    return rounded_value(ordered.withColumn("place", place.cast("long")), "salario")
+    return ordered.withColumn("place", place.cast("long"))
 
 
 QUERIES = {"cube_merge_late": q_cube_merge_late, "panel_from_merged_cube": q_panel_from_merged_cube, "cube_ordered": q_cube_ordered}
@@ -58,7 +57,7 @@ _KEYS = ", ".join(CUBE_KEYS)
 _ORDER = ", ".join(f"{k} NULLS FIRST" for k in CUBE_KEYS[1:])
 ORACLE = {
     "cube_merge_late": core.ORACLE["microdata_counts"],
-    "panel_from_merged_cube": f"{O.PANEL_BASE} SELECT * REPLACE ({O.rv('value')} AS value) FROM panel_full",
-    "cube_ordered": f"""{O.BASE} SELECT {_KEYS}, asegurados, {O.rv('salario')} AS salario, patrones,
+    "panel_from_merged_cube": f"{O.PANEL_BASE} SELECT * FROM panel_full",
+    "cube_ordered": f"""{O.BASE} SELECT {_KEYS}, asegurados, salario, patrones,
         row_number() OVER (PARTITION BY date ORDER BY {_ORDER}) AS place FROM cube""",
 }

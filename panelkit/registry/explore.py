@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions.labels import member_key
 from panelkit.operators import explore as X
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import rounded_value, stored_labels, stored_panel
+from panelkit.registry.common import stored_labels, stored_panel
 from panelkit.schema import LEVEL_DELEGATION, LEVEL_SUBDELEGATION
 from panelkit.session import scratch_path
 from panelkit.sources.register import geo_dictionary
@@ -80,20 +80,20 @@ def slices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_series_slice(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(slices(spark, sf))
+    return slices(spark, sf)
 
 
 def q_series_slice_total(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(X.slice_total(slices(spark, sf), by=("level",)))
+    return X.slice_total(slices(spark, sf), by=("level",))
 
 
 def q_series_wide(spark: SparkSession, sf: str) -> DataFrame:
-    wide = X.to_wide(rounded_value(slices(spark, sf)), SLICE_MONTHS, ids=("level", *X.MEMBER_COLUMNS, "grupo"), series=SLICE_SERIES)
+    wide = X.to_wide(slices(spark, sf), SLICE_MONTHS, ids=("level", *X.MEMBER_COLUMNS, "grupo"), series=SLICE_SERIES)
     return wide
 
 
 def q_export_csv(spark: SparkSession, sf: str) -> DataFrame:
-    s = rounded_value(slices(spark, sf))
+    s = slices(spark, sf)
     path = scratch_path(spark, X.export_name(SLICE_SERIES, SLICE_END))
     X.export_csv(s, path)
     return spark.read.schema(s.schema).option("header", True).option("nullValue", "").csv(path)
@@ -127,7 +127,7 @@ members AS (
   UNION ALL SELECT 'Subdelegación', {KEY} FROM f_geo WHERE clave_subdelegacion IS NOT NULL),
 mkeys AS (SELECT level, k.* FROM members, LATERAL ({PARSE.format(src='(SELECT members.member_key)')}) k),
 sl AS (
-  SELECT p.level, p.clave_delegacion, p.delegacion, p.clave_subdelegacion, p.subdelegacion, p.date, {O.rv('p.value')} AS value,
+  SELECT p.level, p.clave_delegacion, p.delegacion, p.clave_subdelegacion, p.subdelegacion, p.date, p.value,
     {_LABEL.format(s='p.subdelegacion', d='p.clave_delegacion', c='p.clave_subdelegacion', dn='p.delegacion')} AS grupo
   FROM panel_geo p
   WHERE p.series = 'Asegurados' AND p.disaggregation = 'Modalidad' AND p.sheet_name = 'Modalidad 10.1'
@@ -154,7 +154,7 @@ ORACLE = {
         UNION ALL SELECT DISTINCT CAST(clave_delegacion AS VARCHAR) FROM panel_geo)
         {PARSE.format(src='keys')}""",
     "series_slice": f"{O.PANEL_BASE}{SLICE_CTE} SELECT * FROM sl",
-    "series_slice_total": f"""{O.PANEL_BASE}{SLICE_CTE} SELECT level, date, {O.rv('coalesce(sum(value), 0)')} AS value,
+    "series_slice_total": f"""{O.PANEL_BASE}{SLICE_CTE} SELECT level, date, coalesce(sum(value), 0) AS value,
         'Total seleccionado' AS grupo FROM sl GROUP BY level, date""",
     "series_wide": f"""{O.PANEL_BASE}{SLICE_CTE} SELECT level, clave_delegacion, delegacion, clave_subdelegacion, subdelegacion, grupo,
         {_WIDE_COLS} FROM sl GROUP BY level, clave_delegacion, delegacion, clave_subdelegacion, subdelegacion, grupo""",

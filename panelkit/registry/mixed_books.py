@@ -9,7 +9,6 @@ from panelkit.operators import books as B
 from panelkit.operators.panel import one_value
 from panelkit.plans import history as H
 from panelkit.registry import books as R
-from panelkit.registry.common import rounded_value
 from panelkit.schema import SERIES_WAGE
 from panelkit.session import scratch_path
 from panelkit.sources import books as S
@@ -60,16 +59,16 @@ def _landed(spark: SparkSession, sf: str):
 
 
 def q_mixed_books_unpivot(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(B.unpivot_rows(_landed(spark, sf)[0]))
+    return B.unpivot_rows(_landed(spark, sf)[0])
 
 
 def q_mixed_books_repair(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(H.repaired_long(_landed(spark, sf)[0]))
+    return H.repaired_long(_landed(spark, sf)[0])
 
 
 def q_mixed_books_panel(spark: SparkSession, sf: str) -> DataFrame:
     rows, sh = _landed(spark, sf)
-    return rounded_value(H.historical_panel(S.book_catalogue(spark, sh), R._index(sh), S.book_tabs(sh), rows, geo_dictionary(spark, sf)))
+    return H.historical_panel(S.book_catalogue(spark, sh), R._index(sh), S.book_tabs(sh), rows, geo_dictionary(spark, sf))
 
 
 QUERIES = {"mixed_books_unpivot": q_mixed_books_unpivot, "mixed_books_repair": q_mixed_books_repair, "mixed_books_panel": q_mixed_books_panel}

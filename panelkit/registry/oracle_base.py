@@ -39,10 +39,15 @@ SELECT r.r_regionkey + 1 AS clave_delegacion, r.r_name AS delegacion, n.n_nation
 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 UNION ALL SELECT * FROM (VALUES (99, 'Nacional', CAST(NULL AS INT), CAST(NULL AS VARCHAR(20))), (99, 'Nacional', 99, 'Nacional')) t(a, b, c, d))"""
 
-CUBE = """
+# Means rounded half up to 8 places, in whole numbers: a cell's wage sum in millionths over its wages.
+CELL_MEAN = (
+    "CAST((200 * sum(CAST(round(sal_cierre * 1000000) AS HUGEINT)) + count(sal_cierre)) // NULLIF(2 * count(sal_cierre), 0) AS DOUBLE) / 100000000.0"
+)
+
+CUBE = f"""
 cube AS (
 SELECT date, ta, cve_del_final, cve_subdel_final, mod, tipotrc, div_final, size_cierre,
-  CAST(count(nss) AS BIGINT) AS asegurados, avg(sal_cierre) AS salario, CAST(sum(empresas3) AS BIGINT) AS patrones
+  CAST(count(nss) AS BIGINT) AS asegurados, {CELL_MEAN} AS salario, CAST(sum(empresas3) AS BIGINT) AS patrones
 FROM f_micro WHERE aseg_cierre = 1 AND aseg = 1
 GROUP BY date, ta, cve_del_final, cve_subdel_final, mod, tipotrc, div_final, size_cierre)"""
 
@@ -54,11 +59,12 @@ SELECT date, ta, cve_del_final AS clave_delegacion, cve_subdel_final AS clave_su
   asegurados, salario, patrones
 FROM cube)"""
 
-# Weighted mean of the cube's mean wage, weights = worker counts, rows
-# without a wage excluded from both sums, zero weight -> NULL.
+# Weighted mean of the cube's mean wage (in hundred-millionths), weights = worker
+# counts, rows without a wage excluded from both sums, zero weight -> NULL.
+_WEIGHT = "sum(asegurados) FILTER (WHERE salario IS NOT NULL)"
 WMEAN = (
-    "sum(salario * asegurados) FILTER (WHERE salario IS NOT NULL) / "
-    "NULLIF(CAST(sum(asegurados) FILTER (WHERE salario IS NOT NULL) AS DOUBLE), 0)"
+    "CAST((2 * sum(CAST(round(salario * 100000000) AS HUGEINT) * asegurados) FILTER (WHERE salario IS NOT NULL) + "
+    f"{_WEIGHT}) // NULLIF(2 * {_WEIGHT}, 0) AS DOUBLE) / 100000000.0"
 )
 
 FAMILIES = f"""

@@ -12,7 +12,7 @@ from panelkit.operators import review as R
 from panelkit.operators.explore import export_csv
 from panelkit.operators.snapshot import non_empty_report
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import clean, panel, rounded_value, rv, stored_labels, stored_panel
+from panelkit.registry.common import clean, panel, rv, stored_labels, stored_panel
 from panelkit.registry.store import HIST, hist_with_ids, split_history
 from panelkit.schema import LEVEL_DELEGATION, PANEL_COLUMNS
 from panelkit.plans.monthly import stored_revision_diff
@@ -53,13 +53,13 @@ def broken_totals(panel_df: DataFrame) -> DataFrame:
 
 
 def q_control_totals(spark: SparkSession, sf: str) -> DataFrame:
-    out = Q.control_totals(broken_totals(panel(spark, sf)))
-    return out.withColumns({c: rv(c) for c in ("lower_sum", "upper_value", "upper_value_2")})
+    return Q.control_totals(broken_totals(panel(spark, sf)))
 
 
 def q_referential_check(spark: SparkSession, sf: str) -> DataFrame:
     c = clean(spark, sf)
     out = Q.referential_check(c, code_dictionary(spark), panel(spark, sf), geo_dictionary(spark, sf))
+    # Sums over series that are not additive depend on the order of the rows.
     return out.withColumn("lost_value", F.when(F.col("check") == "geography", rv("lost_value")).otherwise(F.col("lost_value")))
 
 
@@ -68,13 +68,12 @@ def q_revision_diff(spark: SparkSession, sf: str) -> DataFrame:
     h, _, _, _ = hist_with_ids(spark, sf)
     path = scratch_path(spark, "panel-store")
     reset_panel(h, path)
-    out = stored_revision_diff(spark, path, cut_lineage(revised_history(h)))
-    return out.withColumns({c: rv(c) for c in ("new_value", "stored_value", "diff")})
+    return stored_revision_diff(spark, path, cut_lineage(revised_history(h)))
 
 
 def q_range_outliers(spark: SparkSession, sf: str) -> DataFrame:
     out = Q.range_outliers(stored_panel(spark, sf), OUTLIER_KEY)
-    return out.withColumns({c: rv(c) for c in ("value", "trailing_mean", "trailing_sd")})
+    return out.withColumns({c: rv(c) for c in ("trailing_mean", "trailing_sd")})
 
 
 def q_months_in_common(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,19 +94,19 @@ def q_panel_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_review_national(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(R.review_national(stored_panel(spark, sf)))
+    return R.review_national(stored_panel(spark, sf))
 
 
 def q_review_by_delegation(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(R.review_by_delegation(stored_panel(spark, sf)))
+    return R.review_by_delegation(stored_panel(spark, sf))
 
 
 def q_national_by_modality(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_value(R.national_by_modality(stored_panel(spark, sf)))
+    return R.national_by_modality(stored_panel(spark, sf))
 
 
 def q_employers_since(spark: SparkSession, sf: str) -> DataFrame:
-    df = rounded_value(R.since(stored_panel(spark, sf), "Patrones", LEVEL_DELEGATION, EXPORT_SINCE))
+    df = R.since(stored_panel(spark, sf), "Patrones", LEVEL_DELEGATION, EXPORT_SINCE)
     path = scratch_path(spark, "patrones_delegacional")
     export_csv(df, path)
     return spark.read.schema(df.schema).option("header", True).option("nullValue", "").csv(path)
@@ -166,8 +165,7 @@ ORACLE = {
             max(CASE WHEN level = 'Subdelegación' AND clave_delegacion = 99 THEN value END) AS upper_value_2
           FROM a GROUP BY {_LK}),
         u AS (SELECT * FROM per_del UNION ALL SELECT * FROM per_nat)
-        SELECT "check", {_LK}, clave_delegacion, {O.rv('lower_sum')} AS lower_sum, {O.rv('upper_value')} AS upper_value,
-          {O.rv('upper_value_2')} AS upper_value_2,
+        SELECT "check", {_LK}, clave_delegacion, lower_sum, upper_value, upper_value_2,
           {_OK.format(a='lower_sum', b='upper_value')} AND {_OK.format(a='lower_sum', b='upper_value_2')} AS ok FROM u""",
     "months_in_common": q_months_in_common,
     "panel_stats": q_panel_stats,
@@ -216,8 +214,7 @@ ORACLE = {
             max(CASE WHEN level = 'Subdelegación' AND clave_delegacion = 99 THEN value END) AS upper_value_2
           FROM a GROUP BY {_LK}),
         u AS (SELECT * FROM per_del UNION ALL SELECT * FROM per_nat)
-        SELECT "check", {_LK}, clave_delegacion, {O.rv('lower_sum')} AS lower_sum, {O.rv('upper_value')} AS upper_value,
-          {O.rv('upper_value_2')} AS upper_value_2,
+        SELECT "check", {_LK}, clave_delegacion, lower_sum, upper_value, upper_value_2,
           {_OK.format(a='lower_sum', b='upper_value')} AND {_OK.format(a='lower_sum', b='upper_value_2')} AS ok FROM u""",
     "months_in_common": f"""{O.PANEL_BASE}{HIST}{REV}
         SELECT date FROM (SELECT date FROM rev UNION ALL SELECT date FROM newm) x INTERSECT SELECT date FROM hist_ids""",
@@ -231,28 +228,28 @@ ORACLE = {
                WHEN s.value IS NULL THEN 'stored_null'
                WHEN abs(n.value - s.value) > 1.0 THEN 'changed' END AS status
           FROM n FULL OUTER JOIN s ON {_REV_JOIN})
-        SELECT {', '.join(_RK)}, {O.rv('new_value')} AS new_value, {O.rv('stored_value')} AS stored_value, {O.rv('diff')} AS diff, status
+        SELECT {', '.join(_RK)}, new_value, stored_value, diff, status
         FROM j WHERE status IS NOT NULL""",
     "range_outliers": f"""{O.PANEL_BASE}, a AS (SELECT * FROM panel_full),
         w AS (SELECT {', '.join(OUTLIER_KEY)}, date, value,
           avg(value) OVER (PARTITION BY {', '.join(OUTLIER_KEY)} ORDER BY date ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS trailing_mean,
           stddev_samp(value) OVER (PARTITION BY {', '.join(OUTLIER_KEY)} ORDER BY date ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS trailing_sd
           FROM a)
-        SELECT {', '.join(OUTLIER_KEY)}, date, {O.rv('value')} AS value, {O.rv('trailing_mean')} AS trailing_mean,
+        SELECT {', '.join(OUTLIER_KEY)}, date, value, {O.rv('trailing_mean')} AS trailing_mean,
           {O.rv('trailing_sd')} AS trailing_sd FROM w WHERE abs(value - trailing_mean) > 3.0 * trailing_sd""",
     "panel_stats": f"""{O.PANEL_BASE} SELECT CAST(count(*) AS BIGINT) AS n_rows, min(date) AS min_date, max(date) AS max_date,
         CAST(count(DISTINCT coalesce(series, 'NA') || ' ' || coalesce(disaggregation, 'NA')) AS BIGINT) AS n_series FROM panel_geo""",
     "panel_coverage": f"{O.PANEL_BASE} SELECT DISTINCT series, disaggregation, level FROM panel_geo",
     "panel_labels": f"{O.PANEL_BASE} SELECT DISTINCT series, disaggregation, sheet_name, book_name FROM panel_geo",
-    "review_national": f"""{O.PANEL_BASE} SELECT series, disaggregation, sheet_name, date, {O.rv('value')} AS value FROM panel_geo
+    "review_national": f"""{O.PANEL_BASE} SELECT series, disaggregation, sheet_name, date, value FROM panel_geo
         WHERE level = 'Delegación' AND delegacion = 'Nacional'""",
     "review_by_delegation": f"""{O.PANEL_BASE} SELECT series, disaggregation, sheet_name, clave_delegacion, delegacion, date,
-        {O.rv('value')} AS value FROM panel_geo WHERE level = 'Delegación' AND ({_REVIEW})""",
+        value FROM panel_geo WHERE level = 'Delegación' AND ({_REVIEW})""",
     "national_by_modality": f"""{O.PANEL_BASE} SELECT date, level, clave_delegacion, clave_subdelegacion, series, disaggregation,
-        sheet_name, book_name, {O.rv('value')} AS value, subdelegacion, delegacion FROM panel_geo
+        sheet_name, book_name, value, subdelegacion, delegacion FROM panel_geo
         WHERE series = 'Asegurados' AND disaggregation = 'Modalidad' AND clave_delegacion = 99 AND clave_subdelegacion IS NULL""",
     "employers_since": f"""{O.PANEL_BASE} SELECT date, level, clave_delegacion, clave_subdelegacion, series, disaggregation,
-        sheet_name, book_name, {O.rv('value')} AS value, subdelegacion, delegacion FROM panel_geo
+        sheet_name, book_name, value, subdelegacion, delegacion FROM panel_geo
         WHERE series = 'Patrones' AND level = 'Delegación' AND date >= DATE '2000-01-01'""",
 }
 

@@ -9,7 +9,7 @@ from panelkit.operators.continuity import continuity_report, month_gaps
 from panelkit.operators.ids import assign_series_ids, label_ids
 from panelkit.plans.monthly import replace_month, update_store
 from panelkit.registry import oracle_base as O
-from panelkit.registry.common import panel, panel_geo, rounded_value
+from panelkit.registry.common import panel, panel_geo
 from panelkit.schema import EXPLORER_COLUMNS, PANEL_COLUMNS
 from panelkit.session import cut_lineage, scratch_path
 from panelkit.plans.explorer import pruned_slice
@@ -51,7 +51,7 @@ def _fresh_store(spark: SparkSession, df: DataFrame) -> str:
 
 def q_assign_series_ids(spark: SparkSession, sf: str) -> DataFrame:
     _, ids, new, _ = hist_with_ids(spark, sf)
-    return rounded_value(assign_series_ids(new, ids))
+    return assign_series_ids(new, ids)
 
 
 def q_month_continuity(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,19 +69,19 @@ def q_month_gaps(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_panel_write_read(spark: SparkSession, sf: str) -> DataFrame:
     h, _, _, _ = hist_with_ids(spark, sf)
-    return rounded_value(read_panel(spark, _fresh_store(spark, h)))
+    return read_panel(spark, _fresh_store(spark, h))
 
 
 def q_panel_update(spark: SparkSession, sf: str) -> DataFrame:
     h, _, new, _ = hist_with_ids(spark, sf)
     path = _fresh_store(spark, h)
-    return rounded_value(update_store(spark, path, new))
+    return update_store(spark, path, new)
 
 
 def q_partition_prune_scan(spark: SparkSession, sf: str) -> DataFrame:
     h, _, _, _ = hist_with_ids(spark, sf)
     path = _fresh_store(spark, h)
-    return rounded_value(pruned_slice(spark, path, **SLICE))
+    return pruned_slice(spark, path, **SLICE)
 
 
 def q_panel_reset(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,7 +89,7 @@ def q_panel_reset(spark: SparkSession, sf: str) -> DataFrame:
     path = _fresh_store(spark, h)
     update_store(spark, path, new)
     reset_panel(assign_series_ids(gap, ids), path)
-    return rounded_value(read_panel(spark, path))
+    return read_panel(spark, path)
 
 
 def q_monthly_stream_update(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,7 +104,7 @@ def q_monthly_stream_update(spark: SparkSession, sf: str) -> DataFrame:
     drop = scratch_path(spark, "register-drop")
     micro_register(spark, sf).where(F.col("date") == F.lit(last)).write.parquet(drop)
     run_monthly_drop(spark, drop, store, code_dictionary(spark), geo_dictionary(spark, sf))
-    return rounded_value(read_panel(spark, store))
+    return read_panel(spark, store)
 
 
 def with_new_series(new: DataFrame) -> DataFrame:
@@ -117,14 +117,14 @@ def with_new_series(new: DataFrame) -> DataFrame:
 def q_panel_update_new_series(spark: SparkSession, sf: str) -> DataFrame:
     h, _, new, _ = hist_with_ids(spark, sf)
     path = _fresh_store(spark, h)
-    return rounded_value(update_store(spark, path, with_new_series(new)))
+    return update_store(spark, path, with_new_series(new))
 
 
 def q_pruned_slice_new_series(spark: SparkSession, sf: str) -> DataFrame:
     h, _, new, _ = hist_with_ids(spark, sf)
     path = _fresh_store(spark, h)
     update_store(spark, path, with_new_series(new))
-    return rounded_value(pruned_slice(spark, path, **(SLICE | {"sheet_name": NEW_SHEET})))
+    return pruned_slice(spark, path, **(SLICE | {"sheet_name": NEW_SHEET}))
 
 
 def q_panel_replace_month(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,7 +135,7 @@ def q_panel_replace_month(spark: SparkSession, sf: str) -> DataFrame:
     revised = new.where(F.col("sheet_name") != DROPPED_SHEET).withColumn("value", F.col("value") + 1)
     replace_month(spark, path, revised)
     compact_store(spark, path)
-    return rounded_value(read_panel(spark, path))
+    return read_panel(spark, path)
 
 
 def q_panel_replace_month_new_series(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,7 +145,7 @@ def q_panel_replace_month_new_series(spark: SparkSession, sf: str) -> DataFrame:
     update_store(spark, path, new)
     replace_month(spark, path, with_new_series(new))
     replace_month(spark, path, with_new_series(new).withColumn("value", F.col("value") + 1))
-    return rounded_value(read_panel(spark, path))
+    return read_panel(spark, path)
 
 
 QUERIES = {
@@ -211,18 +211,18 @@ FROM (SELECT max(date) AS last_stored FROM {stored}) s,
 _GKEY = "level, series, disaggregation, sheet_name, book_name, clave_delegacion, clave_subdelegacion"
 
 ORACLE = {
-    "panel_update_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_COLS}, {O.rv('value')} AS value FROM
+    "panel_update_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_COLS}, value FROM
         (SELECT {_COLS}, value FROM hist_ids UNION ALL SELECT {_COLS}, value FROM new2_ids) u""",
-    "panel_replace_month_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_COLS}, {O.rv('value')} AS value FROM
+    "panel_replace_month_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_COLS}, value FROM
         (SELECT {_COLS}, value FROM hist_ids UNION ALL SELECT {_COLS}, value + 1 AS value FROM new2_ids) u""",
-    "pruned_slice_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_XCOLS}, {O.rv('value')} AS value FROM new2_ids
+    "pruned_slice_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_XCOLS}, value FROM new2_ids
         WHERE series = 'Asegurados' AND disaggregation = 'Modalidad' AND sheet_name = 'Modalidad nueva'""",
-    "panel_replace_month": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM
+    "panel_replace_month": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, value FROM
         (SELECT {_COLS}, value FROM hist_ids UNION ALL
          SELECT {_COLS}, value + 1 AS value FROM new_ids WHERE sheet_name <> 'Modalidad 14') u""",
-    "monthly_stream_update": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM
+    "monthly_stream_update": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, value FROM
         (SELECT {_COLS}, value FROM hist_ids UNION ALL SELECT {_COLS}, value FROM new_ids) u""",
-    "assign_series_ids": f"{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM new_ids",
+    "assign_series_ids": f"{O.PANEL_BASE}{HIST} SELECT {_COLS}, value FROM new_ids",
     "month_continuity": f"""{O.PANEL_BASE}{HIST}
         {_report('hist', 'newm', 'next')} UNION ALL
         {_report('(SELECT date FROM hist UNION ALL SELECT date FROM newm)', 'newm', 'repeat')} UNION ALL
@@ -230,10 +230,10 @@ ORACLE = {
     "month_gaps": f"""{O.PANEL_BASE} SELECT {_GKEY}, date, next_date, CAST(date_diff('month', date, next_date) - 1 AS INT) AS missing_months
         FROM (SELECT {_GKEY}, date, lead(date) OVER (PARTITION BY {_GKEY} ORDER BY date) AS next_date FROM panel_full) t
         WHERE next_date IS NOT NULL AND next_date <> CAST(date + INTERVAL 1 MONTH AS DATE)""",
-    "panel_write_read": f"{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM hist_ids",
-    "panel_update": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM
+    "panel_write_read": f"{O.PANEL_BASE}{HIST} SELECT {_COLS}, value FROM hist_ids",
+    "panel_update": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, value FROM
         (SELECT {_COLS}, value FROM hist_ids UNION ALL SELECT {_COLS}, value FROM new_ids) u""",
-    "partition_prune_scan": f"""{O.PANEL_BASE}{HIST} SELECT {_XCOLS}, {O.rv('value')} AS value FROM hist_ids
+    "partition_prune_scan": f"""{O.PANEL_BASE}{HIST} SELECT {_XCOLS}, value FROM hist_ids
         WHERE series = 'Asegurados' AND disaggregation = 'Modalidad' AND sheet_name = 'Modalidad 10.1'""",
-    "panel_reset": f"{O.PANEL_BASE}{HIST} SELECT {_COLS}, {O.rv('value')} AS value FROM gap_ids",
+    "panel_reset": f"{O.PANEL_BASE}{HIST} SELECT {_COLS}, value FROM gap_ids",
 }
