@@ -10,14 +10,18 @@ from panelkit.operators.ids import assign_series_ids, label_ids
 from panelkit.plans.monthly import replace_month, update_store
 from panelkit.registry import oracle_base as O
 from panelkit.registry.common import panel, panel_geo
-from panelkit.schema import EXPLORER_COLUMNS, PANEL_COLUMNS
+from panelkit.schema import EXPLORER_COLUMNS, LEVEL_SUBDELEGATION, PANEL_COLUMNS
 from panelkit.session import cut_lineage, scratch_path
 from panelkit.plans.explorer import pruned_slice
-from panelkit.sources.store import compact_store, read_panel, reset_panel
+from panelkit.sources.entity_store import entity_slice, refresh_entities
+from panelkit.sources.store import backup_store, compact_store, display_order, preview, read_panel, reset_panel
 
 # The slice used by the pruning scan.
 SLICE = {"series": "Asegurados", "disaggregation": "Modalidad", "sheet_name": "Modalidad 10.1"}
 NEW_SHEET, DROPPED_SHEET = "Modalidad nueva", "Modalidad 14"
+# The entity sliced over all series, and the rows of a preview.
+ENTITY = (LEVEL_SUBDELEGATION, 2, 7)
+PREVIEW_ROWS = 25
 
 
 def _max_date(df: DataFrame):
@@ -148,7 +152,35 @@ def q_panel_replace_month_new_series(spark: SparkSession, sf: str) -> DataFrame:
     return read_panel(spark, path)
 
 
+def q_entity_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """One entity over all series: its history from the entity-first copy, the month appended since from the store."""
+    h, _, new, _ = hist_with_ids(spark, sf)
+    path = _fresh_store(spark, h)
+    refresh_entities(spark, path)
+    update_store(spark, path, new)
+    return entity_slice(spark, path, *ENTITY)
+
+
+def q_store_backup(spark: SparkSession, sf: str) -> DataFrame:
+    """A backup taken before the store is replaced by less; the rows of the backup."""
+    h, ids, _, gap = hist_with_ids(spark, sf)
+    path, dest = _fresh_store(spark, h), scratch_path(spark, "panel-backup")
+    backup_store(spark, path, dest)
+    reset_panel(assign_series_ids(gap, ids), path)
+    return read_panel(spark, dest)
+
+
+def q_store_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows of the stored panel in display order (the limit is the feature)."""
+    h, _, _, _ = hist_with_ids(spark, sf)
+    order = ["book_id", "sheet_id", "disaggregation", "date", "clave_delegacion", "clave_subdelegacion"]
+    return preview(display_order(read_panel(spark, _fresh_store(spark, h)), order), PREVIEW_ROWS)
+
+
 QUERIES = {
+    "entity_slice": q_entity_slice,
+    "store_backup": q_store_backup,
+    "store_preview": q_store_preview,
     "panel_update_new_series": q_panel_update_new_series,
     "pruned_slice_new_series": q_pruned_slice_new_series,
     "panel_replace_month": q_panel_replace_month,
@@ -211,6 +243,11 @@ FROM (SELECT max(date) AS last_stored FROM {stored}) s,
 _GKEY = "level, series, disaggregation, sheet_name, book_name, clave_delegacion, clave_subdelegacion"
 
 ORACLE = {
+    "entity_slice": f"""{O.PANEL_BASE} SELECT {_XCOLS}, value FROM panel_geo
+        WHERE level = 'Subdelegación' AND clave_delegacion = 2 AND clave_subdelegacion = 7""",
+    "store_backup": f"{O.PANEL_BASE}{HIST} SELECT {_COLS}, value FROM hist_ids",
+    "store_preview": f"""{O.PANEL_BASE}{HIST} SELECT {_COLS}, value FROM hist_ids ORDER BY book_id NULLS LAST, sheet_id NULLS LAST,
+        disaggregation NULLS LAST, date NULLS LAST, clave_delegacion NULLS LAST, clave_subdelegacion NULLS LAST LIMIT 25""",
     "panel_update_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_COLS}, value FROM
         (SELECT {_COLS}, value FROM hist_ids UNION ALL SELECT {_COLS}, value FROM new2_ids) u""",
     "panel_replace_month_new_series": f"""{O.PANEL_BASE}{NEW_SERIES} SELECT {_COLS}, value FROM
