@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["core", "dictionary", "cube", "store", "explore", "quality", "analytics", "trailing", "books", "mixed_books"]
+MODULES = ["core", "dictionary", "cube", "store", "explore", "quality", "analytics", "trailing", "books", "mixed_books", "folders"]
 
 
 def _mods():

@@ -13,7 +13,7 @@ from panelkit.registry import oracle_base as O
 from panelkit.registry.common import panel_geo
 from panelkit.session import cut_lineage, literal_table, scratch_path
 from panelkit.sources.store import write_table
-from panelkit.sources import books as S
+from panelkit.registry import published_books as S
 from panelkit.sources.register import geo_dictionary
 
 # Index / tab edge rows (a book without conflict, a book whose

@@ -11,7 +11,7 @@ from panelkit.plans import history as H
 from panelkit.registry import books as R
 from panelkit.schema import SERIES_WAGE
 from panelkit.session import scratch_path
-from panelkit.sources import books as S
+from panelkit.registry import published_books as S
 from panelkit.sources.register import geo_dictionary
 
 # Subdelegation books begin five months later, employer books end three months earlier and put names before codes;

@@ -10,7 +10,7 @@ from panelkit.operators.panel import build_panel, with_geo
 from panelkit.plans import explorer as P
 from panelkit.registry.common import panel_geo
 from panelkit.schema import CODE_DICT, GEO_DICT
-from panelkit.sources import books as S
+from panelkit.registry import published_books as S
 
 
 def test_previous_month_is_null_across_a_gap(spark):

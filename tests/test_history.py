@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 from panelkit.operators import books as B
 from panelkit.plans import history as H
 from panelkit.registry.common import panel_geo
-from panelkit.sources import books as S
+from panelkit.registry import published_books as S
 from panelkit.sources.register import geo_dictionary
 
 

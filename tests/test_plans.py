@@ -62,7 +62,7 @@ def test_date_repair_does_not_shuffle_by_entity(spark):
     from panelkit.operators import books as B
     from panelkit.plans import history as H
     from panelkit.registry.common import panel_geo
-    from panelkit.sources import books as S
+    from panelkit.registry import published_books as S
 
     p = cut_lineage(panel_geo(spark, SF_SMALL))
     long = cut_lineage(B.unpivot_sheets(S.landed_sheets(p, S.published_sheets(p)), H.SHEET, drop_missing=False))
