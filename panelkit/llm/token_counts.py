@@ -2,14 +2,17 @@
 
 The text becomes units of white-space marks followed by other characters; no
 piece of the model holds a mark behind another character, so units are
-independent.  Batches of distinct units lie as ragged arrays of symbols.  In
-every round each unit finds the lowest rank among its neighbouring pairs and
-merges at once all pairs of that rank that do not overlap, from the left.
-Where a merge could make a pair of an equal or lower rank (known from the
-model beforehand), only the leftmost pair of the unit is merged in that round,
-so the result is that of merging one best pair after the other.  A unit
-without a pair is done, and its surviving symbols are counted; a character
-that the model lacks counts one token for each of its UTF-8 bytes.
+independent.  So are the parts of a unit between two characters that stand side
+by side in no piece: no merge joins them.  Batches of distinct units lie as
+ragged arrays of symbols.  In every round each part finds the lowest rank among
+its neighbouring pairs and merges at once all pairs of that rank that do not
+overlap, from the left.  Where a merge could make a pair of an equal or lower
+rank (known from the model beforehand), only the leftmost pair of the part is
+merged in that round, so the result is that of merging one best pair after the
+other.  Pairs of the last rank, white space above all, are many of one rank;
+where they alone are left and make no other, a part is folded from the left in
+one pass.  A part without a pair is done, and its surviving symbols are counted; a
+character that the model lacks counts one token for each of its UTF-8 bytes.
 
 Supported are BPE models with byte fallback, identity normalisation, a dummy
 prefix and kept white space; others are refused.  Null text counts as empty
@@ -67,6 +70,24 @@ class MergeTable:
             if len(piece) == 1:
                 self.symbol[ord(piece)] = number
 
+        # Merges of the last rank, if they never make a pair of a rank before it.
+        self.last = len(scores) - 1
+        final = ranks == self.last
+        closed = bool(final.any() and (least[merged[final]] >= self.last).all())
+        self.fold = dict(zip(zip(lefts[final].tolist(), rights[final].tolist()), merged[final].tolist())) if closed else {}
+        side_by_side = {(p[k], p[k + 1]) for p in pieces for k in range(len(p) - 1)}
+        joins = [self.symbol[ord(a)] * (self.size + 1) + self.symbol[ord(b)] for a, b in side_by_side]
+        self.joins = np.array(sorted(joins), np.int64)
+
+    def parts(self, symbols: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """The number of each character's part: a new one with each unit and where no piece holds both neighbours."""
+        if not len(symbols) or not len(self.joins):
+            return np.arange(len(symbols))
+        key = symbols[:-1] * (self.size + 1) + symbols[1:]
+        joined = self.joins[np.minimum(np.searchsorted(self.joins, key), len(self.joins) - 1)] == key
+        joined &= (unit[1:] == unit[:-1]) & (symbols[:-1] != self.size) & (symbols[1:] != self.size)
+        return np.cumsum(np.r_[False, ~joined])
+
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair (_NONE without one) and its row in the table."""
         key = left * (self.size + 1) + right
@@ -86,29 +107,48 @@ def count_units(units: list[str], table: MergeTable) -> np.ndarray:
         counts += np.bincount(unit[unknown & (codes >= limit)], minlength=len(units))
     if not len(table.pairs):
         return counts + np.bincount(unit[~unknown], minlength=len(units))
+    part = table.parts(symbols, unit)
+    alone = np.r_[True, part[1:] != part[:-1]] & np.r_[part[1:] != part[:-1], True] if len(part) else np.zeros(0, bool)
+    counts += np.bincount(unit[alone & ~unknown], minlength=len(units))
+    owner, symbols, part = unit[~alone], symbols[~alone], part[~alone]
+    if not len(symbols):
+        return counts
+    # Parts are numbered through, and each knows its unit.
+    new_part = np.r_[True, part[1:] != part[:-1]]
+    owner, unit = owner[new_part], np.cumsum(new_part) - 1
+    survivors = merged_symbols(symbols, unit, len(owner), table)
+    return counts + np.bincount(owner, weights=survivors, minlength=len(units)).astype(np.int64)
+
+
+def merged_symbols(symbols: np.ndarray, unit: np.ndarray, n: int, table: MergeTable) -> np.ndarray:
+    """Symbols that survive in each of the ``n`` parts; ``unit`` numbers each symbol's part."""
+    counts = np.zeros(n, np.int64)
     rank, at = _neighbours(symbols, unit, table)
     while len(symbols):
         starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
         low = np.minimum.reduceat(rank, starts)
         spread = np.repeat(low, np.diff(np.append(starts, len(unit))))
-        done = spread == _NONE
+        folded = spread == table.last if table.fold else np.zeros(len(symbols), bool)
+        if folded.any():
+            counts += _folded(symbols[folded], unit[folded], n, table.fold)
+        done = (spread == _NONE) | folded
         if done.any():
-            counts += np.bincount(unit[done & (symbols != table.size)], minlength=len(units))
+            counts += np.bincount(unit[done & ~folded], minlength=n)
             keep = ~done
             symbols, unit, rank, at, spread = symbols[keep], unit[keep], rank[keep], at[keep], spread[keep]
             if not len(symbols):
                 break
             starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
-        # Of overlapping pairs every second one, from the left; unsafe ones only as the unit's leftmost.
+        # Of overlapping pairs every second one, from the left; unsafe ones only as the part's leftmost.
         hits = np.flatnonzero(rank == spread)
         new_run = np.r_[True, np.diff(hits) > 1]
         run_start = hits[np.flatnonzero(new_run)][np.cumsum(new_run) - 1]
         leftmost = np.r_[True, unit[hits[1:]] != unit[hits[:-1]]]
         hits = hits[np.where(table.safe[at[hits]], (hits - run_start) % 2 == 0, leftmost)]
-        # An unsafe pair keeps its unit to one merge in this round.
+        # An unsafe pair keeps its part to one merge in this round.
         first = np.r_[True, unit[hits[1:]] != unit[hits[:-1]]]
         single = ~table.safe[at[hits]]
-        blocked = np.zeros(len(units), bool)
+        blocked = np.zeros(n, bool)
         blocked[unit[hits[first & single]]] = True
         hits = hits[first | ~blocked[unit[hits]]]
         symbols[hits] = table.merged[at[hits]]
@@ -122,6 +162,28 @@ def count_units(units: list[str], table: MergeTable) -> np.ndarray:
     return counts
 
 
+def _folded(symbols: np.ndarray, unit: np.ndarray, n: int, fold: dict[tuple[int, int], int]) -> np.ndarray:
+    """Symbols left of each part after merging its leftmost pair again and again, all pairs being of one rank.
+
+    Left of the current symbol no pair merges, so a stack holds what is final so far.
+    """
+    counts = np.zeros(n, np.int64)
+    stack: list[int] = []
+    before = -1
+    for s, u in zip(symbols.tolist(), unit.tolist()):
+        if u != before:
+            if stack:
+                counts[before] = len(stack)
+            stack, before = [], u
+        while stack and (joined := fold.get((stack[-1], s))) is not None:
+            s = joined
+            stack.pop()
+        stack.append(s)
+    if stack:
+        counts[before] = len(stack)
+    return counts
+
+
 def _neighbours(symbols: np.ndarray, unit: np.ndarray, table: MergeTable) -> tuple[np.ndarray, np.ndarray]:
     return _pairs_at(np.arange(len(symbols)), symbols, unit, table)
 

@@ -38,6 +38,28 @@ def test_count_query(spark, odd_docs, no_docs):
     assert token_counts.count_tokens(no_docs, P.path("piece_bpe_32k.model")).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["letters", "cjk", "mixed", "one letter", "one sign", "white", "spaces", "words"])
+def test_counts_of_long_units(kind):
+    """In time that grows with the length, whatever the unit is made of."""
+    model = open(P.path("piece_bpe_32k.model"), "rb").read()
+    text = {"spaces": " " * 100_000 + "x" + " " * 33, "words": "thequickbrownfoxjumps" * 4_000}.get(kind) or LONG_RUNS[kind]
+    counter = token_counts.TokenCounter(model)
+    start = time.process_time()
+    (count,) = counter.count([text])
+    assert time.process_time() - start < 20
+    assert count == len(sentencepiece.SentencePieceProcessor(model_proto=model).encode(text))
+
+
+def test_counts_of_drawn_pieces():
+    """Texts glued together from the model's own pieces, where ties and cuts between parts meet."""
+    model = open(P.path("piece_bpe_32k.model"), "rb").read()
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    rnd = random.Random(11)
+    pieces = [library.id_to_piece(i).replace("▁", " ") for i in range(300, library.get_piece_size())]
+    texts = ["".join(rnd.choice(pieces) + " " * rnd.choice([0, 0, 0, 1, 2, 5, 17, 40]) for _ in range(rnd.randint(1, 40))) for _ in range(1500)]
+    assert token_counts.TokenCounter(model).count(texts) == [len(x) for x in library.encode(texts)]
+
+
 @pytest.fixture(scope="module")
 def ranks():
     return bpe_codec.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
