@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import in_bitmap, key_bitmap, narrow, row_slices
+from panelkit.llm.common import in_bitmap, key_bitmap, narrow, ranges, row_slices
 from panelkit.session import cut_lineage, scratch_path
 
 LENGTH = 100
@@ -110,10 +110,23 @@ class Anchors:
         return (count > 1) & (np.searchsorted(listed, own + count + span - 2, "right") - np.searchsorted(listed, own) > 1)
 
     def runs(self, data: np.ndarray, offsets: np.ndarray, loops: bool = True) -> Iterator[tuple[np.ndarray, ...]]:
-        """(first window, number of windows, anchor, and looped if asked for) of the runs in the documents ``data[offsets[i]:offsets[i + 1]]``."""
-        for begin in range(0, len(data) - self.length + 1, self.size):
-            end = min(len(data), begin + self.size + self.length - 1)
-            hashed, keys = self.lowest(data[begin:end])
+        """(first window, number of windows, anchor, and looped if asked for) of the runs in the documents ``data[offsets[i]:offsets[i + 1]]``.
+
+        Every ``size`` windows of a document a run ends, wherever the document
+        lies in ``data``: each pass finds the same runs, in whatever slices it
+        gets the documents.
+        """
+        pieces = -(-np.diff(offsets) // self.size)
+        cuts = np.append(np.repeat(offsets[:-1], pieces) + ranges(np.zeros(len(pieces), np.int64), pieces) * self.size, len(data))
+        end = 0
+        while end < len(data):
+            begin, low = end, np.searchsorted(cuts, end, "right")
+            end = int(cuts[np.searchsorted(cuts, begin + self.size, "right") - 1])
+            inner = cuts[low : np.searchsorted(cuts, end)] - begin
+            part = data[begin : end + self.length - 1]
+            if len(part) < self.length:
+                continue
+            hashed, keys = self.lowest(part)
             # Windows may start where the document goes on for another ``length`` bytes.
             low, high = np.searchsorted(offsets, [begin, begin + len(keys)], "right")
             edges = np.concatenate([[begin], offsets[low:high], [begin + len(keys)]])
@@ -121,6 +134,8 @@ class Anchors:
             whole = np.arange(begin, begin + len(keys)) + self.length <= ends
             opens = whole.copy()
             opens[1:] &= (keys[1:] != keys[:-1]) | ~whole[:-1]
+            inner = inner[inner < len(keys)]
+            opens[inner] = whole[inner]
             closes = whole.copy()
             closes[:-1] &= opens[1:] | ~whole[1:]
             first = np.flatnonzero(opens)

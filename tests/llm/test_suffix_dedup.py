@@ -68,6 +68,41 @@ def test_long_texts_are_cut_into_segments(spark, monkeypatch, segment, run_windo
     assert result(S.remove_repeats(frame(spark, rows))) == dict(zip((1, 2, 3, 4), brute([(i, t.encode()) for i, t in rows], 100)))
 
 
+@pytest.mark.parametrize("segment", [257, S.SEGMENT])
+def test_runs_of_a_document_do_not_depend_on_its_neighbours(segment):
+    rng = random.Random(4)
+    texts = [bytes(rng.choice(b"abcd ") for _ in range(n)) for n in (70_000, 0, 99, 100, 900, segment, 2 * segment + 100)] + [b"z" * 3000]
+
+    def found(order):
+        raw, out = [texts[k] for k in order], {}
+        offsets = np.cumsum([0] + [len(r) for r in raw])
+        for rows in S.Anchors(100, segment).runs(np.frombuffer(b"".join(raw), np.uint8), offsets):
+            for first, *rest in zip(*(c.tolist() for c in rows)):
+                own = int(np.searchsorted(offsets, first, "right")) - 1
+                out.setdefault(order[own], []).append((first - int(offsets[own]), *rest))
+        return out
+
+    alone = {k: v for i in range(len(texts)) for k, v in found([i]).items()}
+    assert [sum(r[1] for r in alone.get(k, [])) for k in range(len(texts))] == [max(0, len(t) - 99) for t in texts]
+    for _ in range(5):
+        order = rng.sample(range(len(texts)), len(texts))
+        assert found(order) == alone
+
+
+def test_passages_that_repeat_in_texts_of_many_sizes(spark):
+    """The last pass meets the documents in another order and company than the first."""
+    rng = random.Random(6)
+    shared = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(90, 6000))) for _ in range(12)]
+    texts = ["".join(p for _ in range(rng.randint(1, 9)) for p in (rng.choice(shared), str(rng.random()))) for _ in range(60)]
+    rows = list(enumerate(texts + ["".join(shared) + "!" + "".join(shared[::-1])]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert result(S.remove_repeats(frame(spark, rows))) == dict(enumerate(brute([(i, t.encode()) for i, t in rows], 100)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = S.remove_repeats(odd_docs).collect()
     assert len(rows) == odd_docs.count()
