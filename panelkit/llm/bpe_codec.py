@@ -2,11 +2,12 @@
 
 Encoding: a task cuts its texts by the pre-token pattern and hands the
 distinct pre-tokens it has not met lately to an in-process DuckDB.  There a
-recursive query holds one row per token position; each step joins neighbouring
-positions with the merge table and contracts, in every pre-token, the leftmost
-pair of minimum rank, until no pair of it merges (the fixpoint).
+recursive query holds the tokens of a pre-token and the ranks of its neighbours;
+each step contracts, in every pre-token, the leftmost pair of minimum rank and
+joins the two pairs that this brings with the merge table, until no pair merges
+(the fixpoint).
 
-The rows of all steps grow with the square of a pre-token's length, so one of
+The tokens of all steps grow with the square of a pre-token's length, so one of
 more than WINDOW bytes is cut into windows that overlap by half, and each goes
 through the same query.  A sequence of tokens is the encoding of its bytes if
 every two neighbours are the encoding of theirs.  So where two windows share a
@@ -43,28 +44,36 @@ CACHE_BYTES = 48 << 20
 SLICE = 1 << 22
 ROWS_OUT = 128
 
-# A row's key is its piece's number times the seats plus its seat; a contraction moves the seats behind it up.
-_ENCODE = """
+# No pair: larger than any rank.
+NONE = (1 << 31) - 1
+
+# ``ranks`` has the rank of each token with its right neighbour.  A contraction of the pair at ``seat`` brings two new
+# pairs, looked up in the merge table; all others stay.
+_ENCODE = f"""
 WITH RECURSIVE state AS (
-    SELECT w::BIGINT * {seats} + pos AS k, id, false AS done FROM spelled
+    SELECT w, ids, ranks, coalesce(list_min(ranks), {NONE}) AS best FROM spelled
     UNION ALL
     (
-        WITH pairs AS MATERIALIZED (
-            SELECT a.k, a.id, m.merged, m.rank * {seats} + a.k % {seats} AS own
-            FROM state a
-            LEFT JOIN state b ON b.k = a.k + 1
-            LEFT JOIN merges m ON m.l = a.id AND m.r = b.id
-            WHERE NOT a.done
+        WITH lowest AS (
+            SELECT w, ids, ranks, best, list_position(ranks, best) AS seat FROM state WHERE best < {NONE}
         ),
-        lowest AS (
-            SELECT k // {seats} AS w, min(own) AS best, min(own) % {seats} AS seat FROM pairs GROUP BY k // {seats}
+        contracted AS (
+            SELECT w,
+                   list_concat(CASE WHEN seat > 1 THEN ids[:seat - 1] END, [best], ids[seat + 2:]) AS ids,
+                   list_concat(
+                       CASE WHEN seat > 2 THEN ranks[:seat - 2] END,
+                       CASE WHEN seat > 1 THEN [coalesce(a.rank, {NONE})] END,
+                       CASE WHEN seat < len(ranks) THEN [coalesce(b.rank, {NONE})] END,
+                       ranks[seat + 2:]
+                   ) AS ranks
+            FROM lowest
+            LEFT JOIN merges a ON a.pair = ids[seat - 1]::BIGINT << 32 | best
+            LEFT JOIN merges b ON b.pair = best::BIGINT << 32 | ids[seat + 2]
         )
-        SELECT CASE WHEN p.k % {seats} > l.seat THEN p.k - 1 ELSE p.k END, CASE WHEN p.own = l.best THEN p.merged ELSE p.id END, l.best IS NULL
-        FROM pairs p JOIN lowest l ON p.k // {seats} = l.w
-        WHERE l.best IS NULL OR p.k % {seats} <> l.seat + 1
+        SELECT w, ids, ranks, coalesce(list_min(ranks), {NONE}) FROM contracted
     )
 )
-SELECT k // {seats} AS w, id FROM state WHERE done ORDER BY k
+SELECT w, ids FROM state WHERE best = {NONE} ORDER BY w
 """
 
 _DECODE = """
@@ -126,7 +135,8 @@ class DuckCodec:
                 if (left := ranks.get(token[:cut])) is not None and (right := ranks.get(token[cut:])) is not None:
                     rows.append((left, right, rank))
         left, right, rank = (np.array(c, np.int64) for c in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 3
-        self._table("merges", l=left.astype(np.int32), r=right.astype(np.int32), rank=rank, merged=rank.astype(np.int32))
+        self._table("merges", pair=left << 32 | right, rank=rank.astype(np.int32))
+        self.of_bytes = np.array([ranks.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)], np.int32)
         self._table("vocab", id=np.array(list(ranks.values()), np.int32), hex=[t.hex() for t in ranks])
         self.size_of = np.zeros(max(ranks.values()) + 1, np.int64)
         self.size_of[list(ranks.values())] = [len(t) for t in ranks]
@@ -139,15 +149,20 @@ class DuckCodec:
 
     def _contract(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces one after the other, and how many each has, by the recursive query."""
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        w = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
-        pos = ranges(np.zeros(len(pieces), np.int64), sizes).astype(np.int32)
-        self._table("spelled", w=w, pos=pos, id=self.spell[np.frombuffer(b"".join(pieces), np.uint8)])
-        found = self.db.execute(_ENCODE.format(seats=1 << int(sizes.max(initial=1)).bit_length())).fetchnumpy()
-        return found["id"], np.bincount(found["w"], minlength=len(pieces))
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        offsets = np.cumsum([0, *map(len, pieces)])
+        inner = np.ones(len(data), bool)
+        inner[offsets[1:] - 1] = False  # the last byte of a piece has no right neighbour in it
+        at = np.flatnonzero(inner)
+        ids = pa.LargeListArray.from_arrays(offsets, self.spell[data])
+        ranks = pa.LargeListArray.from_arrays(np.searchsorted(at, offsets), self.of_bytes[data[at].astype(np.int64) << 8 | data[at + 1]])
+        self.db.register("spelled", pa.table({"w": np.arange(len(pieces), dtype=np.int32), "ids": ids, "ranks": ranks}))
+        found = self.db.sql(_ENCODE).to_arrow_table()["ids"].combine_chunks()
+        self.db.unregister("spelled")
+        return found.flatten().to_numpy(), found.value_lengths().to_numpy().astype(np.int64)
 
     def _contract_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The same in batches: a query's rows go with the square of the pieces' lengths."""
+        """The same in batches: a query's tokens go with the square of the pieces' lengths."""
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         order = np.argsort(lengths, kind="stable")
         batch = np.cumsum((lengths[order] + 1) ** 2 // 2) // BATCH_ROWS
@@ -184,8 +199,8 @@ class DuckCodec:
         entries = {t: e for t, k in key_of.items() if (e := held.get(k)) is not None}
         # The others are contracted again rather than looked up among all entries; of equal keys the first counts.
         raw = {t: t.encode("utf-8", "replace") for t in pretokens.difference(entries)}
-        plain = sorted(t for t, w in raw.items() if len(w) <= WINDOW)
-        for new in (plain, sorted(raw.keys() - set(plain)) if len(plain) < len(raw) else []):  # long ones apart
+        plain = [t for t, w in raw.items() if len(w) <= WINDOW]
+        for new in (plain, [t for t, w in raw.items() if len(w) > WINDOW] if len(plain) < len(raw) else []):  # long ones apart
             if new:
                 first = len(self.cache.words)
                 self.cache.add([key_of[t] for t in new], *self.merge([raw[t] for t in new]))
@@ -227,9 +242,10 @@ class DuckCodec:
             unknown = ids[(ids >= len(self.size_of)) | (self.size_of[np.minimum(ids, len(self.size_of) - 1)] == 0)]
             if len(unknown):
                 raise ValueError(f"id {unknown[0]} is not in the vocabulary")
-            self._table("tokens", d=own, pos=np.arange(len(ids), dtype=np.int32), id=ids.astype(np.int32))
+            self.db.register("tokens", pa.table({"d": own, "pos": np.arange(len(ids), dtype=np.int32), "id": ids.astype(np.int32)}))
             for d, text in self.db.execute(_DECODE).fetchall():
                 parts[d].append(bytes.fromhex(text))
+            self.db.unregister("tokens")
         return [b"".join(p) for p in parts]
 
 

@@ -129,6 +129,20 @@ def test_unknown_ids_are_refused(ranks):
         bpe_codec.DuckCodec(gap, P.PATTERN).decode([np.array([1, 50_005], "<u4").tobytes()])
 
 
+def test_recursive_query_has_a_row_a_contraction(ranks, monkeypatch):
+    """Not one for every token of every step; first, last and only pairs contract as in the library."""
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe_codec.DuckCodec(ranks, P.PATTERN)
+    rnd = random.Random(8)
+    pieces = [b"a", b"in", b"ing", b"\xff\xfe", " 漢字".encode(), b"x" * 90]
+    pieces += [bytes(rnd.choice(b"abcdefghinorst") for _ in range(rnd.randint(1, 40))) for _ in range(300)]
+    expected = [library._encode_single_piece(p) for p in pieces]
+    ids, sizes = codec._contract(pieces)
+    assert ids.tolist() == [i for e in expected for i in e] and sizes.tolist() == [len(e) for e in expected]
+    monkeypatch.setattr(bpe_codec, "_ENCODE", bpe_codec._ENCODE.rpartition("SELECT")[0] + "SELECT [count(*)::INTEGER] AS ids FROM state")
+    assert codec._contract(pieces)[0].tolist() == [sum(1 + len(p) - len(e) for p, e in zip(pieces, expected))]
+
+
 def test_codec_query(spark, odd_docs, no_docs, ranks):
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
